@@ -1,0 +1,131 @@
+import datetime as dt
+
+import pytest
+
+from tidewater.operators.changes import change_window, has_changes, has_changes_frame, latest_per_key
+from tidewater.operators.inventory import collect_partitions, partition_inventory
+from tidewater.operators.merge import align_columns, merge_image, touched_partitions, unchanged_rows
+from tidewater.operators.quality import (
+    dq_allowed_values,
+    dq_decimal_fit,
+    dq_foreign_key,
+    dq_max_length,
+    dq_missing_references,
+    dq_not_null,
+    dq_primary_key,
+    dq_unique,
+)
+from tidewater.operators.sizing import count_and_key_bytes, may_broadcast
+from tidewater.operators.staging import materialise
+
+from conftest import rows
+
+LAKE = [(1, "a", 2024, 1, 1), (2, "b", 2024, 1, 1), (3, "c", 2024, 1, 2), (None, "n", 2024, 1, 3)]
+LAKE_SCHEMA = "id long, v string, year int, month int, day int"
+
+
+@pytest.fixture
+def lake(spark):
+    return spark.createDataFrame(LAKE, LAKE_SCHEMA)
+
+
+def test_touched_and_unchanged(spark, lake):
+    changes = spark.createDataFrame([(2, "B", 2024, 1, 1), (2, "B2", 2024, 1, 1), (9, "z", 2024, 1, 9)], LAKE_SCHEMA)
+    assert rows(touched_partitions(lake, changes, ["id"], ["year", "month", "day"])) == [(2024, 1, 1)]
+    assert rows(touched_partitions(lake, changes, ["id"], ["year", "month", "day"], broadcast_keys=True)) == [
+        (2024, 1, 1)]
+    # NULL keys never match, so they survive
+    assert rows(unchanged_rows(lake, changes, ["id"]), "v") == [("a",), ("c",), ("n",)]
+
+
+def test_merge_image_bag_semantics_and_inserts(spark, lake):
+    changes = spark.createDataFrame([(2, "B", 2024, 1, 1), (9, "z", 2024, 1, 9)], LAKE_SCHEMA)
+    img = merge_image(lake, changes, ["id"])
+    assert rows(img, "id", "v") == [(None, "n"), (1, "a"), (2, "B"), (3, "c"), (9, "z")]
+
+
+def test_align_columns(spark, lake):
+    extra = spark.createDataFrame([(5, 2024, 1, 1, "x", "new")], "id int, year int, month int, day int, v string, w string")
+    out = align_columns(extra, lake.schema)
+    assert out.schema == lake.schema
+    missing = spark.createDataFrame([(5, 2024, 1, 1)], "id long, year int, month int, day int")
+    assert rows(align_columns(missing, lake.schema)) == [(5, None, 2024, 1, 1)]
+    assert align_columns(extra, ["v", "id"]).columns == ["v", "id"]
+
+
+def test_latest_per_key_hot_key_and_ties(spark):
+    stamps = [(1, dt.datetime(2024, 1, d), f"v{d}") for d in range(1, 29)] + [(2, dt.datetime(2024, 1, 1), "x")]
+    stamps += [(3, dt.datetime(2024, 1, 5), "b"), (3, dt.datetime(2024, 1, 5), "a")]  # tie: "b" wins
+    df = spark.createDataFrame(stamps, "k long, t timestamp_ntz, v string").repartition(4)
+    out = latest_per_key(df, ["k"], "t")
+    assert out.columns == ["k", "t", "v"]
+    assert rows(out) == [(1, dt.datetime(2024, 1, 28), "v28"), (2, dt.datetime(2024, 1, 1), "x"),
+                         (3, dt.datetime(2024, 1, 5), "b")]
+
+
+def test_latest_per_key_with_map_column(spark):
+    df = spark.createDataFrame([(1, 1, {"a": 1}), (1, 2, {"b": 2})], "k int, t int, m map<string,int>")
+    assert [r.m for r in latest_per_key(df, ["k"], "t").collect()] == [{"b": 2}]
+
+
+def test_change_window_and_has_changes(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    hit = change_window(ev, "ts", dt.date(2024, 1, 15), 1)
+    miss = change_window(ev, "ts", dt.date(2023, 1, 15), 1)
+    assert has_changes(hit) and not has_changes(miss)
+    assert has_changes_frame(hit).first().has_changes is True
+    assert has_changes_frame(miss).first().has_changes is False
+
+
+def test_inventory(spark, lake):
+    assert collect_partitions(lake, ["year", "month", "day"]).__len__() == 3
+    assert rows(partition_inventory(lake)) == [(2024, 1, 1, 2), (2024, 1, 2, 1), (2024, 1, 3, 1)]
+
+
+def test_sizing(spark):
+    df = spark.createDataFrame([(1, "abc"), (2, "abcdef")], "id long, s string")
+    n, bound = count_and_key_bytes(df, ["id", "s"])
+    assert n == 2 and bound >= 2 * (8 + 6)
+    assert may_broadcast(bound) and not may_broadcast(bound, limit=1)
+
+
+def test_materialise_cuts_lineage(spark):
+    df = spark.range(100).selectExpr("id", "id * 2 AS twice")
+    with materialise(df, label="test") as st:
+        assert st.df.count() == 100
+        assert st.df.inputFiles() and all("tidewater-stage" in f for f in st.df.inputFiles())
+        assert "Range" not in st.df._jdf.queryExecution().executedPlan().toString()
+        path = st.path
+    from tidewater import fs
+    assert not fs.exists(spark, path)
+
+
+# ------------------------------------------------------------------ quality checks (brute force)
+
+def test_dq_not_null(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, None, 1), (3, "c", 2)], "id int, a string, b int")
+    assert rows(dq_not_null(df, ["a", "b"]), "id") == [(1,), (2,)]
+
+
+def test_dq_primary_key_and_unique(spark):
+    df = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (None, 3), (None, 4)], "k int, j int")
+    assert rows(dq_primary_key(df, ["k"])) == [(None, 2), (1, 3)]
+    assert rows(dq_unique(df, ["k"])) == [(1, 3)]
+    assert rows(dq_primary_key(df, ["k", "j"])) == [(1, 1, 2)]
+
+
+def test_dq_foreign_key(spark):
+    parent = spark.createDataFrame([(1,), (2,), (2,)], "pid int")
+    child = spark.createDataFrame([(10, 1), (11, 3), (12, 3), (13, None), (14, 4)], "cid int, ref int")
+    assert rows(dq_foreign_key(child, parent, ["ref"], ["pid"]), "cid") == [(11,), (12,), (14,)]
+    assert rows(dq_missing_references(child, parent, ["ref"], ["pid"])) == [(3, 2), (4, 1)]
+
+
+def test_dq_value_rules(spark):
+    df = spark.createDataFrame([(1, "OPEN", "ab", 1.5), (2, "SHUT", "abcdef", 1.239), (3, None, None, 1e20),
+                                (4, "CLOSED", "abcd", None)], "id int, status string, code string, amt double")
+    assert rows(dq_allowed_values(df, "status", ["OPEN", "CLOSED", "FROZEN"]), "id") == [(2,)]
+    assert rows(dq_allowed_values(df, "status", ["OPEN", "CLOSED", "FROZEN"], allow_null=False), "id") == [(2,), (3,)]
+    assert rows(dq_max_length(df, "code", 4), "id") == [(2,)]
+    # 1.239 has too many decimals; 1e20 overflows NUMERIC(15,2); NULL is not a violation
+    assert rows(dq_decimal_fit(df, "amt", 15, 2), "id") == [(2,), (3,)]

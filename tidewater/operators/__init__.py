@@ -23,6 +23,7 @@ from tidewater.operators.quality import (  # noqa: F401
     dq_decimal_fit,
     dq_foreign_key,
     dq_max_length,
+    dq_missing_references,
     dq_not_null,
     dq_primary_key,
     dq_unique,

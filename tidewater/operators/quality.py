@@ -9,6 +9,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+_FOUND = "__tw_found"
+
 
 def _any(conds):
     out = None
@@ -37,20 +39,35 @@ def dq_unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return dq_primary_key(df.where(~_any(F.col(c).isNull() for c in columns)), columns)
 
 
+def dq_missing_references(child: DataFrame, parent: DataFrame, child_keys: Sequence[str],
+                          parent_keys: Sequence[str] | None = None) -> DataFrame:
+    """Distinct (non-NULL) references of ``child`` with no parent row, with ``n_refs``, the
+    number of child rows holding each.
+
+    References are counted first (map-side partial aggregation collapses a hot key to one
+    row per task before any shuffle) and only then matched with the distinct parent keys.
+    The match is a left join + NULL test rather than an anti-join on purpose: the optimizer
+    would push an anti-join below the aggregation and shuffle every child row.
+    """
+    child_keys = list(child_keys)
+    parent_keys = list(parent_keys or child_keys)
+    refs = (child.where(~_any(F.col(c).isNull() for c in child_keys))
+            .groupBy(*child_keys).agg(F.count(F.lit(1)).alias("n_refs")))
+    parents = (parent.select(*[F.col(p).alias(c) for p, c in zip(parent_keys, child_keys)])
+               .distinct().withColumn(_FOUND, F.lit(True)))
+    return (refs.join(parents, child_keys, "left")
+            .where(F.col(_FOUND).isNull()).select(*child_keys, "n_refs"))
+
+
 def dq_foreign_key(child: DataFrame, parent: DataFrame, child_keys: Sequence[str],
                    parent_keys: Sequence[str] | None = None) -> DataFrame:
     """Child rows whose (non-NULL) reference has no parent row.
 
-    Distinct references are computed first (partial aggregation collapses hot keys before
-    the shuffle), anti-joined with the parent keys, and only the missing references are
-    semi-joined back to the child rows; AQE broadcasts that last side when it is small.
+    The missing references are found on pre-aggregated keys (``dq_missing_references``)
+    and semi-joined back to the child rows; AQE broadcasts them when they are few.
     """
-    child_keys = list(child_keys)
-    parent_keys = list(parent_keys or child_keys)
-    refs = child.select(*child_keys).where(~_any(F.col(c).isNull() for c in child_keys)).distinct()
-    parents = parent.select(*[F.col(p).alias(c) for p, c in zip(parent_keys, child_keys)])
-    missing = refs.join(parents, child_keys, "left_anti")
-    return child.join(missing, child_keys, "left_semi")
+    missing = dq_missing_references(child, parent, child_keys, parent_keys).drop("n_refs")
+    return child.join(missing, list(child_keys), "left_semi")
 
 
 def dq_allowed_values(df: DataFrame, column: str, allowed: Iterable, allow_null: bool = True) -> DataFrame:
