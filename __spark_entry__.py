@@ -50,13 +50,16 @@ from tidewater.operators.quality import (
 )
 from tidewater.operators.staging import materialise
 from tidewater.plans.context import EngineContext
-from tidewater.plans.jobs import insert_table, refresh_table, run_action, update_table
+from tidewater.functions.partitions import partition_filter
+from tidewater.operators.inventory import collect_partitions
+from tidewater.plans.jobs import insert_table, prepare_and_save, refresh_table, run_action, update_table
 from tidewater.plans.specs import TableSpec
 from tidewater.session import scratch_path
 from tidewater.sinks.lake import lake_append, lake_replace, lake_replace_where
-from tidewater.sources.catalog import table_counts
+from tidewater.sources.catalog import scan_one_or_many, table_counts
 from tidewater.sources.files import FrameSource, ParquetSource
-from tidewater.sources.lake import lake_partition_scan, lake_scan
+from tidewater.sources.lake import lake_exists, lake_partition_scan, lake_scan
+from tidewater.streaming.bookmark import export_changes, ingest_changes
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 DAY = ("year", "month", "day")
@@ -353,6 +356,81 @@ def q_refresh_full(spark, sf_dir):
     return table_counts(lake, TESTDATA_TABLE_NAMES)
 
 
+def q_update_insert_only(spark, sf_dir):
+    # The 2024-02-10 window holds only purchases created 2024-01-30: keys and partitions
+    # the lake does not have yet.
+    ctx = _lake_ctx(spark, "update-insert-only", FrameSource({"events": lambda: events_loaded(spark, sf_dir)}),
+                    {"events": EVENTS_SPEC})
+    refresh_table(ctx, "events")
+    ctx.source = FrameSource({"events": lambda: events_changed(spark, sf_dir)})
+    update_table(ctx, "events", dt.date(2024, 2, 10), 1)
+    return lake_scan(spark, ctx.table_path("events"))
+
+
+def q_update_no_change(spark, sf_dir):
+    ctx = _lake_ctx(spark, "update-no-change", FrameSource({"events": lambda: events_loaded(spark, sf_dir)}),
+                    {"events": EVENTS_SPEC})
+    refresh_table(ctx, "events")
+    ctx.source = FrameSource({"events": lambda: events_changed(spark, sf_dir)})
+    update_table(ctx, "events", dt.date(2023, 6, 1), 1)
+    return lake_scan(spark, ctx.table_path("events"))
+
+
+def q_stream_update(spark, sf_dir):
+    # Two scheduled runs of the streaming ingest; each sees only the files exported since
+    # the previous run (the checkpoint is the bookmark).
+    ctx = _lake_ctx(spark, "stream-update", FrameSource({"events": lambda: events_loaded(spark, sf_dir)}),
+                    {"events": EVENTS_SPEC})
+    refresh_table(ctx, "events")
+    ctx.source = FrameSource({"events": lambda: events_changed(spark, sf_dir)})
+    drop = scratch_path(spark, "drop", "events")
+    schema = events_changed(spark, sf_dir).schema
+    for as_of in (UPDATE_AS_OF, dt.date(2024, 2, 10)):
+        export_changes(ctx, "events", drop, as_of, 1)
+        ingest_changes(ctx, "events", drop, schema, action="update")
+    return lake_scan(spark, ctx.table_path("events"))
+
+
+def q_stream_insert(spark, sf_dir):
+    ctx = _lake_ctx(spark, "stream-insert", ParquetSource(spark, sf_dir), TESTDATA_TABLES)
+    drop = scratch_path(spark, "drop", "events-created")
+    schema = _t(spark, sf_dir, "events").schema
+    for as_of in (dt.date(2024, 1, 15), dt.date(2024, 1, 16)):  # overlapping windows
+        export_changes(ctx, "events", drop, as_of, 1, role="created")
+        ingest_changes(ctx, "events", drop, schema, action="insert")
+    return lake_scan(spark, ctx.table_path("events"))
+
+
+def q_insert_full(spark, sf_dir):
+    ctx = _lake_ctx(spark, "insert-full", ParquetSource(spark, sf_dir), TESTDATA_TABLES)
+    run_action(ctx, "insert", "full", as_of=dt.date(1998, 1, 15), days=1)
+    lake = ParquetSource(spark, ctx.lake_root, suffix="")
+    present = [n for n in lake.list_tables() if lake_exists(spark, ctx.table_path(n))]
+    return table_counts(lake, present)
+
+
+def q_scan_one_or_many(spark, sf_dir):
+    frames = scan_one_or_many(ParquetSource(spark, sf_dir), table_list=list(TESTDATA_TABLE_NAMES))
+    out = None
+    for name, df in frames.items():
+        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_partition_prune(spark, sf_dir):
+    ctx = _lake_ctx(spark, "prune", ParquetSource(spark, sf_dir), TESTDATA_TABLES)
+    refresh_table(ctx, "events")
+    changed = collect_partitions(derive_partition_columns(_changes(spark, sf_dir), "ts"), DAY)
+    return lake_scan(spark, ctx.table_path("events")).where(partition_filter(changed, DAY))
+
+
+def q_prepare_and_save(spark, sf_dir):
+    ctx = _lake_ctx(spark, "prepare", ParquetSource(spark, sf_dir), TESTDATA_TABLES)
+    prepare_and_save(ctx, _t(spark, sf_dir, "lineitem"), TESTDATA_TABLES["lineitem"], "overwrite")
+    return lake_scan(spark, ctx.table_path("lineitem"))
+
+
 # ---------------------------------------------------------------- quality checks
 
 def q_dq_not_null(spark, sf_dir):
@@ -431,6 +509,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "update_moving_inventory": q_update_moving_inventory,
     "update_rerun": q_update_rerun,
     "refresh_full": q_refresh_full,
+    "update_insert_only": q_update_insert_only,
+    "update_no_change": q_update_no_change,
+    "stream_update": q_stream_update,
+    "stream_insert": q_stream_insert,
+    "insert_full": q_insert_full,
+    "scan_one_or_many": q_scan_one_or_many,
+    "partition_prune": q_partition_prune,
+    "prepare_and_save": q_prepare_and_save,
     "dq_not_null": q_dq_not_null,
     "dq_primary_key": q_dq_primary_key,
     "dq_unique": q_dq_unique,
@@ -474,6 +560,9 @@ _BASE = """base AS (SELECT event_id, ts, user_id, event_type, value, props, ts A
 _IMG = """img AS (SELECT * FROM chg UNION ALL
   SELECT * FROM base WHERE event_id NOT IN (SELECT event_id FROM chg))"""
 CDC = f"WITH {_SRC},\n{_CHG},\n{_BASE},\n{_IMG}\n"
+_CHG2 = """chg2 AS (SELECT * FROM src
+  WHERE last_updated_at > TIMESTAMP '2024-02-09 00:00:00' AND last_updated_at < TIMESTAMP '2024-02-11 00:00:00')"""
+CDC2 = f"WITH {_SRC},\n{_CHG},\n{_BASE},\n{_IMG},\n{_CHG2}\n"
 
 _EV_WIN = "ts > TIMESTAMP '2024-01-14 00:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00'"
 _EV_WIN2 = "ts > TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-17 00:00:00'"
@@ -541,6 +630,22 @@ _ORACLES: dict[str, str] = {
     "update_moving_inventory": CDC + f"SELECT {_DAY.format(c='last_updated_at')}, COUNT(*) AS n FROM img GROUP BY ALL",
     "update_rerun": CDC + f"SELECT *, {_ymd('last_updated_at')} FROM img",
     "refresh_full": _COUNTS,
+    "update_insert_only": CDC2 + f"""SELECT *, {_ymd('ts')} FROM chg2 UNION ALL
+        SELECT *, {_ymd('ts')} FROM base WHERE event_id NOT IN (SELECT event_id FROM chg2)""",
+    "update_no_change": CDC + f"SELECT *, {_ymd('ts')} FROM base",
+    "stream_update": CDC2 + f"""SELECT *, {_ymd('ts')} FROM chg2 UNION ALL
+        SELECT *, {_ymd('ts')} FROM img WHERE event_id NOT IN (SELECT event_id FROM chg2)""",
+    "stream_insert": f"""SELECT *, {_ymd('ts')} FROM events
+        WHERE ts > TIMESTAMP '2024-01-14 00:00:00' AND ts < TIMESTAMP '2024-01-17 00:00:00'""",
+    "insert_full": """SELECT 'lineitem' AS table_name, COUNT(*) AS n FROM lineitem
+        WHERE l_shipdate > TIMESTAMP '1998-01-14 00:00:00' AND l_shipdate < TIMESTAMP '1998-01-16 00:00:00'
+        UNION ALL SELECT 'orders', COUNT(*) FROM orders
+        WHERE o_orderdate > TIMESTAMP '1998-01-14 00:00:00' AND o_orderdate < TIMESTAMP '1998-01-16 00:00:00'""",
+    "scan_one_or_many": _COUNTS,
+    "partition_prune": CDC + f"""SELECT *, {_ymd('ts')} FROM events
+        WHERE CAST(ts AS DATE) IN (SELECT DISTINCT CAST(ts AS DATE) FROM chg)""",
+    "prepare_and_save": """SELECT *, CAST(l_shipdate AS DATE) AS partition_date, CAST(year(l_shipdate) AS INT) AS year,
+        CAST(month(l_shipdate) AS INT) AS month FROM lineitem""",
     "dq_not_null": """SELECT d.doc_id, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
         WHERE l.quality IS NULL OR l.toxic IS NULL""",
     "dq_primary_key": """SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem

@@ -78,31 +78,41 @@ def lake_schema(spark: SparkSession, path: str, cols) -> T.StructType:
 
 def insert_table(ctx: EngineContext, name: str, as_of=None, days: int = 1,
                  dedupe_on_key: bool = False) -> JobResult:
-    """Append the rows created inside the window.
-
-    With ``dedupe_on_key`` rows whose key is already in the lake are left out, which makes
-    overlapping or repeated windows idempotent. When the table is partitioned by its
-    created column the lookup reads only the partitions the window can touch.
-    """
+    """Append the rows created inside the window (see ``append_changes``)."""
     spec = ctx.spec(name)
     if not spec.created_column:
         raise ValueError(f"table {name!r} has no created column; insert needs one")
     as_of = as_date(as_of)
+    window = change_window(ctx.source.table(name), spec.created_column, as_of, days)
+    parts = None
+    if spec.partition_by == spec.created_column:
+        parts = dates_to_partitions(window_partition_dates(as_of, days), spec.grain)
+    return append_changes(ctx, name, window, dedupe_on_key, lookup_partitions=parts)
+
+
+def append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_key: bool = False,
+                   lookup_partitions: list | None = None) -> JobResult:
+    """Append rows to the lake table in one pass (one Spark action).
+
+    With ``dedupe_on_key`` rows whose key is already in the lake are left out, which makes
+    overlapping or repeated windows idempotent. ``lookup_partitions`` limits that lookup
+    to the partitions the rows can live in (known from the window when the table is
+    partitioned by its created column); otherwise the whole lake's keys are read.
+    """
+    spec = ctx.spec(name)
     spark = ctx.spark
     path = ctx.table_path(name)
-    changes = change_window(ctx.source.table(name), spec.created_column, as_of, days)
     cols = spec.partition_cols
     if spec.partition_by:
-        changes = derive_partition_columns(changes, spec.partition_by, spec.grain)
+        rows = derive_partition_columns(rows, spec.partition_by, spec.grain)
     if dedupe_on_key and spec.keys and lake_exists(spark, path):
-        if spec.partition_by == spec.created_column:
-            parts = dates_to_partitions(window_partition_dates(as_of, days), spec.grain)
-            existing = lake_partition_scan(spark, path, parts, cols)
+        if lookup_partitions is not None:
+            existing = lake_partition_scan(spark, path, lookup_partitions, cols)
         else:
             existing = lake_scan(spark, path)
         if existing is not None:
-            changes = unchanged_rows(changes, existing.select(*spec.keys), spec.keys)
-    lake_append(changes, path, cols, max_records_per_file=ctx.max_records_per_file)
+            rows = unchanged_rows(rows, existing.select(*spec.keys), spec.keys)
+    lake_append(rows, path, cols, max_records_per_file=ctx.max_records_per_file)
     return JobResult(name, "insert", "written")
 
 
@@ -112,34 +122,44 @@ def _unique(seq):
 
 def update_table(ctx: EngineContext, name: str, as_of=None, days: int = 1,
                  latest_only: bool = False) -> JobResult:
-    """Copy-on-write upsert of the rows changed inside the window.
+    """Copy-on-write upsert of the rows changed inside the window (see ``upsert_changes``)."""
+    spec = ctx.spec(name)
+    if not spec.change_column:
+        raise ValueError(f"table {name!r} has no change column; update needs one")
+    raw = change_window(ctx.source.table(name), spec.change_column, as_date(as_of), days)
+    return upsert_changes(ctx, name, raw, latest_only=latest_only)
+
+
+def upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_only: bool = False,
+                   stage: bool = True) -> JobResult:
+    """Copy-on-write upsert of a change set into the lake table ``name``.
 
     1. stage the change set once in the shared folder (one source query);
     2. affected partitions = where the changed keys live now ∪ where they go;
     3. image = affected rows without the changed keys ∪ the change rows;
     4. dynamic overwrite of exactly those partitions; partitions left empty are deleted.
-    Afterwards every key has exactly one row. Re-running with the same change set gives
-    the same lake.
+    Afterwards every key has exactly one row (one per change row with ``latest_only``
+    off and duplicate keys in the change set). Re-running with the same change set gives
+    the same lake, so a retried batch is harmless. ``stage=False`` is for change sets that
+    are already materialised (e.g. a streaming micro-batch read from files).
     """
     spec = ctx.spec(name)
     if not spec.keys:
         raise ValueError(f"table {name!r} has no key columns; update needs them")
-    if not spec.change_column:
-        raise ValueError(f"table {name!r} has no change column; update needs one")
     spark = ctx.spark
     keys = list(spec.keys)
     path = ctx.table_path(name)
     cols = list(spec.partition_cols)
     kw = {"max_records_per_file": ctx.max_records_per_file}
 
-    raw = change_window(ctx.source.table(name), spec.change_column, as_date(as_of), days)
+    raw = changes
     if latest_only:
         raw = latest_per_key(raw, keys, spec.change_column)
     if spec.partition_by:
         raw = derive_partition_columns(raw, spec.partition_by, spec.grain)
-    staged = materialise(raw, label=f"{name}-changes")
+    staged = materialise(raw, label=f"{name}-changes") if stage else None
     try:
-        changes = staged.df
+        changes = staged.df if staged else raw
         n, key_bytes = count_and_key_bytes(changes, keys)
         if n == 0:
             return JobResult(name, "update", "no_changes", 0)
@@ -179,7 +199,8 @@ def update_table(ctx: EngineContext, name: str, as_of=None, days: int = 1,
         lake_replace_where(image, path, cols, drop=drop, **kw)
         return JobResult(name, "update", "written", n, affected, drop)
     finally:
-        staged.release()
+        if staged:
+            staged.release()
 
 
 def run_table(ctx: EngineContext, action: str, name: str, as_of=None, days: int = 1,
@@ -235,4 +256,4 @@ def run_action(ctx: EngineContext, action: str, mode: str, table: str | None = N
 
 
 __all__ = ["JobResult", "prepare_and_save", "refresh_table", "insert_table", "update_table",
-           "run_table", "run_action", "lake_schema"]
+           "upsert_changes", "append_changes", "run_table", "run_action", "lake_schema"]
