@@ -171,3 +171,23 @@ def test_run_action_full_skips_inapplicable_tables(spark, lake_root):
     res = {r.table: r for r in run_action(ctx, "refresh", "full", table="ignored")}
     assert all(r.status == "written" for r in res.values())
     assert rows(lake_scan(spark, f"{lake_root}/notes")) == [(1, "x")]
+
+
+def test_hot_partition_is_split_across_tasks(spark, lake_root):
+    """A month holding a third of all rows is written by several tasks (AQE splits the
+    skewed rebalance partition), while small months stay one file each."""
+    from tidewater.functions.partitions import derive_partition_columns
+    from tidewater.sinks.lake import lake_replace
+
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").repartition(16)
+    hot = li.withColumn("t", F.when(F.col("l_orderkey") % 3 == 0, F.lit(T(1997, 6, 1)))
+                        .otherwise(F.col("l_shipdate")))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        lake_replace(derive_partition_columns(hot, "t", "month"), lake_root, ["year", "month"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot_files = [f for f in os.listdir(f"{lake_root}/year=1997/month=6") if f.endswith(".parquet")]
+    assert len(hot_files) > 1
+    assert lake_scan(spark, lake_root).count() == li.count()

@@ -65,3 +65,12 @@ def test_partition_scan_and_drop(spark, lake_root):
     assert lake_partition_scan(spark, lake_root, [(2030, 1, 1)]) is None
     dropped = drop_partitions(spark, lake_root, [(2024, 1, 3)], ["year", "month", "day"])
     assert len(dropped) == 1 and lake_partition_scan(spark, lake_root, [(2024, 1, 3)]) is None
+
+
+def test_partition_scan_many_partitions_uses_listing(spark, lake_root):
+    import datetime as dt
+    ev = derive_partition_columns(spark.read.parquet(f"{SF_SMALL}/events.parquet"), "ts")
+    lake_append(ev, lake_root, ["year", "month", "day"])
+    wanted = [(d.year, d.month, d.day) for d in (dt.date(2023, 12, 1) + dt.timedelta(days=i) for i in range(90))]
+    part = lake_partition_scan(spark, lake_root, wanted)
+    assert part.count() == ev.count()  # all 30 January days exist, the other 60 are skipped

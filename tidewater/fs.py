@@ -45,3 +45,12 @@ def has_data_files(spark: SparkSession, path: str) -> bool:
         if not name.startswith(("_", ".")):
             return True
     return False
+
+
+def glob_dirs(spark: SparkSession, pattern: str) -> set[str]:
+    """Paths matching a glob pattern (one listing per wildcard level, not one call per path)."""
+    fs, hpath = _fs_and_path(spark, pattern)
+    found = fs.globStatus(hpath)
+    if found is None:
+        return set()
+    return {status.getPath().toString() for status in found}
