@@ -91,7 +91,8 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _ntz(value: dt.datetime):
-    return F.lit(value).cast("timestamp_ntz")
+    # Parsed from text: a zone-free literal whatever the session and process time zones.
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def events_loaded(spark, sf_dir) -> DataFrame:

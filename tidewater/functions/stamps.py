@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _HIT = "__tw_changed"
 
 
+def typed_literal(value, data_type: T.DataType) -> Column:
+    """A literal of ``data_type``. Datetimes headed for TIMESTAMP_NTZ are parsed from text so
+    no session or process time zone is applied on the way."""
+    if isinstance(value, Column):
+        return value.cast(data_type)
+    if isinstance(value, _dt.datetime) and isinstance(data_type, T.TimestampNTZType):
+        return F.lit(value.replace(tzinfo=None).isoformat(sep=" ")).cast(data_type)
+    return F.lit(value).cast(data_type)
+
+
 def change_stamp(df: DataFrame, changed_keys: DataFrame, keys: Sequence[str],
                  stamp_column: str, at) -> DataFrame:
     """Set ``stamp_column = at`` on the rows whose key is in ``changed_keys``.
@@ -21,7 +33,7 @@ def change_stamp(df: DataFrame, changed_keys: DataFrame, keys: Sequence[str],
     target_type = df.schema[stamp_column].dataType
     marks = changed_keys.select(*keys).distinct().withColumn(_HIT, F.lit(True))
     joined = df.join(marks, keys, "left")
-    stamped = (F.when(F.col(_HIT), F.lit(at).cast(target_type))
+    stamped = (F.when(F.col(_HIT), typed_literal(at, target_type))
                .otherwise(F.col(stamp_column)).alias(stamp_column))
     return joined.select(*[stamped if c == stamp_column else F.col(c) for c in df.columns])
 
@@ -36,9 +48,7 @@ def column_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     for field in df.schema.fields:
         c = field.name
         if c in defaults:
-            v = defaults[c]
-            dv = v if isinstance(v, Column) else F.lit(v)
-            out.append(F.coalesce(F.col(c), dv.cast(field.dataType)).alias(c))
+            out.append(F.coalesce(F.col(c), typed_literal(defaults[c], field.dataType)).alias(c))
         else:
             out.append(F.col(c))
     return df.select(*out)
