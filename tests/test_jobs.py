@@ -191,3 +191,29 @@ def test_hot_partition_is_split_across_tasks(spark, lake_root):
     hot_files = [f for f in os.listdir(f"{lake_root}/year=1997/month=6") if f.endswith(".parquet")]
     assert len(hot_files) > 1
     assert lake_scan(spark, lake_root).count() == li.count()
+
+
+def test_refresh_of_empty_source_gives_empty_table(spark, lake_root):
+    from tidewater.functions.partitions import derive_partition_columns
+    from tidewater.sources.lake import lake_exists
+
+    ctx = _ctx(spark, lake_root, {"customers": _customers(spark, BASE)})
+    refresh_table(ctx, "customers")
+    empty = _customers(spark, [])
+    ctx.source = FrameSource({"customers": empty})
+    refresh_table(ctx, "customers")
+    assert not lake_exists(spark, f"{lake_root}/customers")
+    # an empty table has no footer to infer from: read it with the schema
+    schema = derive_partition_columns(empty, "created_at").schema
+    assert lake_scan(spark, f"{lake_root}/customers", schema=schema).count() == 0
+
+
+def test_as_is_layout_skips_the_shuffle(spark, lake_root):
+    from tidewater.functions.partitions import derive_partition_columns
+    from tidewater.sinks.lake import write_lake
+
+    ev = derive_partition_columns(spark.read.parquet("/root/testdata/sf0.001/events.parquet"), "ts")
+    write_lake(ev, lake_root, ["year", "month", "day"], "overwrite", layout="as_is")
+    assert lake_scan(spark, lake_root).count() == 1000
+    with pytest.raises(ValueError):
+        write_lake(ev, lake_root, ["year"], "overwrite", layout="zigzag")

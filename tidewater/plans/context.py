@@ -20,6 +20,7 @@ class EngineContext:
     tables: Mapping[str, TableSpec] = field(default_factory=dict)
     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT
     max_records_per_file: int | None = None
+    write_layout: str = "rebalance"  # see tidewater.sinks.lake.LAYOUTS
 
     def __post_init__(self):
         self.lake_root = self.lake_root.rstrip("/")
@@ -27,5 +28,8 @@ class EngineContext:
     def table_path(self, name: str) -> str:
         return f"{self.lake_root}/{name.strip('/')}"
 
+    def write_options(self) -> dict:
+        return {"max_records_per_file": self.max_records_per_file, "layout": self.write_layout}
+
     def spec(self, name: str) -> TableSpec:
         return self.tables.get(name) or TableSpec(name)

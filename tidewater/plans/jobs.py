@@ -46,7 +46,7 @@ def prepare_and_save(ctx: EngineContext, df: DataFrame, spec: TableSpec, write:
     cols = spec.partition_cols
     if spec.partition_by:
         df = derive_partition_columns(df, spec.partition_by, spec.grain)
-    kw = {"max_records_per_file": ctx.max_records_per_file}
+    kw = ctx.write_options()
     if write == "overwrite":
         lake_replace(df, path, cols, **kw)
     elif write == "append":
@@ -112,7 +112,7 @@ def append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_key
             existing = lake_scan(spark, path)
         if existing is not None:
             rows = unchanged_rows(rows, existing.select(*spec.keys), spec.keys)
-    lake_append(rows, path, cols, max_records_per_file=ctx.max_records_per_file)
+    lake_append(rows, path, cols, **ctx.write_options())
     return JobResult(name, "insert", "written")
 
 
@@ -150,7 +150,7 @@ def upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_onl
     keys = list(spec.keys)
     path = ctx.table_path(name)
     cols = list(spec.partition_cols)
-    kw = {"max_records_per_file": ctx.max_records_per_file}
+    kw = ctx.write_options()
 
     raw = changes
     if latest_only:

@@ -16,14 +16,26 @@ from tidewater import fs
 from tidewater.functions.partitions import NULL_PARTITION, partition_dir
 
 
-def _prepare(df: DataFrame, partition_cols: Sequence[str]):
+# "rebalance": one shuffle by the partition columns (default; right for any input order).
+# "as_is": no shuffle; each task writes the partitions it holds. Only for inputs already
+# clustered by the partitioning time (e.g. a source stored in time order), where it saves
+# the shuffle; on unclustered input it multiplies files by the number of tasks.
+LAYOUTS = ("rebalance", "as_is")
+
+
+def _prepare(df: DataFrame, partition_cols: Sequence[str], layout: str = "rebalance"):
+    if layout not in LAYOUTS:
+        raise ValueError(f"unknown layout {layout!r}; use one of {LAYOUTS}")
+    if layout == "as_is":
+        return df.write
     shaped = df.hint("rebalance", *partition_cols) if partition_cols else df.hint("rebalance")
     return shaped.write
 
 
 def write_lake(df: DataFrame, path: str, partition_cols: Sequence[str], mode: str,
-               dynamic: bool = False, max_records_per_file: int | None = None) -> None:
-    w = _prepare(df, partition_cols).mode(mode)
+               dynamic: bool = False, max_records_per_file: int | None = None,
+               layout: str = "rebalance") -> None:
+    w = _prepare(df, partition_cols, layout).mode(mode)
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     if dynamic:
@@ -68,5 +80,5 @@ def drop_partitions(spark: SparkSession, root: str, partitions: Iterable[Sequenc
     return dropped
 
 
-__all__ = ["write_lake", "lake_append", "lake_replace", "lake_replace_where", "drop_partitions",
+__all__ = ["LAYOUTS", "write_lake", "lake_append", "lake_replace", "lake_replace_where", "drop_partitions",
            "NULL_PARTITION"]
