@@ -217,3 +217,15 @@ def test_as_is_layout_skips_the_shuffle(spark, lake_root):
     assert lake_scan(spark, lake_root).count() == 1000
     with pytest.raises(ValueError):
         write_lake(ev, lake_root, ["year"], "overwrite", layout="zigzag")
+
+
+def test_refresh_is_full_replace_even_with_dynamic_session_default(spark, lake_root):
+    ctx = _ctx(spark, lake_root, {"customers": _customers(spark, BASE)})
+    refresh_table(ctx, "customers")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        ctx.source = FrameSource({"customers": _customers(spark, BASE[2:3])})
+        refresh_table(ctx, "customers")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    assert _lake_rows(spark, lake_root) == [(3, "Matthew")]

@@ -38,8 +38,10 @@ def write_lake(df: DataFrame, path: str, partition_cols: Sequence[str], mode: st
     w = _prepare(df, partition_cols, layout).mode(mode)
     if partition_cols:
         w = w.partitionBy(*partition_cols)
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
+    if mode == "overwrite":
+        # Explicit either way: a session default of "dynamic" must not turn a full replace
+        # into a partition-scoped one (or the reverse).
+        w = w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
     w.parquet(path)
