@@ -44,6 +44,8 @@ def test_jdbc_source_options_without_a_database(spark):
     opts = src.read_options("transactions")
     assert opts["partitionColumn"] == "account_id" and opts["numPartitions"] == "64"
     assert opts["lowerBound"] == "1" and opts["upperBound"] == "1000000"
+    with pytest.raises(ValueError):
+        JdbcPartitioning("created_at").options()  # bounds come from the source at read time
 
 
 def test_engine_context(spark):

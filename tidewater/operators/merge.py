@@ -11,8 +11,11 @@ from pyspark.sql import types as T
 
 
 def _keys_of(changes: DataFrame, keys: Sequence[str], broadcast_keys: bool) -> DataFrame:
+    """The key side of a semi/anti join. Broadcast as is when the caller bounded its size;
+    otherwise de-duplicated first, so a key repeated in a third of the change rows is
+    collapsed map-side and the join's build side stays one row per key."""
     k = changes.select(*keys)
-    return F.broadcast(k) if broadcast_keys else k
+    return F.broadcast(k) if broadcast_keys else k.distinct()
 
 
 def touched_partitions(lake: DataFrame, changes: DataFrame, keys: Sequence[str],

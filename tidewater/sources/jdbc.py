@@ -16,12 +16,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 @dataclass(frozen=True)
 class JdbcPartitioning:
+    """Parallel read by ranges of a numeric, date or timestamp column. Leave the bounds as
+    ``None`` to have them taken from the source (``min``/``max`` computed remotely)."""
+
     column: str
-    lower_bound: int | str
-    upper_bound: int | str
-    num_partitions: int
+    lower_bound: int | str | None = None
+    upper_bound: int | str | None = None
+    num_partitions: int = 64
+
+    @property
+    def resolved(self) -> bool:
+        return self.lower_bound is not None and self.upper_bound is not None
 
     def options(self) -> dict[str, str]:
+        if not self.resolved:
+            raise ValueError("bounds not resolved; use JdbcSource.read_options")
         return {"partitionColumn": self.column, "lowerBound": str(self.lower_bound),
                 "upperBound": str(self.upper_bound), "numPartitions": str(self.num_partitions)}
 
@@ -48,10 +57,25 @@ class JdbcSource:
     def qualified(self, name: str) -> str:
         return f"{self.schema}.{name}" if self.schema else name
 
+    def bounds(self, name: str, column: str) -> tuple:
+        """``(min, max)`` of a column, computed by the source: the aggregate is pushed into
+        the remote query, so only one row travels."""
+        from pyspark.sql import functions as F
+
+        row = (self._reader().option("dbtable", self.qualified(name)).option("pushDownAggregate", "true")
+               .load().agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first())
+        return row["lo"], row["hi"]
+
     def read_options(self, name: str) -> dict[str, str]:
         opts = {"dbtable": self.qualified(name)}
-        if name in self.partitioning:
-            opts.update(self.partitioning[name].options())
+        part = self.partitioning.get(name)
+        if part is not None:
+            if not part.resolved:
+                lo, hi = self.bounds(name, part.column)
+                if lo is None:  # empty table: a single plain read
+                    return opts
+                part = JdbcPartitioning(part.column, lo, hi, part.num_partitions)
+            opts.update(part.options())
         return opts
 
     def table(self, name: str) -> DataFrame:
