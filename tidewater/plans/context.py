@@ -20,7 +20,9 @@ class EngineContext:
     tables: Mapping[str, TableSpec] = field(default_factory=dict)
     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT
     max_records_per_file: int | None = None
-    write_layout: str = "rebalance"  # see tidewater.sinks.lake.LAYOUTS
+    # None = automatic: no shuffle for a full copy of an unpartitioned table (each input
+    # split becomes one file), REBALANCE for everything else; or a value of sinks.lake.LAYOUTS.
+    write_layout: str | None = None
 
     def __post_init__(self):
         self.lake_root = self.lake_root.rstrip("/")
@@ -28,8 +30,9 @@ class EngineContext:
     def table_path(self, name: str) -> str:
         return f"{self.lake_root}/{name.strip('/')}"
 
-    def write_options(self) -> dict:
-        return {"max_records_per_file": self.max_records_per_file, "layout": self.write_layout}
+    def write_options(self, full_copy_unpartitioned: bool = False) -> dict:
+        layout = self.write_layout or ("as_is" if full_copy_unpartitioned else "rebalance")
+        return {"max_records_per_file": self.max_records_per_file, "layout": layout}
 
     def spec(self, name: str) -> TableSpec:
         return self.tables.get(name) or TableSpec(name)

@@ -46,7 +46,7 @@ def prepare_and_save(ctx: EngineContext, df: DataFrame, spec: TableSpec, write:
     cols = spec.partition_cols
     if spec.partition_by:
         df = derive_partition_columns(df, spec.partition_by, spec.grain)
-    kw = ctx.write_options()
+    kw = ctx.write_options(full_copy_unpartitioned=(write == "overwrite" and not cols))
     if write == "overwrite":
         lake_replace(df, path, cols, **kw)
     elif write == "append":
