@@ -76,3 +76,17 @@ def test_partition_scan_many_partitions_uses_listing(spark, lake_root):
     wanted = [(d.year, d.month, d.day) for d in (dt.date(2023, 12, 1) + dt.timedelta(days=i) for i in range(90))]
     part = lake_partition_scan(spark, lake_root, wanted)
     assert part.count() == ev.count()  # all 30 January days exist, the other 60 are skipped
+
+
+def test_hidden_folders_are_not_lake_data(spark, tmp_path):
+    from tidewater import fs
+
+    root = tmp_path / "t"
+    (root / ".spark-staging-1" / "year=2024").mkdir(parents=True)
+    (root / ".spark-staging-1" / "year=2024" / "part-0.parquet").write_bytes(b"x")
+    (root / "_SUCCESS").write_bytes(b"")
+    assert not lake_exists(spark, str(root))
+    (root / "year=2024").mkdir()
+    spark.range(3).write.parquet(str(root / "year=2024" / "d"))
+    assert lake_exists(spark, str(root))
+    assert "/year=2024/d/part-" in fs.first_data_file(spark, str(root))

@@ -34,17 +34,29 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(hpath)]
 
 
-def has_data_files(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds at least one non-hidden file somewhere below it."""
+def _visible_below(root_uri: str, file_uri: str) -> bool:
+    rel = file_uri[len(root_uri):] if file_uri.startswith(root_uri) else file_uri.rsplit("/", 1)[-1]
+    return not any(seg.startswith(("_", ".")) for seg in rel.strip("/").split("/") if seg)
+
+
+def first_data_file(spark: SparkSession, path: str) -> str | None:
+    """URI of one data file below ``path``, skipping hidden files and folders (``_SUCCESS``,
+    ``.spark-staging-*``, ``_temporary``) the way Spark's readers do; ``None`` if none."""
     fs, hpath = _fs_and_path(spark, path)
     if not fs.exists(hpath):
-        return False
+        return None
+    root = fs.makeQualified(hpath).toString().rstrip("/")
     it = fs.listFiles(hpath, True)
     while it.hasNext():
-        name = it.next().getPath().getName()
-        if not name.startswith(("_", ".")):
-            return True
-    return False
+        uri = it.next().getPath().toString()
+        if _visible_below(root, uri):
+            return uri
+    return None
+
+
+def has_data_files(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds at least one visible data file somewhere below it."""
+    return first_data_file(spark, path) is not None
 
 
 def glob_dirs(spark: SparkSession, pattern: str) -> set[str]:

@@ -65,15 +65,12 @@ def refresh_table(ctx: EngineContext, name: str) -> JobResult:
 def lake_schema(spark: SparkSession, path: str, cols) -> T.StructType:
     """Schema of a lake table from one data file's footer plus int partition columns
     (no listing of the whole table)."""
-    fsys, hpath = fs._fs_and_path(spark, path)
-    it = fsys.listFiles(hpath, True)
-    while it.hasNext():
-        p = it.next().getPath()
-        if not p.getName().startswith(("_", ".")):
-            data = spark.read.parquet(p.toString()).schema
-            extra = [T.StructField(c, T.IntegerType(), True) for c in cols if c not in data.fieldNames()]
-            return T.StructType(data.fields + extra)
-    raise FileNotFoundError(f"no data files under {path}")
+    first = fs.first_data_file(spark, path)
+    if first is None:
+        raise FileNotFoundError(f"no data files under {path}")
+    data = spark.read.parquet(first).schema
+    extra = [T.StructField(c, T.IntegerType(), True) for c in cols if c not in data.fieldNames()]
+    return T.StructType(data.fields + extra)
 
 
 def insert_table(ctx: EngineContext, name: str, as_of=None, days: int = 1,
