@@ -11,6 +11,7 @@ from conftest import SF_SMALL
 def test_parse_args_none_table():
     a = parse_args(["--action", "refresh", "--mode", "full", "--lake-root", "/l", "--table", "None"])
     assert a.table is None and a.days == 1
+    assert a.write_layout is None and a.broadcast_limit_mb == 64
     with pytest.raises(SystemExit):
         parse_args(["--action", "merge", "--mode", "full", "--lake-root", "/l"])
 

@@ -40,6 +40,11 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--dedupe-on-key", action="store_true")
     p.add_argument("--latest-only", action="store_true")
     p.add_argument("--max-concurrent-tables", type=int, default=4)
+    p.add_argument("--write-layout", choices=["rebalance", "as_is"], default=None,
+                   help="default: no shuffle for unpartitioned full copies, rebalance otherwise")
+    p.add_argument("--max-records-per-file", type=int, default=None)
+    p.add_argument("--broadcast-limit-mb", type=int, default=64,
+                   help="largest change-key set broadcast explicitly")
     a = p.parse_args(argv)
     if a.table in ("", "None", "none"):
         a.table = None
@@ -77,7 +82,9 @@ def main(argv=None) -> int:
 
     a = parse_args(argv)
     spark = SparkSession.builder.appName(a.job_name).getOrCreate()
-    ctx = EngineContext(spark, build_source(spark, a), a.lake_root, load_tables(a.tables_json))
+    ctx = EngineContext(spark, build_source(spark, a), a.lake_root, load_tables(a.tables_json),
+                        broadcast_limit=a.broadcast_limit_mb * 2**20,
+                        max_records_per_file=a.max_records_per_file, write_layout=a.write_layout)
     results = run_action(ctx, a.action, a.mode, a.table, a.as_of, a.days,
                          a.dedupe_on_key, a.latest_only, a.max_concurrent_tables)
     for r in results:
