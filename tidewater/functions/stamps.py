@@ -15,6 +15,8 @@ _HIT = "__tw_changed"
 def typed_literal(value, data_type: T.DataType) -> Column:
     """A literal of ``data_type``. Datetimes headed for TIMESTAMP_NTZ are parsed from text so
     no session or process time zone is applied on the way."""
+    if isinstance(value, SqlDefault):
+        return F.expr(str(value)).cast(data_type)
     if isinstance(value, Column):
         return value.cast(data_type)
     if isinstance(value, _dt.datetime) and isinstance(data_type, T.TimestampNTZType):
@@ -41,8 +43,8 @@ def change_stamp(df: DataFrame, changed_keys: DataFrame, keys: Sequence[str],
 def column_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """Fill NULLs with defaults (``DEFAULT TRUE``, ``0.00``, ``'OPEN'``, ``now()``, uuid).
 
-    A value may be a literal or a Column such as ``F.current_timestamp()`` or
-    ``F.expr("uuid()")``. The result keeps the column's type.
+    A value may be a literal, a Column such as ``F.current_timestamp()``, or a
+    ``SqlDefault("uuid()")``. The result keeps the column's type.
     """
     out = []
     for field in df.schema.fields:
@@ -52,3 +54,17 @@ def column_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
         else:
             out.append(F.col(c))
     return df.select(*out)
+
+
+class SqlDefault(str):
+    """A default given as SQL expression text (``now()``, ``uuid()``), built when used."""
+
+
+# Column defaults of the financial source schema (DEFAULT clauses of its DDL).
+REFERENCE_DEFAULTS: dict[str, dict[str, object]] = {
+    "customers": {"is_active": True, "created_at": SqlDefault("now()"), "last_updated_at": SqlDefault("now()")},
+    "accounts": {"balance": 0.00, "status": "OPEN", "created_at": SqlDefault("now()"),
+                 "last_updated_at": SqlDefault("now()")},
+    "transactions": {"transaction_id": SqlDefault("uuid()"), "transaction_time": SqlDefault("now()"),
+                     "ingestion_time": SqlDefault("now()"), "created_at": SqlDefault("now()")},
+}

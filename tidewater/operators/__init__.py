@@ -19,6 +19,10 @@ from tidewater.operators.merge import (  # noqa: F401
     unchanged_rows,
 )
 from tidewater.operators.quality import (  # noqa: F401
+    REFERENCE_CONSTRAINTS,
+    Constraints,
+    ForeignKey,
+    dq_summary,
     dq_allowed_values,
     dq_decimal_fit,
     dq_foreign_key,
