@@ -229,3 +229,21 @@ def test_refresh_is_full_replace_even_with_dynamic_session_default(spark, lake_r
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
     assert _lake_rows(spark, lake_root) == [(3, "Matthew")]
+
+
+def test_refresh_keeps_old_table_when_the_write_fails(spark, lake_root):
+    ctx = _ctx(spark, lake_root, {"customers": _customers(spark, BASE)})
+    refresh_table(ctx, "customers")
+    # a source whose read fails at run time (ANSI cast error inside the job)
+    broken = _customers(spark, BASE).withColumn("first_name", F.col("first_name").cast("int"))
+    ctx.source = FrameSource({"customers": broken})
+    with pytest.raises(Exception):
+        refresh_table(ctx, "customers")
+    assert _lake_rows(spark, lake_root) == [(1, "Julia"), (2, "Cynthia"), (3, "Matthew"), (4, "Nadia")]
+    # a later successful refresh drops the partitions the new content does not have
+    ctx.source = FrameSource({"customers": _customers(spark, BASE[2:3])})
+    res = refresh_table(ctx, "customers")
+    assert _lake_rows(spark, lake_root) == [(3, "Matthew")]
+    assert len(res.dropped_partitions) == 2
+    visible = sorted(n for n in os.listdir(f"{lake_root}/customers") if not n.startswith("."))
+    assert visible == ["_SUCCESS", "year=2024"]  # no marker left, emptied folders gone

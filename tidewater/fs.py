@@ -66,3 +66,39 @@ def glob_dirs(spark: SparkSession, pattern: str) -> set[str]:
     if found is None:
         return set()
     return {status.getPath().toString() for status in found}
+
+
+def touch(spark: SparkSession, path: str) -> int:
+    """Create an empty file and return its modification time as the file system records it
+    (server clock, milliseconds), so later comparisons need no synchronised client clocks."""
+    fs, hpath = _fs_and_path(spark, path)
+    fs.create(hpath, True).close()
+    return int(fs.getFileStatus(hpath).getModificationTime())
+
+
+def newest_file_per_dir(spark: SparkSession, root: str, depth: int) -> dict[str, int]:
+    """``{directory: newest mtime}`` for the directories ``depth`` levels below ``root`` that
+    hold visible data files (one recursive listing, paginated by the file system)."""
+    fs, hpath = _fs_and_path(spark, root)
+    out: dict[str, int] = {}
+    if not fs.exists(hpath):
+        return out
+    base = fs.makeQualified(hpath).toString().rstrip("/")
+    it = fs.listFiles(hpath, True)
+    while it.hasNext():
+        status = it.next()
+        uri = status.getPath().toString()
+        if not _visible_below(base, uri):
+            continue
+        segs = uri[len(base):].strip("/").split("/")
+        if len(segs) <= depth:
+            continue
+        d = base + "/" + "/".join(segs[:depth])
+        out[d] = max(out.get(d, 0), int(status.getModificationTime()))
+    return out
+
+
+def qualify(spark: SparkSession, path: str) -> str:
+    """Fully qualified URI of ``path`` (scheme and authority added), without a trailing slash."""
+    fs, hpath = _fs_and_path(spark, path)
+    return fs.makeQualified(hpath).toString().rstrip("/")

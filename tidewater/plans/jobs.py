@@ -55,11 +55,40 @@ def prepare_and_save(ctx: EngineContext, df: DataFrame, spec: TableSpec, write:
         raise ValueError(f"unknown write {write!r}")
 
 
-def refresh_table(ctx: EngineContext, name: str) -> JobResult:
-    """Replace the lake table with the whole source table (one pass, one action)."""
+_REFRESH_MARKER = "_tidewater_refresh_started"
+
+
+def refresh_table(ctx: EngineContext, name: str, keep_old_until_commit: bool = True) -> JobResult:
+    """Replace the lake table with the whole source table (one pass, one write action).
+
+    For a partitioned table that already exists the new content is written with dynamic
+    partition overwrite: until the job commits, readers and a failed or killed job see the
+    old table intact (a static overwrite would delete it before writing). Partitions the new
+    content does not have are then found by modification time — every file in them
+    predates a marker written at the start — and deleted. ``keep_old_until_commit=False``
+    (and any unpartitioned table) uses a plain static overwrite.
+    """
     spec = ctx.spec(name)
-    prepare_and_save(ctx, ctx.source.table(name), spec, "overwrite")
-    return JobResult(name, "refresh", "written")
+    spark = ctx.spark
+    path = ctx.table_path(name)
+    cols = spec.partition_cols
+    if not (keep_old_until_commit and cols and lake_exists(spark, path)):
+        prepare_and_save(ctx, ctx.source.table(name), spec, "overwrite")
+        return JobResult(name, "refresh", "written")
+    marker = f"{path}/{_REFRESH_MARKER}"
+    started = fs.touch(spark, marker)
+    df = derive_partition_columns(ctx.source.table(name), spec.partition_by, spec.grain)
+    lake_replace_where(df, path, cols, **ctx.write_options())
+    stale = [d for d, newest in fs.newest_file_per_dir(spark, path, len(cols)).items() if newest < started]
+    root = fs.qualify(spark, path)
+    for d in stale:
+        fs.delete(spark, d)
+        parent = d.rsplit("/", 1)[0]
+        while parent.startswith(root + "/") and not fs.list_children(spark, parent):
+            fs.delete(spark, parent)
+            parent = parent.rsplit("/", 1)[0]
+    fs.delete(spark, marker)
+    return JobResult(name, "refresh", "written", dropped_partitions=stale)
 
 
 def lake_schema(spark: SparkSession, path: str, cols) -> T.StructType:
