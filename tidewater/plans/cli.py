@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import logging
 import os
 import sys
 from dataclasses import asdict
@@ -81,6 +82,7 @@ def main(argv=None) -> int:
     from pyspark.sql import SparkSession
 
     a = parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
     spark = SparkSession.builder.appName(a.job_name).getOrCreate()
     ctx = EngineContext(spark, build_source(spark, a), a.lake_root, load_tables(a.tables_json),
                         broadcast_limit=a.broadcast_limit_mb * 2**20,

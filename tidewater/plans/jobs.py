@@ -8,6 +8,7 @@ job in every case.
 
 from __future__ import annotations
 
+import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -29,6 +30,9 @@ from tidewater.sources.catalog import list_source_tables
 from tidewater.sources.lake import lake_exists, lake_partition_scan, lake_scan
 
 
+log = logging.getLogger("tidewater")
+
+
 @dataclass
 class JobResult:
     table: str
@@ -74,6 +78,7 @@ def refresh_table(ctx: EngineContext, name: str, keep_old_until_commit: bool = T
     cols = spec.partition_cols
     if not (keep_old_until_commit and cols and lake_exists(spark, path)):
         prepare_and_save(ctx, ctx.source.table(name), spec, "overwrite")
+        log.info("refresh %s: replaced %s", name, path)
         return JobResult(name, "refresh", "written")
     marker = f"{path}/{_REFRESH_MARKER}"
     started = fs.touch(spark, marker)
@@ -88,6 +93,7 @@ def refresh_table(ctx: EngineContext, name: str, keep_old_until_commit: bool = T
             fs.delete(spark, parent)
             parent = parent.rsplit("/", 1)[0]
     fs.delete(spark, marker)
+    log.info("refresh %s: rewrote %s, dropped %d partitions no longer in the source", name, path, len(stale))
     return JobResult(name, "refresh", "written", dropped_partitions=stale)
 
 
@@ -139,6 +145,7 @@ def append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_key
         if existing is not None:
             rows = unchanged_rows(rows, existing.select(*spec.keys), spec.keys)
     lake_append(rows, path, cols, **ctx.write_options())
+    log.info("insert %s: appended to %s (dedupe_on_key=%s)", name, path, dedupe_on_key)
     return JobResult(name, "insert", "written")
 
 
@@ -188,8 +195,10 @@ def upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_onl
         changes = staged.df if staged else raw
         n, key_bytes = count_and_key_bytes(changes, keys)
         if n == 0:
+            log.info("update %s: no changes", name)
             return JobResult(name, "update", "no_changes", 0)
         bcast = may_broadcast(key_bytes, ctx.broadcast_limit)
+        log.info("update %s: %d change rows, key bound %d bytes, broadcast keys: %s", name, n, key_bytes, bcast)
 
         if not lake_exists(spark, path):
             write_lake(changes, path, cols, "append", **kw)
@@ -223,6 +232,7 @@ def upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_onl
             drop = [p for p in affected if p not in keep]
         image = merge_image(existing, changes, keys, bcast)
         lake_replace_where(image, path, cols, drop=drop, **kw)
+        log.info("update %s: rewrote %d partitions, dropped %d emptied", name, len(affected), len(drop))
         return JobResult(name, "update", "written", n, affected, drop)
     finally:
         if staged:
@@ -272,6 +282,7 @@ def run_action(ctx: EngineContext, action: str, mode: str, table: str | None = N
     def one(name: str) -> JobResult:
         reason = _applicable(action, ctx.spec(name))
         if reason:
+            log.info("%s %s: skipped (%s)", action, name, reason)
             return JobResult(name, action, "skipped", note=reason)
         return run_table(ctx, action, name, as_of, days, dedupe_on_key, latest_only)
 
