@@ -129,3 +129,13 @@ def test_dq_value_rules(spark):
     assert rows(dq_max_length(df, "code", 4), "id") == [(2,)]
     # 1.239 has too many decimals; 1e20 overflows NUMERIC(15,2); NULL is not a violation
     assert rows(dq_decimal_fit(df, "amt", 15, 2), "id") == [(2,), (3,)]
+
+
+def test_change_profile_one_pass(spark):
+    from tidewater.operators.sizing import change_profile
+
+    df = spark.createDataFrame([(1, "ab", 2024, 1, 1), (2, "abcd", 2024, 1, 1), (3, "a", None, None, None)],
+                               "id long, s string, year int, month int, day int")
+    n, bound, parts = change_profile(df, ["id", "s"], ["year", "month", "day"])
+    assert n == 3 and bound == 3 * (8 + 4 + 24)
+    assert sorted(parts, key=str) == sorted([(2024, 1, 1), (None, None, None)], key=str)

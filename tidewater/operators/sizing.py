@@ -19,24 +19,38 @@ _FIXED = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8, T.Floa
           T.TimestampNTZType: 8, T.DecimalType: 16}
 
 
-def count_and_key_bytes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """Row count and an upper bound of the bytes the key columns take, in one scan.
+def change_profile(df: DataFrame, keys: Sequence[str],
+                   partition_cols: Sequence[str] = ()) -> tuple[int, int, list[tuple]]:
+    """Row count, an upper bound of the bytes the key columns take, and the distinct
+    partition tuples, all from ONE aggregate over ``df``.
 
-    Fixed-width types use their width; strings/binaries use the longest value seen.
+    Fixed-width key types use their width; strings/binaries use the longest value seen.
+    The partition set is bounded by the number of partitions (calendar days), not by rows.
     """
     aggs = [F.count(F.lit(1)).alias("n")]
     width = 0
+    widths = []
     for k in keys:
         dt = df.schema[k].dataType
         fixed = next((w for t, w in _FIXED.items() if isinstance(dt, t)), None)
         if fixed is None:
-            aggs.append(F.max(F.octet_length(F.col(k).cast("string"))).alias(f"w_{len(aggs)}"))
+            widths.append(f"w_{len(widths)}")
+            aggs.append(F.max(F.octet_length(F.col(k).cast("string"))).alias(widths[-1]))
         else:
             width += fixed
+    if partition_cols:
+        aggs.append(F.collect_set(F.struct(*partition_cols)).alias("parts"))
     row = df.agg(*aggs).first()
-    n = int(row[0])
-    width += sum(int(v or 0) for v in row[1:])
-    return n, n * (width + ROW_OVERHEAD)
+    n = int(row["n"])
+    width += sum(int(row[w] or 0) for w in widths)
+    parts = [tuple(p) for p in row["parts"]] if partition_cols else []
+    return n, n * (width + ROW_OVERHEAD), parts
+
+
+def count_and_key_bytes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Row count and an upper bound of the bytes the key columns take, in one scan."""
+    n, bound, _ = change_profile(df, keys)
+    return n, bound
 
 
 def may_broadcast(bound_bytes: int, limit: int = DEFAULT_BROADCAST_LIMIT) -> bool:

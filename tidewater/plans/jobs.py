@@ -1,9 +1,10 @@
 """User-level jobs: refresh, insert, update (copy-on-write upsert) and run_action.
 
-Spark actions per job: refresh 1 (the write), insert 1 (the write), update: stage the
-change set once, one aggregate for count + key size, one small partition collect (two
-when rows may move between partitions), then the write. The source is queried once per
-job in every case.
+Spark actions per job: refresh 1 write (plus a file listing to drop partitions the new
+content no longer has), insert 1 write, update: stage the change set once, ONE aggregate
+for row count + key size bound + partition set, two more small aggregates only when rows
+may move between partitions, then the write. The source is queried once per job in every
+case.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from tidewater.functions.windows import as_date, window_partition_dates
 from tidewater.operators.changes import change_window, latest_per_key
 from tidewater.operators.inventory import collect_partitions
 from tidewater.operators.merge import align_columns, merge_image, touched_partitions, unchanged_rows
-from tidewater.operators.sizing import count_and_key_bytes, may_broadcast
+from tidewater.operators.sizing import change_profile, may_broadcast
 from tidewater.operators.staging import materialise
 from tidewater.plans.context import EngineContext
 from tidewater.plans.specs import TableSpec, action_parameters
@@ -193,7 +194,7 @@ def upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_onl
     staged = materialise(raw, label=f"{name}-changes") if stage else None
     try:
         changes = staged.df if staged else raw
-        n, key_bytes = count_and_key_bytes(changes, keys)
+        n, key_bytes, new_parts = change_profile(changes, keys, cols)
         if n == 0:
             log.info("update %s: no changes", name)
             return JobResult(name, "update", "no_changes", 0)
@@ -211,7 +212,6 @@ def upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_onl
                 lake_replace(img.df, path, [], **kw)
             return JobResult(name, "update", "written", n)
 
-        new_parts = collect_partitions(changes, cols)
         if spec.partitions_are_stable:
             old_parts = new_parts
         else:
