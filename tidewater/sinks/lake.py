@@ -13,7 +13,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater import fs
-from tidewater.functions.partitions import NULL_PARTITION, partition_dir
+from tidewater.functions.partitions import partition_dir
 
 
 # "rebalance": one shuffle by the partition columns (default; right for any input order).
@@ -82,5 +82,4 @@ def drop_partitions(spark: SparkSession, root: str, partitions: Iterable[Sequenc
     return dropped
 
 
-__all__ = ["LAYOUTS", "write_lake", "lake_append", "lake_replace", "lake_replace_where", "drop_partitions",
-           "NULL_PARTITION"]
+__all__ = ["LAYOUTS", "write_lake", "lake_append", "lake_replace", "lake_replace_where", "drop_partitions"]
