@@ -90,3 +90,13 @@ def test_hidden_folders_are_not_lake_data(spark, tmp_path):
     spark.range(3).write.parquet(str(root / "year=2024" / "d"))
     assert lake_exists(spark, str(root))
     assert "/year=2024/d/part-" in fs.first_data_file(spark, str(root))
+
+
+def test_parquet_source_lists_only_tables(spark, tmp_path):
+    spark.range(2).write.parquet(str(tmp_path / "a.parquet"))
+    spark.range(3).write.parquet(str(tmp_path / "b"))
+    (tmp_path / "notes.txt").write_text("not a table")
+    (tmp_path / "_tmp").mkdir()
+    src = ParquetSource(spark, str(tmp_path))
+    assert src.list_tables() == ["a", "b"]
+    assert src.table("a").count() == 2 and src.table("b").count() == 3

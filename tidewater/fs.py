@@ -102,3 +102,11 @@ def qualify(spark: SparkSession, path: str) -> str:
     """Fully qualified URI of ``path`` (scheme and authority added), without a trailing slash."""
     fs, hpath = _fs_and_path(spark, path)
     return fs.makeQualified(hpath).toString().rstrip("/")
+
+
+def list_entries(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """``(name, is_directory)`` of the direct children of ``path`` (empty when missing)."""
+    fs, hpath = _fs_and_path(spark, path)
+    if not fs.exists(hpath):
+        return []
+    return [(st.getPath().getName(), bool(st.isDirectory())) for st in fs.listStatus(hpath)]

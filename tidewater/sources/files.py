@@ -26,13 +26,16 @@ class ParquetSource:
         return self.spark.read.parquet(self.path(name))
 
     def list_tables(self) -> list[str]:
-        names = []
-        for child in fs.list_children(self.spark, self.root):
+        """Names of ``<name><suffix>`` entries and of plain sub-folders; hidden entries and
+        other files are not tables."""
+        names = set()
+        for child, is_dir in fs.list_entries(self.spark, self.root):
             if child.startswith(("_", ".")):
                 continue
             if self.suffix and child.endswith(self.suffix):
-                child = child[: -len(self.suffix)]
-            names.append(child)
+                names.add(child[: -len(self.suffix)])
+            elif is_dir:
+                names.add(child)
         return sorted(names)
 
 
