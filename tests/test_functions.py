@@ -77,6 +77,9 @@ def test_partition_frames(spark):
     paths = sorted((r.p for r in df.select(partition_path(base="/root").alias("p")).distinct().collect()),
                    key=str)
     assert paths == ["/root/year=2024/month=1/day=5", None]
+    from tidewater.functions.partitions import partition_predicate_of
+    assert partition_predicate_of(df.where("year IS NOT NULL")) == "(year = '2024' AND month = '1' AND day = '5')"
+    assert partition_predicate_of(df.where("year > 3000")) == "1 = 0"
     strs = partition_key_strings(df).schema
     assert [f.dataType.simpleString() for f in strs.fields] == ["string"] * 3
 

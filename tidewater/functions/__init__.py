@@ -11,6 +11,7 @@ from tidewater.functions.partitions import (  # noqa: F401
     partition_key_strings,
     partition_path,
     partition_predicate,
+    partition_predicate_of,
     partition_predicate_frame,
 )
 from tidewater.functions.windows import (  # noqa: F401

@@ -75,6 +75,12 @@ def partition_predicate(partitions: Iterable[Sequence], cols: Sequence[str] = GR
     return " OR ".join(conds) if conds else "1 = 0"
 
 
+def partition_predicate_of(df: DataFrame, cols: Sequence[str] = GRAINS["day"]) -> str:
+    """``partition_predicate`` of the partitions present in ``df``: the distinct runs on the
+    executors and only the partition tuples (bounded by the table's partitions) are collected."""
+    return partition_predicate([tuple(r) for r in df.select(*cols).distinct().collect()], cols)
+
+
 def partition_predicate_frame(df: DataFrame, cols: Sequence[str] = GRAINS["day"]) -> DataFrame:
     """One ``cond`` row per distinct partition of ``df``, computed on the executors."""
     terms = []
