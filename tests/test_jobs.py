@@ -247,3 +247,28 @@ def test_refresh_keeps_old_table_when_the_write_fails(spark, lake_root):
     assert len(res.dropped_partitions) == 2
     visible = sorted(n for n in os.listdir(f"{lake_root}/customers") if not n.startswith("."))
     assert visible == ["_SUCCESS", "year=2024"]  # no marker left, emptied folders gone
+
+
+def test_refresh_with_changed_partitioning_replaces_the_layout(spark, lake_root):
+    ctx = _ctx(spark, lake_root, {"customers": _customers(spark, BASE)})
+    refresh_table(ctx, "customers")  # day grain
+    ctx.tables = {"customers": TableSpec("customers", ("customer_id",), "created_at", grain="month")}
+    refresh_table(ctx, "customers")
+    assert _lake_rows(spark, lake_root) == [(1, "Julia"), (2, "Cynthia"), (3, "Matthew"), (4, "Nadia")]
+    month_dir = f"{lake_root}/customers/year=2024/month=1"
+    assert not any(n.startswith("day=") for n in os.listdir(month_dir))
+    ctx.tables = {"customers": TableSpec("customers", ("customer_id",))}  # unpartitioned now
+    refresh_table(ctx, "customers")
+    assert _lake_rows(spark, lake_root) == [(1, "Julia"), (2, "Cynthia"), (3, "Matthew"), (4, "Nadia")]
+    assert "year" not in lake_scan(spark, f"{lake_root}/customers").columns
+
+
+def test_insert_and_update_refuse_a_differently_partitioned_lake(spark, lake_root):
+    ctx = _ctx(spark, lake_root, {"customers": _customers(spark, BASE)})
+    refresh_table(ctx, "customers")  # day grain
+    ctx.tables = {"customers": TableSpec("customers", ("customer_id",), "created_at", "last_updated_at",
+                                         grain="month")}
+    with pytest.raises(ValueError, match="refresh it"):
+        insert_table(ctx, "customers", dt.date(2024, 1, 2), 1)
+    with pytest.raises(ValueError, match="refresh it"):
+        update_table(ctx, "customers", dt.date(2024, 1, 2), 1)

@@ -28,7 +28,7 @@ from tidewater.plans.context import EngineContext
 from tidewater.plans.specs import TableSpec, action_parameters
 from tidewater.sinks.lake import lake_append, lake_replace, lake_replace_where, write_lake
 from tidewater.sources.catalog import list_source_tables
-from tidewater.sources.lake import lake_exists, lake_partition_scan, lake_scan
+from tidewater.sources.lake import lake_partition_scan, lake_scan
 
 
 log = logging.getLogger("tidewater")
@@ -63,6 +63,30 @@ def prepare_and_save(ctx: EngineContext, df: DataFrame, spec: TableSpec, write:
 _REFRESH_MARKER = "_tidewater_refresh_started"
 
 
+def _layout(spark: SparkSession, path: str, cols) -> str:
+    """"missing" (no data), "same" (files sit under exactly ``cols`` directory levels) or
+    "different" — checked on one data file, so it costs one listing call."""
+    first = fs.first_data_file(spark, path)
+    if first is None:
+        return "missing"
+    rel = first[len(fs.qualify(spark, path)):].strip("/").split("/")[:-1]
+    return "same" if [seg.split("=", 1)[0] for seg in rel] == list(cols) else "different"
+
+
+def _same_layout(spark: SparkSession, path: str, cols) -> bool:
+    return _layout(spark, path, cols) == "same"
+
+
+def _check_layout(spark: SparkSession, name: str, path: str, cols) -> bool:
+    """True when the lake table exists with the spec's partitioning; False when it does not
+    exist; an error when it is laid out differently (partitioning changed: refresh first)."""
+    state = _layout(spark, path, cols)
+    if state == "different":
+        raise ValueError(f"lake table {name!r} at {path} is not partitioned by {list(cols)}; "
+                         "refresh it before inserting or updating")
+    return state == "same"
+
+
 def refresh_table(ctx: EngineContext, name: str, keep_old_until_commit: bool = True) -> JobResult:
     """Replace the lake table with the whole source table (one pass, one write action).
 
@@ -70,14 +94,15 @@ def refresh_table(ctx: EngineContext, name: str, keep_old_until_commit: bool = T
     partition overwrite: until the job commits, readers and a failed or killed job see the
     old table intact (a static overwrite would delete it before writing). Partitions the new
     content does not have are then found by modification time — every file in them
-    predates a marker written at the start — and deleted. ``keep_old_until_commit=False``
-    (and any unpartitioned table) uses a plain static overwrite.
+    predates a marker written at the start — and deleted. ``keep_old_until_commit=False``,
+    an unpartitioned table, and a table whose partition layout changed (e.g. day to month
+    grain) use a plain static overwrite.
     """
     spec = ctx.spec(name)
     spark = ctx.spark
     path = ctx.table_path(name)
     cols = spec.partition_cols
-    if not (keep_old_until_commit and cols and lake_exists(spark, path)):
+    if not (keep_old_until_commit and cols and _same_layout(spark, path, cols)):
         prepare_and_save(ctx, ctx.source.table(name), spec, "overwrite")
         log.info("refresh %s: replaced %s", name, path)
         return JobResult(name, "refresh", "written")
@@ -138,7 +163,8 @@ def append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_key
     cols = spec.partition_cols
     if spec.partition_by:
         rows = derive_partition_columns(rows, spec.partition_by, spec.grain)
-    if dedupe_on_key and spec.keys and lake_exists(spark, path):
+    exists = _check_layout(spark, name, path, cols)
+    if dedupe_on_key and spec.keys and exists:
         if lookup_partitions is not None:
             existing = lake_partition_scan(spark, path, lookup_partitions, cols)
         else:
@@ -201,7 +227,7 @@ def upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_onl
         bcast = may_broadcast(key_bytes, ctx.broadcast_limit)
         log.info("update %s: %d change rows, key bound %d bytes, broadcast keys: %s", name, n, key_bytes, bcast)
 
-        if not lake_exists(spark, path):
+        if not _check_layout(spark, name, path, cols):
             write_lake(changes, path, cols, "append", **kw)
             return JobResult(name, "update", "written", n, note="lake was empty")
 

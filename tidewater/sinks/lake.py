@@ -1,9 +1,10 @@
 """Writes of lake tables.
 
-Every partitioned write goes through ``REBALANCE(partition columns)``: rows of one
-partition meet in one shuffle partition, and with AQE on Spark coalesces small ones and
-splits a skewed one (a day holding a third of the table becomes several tasks and files,
-not one straggler). ``max_records_per_file`` is an extra cap on file size.
+By default a write goes through ``REBALANCE(partition columns)``: rows of one partition
+meet in one shuffle partition, and with AQE on Spark coalesces small ones and splits a
+skewed one (a day holding a third of the table becomes several tasks and files, not one
+straggler). The ``as_is`` layout skips that shuffle where the input is already laid out
+(see ``LAYOUTS``). ``max_records_per_file`` is an extra cap on file size.
 """
 
 from __future__ import annotations
