@@ -152,10 +152,11 @@ def append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_key
                    lookup_partitions: list | None = None) -> JobResult:
     """Append rows to the lake table in one pass (one Spark action).
 
-    With ``dedupe_on_key`` rows whose key is already in the lake are left out, which makes
-    overlapping or repeated windows idempotent. ``lookup_partitions`` limits that lookup
-    to the partitions the rows can live in (known from the window when the table is
-    partitioned by its created column); otherwise the whole lake's keys are read.
+    With ``dedupe_on_key`` one row per key is kept and rows whose key is already in the
+    lake are left out, which makes overlapping or repeated windows idempotent.
+    ``lookup_partitions`` limits that lookup to the partitions the rows can live in; when
+    it is not given and keys never change partition, it is taken from the rows themselves
+    (one small aggregate); otherwise the whole lake's keys are read.
     """
     spec = ctx.spec(name)
     spark = ctx.spark
@@ -164,7 +165,11 @@ def append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_key
     if spec.partition_by:
         rows = derive_partition_columns(rows, spec.partition_by, spec.grain)
     exists = _check_layout(spark, name, path, cols)
+    if dedupe_on_key and spec.keys:
+        rows = rows.dropDuplicates(list(spec.keys))
     if dedupe_on_key and spec.keys and exists:
+        if lookup_partitions is None and cols and spec.partitions_are_stable:
+            lookup_partitions = collect_partitions(rows, cols)
         if lookup_partitions is not None:
             existing = lake_partition_scan(spark, path, lookup_partitions, cols)
         else:
