@@ -37,7 +37,7 @@ from tidewater.functions.partitions import (
 )
 from tidewater.functions.stamps import change_stamp, column_defaults
 from tidewater.operators.changes import change_window, has_changes_frame, latest_per_key
-from tidewater.operators.inventory import distinct_partitions, partition_inventory
+from tidewater.operators.inventory import distinct_partitions, partition_inventory, preview
 from tidewater.operators.merge import align_columns, merge_image, touched_partitions, unchanged_rows
 from tidewater.operators.quality import (
     Constraints,
@@ -156,7 +156,7 @@ def q_partition_path(spark, sf_dir):
 
 def q_preview(spark, sf_dir):
     # A preview is a limit by definition; ordered so that it is deterministic.
-    return _t(spark, sf_dir, "events").orderBy("event_id").limit(20)
+    return preview(_t(spark, sf_dir, "events"), 20, order_by=["event_id"])
 
 
 def q_table_counts(spark, sf_dir):

@@ -10,6 +10,7 @@ from tidewater.operators.inventory import (  # noqa: F401
     collect_partitions,
     distinct_partitions,
     partition_inventory,
+    preview,
     row_count,
 )
 from tidewater.operators.merge import (  # noqa: F401

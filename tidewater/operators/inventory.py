@@ -27,3 +27,10 @@ def collect_partitions(df: DataFrame, cols: Sequence[str] = GRAINS["day"]) -> li
 def partition_inventory(df: DataFrame, cols: Sequence[str] = GRAINS["day"]) -> DataFrame:
     """Rows per partition (partial aggregation map-side, one small shuffle)."""
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+
+
+def preview(df: DataFrame, n: int = 20, order_by: Sequence[str] | None = None) -> DataFrame:
+    """The first ``n`` rows, returned (not printed) and only when asked for. With
+    ``order_by`` the rows are the top ``n`` by those columns (a top-k: each task keeps its
+    own ``n`` best rows, so only ``n`` rows per task are shuffled); without it, any ``n``."""
+    return (df.orderBy(*order_by) if order_by else df).limit(n)
