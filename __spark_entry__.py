@@ -31,30 +31,29 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.partitions import (
     derive_partition_columns,
+    partition_filter,
     partition_key_strings,
     partition_path,
     partition_predicate_frame,
 )
 from tidewater.functions.stamps import change_stamp, column_defaults
 from tidewater.operators.changes import change_window, has_changes_frame, latest_per_key
-from tidewater.operators.inventory import distinct_partitions, partition_inventory, preview
+from tidewater.operators.inventory import collect_partitions, distinct_partitions, partition_inventory, preview
 from tidewater.operators.merge import align_columns, merge_image, touched_partitions, unchanged_rows
 from tidewater.operators.quality import (
     Constraints,
     ForeignKey,
-    dq_summary,
     dq_allowed_values,
     dq_decimal_fit,
     dq_foreign_key,
     dq_max_length,
     dq_not_null,
     dq_primary_key,
+    dq_summary,
     dq_unique,
 )
 from tidewater.operators.staging import materialise
 from tidewater.plans.context import EngineContext
-from tidewater.functions.partitions import partition_filter
-from tidewater.operators.inventory import collect_partitions
 from tidewater.plans.jobs import insert_table, prepare_and_save, refresh_table, run_action, update_table
 from tidewater.plans.specs import TableSpec
 from tidewater.session import scratch_path
