@@ -17,6 +17,10 @@ LOCAL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Small local inputs: without this AQE coalesces a whole rebalance shuffle of a few MB
+    # into one task, and a write into thousands of day partitions then creates every file
+    # serially. Cluster-size data never gets near this floor.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }
 
 
