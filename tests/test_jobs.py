@@ -272,3 +272,17 @@ def test_insert_and_update_refuse_a_differently_partitioned_lake(spark, lake_roo
         insert_table(ctx, "customers", dt.date(2024, 1, 2), 1)
     with pytest.raises(ValueError, match="refresh it"):
         update_table(ctx, "customers", dt.date(2024, 1, 2), 1)
+
+
+def test_replaying_an_older_window_does_not_bring_back_old_versions(spark, lake_root):
+    ctx = _ctx(spark, lake_root, {"customers": _customers(spark, BASE)})
+    refresh_table(ctx, "customers")
+    v_old = [(2, "Cyn-1", "c@x", T(2024, 1, 1, 9), T(2024, 3, 1, 12))]
+    v_new = [(2, "Cyn-2", "c@x", T(2024, 1, 1, 9), T(2024, 3, 5, 12))]
+    ctx.source = FrameSource({"customers": _customers(spark, v_new)})
+    update_table(ctx, "customers", dt.date(2024, 3, 5), 1)
+    ctx.source = FrameSource({"customers": _customers(spark, v_old)})  # a late backfill of 03-01
+    update_table(ctx, "customers", dt.date(2024, 3, 1), 1)
+    assert dict(_lake_rows(spark, lake_root))[2] == "Cyn-2"
+    update_table(ctx, "customers", dt.date(2024, 3, 1), 1, newest_wins=False)  # plain replace
+    assert dict(_lake_rows(spark, lake_root))[2] == "Cyn-1"

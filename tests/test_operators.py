@@ -139,3 +139,13 @@ def test_change_profile_one_pass(spark):
     n, bound, parts = change_profile(df, ["id", "s"], ["year", "month", "day"])
     assert n == 3 and bound == 3 * (8 + 4 + 24)
     assert sorted(parts, key=str) == sorted([(2024, 1, 1), (None, None, None)], key=str)
+
+
+def test_drop_stale_changes(spark):
+    from tidewater.operators.merge import drop_stale_changes
+
+    lake = spark.createDataFrame([(1, 10), (2, 10), (3, None)], "k int, t int")
+    changes = spark.createDataFrame([(1, 5), (2, 10), (3, 1), (4, 0), (1, 12)], "k int, t int")
+    kept = drop_stale_changes(changes, lake, ["k"], "t")
+    # (1, 5) is older than the lake's 10; (1, 12) is newer and stays; ties and NULLs stay
+    assert rows(kept) == [(1, 12), (2, 10), (3, 1), (4, 0)]

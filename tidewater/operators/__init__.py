@@ -15,6 +15,7 @@ from tidewater.operators.inventory import (  # noqa: F401
 )
 from tidewater.operators.merge import (  # noqa: F401
     align_columns,
+    drop_stale_changes,
     merge_image,
     touched_partitions,
     unchanged_rows,

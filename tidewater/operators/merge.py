@@ -59,3 +59,23 @@ def merge_image(existing: DataFrame, changes: DataFrame, keys: Sequence[str],
     """
     kept = unchanged_rows(existing, changes, keys, broadcast_keys)
     return kept.unionByName(align_columns(changes, existing.schema))
+
+
+_LAKE_STAMP = "__tw_lake_stamp"
+
+
+def drop_stale_changes(changes: DataFrame, existing: DataFrame, keys: Sequence[str], stamp: str,
+                       broadcast_changes: bool = False) -> DataFrame:
+    """Change rows minus those older (by ``stamp``) than the row the lake already holds for
+    their key. Equal or NULL stamps keep the change row, so re-applying a change set is
+    harmless and only a strictly newer lake row wins. Reads keys and stamps only; the
+    change side is broadcast when the caller bounded its size."""
+    keys = list(keys)
+    side = changes.select(*keys, stamp)
+    side = F.broadcast(side) if broadcast_changes else side
+    lake = existing.select(*keys, F.col(stamp).alias(_LAKE_STAMP))
+    # stale versions are (key, stamp) pairs: another, newer version of the same key in the
+    # change set is kept
+    stale = (lake.join(side, keys, "inner")
+             .where(F.col(_LAKE_STAMP) > F.col(stamp)).select(*keys, stamp).distinct())
+    return changes.join(stale, keys + [stamp], "left_anti")

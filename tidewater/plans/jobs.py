@@ -21,7 +21,13 @@ from tidewater.functions.partitions import dates_to_partitions, derive_partition
 from tidewater.functions.windows import as_date, window_partition_dates
 from tidewater.operators.changes import change_window, latest_per_key
 from tidewater.operators.inventory import collect_partitions
-from tidewater.operators.merge import align_columns, merge_image, touched_partitions, unchanged_rows
+from tidewater.operators.merge import (
+    align_columns,
+    drop_stale_changes,
+    merge_image,
+    touched_partitions,
+    unchanged_rows,
+)
 from tidewater.operators.sizing import change_profile, may_broadcast
 from tidewater.operators.staging import materialise
 from tidewater.plans.context import EngineContext
@@ -186,17 +192,17 @@ def _unique(seq):
 
 
 def update_table(ctx: EngineContext, name: str, as_of=None, days: int = 1,
-                 latest_only: bool = False) -> JobResult:
+                 latest_only: bool = False, newest_wins: bool = True) -> JobResult:
     """Copy-on-write upsert of the rows changed inside the window (see ``upsert_changes``)."""
     spec = ctx.spec(name)
     if not spec.change_column:
         raise ValueError(f"table {name!r} has no change column; update needs one")
     raw = change_window(ctx.source.table(name), spec.change_column, as_date(as_of), days)
-    return upsert_changes(ctx, name, raw, latest_only=latest_only)
+    return upsert_changes(ctx, name, raw, latest_only=latest_only, newest_wins=newest_wins)
 
 
 def upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_only: bool = False,
-                   stage: bool = True) -> JobResult:
+                   stage: bool = True, newest_wins: bool = True) -> JobResult:
     """Copy-on-write upsert of a change set into the lake table ``name``.
 
     1. stage the change set once in the shared folder (one source query);
@@ -207,6 +213,9 @@ def upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_onl
     off and duplicate keys in the change set). Re-running with the same change set gives
     the same lake, so a retried batch is harmless. ``stage=False`` is for change sets that
     are already materialised (e.g. a streaming micro-batch read from files).
+    With ``newest_wins`` (and a change column) a change row older than the lake's row for
+    its key is ignored, so replaying an old window or an out-of-order batch after newer ones
+    cannot bring back old versions.
     """
     spec = ctx.spec(name)
     if not spec.keys:
@@ -225,7 +234,8 @@ def upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_onl
     staged = materialise(raw, label=f"{name}-changes") if stage else None
     try:
         changes = staged.df if staged else raw
-        n, key_bytes, new_parts = change_profile(changes, keys, cols)
+        stamp = spec.change_column if newest_wins and spec.change_column in changes.columns else None
+        n, key_bytes, new_parts = change_profile(changes, keys + ([stamp] if stamp else []), cols)
         if n == 0:
             log.info("update %s: no changes", name)
             return JobResult(name, "update", "no_changes", 0)
@@ -238,7 +248,10 @@ def upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_onl
 
         if not cols:
             # Unpartitioned table: the image is the whole table, staged before replacing it.
-            image = merge_image(lake_scan(spark, path), changes, keys, bcast)
+            lake = lake_scan(spark, path)
+            if stamp and stamp in lake.columns:
+                changes = drop_stale_changes(changes, lake, keys, stamp, bcast)
+            image = merge_image(lake, changes, keys, bcast)
             with materialise(image, label=f"{name}-image") as img:
                 lake_replace(img.df, path, [], **kw)
             return JobResult(name, "update", "written", n)
@@ -256,10 +269,13 @@ def upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_onl
             lake_replace_where(aligned, path, cols, **kw)
             return JobResult(name, "update", "written", n, affected, note="insert only")
 
+        if stamp and stamp in existing.columns:
+            changes = drop_stale_changes(changes, existing, keys, stamp, bcast)
         drop = []
         if not spec.partitions_are_stable:
             kept = unchanged_rows(existing.select(*keys, *cols), changes, keys, bcast)
-            keep = set(collect_partitions(kept, cols)) | set(new_parts)
+            keep = set(collect_partitions(kept, cols))
+            keep |= set(new_parts) if not stamp else set(collect_partitions(changes, cols))
             drop = [p for p in affected if p not in keep]
         image = merge_image(existing, changes, keys, bcast)
         lake_replace_where(image, path, cols, drop=drop, **kw)
