@@ -7,7 +7,9 @@ previous run (the checkpoint remembers them) and then stops, like a scheduled ba
 that keeps its bookmark. Every micro-batch goes through ``foreachBatch`` into the same
 jobs as the batch path: ``upsert_changes`` (update) or ``append_changes`` with key dedupe
 (insert). Both are idempotent, so a micro-batch replayed after a failure leaves the same
-lake; together with the checkpoint this gives exactly-once results in the lake.
+lake; together with the checkpoint this gives exactly-once results in the lake. Updates
+keep the newest version by the change column, so a late file with older changes does not
+overwrite newer ones.
 """
 
 from __future__ import annotations
