@@ -78,4 +78,14 @@ def drop_stale_changes(changes: DataFrame, existing: DataFrame, keys: Sequence[s
     # change set is kept
     stale = (lake.join(side, keys, "inner")
              .where(F.col(_LAKE_STAMP) > F.col(stamp)).select(*keys, stamp).distinct())
-    return changes.join(stale, keys + [stamp], "left_anti")
+    # the stale pairs are a subset of the change keys, so the same size bound covers them
+    return changes.join(F.broadcast(stale) if broadcast_changes else stale, keys + [stamp], "left_anti")
+
+
+def may_hold_stale_changes(changes: DataFrame, existing: DataFrame, stamp: str) -> bool:
+    """False when no change row can be older than a lake row: the oldest change stamp is not
+    older than the newest stamp among the affected lake rows (the usual daily flow). One
+    small aggregate per side, reading the stamp column only."""
+    oldest = changes.agg(F.min(stamp)).first()[0]
+    newest = existing.agg(F.max(stamp)).first()[0]
+    return oldest is not None and newest is not None and newest > oldest

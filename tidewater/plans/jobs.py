@@ -24,6 +24,7 @@ from tidewater.operators.inventory import collect_partitions
 from tidewater.operators.merge import (
     align_columns,
     drop_stale_changes,
+    may_hold_stale_changes,
     merge_image,
     touched_partitions,
     unchanged_rows,
@@ -249,7 +250,7 @@ def upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_onl
         if not cols:
             # Unpartitioned table: the image is the whole table, staged before replacing it.
             lake = lake_scan(spark, path)
-            if stamp and stamp in lake.columns:
+            if stamp and stamp in lake.columns and may_hold_stale_changes(changes, lake, stamp):
                 changes = drop_stale_changes(changes, lake, keys, stamp, bcast)
             image = merge_image(lake, changes, keys, bcast)
             with materialise(image, label=f"{name}-image") as img:
@@ -269,7 +270,7 @@ def upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_onl
             lake_replace_where(aligned, path, cols, **kw)
             return JobResult(name, "update", "written", n, affected, note="insert only")
 
-        if stamp and stamp in existing.columns:
+        if stamp and stamp in existing.columns and may_hold_stale_changes(changes, existing, stamp):
             changes = drop_stale_changes(changes, existing, keys, stamp, bcast)
         drop = []
         if not spec.partitions_are_stable:
