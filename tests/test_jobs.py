@@ -286,3 +286,16 @@ def test_replaying_an_older_window_does_not_bring_back_old_versions(spark, lake_
     assert dict(_lake_rows(spark, lake_root))[2] == "Cyn-2"
     update_table(ctx, "customers", dt.date(2024, 3, 1), 1, newest_wins=False)  # plain replace
     assert dict(_lake_rows(spark, lake_root))[2] == "Cyn-1"
+
+
+def test_full_run_reports_every_table_when_one_fails(spark, lake_root):
+    from tidewater.plans.jobs import ActionFailed
+
+    broken = _customers(spark, BASE).withColumn("first_name", F.col("first_name").cast("int"))
+    src = FrameSource({"customers": broken, "notes": spark.createDataFrame([(1, "x")], "id int, note string")})
+    ctx = EngineContext(spark, src, lake_root, dict(REFERENCE_TABLES))
+    with pytest.raises(ActionFailed) as err:
+        run_action(ctx, "refresh", "full")
+    outcome = {r.table: r.status for r in err.value.results}
+    assert outcome == {"customers": "failed", "notes": "written"}
+    assert rows(lake_scan(spark, f"{lake_root}/notes")) == [(1, "x")]

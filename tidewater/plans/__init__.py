@@ -2,6 +2,7 @@
 
 from tidewater.plans.context import EngineContext  # noqa: F401
 from tidewater.plans.jobs import (  # noqa: F401
+    ActionFailed,
     JobResult,
     append_changes,
     insert_table,

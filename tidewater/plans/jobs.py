@@ -52,6 +52,15 @@ class JobResult:
     note: str = ""
 
 
+class ActionFailed(RuntimeError):
+    """Some tables of a ``full`` run failed; ``results`` holds every table's outcome (tables
+    that succeeded are written and stay written)."""
+
+    def __init__(self, message: str, results: list[JobResult]):
+        super().__init__(message)
+        self.results = results
+
+
 def prepare_and_save(ctx: EngineContext, df: DataFrame, spec: TableSpec, write: str) -> None:
     """Add partition columns from the spec's partitioning column and write."""
     path = ctx.table_path(spec.name)
@@ -332,13 +341,22 @@ def run_action(ctx: EngineContext, action: str, mode: str, table: str | None = N
         if reason:
             log.info("%s %s: skipped (%s)", action, name, reason)
             return JobResult(name, action, "skipped", note=reason)
-        return run_table(ctx, action, name, as_of, days, dedupe_on_key, latest_only)
+        try:
+            return run_table(ctx, action, name, as_of, days, dedupe_on_key, latest_only)
+        except Exception as e:  # noqa: BLE001 - reported per table, raised together below
+            log.error("%s %s: failed: %s", action, name, e)
+            return JobResult(name, action, "failed", note=f"{type(e).__name__}: {str(e)[:500]}")
 
     if max_concurrent_tables <= 1 or len(names) <= 1:
-        return [one(n) for n in names]
-    with ThreadPoolExecutor(max_workers=max_concurrent_tables) as pool:
-        return list(pool.map(one, names))
+        results = [one(n) for n in names]
+    else:
+        with ThreadPoolExecutor(max_workers=max_concurrent_tables) as pool:
+            results = list(pool.map(one, names))
+    failed = [r.table for r in results if r.status == "failed"]
+    if failed:
+        raise ActionFailed(f"{action} failed for {failed}", results)
+    return results
 
 
-__all__ = ["JobResult", "prepare_and_save", "refresh_table", "insert_table", "update_table",
+__all__ = ["ActionFailed", "JobResult", "prepare_and_save", "refresh_table", "insert_table", "update_table",
            "upsert_changes", "append_changes", "run_table", "run_action", "lake_schema"]
