@@ -15,7 +15,7 @@ import sys
 from dataclasses import asdict
 
 from tidewater.plans.context import EngineContext
-from tidewater.plans.jobs import run_action
+from tidewater.plans.jobs import ActionFailed, run_action
 from tidewater.plans.specs import ACTIONS, REFERENCE_TABLES, TableSpec
 
 
@@ -87,11 +87,14 @@ def main(argv=None) -> int:
     ctx = EngineContext(spark, build_source(spark, a), a.lake_root, load_tables(a.tables_json),
                         broadcast_limit=a.broadcast_limit_mb * 2**20,
                         max_records_per_file=a.max_records_per_file, write_layout=a.write_layout)
-    results = run_action(ctx, a.action, a.mode, a.table, a.as_of, a.days,
-                         a.dedupe_on_key, a.latest_only, a.max_concurrent_tables)
+    try:
+        results, code = run_action(ctx, a.action, a.mode, a.table, a.as_of, a.days,
+                                   a.dedupe_on_key, a.latest_only, a.max_concurrent_tables), 0
+    except ActionFailed as failed:
+        results, code = failed.results, 1
     for r in results:
         print(json.dumps(asdict(r), default=str))
-    return 0
+    return code
 
 
 if __name__ == "__main__":
