@@ -55,3 +55,17 @@ def test_stream_insert_dedupes_inside_one_batch(spark, tmp_path):
         export_changes(ctx, "items", drop, dt.date(2024, 1, d), 1, role="created")
     ingest_changes(ctx, "items", drop, src.schema, action="insert")
     assert rows(lake_scan(spark, f"{root}/items"), "id") == [(1,), (2,)]
+
+
+def test_stream_keeps_newest_version_when_files_arrive_out_of_order(spark, tmp_path):
+    root, drop = str(tmp_path / "lake"), str(tmp_path / "drop")
+    base = spark.createDataFrame([(1, "a", T(2024, 1, 1), T(2024, 1, 1))], SCHEMA)
+    ctx = EngineContext(spark, FrameSource({"items": base}), root, {"items": SPEC})
+    refresh_table(ctx, "items")
+    newer = spark.createDataFrame([(1, "new", T(2024, 1, 1), T(2024, 3, 2))], SCHEMA)
+    older = spark.createDataFrame([(1, "old", T(2024, 1, 1), T(2024, 2, 1))], SCHEMA)
+    newer.write.mode("append").parquet(drop)  # arrives first
+    older.write.mode("append").parquet(drop)  # a late file with an older change
+    q = ingest_changes(ctx, "items", drop, newer.schema, max_files_per_trigger=1)
+    assert rows(lake_scan(spark, f"{root}/items"), "id", "v") == [(1, "new")]
+    assert q.lastProgress is not None
