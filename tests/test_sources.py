@@ -100,3 +100,11 @@ def test_parquet_source_lists_only_tables(spark, tmp_path):
     src = ParquetSource(spark, str(tmp_path))
     assert src.list_tables() == ["a", "b"]
     assert src.table("a").count() == 2 and src.table("b").count() == 3
+
+
+def test_jdbc_read_failure_is_logged_and_raised(spark, caplog):
+    # No database runs here: a URL no driver accepts fails at load(), which must surface.
+    src = JdbcSource(spark, "jdbc:nosuchdriver://nowhere/db", {})
+    with caplog.at_level("ERROR", logger="tidewater"), pytest.raises(Exception):
+        src.table("customers")
+    assert any("customers" in r.getMessage() for r in caplog.records)

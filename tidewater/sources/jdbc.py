@@ -8,11 +8,14 @@ parallel range queries instead of a single task.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+log = logging.getLogger("tidewater")
+
 
 @dataclass(frozen=True)
 class JdbcPartitioning:
@@ -78,9 +81,18 @@ class JdbcSource:
             opts.update(part.options())
         return opts
 
+    def _load(self, reader, what: str) -> DataFrame:
+        # load() connects to resolve the schema, so connection and permission errors
+        # surface here: log which relation failed, then re-raise.
+        try:
+            return reader.load()
+        except Exception:
+            log.exception("reading %s from %s failed", what, self.url.split("?", 1)[0])
+            raise
+
     def table(self, name: str) -> DataFrame:
         """Whole table (jdbc_scan); later filters are pushed into the remote query."""
-        return self._reader().options(**self.read_options(name)).load()
+        return self._load(self._reader().options(**self.read_options(name)), self.qualified(name))
 
     def query(self, sql: str, alias: str = "sql_table",
               predicates: Sequence[str] | None = None) -> DataFrame:
@@ -90,7 +102,7 @@ class JdbcSource:
         if predicates:
             props = {**self.properties, "fetchsize": str(self.fetch_size)}
             return self.spark.read.jdbc(self.url, dbtable, predicates=list(predicates), properties=props)
-        return self._reader().option("dbtable", dbtable).load()
+        return self._load(self._reader().option("dbtable", dbtable), alias)
 
     def list_tables(self) -> list[str]:
         """Base-table names from the standard ``information_schema`` (small, collected)."""
