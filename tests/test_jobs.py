@@ -299,3 +299,19 @@ def test_full_run_reports_every_table_when_one_fails(spark, lake_root):
     outcome = {r.table: r.status for r in err.value.results}
     assert outcome == {"customers": "failed", "notes": "written"}
     assert rows(lake_scan(spark, f"{lake_root}/notes")) == [(1, "x")]
+
+
+def test_unpartitioned_refresh_keeps_old_files_until_the_new_ones_are_written(spark, lake_root):
+    spec = TableSpec("notes", ("id",))
+    ctx = EngineContext(spark, FrameSource({"notes": spark.createDataFrame([(1, "a"), (2, "b")], "id int, n string")}),
+                        lake_root, {"notes": spec})
+    refresh_table(ctx, "notes")
+    broken = spark.createDataFrame([("x", "c")], "id string, n string").withColumn("id", F.col("id").cast("int"))
+    ctx.source = FrameSource({"notes": broken})
+    with pytest.raises(Exception):
+        refresh_table(ctx, "notes")
+    assert rows(lake_scan(spark, f"{lake_root}/notes")) == [(1, "a"), (2, "b")]
+    ctx.source = FrameSource({"notes": spark.createDataFrame([(3, "c")], "id int, n string")})
+    refresh_table(ctx, "notes")
+    assert rows(lake_scan(spark, f"{lake_root}/notes")) == [(3, "c")]
+    assert not [n for n in os.listdir(f"{lake_root}/notes") if n.startswith(".tidewater-refresh-")]

@@ -110,3 +110,9 @@ def list_entries(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     if not fs.exists(hpath):
         return []
     return [(st.getPath().getName(), bool(st.isDirectory())) for st in fs.listStatus(hpath)]
+
+
+def rename(spark: SparkSession, src: str, dst: str) -> bool:
+    fs, hsrc = _fs_and_path(spark, src)
+    jvm = spark.sparkContext._jvm
+    return bool(fs.rename(hsrc, jvm.org.apache.hadoop.fs.Path(dst)))

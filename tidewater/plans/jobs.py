@@ -11,6 +11,7 @@ per job in every case.
 from __future__ import annotations
 
 import logging
+import os
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -104,6 +105,33 @@ def _check_layout(spark: SparkSession, name: str, path: str, cols) -> bool:
     return state == "same"
 
 
+_STAGING_PREFIX = ".tidewater-refresh-"
+
+
+def _refresh_unpartitioned(ctx: EngineContext, name: str, path: str) -> JobResult:
+    """Refresh of an existing unpartitioned table without an empty moment: write the new
+    files into a hidden folder inside the table (readers skip hidden folders), move them in
+    next to the old ones (Spark's file names carry the job id, so they never collide), then
+    delete the old files listed before the move. A failed write leaves the old table as it
+    was; a crash between move and delete leaves old + new files, which the next refresh
+    replaces. Leftover staging folders of failed runs are removed first."""
+    spark = ctx.spark
+    for child, is_dir in fs.list_entries(spark, path):
+        if is_dir and child.startswith(_STAGING_PREFIX):
+            fs.delete(spark, f"{path}/{child}")
+    old = [c for c, is_dir in fs.list_entries(spark, path) if not is_dir and not c.startswith(("_", "."))]
+    staging = f"{path}/{_STAGING_PREFIX}{os.urandom(6).hex()}"
+    write_lake(ctx.source.table(name), staging, [], "overwrite", **ctx.write_options(full_copy_unpartitioned=True))
+    for child, is_dir in fs.list_entries(spark, staging):
+        if not is_dir and not child.startswith(("_", ".")):
+            fs.rename(spark, f"{staging}/{child}", f"{path}/{child}")
+    for child in old:
+        fs.delete(spark, f"{path}/{child}")
+    fs.delete(spark, staging)
+    log.info("refresh %s: replaced %d files of %s", name, len(old), path)
+    return JobResult(name, "refresh", "written")
+
+
 def refresh_table(ctx: EngineContext, name: str, keep_old_until_commit: bool = True) -> JobResult:
     """Replace the lake table with the whole source table (one pass, one write action).
 
@@ -111,14 +139,17 @@ def refresh_table(ctx: EngineContext, name: str, keep_old_until_commit: bool = T
     partition overwrite: until the job commits, readers and a failed or killed job see the
     old table intact (a static overwrite would delete it before writing). Partitions the new
     content does not have are then found by modification time — every file in them
-    predates a marker written at the start — and deleted. ``keep_old_until_commit=False``,
-    an unpartitioned table, and a table whose partition layout changed (e.g. day to month
-    grain) use a plain static overwrite.
+    predates a marker written at the start — and deleted. An existing unpartitioned table is
+    written to a hidden folder first and swapped in file by file (``_refresh_unpartitioned``).
+    ``keep_old_until_commit=False``, a new table, and a table whose partition layout changed
+    (e.g. day to month grain) use a plain static overwrite.
     """
     spec = ctx.spec(name)
     spark = ctx.spark
     path = ctx.table_path(name)
     cols = spec.partition_cols
+    if keep_old_until_commit and not cols and _same_layout(spark, path, cols):
+        return _refresh_unpartitioned(ctx, name, path)
     if not (keep_old_until_commit and cols and _same_layout(spark, path, cols)):
         prepare_and_save(ctx, ctx.source.table(name), spec, "overwrite")
         log.info("refresh %s: replaced %s", name, path)
