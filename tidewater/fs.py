@@ -116,3 +116,27 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
     fs, hsrc = _fs_and_path(spark, src)
     jvm = spark.sparkContext._jvm
     return bool(fs.rename(hsrc, jvm.org.apache.hadoop.fs.Path(dst)))
+
+
+def create_exclusive(spark: SparkSession, path: str, content: str) -> bool:
+    """Create ``path`` only if it does not exist (``overwrite=false``); False if it does.
+    Atomic on HDFS and local file systems."""
+    fs, hpath = _fs_and_path(spark, path)
+    try:
+        out = fs.create(hpath, False)
+    except Exception as e:  # py4j wraps FileAlreadyExistsException
+        if "FileAlreadyExists" in str(e) or fs.exists(hpath):
+            return False
+        raise
+    try:
+        out.write(bytearray(content.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
+def modification_time(spark: SparkSession, path: str) -> int | None:
+    fs, hpath = _fs_and_path(spark, path)
+    if not fs.exists(hpath):
+        return None
+    return int(fs.getFileStatus(hpath).getModificationTime())

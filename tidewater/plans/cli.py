@@ -46,6 +46,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--max-records-per-file", type=int, default=None)
     p.add_argument("--broadcast-limit-mb", type=int, default=64,
                    help="largest change-key set broadcast explicitly")
+    p.add_argument("--lock-ttl-s", type=int, default=6 * 3600,
+                   help="age after which a table lock left by a dead job may be taken over")
+    p.add_argument("--no-locking", action="store_true", help="do not take table writer locks")
     a = p.parse_args(argv)
     if a.table in ("", "None", "none"):
         a.table = None
@@ -86,7 +89,8 @@ def main(argv=None) -> int:
     spark = SparkSession.builder.appName(a.job_name).getOrCreate()
     ctx = EngineContext(spark, build_source(spark, a), a.lake_root, load_tables(a.tables_json),
                         broadcast_limit=a.broadcast_limit_mb * 2**20,
-                        max_records_per_file=a.max_records_per_file, write_layout=a.write_layout)
+                        max_records_per_file=a.max_records_per_file, write_layout=a.write_layout,
+                        locking=not a.no_locking, lock_ttl_s=a.lock_ttl_s)
     try:
         results, code = run_action(ctx, a.action, a.mode, a.table, a.as_of, a.days,
                                    a.dedupe_on_key, a.latest_only, a.max_concurrent_tables), 0

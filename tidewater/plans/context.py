@@ -23,6 +23,9 @@ class EngineContext:
     # None = automatic: no shuffle for a full copy of an unpartitioned table (each input
     # split becomes one file), REBALANCE for everything else; or a value of sinks.lake.LAYOUTS.
     write_layout: str | None = None
+    # one writer per table (see plans.locking); ``lock_ttl_s`` ages out locks of dead drivers
+    locking: bool = True
+    lock_ttl_s: int = 6 * 3600
 
     def __post_init__(self):
         self.lake_root = self.lake_root.rstrip("/")
@@ -34,5 +37,14 @@ class EngineContext:
         layout = self.write_layout or ("as_is" if full_copy_unpartitioned else "rebalance")
         return {"max_records_per_file": self.max_records_per_file, "layout": layout}
 
+    def lock(self, name: str, job: str):
+        from contextlib import nullcontext
+
+        from tidewater.plans.locking import table_lock
+
+        if not self.locking:
+            return nullcontext()
+        return table_lock(self.spark, self.lake_root, name, job, self.lock_ttl_s)
+
     def spec(self, name: str) -> TableSpec:
         return self.tables.get(name) or TableSpec(name)

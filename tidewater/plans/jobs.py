@@ -132,7 +132,7 @@ def _refresh_unpartitioned(ctx: EngineContext, name: str, path: str) -> JobResul
     return JobResult(name, "refresh", "written")
 
 
-def refresh_table(ctx: EngineContext, name: str, keep_old_until_commit: bool = True) -> JobResult:
+def _refresh_table(ctx: EngineContext, name: str, keep_old_until_commit: bool = True) -> JobResult:
     """Replace the lake table with the whole source table (one pass, one write action).
 
     For a partitioned table that already exists the new content is written with dynamic
@@ -196,7 +196,7 @@ def insert_table(ctx: EngineContext, name: str, as_of=None, days: int = 1,
     return append_changes(ctx, name, window, dedupe_on_key, lookup_partitions=parts)
 
 
-def append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_key: bool = False,
+def _append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_key: bool = False,
                    lookup_partitions: list | None = None) -> JobResult:
     """Append rows to the lake table in one pass (one Spark action).
 
@@ -243,7 +243,7 @@ def update_table(ctx: EngineContext, name: str, as_of=None, days: int = 1,
     return upsert_changes(ctx, name, raw, latest_only=latest_only, newest_wins=newest_wins)
 
 
-def upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_only: bool = False,
+def _upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_only: bool = False,
                    stage: bool = True, newest_wins: bool = True) -> JobResult:
     """Copy-on-write upsert of a change set into the lake table ``name``.
 
@@ -328,6 +328,28 @@ def upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_onl
             staged.release()
 
 
+def refresh_table(ctx: EngineContext, name: str, keep_old_until_commit: bool = True) -> JobResult:
+    """Replace the lake table with the whole source table (see ``_refresh_table``); holds
+    the table's writer lock while it runs."""
+    with ctx.lock(name, "refresh"):
+        return _refresh_table(ctx, name, keep_old_until_commit)
+
+
+def append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_key: bool = False,
+                   lookup_partitions: list | None = None) -> JobResult:
+    """Append rows to the lake table (see ``_append_changes``) under the writer lock."""
+    with ctx.lock(name, "insert"):
+        return _append_changes(ctx, name, rows, dedupe_on_key, lookup_partitions)
+
+
+def upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_only: bool = False,
+                   stage: bool = True, newest_wins: bool = True) -> JobResult:
+    """Copy-on-write upsert of a change set (see ``_upsert_changes``) under the writer lock."""
+    with ctx.lock(name, "update"):
+        return _upsert_changes(ctx, name, changes, latest_only, stage, newest_wins)
+
+
+
 def run_table(ctx: EngineContext, action: str, name: str, as_of=None, days: int = 1,
               dedupe_on_key: bool = False, latest_only: bool = False) -> JobResult:
     if action == "refresh":
