@@ -108,27 +108,33 @@ def _check_layout(spark: SparkSession, name: str, path: str, cols) -> bool:
 _STAGING_PREFIX = ".tidewater-refresh-"
 
 
-def _refresh_unpartitioned(ctx: EngineContext, name: str, path: str) -> JobResult:
-    """Refresh of an existing unpartitioned table without an empty moment: write the new
-    files into a hidden folder inside the table (readers skip hidden folders), move them in
-    next to the old ones (Spark's file names carry the job id, so they never collide), then
-    delete the old files listed before the move. A failed write leaves the old table as it
-    was; a crash between move and delete leaves old + new files, which the next refresh
-    replaces. Leftover staging folders of failed runs are removed first."""
+def _swap_in_unpartitioned(ctx: EngineContext, path: str, df: DataFrame, full_copy: bool) -> int:
+    """Replace an existing unpartitioned table without an empty moment: write ``df`` into a
+    hidden folder inside the table (readers skip hidden folders), move the new files in next
+    to the old ones (Spark's file names carry the job id, so they never collide), then delete
+    the old files listed before the move. ``df`` may read the table itself: it is written in
+    full before anything old is touched. A failed write leaves the old table as it was; a
+    crash between move and delete leaves old + new files, which the next refresh replaces.
+    Leftover staging folders of failed runs are removed first. Returns the old file count."""
     spark = ctx.spark
     for child, is_dir in fs.list_entries(spark, path):
         if is_dir and child.startswith(_STAGING_PREFIX):
             fs.delete(spark, f"{path}/{child}")
     old = [c for c, is_dir in fs.list_entries(spark, path) if not is_dir and not c.startswith(("_", "."))]
     staging = f"{path}/{_STAGING_PREFIX}{os.urandom(6).hex()}"
-    write_lake(ctx.source.table(name), staging, [], "overwrite", **ctx.write_options(full_copy_unpartitioned=True))
+    write_lake(df, staging, [], "overwrite", **ctx.write_options(full_copy_unpartitioned=full_copy))
     for child, is_dir in fs.list_entries(spark, staging):
         if not is_dir and not child.startswith(("_", ".")):
             fs.rename(spark, f"{staging}/{child}", f"{path}/{child}")
     for child in old:
         fs.delete(spark, f"{path}/{child}")
     fs.delete(spark, staging)
-    log.info("refresh %s: replaced %d files of %s", name, len(old), path)
+    return len(old)
+
+
+def _refresh_unpartitioned(ctx: EngineContext, name: str, path: str) -> JobResult:
+    replaced = _swap_in_unpartitioned(ctx, path, ctx.source.table(name), full_copy=True)
+    log.info("refresh %s: replaced %d files of %s", name, replaced, path)
     return JobResult(name, "refresh", "written")
 
 
@@ -289,13 +295,12 @@ def _upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_on
             return JobResult(name, "update", "written", n, note="lake was empty")
 
         if not cols:
-            # Unpartitioned table: the image is the whole table, staged before replacing it.
+            # Unpartitioned table: the image is the whole table; it is written in full before
+            # the old files are swapped out.
             lake = lake_scan(spark, path)
             if stamp and stamp in lake.columns and may_hold_stale_changes(changes, lake, stamp):
                 changes = drop_stale_changes(changes, lake, keys, stamp, bcast)
-            image = merge_image(lake, changes, keys, bcast)
-            with materialise(image, label=f"{name}-image") as img:
-                lake_replace(img.df, path, [], **kw)
+            _swap_in_unpartitioned(ctx, path, merge_image(lake, changes, keys, bcast), full_copy=False)
             return JobResult(name, "update", "written", n)
 
         if spec.partitions_are_stable:
@@ -311,13 +316,15 @@ def _upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_on
             lake_replace_where(aligned, path, cols, **kw)
             return JobResult(name, "update", "written", n, affected, note="insert only")
 
+        filtered = False
         if stamp and stamp in existing.columns and may_hold_stale_changes(changes, existing, stamp):
             changes = drop_stale_changes(changes, existing, keys, stamp, bcast)
+            filtered = True
         drop = []
         if not spec.partitions_are_stable:
             kept = unchanged_rows(existing.select(*keys, *cols), changes, keys, bcast)
             keep = set(collect_partitions(kept, cols))
-            keep |= set(new_parts) if not stamp else set(collect_partitions(changes, cols))
+            keep |= set(collect_partitions(changes, cols)) if filtered else set(new_parts)
             drop = [p for p in affected if p not in keep]
         image = merge_image(existing, changes, keys, bcast)
         lake_replace_where(image, path, cols, drop=drop, **kw)
