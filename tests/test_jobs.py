@@ -315,3 +315,17 @@ def test_unpartitioned_refresh_keeps_old_files_until_the_new_ones_are_written(sp
     refresh_table(ctx, "notes")
     assert rows(lake_scan(spark, f"{lake_root}/notes")) == [(3, "c")]
     assert not [n for n in os.listdir(f"{lake_root}/notes") if n.startswith(".tidewater-refresh-")]
+
+
+def test_failed_unpartitioned_update_leaves_the_table_intact(spark, lake_root):
+    spec = TableSpec("notes", ("id",), None, "t")
+    lake = spark.createDataFrame([(1, 10, T(2024, 1, 1)), (2, 20, T(2024, 1, 1))], "id long, v int, t timestamp_ntz")
+    ctx = EngineContext(spark, FrameSource({"notes": lake}), lake_root, {"notes": spec})
+    refresh_table(ctx, "notes")
+    # the change stages fine as text but cannot be cast to the lake's int column when the
+    # new image is written
+    bad = spark.createDataFrame([(2, "not a number", T(2024, 2, 1, 5))], "id long, v string, t timestamp_ntz")
+    ctx.source = FrameSource({"notes": bad})
+    with pytest.raises(Exception):
+        update_table(ctx, "notes", dt.date(2024, 2, 1), 1)
+    assert rows(lake_scan(spark, f"{lake_root}/notes"), "id", "v") == [(1, 10), (2, 20)]
