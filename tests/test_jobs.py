@@ -329,3 +329,17 @@ def test_failed_unpartitioned_update_leaves_the_table_intact(spark, lake_root):
     with pytest.raises(Exception):
         update_table(ctx, "notes", dt.date(2024, 2, 1), 1)
     assert rows(lake_scan(spark, f"{lake_root}/notes"), "id", "v") == [(1, 10), (2, 20)]
+
+
+def test_update_with_a_composite_key(spark, lake_root):
+    schema = "o long, line int, qty int, created_at timestamp_ntz, last_updated_at timestamp_ntz"
+    spec = TableSpec("lines", ("o", "line"), "created_at", "last_updated_at", grain="month")
+    base = [(1, 1, 5, T(2024, 1, 3), T(2024, 1, 3)), (1, 2, 6, T(2024, 1, 3), T(2024, 1, 3)),
+            (2, 1, 7, T(2024, 2, 9), T(2024, 2, 9))]
+    ctx = EngineContext(spark, FrameSource({"lines": spark.createDataFrame(base, schema)}), lake_root, {"lines": spec})
+    refresh_table(ctx, "lines")
+    changed = [(1, 2, 60, T(2024, 1, 3), T(2024, 3, 1, 8)), (2, 2, 9, T(2024, 3, 1, 9), T(2024, 3, 1, 9))]
+    ctx.source = FrameSource({"lines": spark.createDataFrame(changed, schema)})
+    update_table(ctx, "lines", dt.date(2024, 3, 1), 1)
+    got = rows(lake_scan(spark, f"{lake_root}/lines"), "o", "line", "qty")
+    assert got == [(1, 1, 5), (1, 2, 60), (2, 1, 7), (2, 2, 9)]

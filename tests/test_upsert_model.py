@@ -41,16 +41,18 @@ def _in_window(t):
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
-@given(base=base_rows, changes=change_rows, moving=st.booleans(), change_hours=stamps)
+@given(base=base_rows, changes=change_rows, moving=st.booleans(), change_hours=stamps,
+       grain=st.sampled_from(["day", "month"]))
 # every row of 2024-01-02 moves away; the NULL partition empties; pure insert; no change
 @example(base={1: (1, 30), 2: (2, 30), 3: (3, 100)}, changes={1: (11, None), 2: (12, None)}, moving=True,
-         change_hours=9 * 24)
-@example(base={1: (1, None), 2: (2, 5)}, changes={1: (11, None)}, moving=True, change_hours=9 * 24 + 3)
-@example(base={1: (1, 5)}, changes={7: (17, 9 * 24)}, moving=False, change_hours=None)
-@example(base={1: (1, 5)}, changes={}, moving=True, change_hours=9 * 24)
+         change_hours=9 * 24, grain="day")
+@example(base={1: (1, None), 2: (2, 5)}, changes={1: (11, None)}, moving=True, change_hours=9 * 24 + 3,
+         grain="month")
+@example(base={1: (1, 5)}, changes={7: (17, 9 * 24)}, moving=False, change_hours=None, grain="day")
+@example(base={1: (1, 5)}, changes={}, moving=True, change_hours=9 * 24, grain="day")
 @example(base={1: (1, 9 * 24 + 20), 2: (2, 9 * 24 + 20)}, changes={1: (11, None)}, moving=True,
-         change_hours=9 * 24 + 2)
-def test_update_matches_model(spark, tmp_path_factory, base, changes, moving, change_hours):
+         change_hours=9 * 24 + 2, grain="day")
+def test_update_matches_model(spark, tmp_path_factory, base, changes, moving, change_hours, grain):
     root = str(tmp_path_factory.mktemp("lake"))
     base_data = [(k, v, _stamp(t), _stamp(t)) for k, (v, t) in base.items()]
     # source after the edits: changed keys get a new value and a change stamp (maybe in window)
@@ -59,7 +61,7 @@ def test_update_matches_model(spark, tmp_path_factory, base, changes, moving, ch
         created = source[k][2] if k in source else _stamp(t)
         source[k] = (k, v, created, _stamp(change_hours if change_hours is not None else t))
     spec = TableSpec("t", ("k",), "created_at", "last_updated_at",
-                     partition_column="last_updated_at" if moving else None)
+                     partition_column="last_updated_at" if moving else None, grain=grain)
     ctx = EngineContext(spark, FrameSource({"t": spark.createDataFrame(base_data, SCHEMA)}), root, {"t": spec})
     if base_data:
         refresh_table(ctx, "t")
@@ -81,8 +83,13 @@ def test_update_matches_model(spark, tmp_path_factory, base, changes, moving, ch
     got = sorted((r.k, r.v, r.partition_date) for r in lake_scan(spark, path).collect())
     assert got == want
     # every partition directory holds rows (emptied ones were removed)
-    for year in (d for d in os.listdir(path) if d.startswith("year=")):
-        for month in os.listdir(f"{path}/{year}"):
-            for day in os.listdir(f"{path}/{year}/{month}"):
-                files = os.listdir(f"{path}/{year}/{month}/{day}")
-                assert any(f.endswith(".parquet") for f in files), (year, month, day)
+    depth = len(spec.partition_cols)
+    for here, dirs, files in os.walk(path):
+        rel = os.path.relpath(here, path)
+        parts = [] if rel == "." else rel.split(os.sep)
+        if parts and not parts[0].startswith("year="):
+            continue
+        if len(parts) == depth:
+            assert any(f.endswith(".parquet") for f in files), rel
+        elif parts:
+            assert dirs, rel  # no empty intermediate folder
