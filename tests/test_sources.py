@@ -26,6 +26,7 @@ def test_parquet_source(spark):
         scan_one_or_many(src)
     counts = dict((r.table_name, r.n) for r in table_counts(src, ["region", "nation"]).collect())
     assert counts == {"region": 5, "nation": 25}
+    assert table_counts(src, []).count() == 0
 
 
 def test_frame_source(spark):

@@ -32,6 +32,10 @@ def table_counts(source: Source, names: Sequence[str]) -> DataFrame:
     """``(table_name, n)`` for each table: one aggregate per table, unioned into one job."""
     frames = [source.table(n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("table_name"), "n")
               for n in names]
+    if not frames:
+        from pyspark.sql import SparkSession
+
+        return SparkSession.active().createDataFrame([], "table_name string, n bigint")
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
