@@ -82,10 +82,12 @@ def drop_stale_changes(changes: DataFrame, existing: DataFrame, keys: Sequence[s
     return changes.join(F.broadcast(stale) if broadcast_changes else stale, keys + [stamp], "left_anti")
 
 
-def may_hold_stale_changes(changes: DataFrame, existing: DataFrame, stamp: str) -> bool:
+def may_hold_stale_changes(changes: DataFrame, existing: DataFrame, stamp: str,
+                           oldest_change=None) -> bool:
     """False when no change row can be older than a lake row: the oldest change stamp is not
     older than the newest stamp among the affected lake rows (the usual daily flow). One
-    small aggregate per side, reading the stamp column only."""
-    oldest = changes.agg(F.min(stamp)).first()[0]
+    small aggregate per side, reading the stamp column only (the change side is skipped when
+    ``oldest_change`` is already known)."""
+    oldest = oldest_change if oldest_change is not None else changes.agg(F.min(stamp)).first()[0]
     newest = existing.agg(F.max(stamp)).first()[0]
     return oldest is not None and newest is not None and newest > oldest

@@ -19,10 +19,11 @@ _FIXED = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8, T.Floa
           T.TimestampNTZType: 8, T.DecimalType: 16}
 
 
-def change_profile(df: DataFrame, keys: Sequence[str],
-                   partition_cols: Sequence[str] = ()) -> tuple[int, int, list[tuple]]:
-    """Row count, an upper bound of the bytes the key columns take, and the distinct
-    partition tuples, all from ONE aggregate over ``df``.
+def change_profile(df: DataFrame, keys: Sequence[str], partition_cols: Sequence[str] = (),
+                   oldest_of: str | None = None) -> tuple[int, int, list[tuple]]:
+    """Row count, an upper bound of the bytes the key columns take, the distinct partition
+    tuples and (with ``oldest_of``) the smallest value of that column, all from ONE
+    aggregate over ``df``.
 
     Fixed-width key types use their width; strings/binaries use the longest value seen.
     The partition set is bounded by the number of partitions (calendar days), not by rows.
@@ -40,10 +41,14 @@ def change_profile(df: DataFrame, keys: Sequence[str],
             width += fixed
     if partition_cols:
         aggs.append(F.collect_set(F.struct(*partition_cols)).alias("parts"))
+    if oldest_of:
+        aggs.append(F.min(oldest_of).alias("oldest"))
     row = df.agg(*aggs).first()
     n = int(row["n"])
     width += sum(int(row[w] or 0) for w in widths)
     parts = [tuple(p) for p in row["parts"]] if partition_cols else []
+    if oldest_of:
+        return n, n * (width + ROW_OVERHEAD), parts, row["oldest"]
     return n, n * (width + ROW_OVERHEAD), parts
 
 

@@ -283,7 +283,11 @@ def _upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_on
     try:
         changes = staged.df if staged else raw
         stamp = spec.change_column if newest_wins and spec.change_column in changes.columns else None
-        n, key_bytes, new_parts = change_profile(changes, keys + ([stamp] if stamp else []), cols)
+        if stamp:
+            n, key_bytes, new_parts, oldest = change_profile(changes, keys + [stamp], cols, oldest_of=stamp)
+        else:
+            n, key_bytes, new_parts = change_profile(changes, keys, cols)
+            oldest = None
         if n == 0:
             log.info("update %s: no changes", name)
             return JobResult(name, "update", "no_changes", 0)
@@ -298,7 +302,7 @@ def _upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_on
             # Unpartitioned table: the image is the whole table; it is written in full before
             # the old files are swapped out.
             lake = lake_scan(spark, path)
-            if stamp and stamp in lake.columns and may_hold_stale_changes(changes, lake, stamp):
+            if stamp and stamp in lake.columns and may_hold_stale_changes(changes, lake, stamp, oldest):
                 changes = drop_stale_changes(changes, lake, keys, stamp, bcast)
             _swap_in_unpartitioned(ctx, path, merge_image(lake, changes, keys, bcast), full_copy=False)
             return JobResult(name, "update", "written", n)
@@ -317,7 +321,7 @@ def _upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_on
             return JobResult(name, "update", "written", n, affected, note="insert only")
 
         filtered = False
-        if stamp and stamp in existing.columns and may_hold_stale_changes(changes, existing, stamp):
+        if stamp and stamp in existing.columns and may_hold_stale_changes(changes, existing, stamp, oldest):
             changes = drop_stale_changes(changes, existing, keys, stamp, bcast)
             filtered = True
         drop = []
