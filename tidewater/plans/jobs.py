@@ -2,8 +2,8 @@
 
 Spark actions per job: refresh 1 write (plus a file listing to drop partitions the new
 content no longer has), insert 1 write, update: stage the change set once, ONE aggregate
-for row count + key size bound + partition set, two one-column aggregates for the
-newest-wins test (min change stamp, max affected lake stamp), two more small aggregates
+for row count + key size bound + partition set + oldest change stamp, one one-column
+aggregate for the newest-wins test (newest affected lake stamp), two more small aggregates
 only when rows may move between partitions, then the write. The source is queried once
 per job in every case.
 """
