@@ -343,3 +343,12 @@ def test_update_with_a_composite_key(spark, lake_root):
     update_table(ctx, "lines", dt.date(2024, 3, 1), 1)
     got = rows(lake_scan(spark, f"{lake_root}/lines"), "o", "line", "qty")
     assert got == [(1, 1, 5), (1, 2, 60), (2, 1, 7), (2, 2, 9)]
+
+
+def test_missing_spec_columns_are_reported_clearly(spark, lake_root):
+    ctx = _ctx(spark, lake_root, {"customers": _customers(spark, BASE).drop("last_updated_at")})
+    with pytest.raises(ValueError, match="last_updated_at"):
+        update_table(ctx, "customers", dt.date(2024, 1, 2), 1)
+    ctx.source = FrameSource({"customers": _customers(spark, BASE).drop("created_at")})
+    with pytest.raises(ValueError, match="created_at"):
+        insert_table(ctx, "customers", dt.date(2024, 1, 2), 1)

@@ -195,7 +195,9 @@ def insert_table(ctx: EngineContext, name: str, as_of=None, days: int = 1,
     if not spec.created_column:
         raise ValueError(f"table {name!r} has no created column; insert needs one")
     as_of = as_date(as_of)
-    window = change_window(ctx.source.table(name), spec.created_column, as_of, days)
+    source = ctx.source.table(name)
+    _require_columns(source, [spec.created_column] + list(spec.keys if dedupe_on_key else ()), name, "created/key")
+    window = change_window(source, spec.created_column, as_of, days)
     parts = None
     if spec.partition_by == spec.created_column:
         parts = dates_to_partitions(window_partition_dates(as_of, days), spec.grain)
@@ -235,6 +237,13 @@ def _append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_ke
     return JobResult(name, "insert", "written")
 
 
+def _require_columns(df: DataFrame, columns, table: str, role: str) -> None:
+    missing = [c for c in columns if c and c not in df.columns]
+    if missing:
+        raise ValueError(f"table {table!r}: {role} column(s) {missing} not in the source "
+                         f"(columns: {df.columns})")
+
+
 def _unique(seq):
     return list(dict.fromkeys(seq))
 
@@ -245,7 +254,9 @@ def update_table(ctx: EngineContext, name: str, as_of=None, days: int = 1,
     spec = ctx.spec(name)
     if not spec.change_column:
         raise ValueError(f"table {name!r} has no change column; update needs one")
-    raw = change_window(ctx.source.table(name), spec.change_column, as_date(as_of), days)
+    source = ctx.source.table(name)
+    _require_columns(source, [spec.change_column, *spec.keys, spec.partition_by], name, "change/key/partition")
+    raw = change_window(source, spec.change_column, as_date(as_of), days)
     return upsert_changes(ctx, name, raw, latest_only=latest_only, newest_wins=newest_wins)
 
 
