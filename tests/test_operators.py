@@ -149,3 +149,18 @@ def test_drop_stale_changes(spark):
     kept = drop_stale_changes(changes, lake, ["k"], "t")
     # (1, 5) is older than the lake's 10; (1, 12) is newer and stays; ties and NULLs stay
     assert rows(kept) == [(1, 12), (2, 10), (3, 1), (4, 0)]
+
+
+def test_cleanup_scratch_removes_only_old_stages(spark):
+    import time
+
+    from tidewater.operators.staging import cleanup_scratch
+
+    old = materialise(spark.range(3), label="left-by-a-dead-driver")
+    time.sleep(1.2)
+    fresh = materialise(spark.range(3), label="running-job")
+    removed = cleanup_scratch(spark, older_than_s=1)
+    assert any(old.path.rsplit("/", 1)[-1] in r for r in removed)
+    assert not any(fresh.path.rsplit("/", 1)[-1] in r for r in removed)
+    assert fresh.df.count() == 3
+    fresh.release()

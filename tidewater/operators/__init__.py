@@ -34,4 +34,4 @@ from tidewater.operators.quality import (  # noqa: F401
     dq_primary_key,
     dq_unique,
 )
-from tidewater.operators.staging import Staged, materialise  # noqa: F401
+from tidewater.operators.staging import Staged, cleanup_scratch, materialise  # noqa: F401

@@ -8,6 +8,8 @@ moved on. This is the lineage cut the jobs rely on (never a machine-local checkp
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater import fs
@@ -35,3 +37,26 @@ def materialise(df: DataFrame, label: str = "stage") -> Staged:
     path = scratch_path(spark, "stage", label)
     df.write.mode("overwrite").parquet(path)
     return Staged(spark, path, spark.read.schema(df.schema).parquet(path))
+
+
+def cleanup_scratch(spark: SparkSession, older_than_s: int = 24 * 3600) -> list[str]:
+    """Delete staged change sets left by jobs whose driver died (normally each job deletes
+    its own in ``finally``). Only this library's ``tidewater-stage`` folders under the shared
+    root are considered, and only those older than ``older_than_s`` (a running job's stage
+    is younger). Returns the deleted paths."""
+    from tidewater.session import shared_root
+
+    root = f"{shared_root(spark)}/tidewater-stage"
+    clock = f"{root}/.clock-{os.urandom(4).hex()}"
+    now_ms = fs.touch(spark, clock)  # the file system's clock, like the folders' stamps
+    fs.delete(spark, clock)
+    removed = []
+    for name, is_dir in fs.list_entries(spark, root):
+        if not is_dir or name.startswith("."):
+            continue
+        path = f"{root}/{name}"
+        stamp = fs.modification_time(spark, path)
+        if stamp is not None and now_ms - stamp > older_than_s * 1000:
+            fs.delete(spark, path)
+            removed.append(path)
+    return removed

@@ -49,6 +49,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--lock-ttl-s", type=int, default=6 * 3600,
                    help="age after which a table lock left by a dead job may be taken over")
     p.add_argument("--no-locking", action="store_true", help="do not take table writer locks")
+    p.add_argument("--cleanup-scratch-hours", type=float, default=None,
+                   help="first delete staged change sets older than this (left by dead drivers)")
     a = p.parse_args(argv)
     if a.table in ("", "None", "none"):
         a.table = None
@@ -87,6 +89,10 @@ def main(argv=None) -> int:
     a = parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
     spark = SparkSession.builder.appName(a.job_name).getOrCreate()
+    if a.cleanup_scratch_hours is not None:
+        from tidewater.operators.staging import cleanup_scratch
+        for path in cleanup_scratch(spark, int(a.cleanup_scratch_hours * 3600)):
+            logging.getLogger("tidewater").info("removed stale scratch folder %s", path)
     ctx = EngineContext(spark, build_source(spark, a), a.lake_root, load_tables(a.tables_json),
                         broadcast_limit=a.broadcast_limit_mb * 2**20,
                         max_records_per_file=a.max_records_per_file, write_layout=a.write_layout,
