@@ -1,5 +1,6 @@
 """Copy-on-write merge building blocks: which partitions a change set touches, which lake
-rows survive it, and the new image of the touched partitions."""
+rows survive it, the new image of the touched partitions, and which change rows are older
+than the lake's version (newest wins)."""
 
 from __future__ import annotations
 

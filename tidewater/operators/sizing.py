@@ -20,10 +20,10 @@ _FIXED = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8, T.Floa
 
 
 def change_profile(df: DataFrame, keys: Sequence[str], partition_cols: Sequence[str] = (),
-                   oldest_of: str | None = None) -> tuple[int, int, list[tuple]]:
+                   oldest_of: str | None = None) -> tuple:
     """Row count, an upper bound of the bytes the key columns take, the distinct partition
     tuples and (with ``oldest_of``) the smallest value of that column, all from ONE
-    aggregate over ``df``.
+    aggregate over ``df``. Returns ``(n, bound, partitions)``, plus ``oldest`` when asked.
 
     Fixed-width key types use their width; strings/binaries use the longest value seen.
     The partition set is bounded by the number of partitions (calendar days), not by rows.
