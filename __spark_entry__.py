@@ -434,6 +434,35 @@ def q_prepare_and_save(spark, sf_dir):
     return lake_scan(spark, ctx.table_path("lineitem"))
 
 
+ORDERS_SPEC = TableSpec("orders", ("o_orderkey",), created_column="o_orderdate",
+                        change_column="last_updated_at", grain="month")
+
+
+def orders_loaded(spark, sf_dir) -> DataFrame:
+    return _t(spark, sf_dir, "orders").withColumn("last_updated_at", F.col("o_orderdate"))
+
+
+def orders_changed(spark, sf_dir) -> DataFrame:
+    """Pending orders were re-priced and stamped 30 days after they were placed."""
+    o = _t(spark, sf_dir, "orders")
+    pending = F.col("o_orderstatus") == "P"
+    return o.select("o_orderkey", "o_custkey", "o_orderstatus",
+                    F.when(pending, F.col("o_totalprice") * 2).otherwise(F.col("o_totalprice")).alias("o_totalprice"),
+                    "o_orderdate", "o_orderpriority",
+                    F.when(pending, F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS"))
+                    .otherwise(F.col("o_orderdate")).alias("last_updated_at"))
+
+
+def q_update_orders_month(spark, sf_dir):
+    # A second table at month grain, over a 15-day window around 1998-01-15.
+    ctx = _lake_ctx(spark, "update-orders", FrameSource({"orders": lambda: orders_loaded(spark, sf_dir)}),
+                    {"orders": ORDERS_SPEC})
+    refresh_table(ctx, "orders")
+    ctx.source = FrameSource({"orders": lambda: orders_changed(spark, sf_dir)})
+    update_table(ctx, "orders", dt.date(1998, 1, 15), 15)
+    return lake_scan(spark, ctx.table_path("orders"))
+
+
 # ---------------------------------------------------------------- quality checks
 
 def q_dq_not_null(spark, sf_dir):
@@ -565,6 +594,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_one_or_many": q_scan_one_or_many,
     "partition_prune": q_partition_prune,
     "prepare_and_save": q_prepare_and_save,
+    "update_orders_month": q_update_orders_month,
     "dq_not_null": q_dq_not_null,
     "dq_primary_key": q_dq_primary_key,
     "dq_unique": q_dq_unique,
@@ -715,6 +745,18 @@ _ORACLES: dict[str, str] = {
 
 
 _ORACLES["dq_summary"] = _dq_summary_sql(LINEITEM_RULES)
+_ORACLES["update_orders_month"] = """WITH src AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus,
+         CASE WHEN o_orderstatus = 'P' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+         o_orderdate, o_orderpriority,
+         CASE WHEN o_orderstatus = 'P' THEN o_orderdate + INTERVAL 30 DAY ELSE o_orderdate END AS last_updated_at
+  FROM orders),
+chg AS (SELECT * FROM src WHERE last_updated_at > TIMESTAMP '1997-12-31 00:00:00'
+                            AND last_updated_at < TIMESTAMP '1998-01-30 00:00:00'),
+base AS (SELECT *, o_orderdate AS last_updated_at FROM orders),
+img AS (SELECT * FROM chg UNION ALL SELECT * FROM base WHERE o_orderkey NOT IN (SELECT o_orderkey FROM chg))
+SELECT *, CAST(o_orderdate AS DATE) AS partition_date, CAST(year(o_orderdate) AS INT) AS year,
+       CAST(month(o_orderdate) AS INT) AS month FROM img"""
 
 
 def oracle_sql() -> dict[str, str]:
