@@ -24,11 +24,18 @@ Scenario used by the change-data-capture queries (all derived from ``events``):
 from __future__ import annotations
 
 import datetime as dt
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The package sits next to this file; make it importable however this file is loaded.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from tidewater.functions.partitions import (
     derive_partition_columns,
     partition_filter,
