@@ -40,6 +40,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--days", type=int, default=1)
     p.add_argument("--dedupe-on-key", action="store_true")
     p.add_argument("--latest-only", action="store_true")
+    p.add_argument("--no-newest-wins", action="store_true",
+                   help="let every change replace the lake row, even an older one")
     p.add_argument("--max-concurrent-tables", type=int, default=4)
     p.add_argument("--write-layout", choices=["rebalance", "as_is"], default=None,
                    help="default: no shuffle for unpartitioned full copies, rebalance otherwise")
@@ -99,7 +101,8 @@ def main(argv=None) -> int:
                         locking=not a.no_locking, lock_ttl_s=a.lock_ttl_s)
     try:
         results, code = run_action(ctx, a.action, a.mode, a.table, a.as_of, a.days,
-                                   a.dedupe_on_key, a.latest_only, a.max_concurrent_tables), 0
+                                   a.dedupe_on_key, a.latest_only, a.max_concurrent_tables,
+                                   newest_wins=not a.no_newest_wins), 0
     except ActionFailed as failed:
         results, code = failed.results, 1
     for r in results:

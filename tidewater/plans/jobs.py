@@ -373,13 +373,14 @@ def upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_onl
 
 
 def run_table(ctx: EngineContext, action: str, name: str, as_of=None, days: int = 1,
-              dedupe_on_key: bool = False, latest_only: bool = False) -> JobResult:
+              dedupe_on_key: bool = False, latest_only: bool = False,
+              newest_wins: bool = True) -> JobResult:
     if action == "refresh":
         return refresh_table(ctx, name)
     if action == "insert":
         return insert_table(ctx, name, as_of, days, dedupe_on_key)
     if action == "update":
-        return update_table(ctx, name, as_of, days, latest_only)
+        return update_table(ctx, name, as_of, days, latest_only, newest_wins)
     action_parameters(action)  # raises for an unknown action
     raise AssertionError(action)
 
@@ -394,7 +395,8 @@ def _applicable(action: str, spec: TableSpec) -> str | None:
 
 def run_action(ctx: EngineContext, action: str, mode: str, table: str | None = None,
                as_of=None, days: int = 1, dedupe_on_key: bool = False,
-               latest_only: bool = False, max_concurrent_tables: int = 4) -> list[JobResult]:
+               latest_only: bool = False, max_concurrent_tables: int = 4,
+               newest_wins: bool = True) -> list[JobResult]:
     """``partial``: one named table (error if none). ``full``: every source table; tables
     the action cannot apply to are reported as skipped. Independent tables are submitted
     as concurrent Spark jobs (``max_concurrent_tables``); ``as_of`` is fixed once for all."""
@@ -408,7 +410,7 @@ def run_action(ctx: EngineContext, action: str, mode: str, table: str | None = N
         reason = _applicable(action, ctx.spec(table))
         if reason:
             raise ValueError(f"cannot {action} {table!r}: {reason}")
-        return [run_table(ctx, action, table, as_of, days, dedupe_on_key, latest_only)]
+        return [run_table(ctx, action, table, as_of, days, dedupe_on_key, latest_only, newest_wins)]
 
     names = list_source_tables(ctx.source)
 
@@ -418,7 +420,7 @@ def run_action(ctx: EngineContext, action: str, mode: str, table: str | None = N
             log.info("%s %s: skipped (%s)", action, name, reason)
             return JobResult(name, action, "skipped", note=reason)
         try:
-            return run_table(ctx, action, name, as_of, days, dedupe_on_key, latest_only)
+            return run_table(ctx, action, name, as_of, days, dedupe_on_key, latest_only, newest_wins)
         except Exception as e:  # noqa: BLE001 - reported per table, raised together below
             log.error("%s %s: failed: %s", action, name, e)
             return JobResult(name, action, "failed", note=f"{type(e).__name__}: {str(e)[:500]}")
