@@ -19,6 +19,9 @@ Scenario used by the change-data-capture queries (all derived from ``events``):
 * ``update`` runs with ``as_of = 2024-01-25`` and the reference's one-day window, so
   it picks up purchases created 2024-01-14/15, the backfilled day and new events of
   2024-01-24/25, and must leave every other row as loaded.
+
+A second table, ``orders`` at month grain: pending orders were re-priced (doubled) and
+stamped 30 days after they were placed; a 15-day window around 1998-01-15 is applied.
 """
 
 from __future__ import annotations
