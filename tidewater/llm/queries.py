@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .packing import pack
+from .quality_trees import COUNTS, quality_rules, train
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -26,7 +27,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op6_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality_rules(docs, train(docs, table(spark, sf_dir, "labels")))
+    return judged.select("doc_id", *(f"quality.{c}" for c in (*COUNTS, "base_failed", "kept")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_quality_trees": op6_quality_trees,
     "op10_packing": op10_packing,
 }
 
