@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .packing import pack
 from .quality_trees import COUNTS, quality_rules, train
+from .url_rules import LOWER, PATTERN_RULES, UPPER, host_rule, judge_urls
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -27,6 +28,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+# The rules of the contract.
+HOST_RULES = (host_rule("allow", "org/"), host_rule("block", "example.org/es/"), host_rule("block", "example.org/en/1"),
+              host_rule("allow", "com/fr/"), host_rule("block", "com/de/"))
+
+
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = judge_urls(pages, HOST_RULES + PATTERN_RULES)
+    rule = F.when(F.col("rule").isin([r.name for r in HOST_RULES]), F.col("rule"))
+    return judged.select("page_id", "host", "path", rule.alias("rule"), "verdict")
+
+
 def op6_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality_rules(docs, train(docs, table(spark, sf_dir, "labels")))
@@ -34,8 +47,25 @@ def op6_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_url_rules": op3_url_rules,
     "op6_quality_trees": op6_quality_trees,
     "op10_packing": op10_packing,
 }
 
-ORACLES: dict[str, str] = {}
+def _op3_sql() -> str:
+    fits = ", ".join(f"('{r.name}', '{r.verdict}', '{r.name.partition('/')[0]}', '/{r.name.partition('/')[2]}')" for r in HOST_RULES)
+    blocked = " OR ".join(f"regexp_matches(host || path, '{r.pattern}')" for r in PATTERN_RULES)
+    return f"""WITH rules(rule, verdict, rhost, rpath) AS (VALUES {fits}),
+rest AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+hosts AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS h FROM rest),
+parts AS (SELECT page_id, translate(h, '{UPPER}', '{LOWER}') AS host,
+                 regexp_extract(substr(rest, length(h) + 1), '^[^?#]*') AS path FROM hosts),
+best AS (SELECT p.*, (SELECT max(struct_pack(n := length(r.rule), rule := r.rule, verdict := r.verdict)) FROM rules r
+           WHERE (p.host = r.rhost OR ends_with(p.host, '.' || r.rhost)) AND starts_with(p.path, r.rpath)) AS b FROM parts p)
+SELECT page_id, host, path, b.rule AS rule,
+       COALESCE(b.verdict, CASE WHEN {blocked} THEN 'block' ELSE 'allow' END) AS verdict FROM best"""
+
+
+ORACLES: dict[str, str] = {
+    "op3_url_rules": _op3_sql(),
+}
