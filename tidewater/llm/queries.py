@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from .packing import pack
 from .quality_trees import COUNTS, quality_rules, train
+from .storage import shared_folder
 from .url_rules import LOWER, PATTERN_RULES, UPPER, host_rule, judge_urls
+from .warc import read_warc, write_warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -40,6 +42,14 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", rule.alias("rule"), "verdict")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "warc")
+    if write_warc(table(spark, sf_dir, "pages"), folder).isEmpty():
+        return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    records = read_warc(spark, folder, f"{folder}-candidates")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality_rules(docs, train(docs, table(spark, sf_dir, "labels")))
@@ -48,6 +58,7 @@ def op6_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_rules": op3_url_rules,
+    "op4_warc": op4_warc,
     "op6_quality_trees": op6_quality_trees,
     "op10_packing": op10_packing,
 }
