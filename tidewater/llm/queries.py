@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .packing import pack
+from .page_diff import extract_text
 from .quality_trees import COUNTS, quality_rules, train
 from .storage import shared_folder
 from .url_rules import LOWER, PATTERN_RULES, UPPER, host_rule, judge_urls
@@ -56,10 +57,16 @@ def op6_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(f"quality.{c}" for c in (*COUNTS, "base_failed", "kept")))
 
 
+def op7_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = extract_text(table(spark, sf_dir, "pages"), shared_folder(spark, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_rules": op3_url_rules,
     "op4_warc": op4_warc,
     "op6_quality_trees": op6_quality_trees,
+    "op7_page_diff": op7_page_diff,
     "op10_packing": op10_packing,
 }
 
