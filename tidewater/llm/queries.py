@@ -18,6 +18,7 @@ from .quality_trees import COUNTS, quality_rules, train
 from .storage import shared_folder
 from .url_rules import LOWER, PATTERN_RULES, UPPER, host_rule, judge_urls
 from .warc import read_warc, write_warc
+from .word_table import decode, encode
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -51,6 +52,13 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = decode(encode(table(spark, sf_dir, "documents"), BYTE_BPE), BYTE_BPE)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op6_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality_rules(docs, train(docs, table(spark, sf_dir, "labels")))
@@ -65,6 +73,7 @@ def op7_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_rules": op3_url_rules,
     "op4_warc": op4_warc,
+    "op5_word_table": op5_word_table,
     "op6_quality_trees": op6_quality_trees,
     "op7_page_diff": op7_page_diff,
     "op10_packing": op10_packing,
