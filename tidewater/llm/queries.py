@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .packing import pack
+from .parity_join import ngram_components
 from .page_diff import extract_text
 from .quality_trees import COUNTS, quality_rules, train
 from .storage import shared_folder
@@ -70,12 +71,17 @@ def op7_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op8_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"), shared_folder(spark, "shingles"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_rules": op3_url_rules,
     "op4_warc": op4_warc,
     "op5_word_table": op5_word_table,
     "op6_quality_trees": op6_quality_trees,
     "op7_page_diff": op7_page_diff,
+    "op8_parity_join": op8_parity_join,
     "op10_packing": op10_packing,
 }
 
