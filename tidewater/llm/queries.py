@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chunk_dedup import remove_repeats
 from .packing import pack
 from .parity_join import ngram_components
 from .page_diff import extract_text
@@ -75,6 +76,14 @@ def op8_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"), shared_folder(spark, "shingles"))
 
 
+def op9_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("chunks.removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return cleaned.select("doc_id", "text", "chunks.n_chunks", "chunks.n_repeated", removed.alias("removed_bytes"),
+                          F.transform("chunks.removed", lambda x: x["start"]).alias("removed_from"),
+                          F.transform("chunks.removed", lambda x: x["end"]).alias("removed_to"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_rules": op3_url_rules,
     "op4_warc": op4_warc,
@@ -82,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_trees": op6_quality_trees,
     "op7_page_diff": op7_page_diff,
     "op8_parity_join": op8_parity_join,
+    "op9_chunk_dedup": op9_chunk_dedup,
     "op10_packing": op10_packing,
 }
 

@@ -54,29 +54,32 @@ class Words:
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         self.begins = np.concatenate([[0], np.cumsum(lengths + 1)])
         self.before = np.searchsorted(self.starts, self.begins)
-        self.hashes = self._hashes(values[self.bytes])
-
-    def _hashes(self, values: np.ndarray) -> np.ndarray:
-        up, down = _powers()
-        if not len(self.starts):
-            return np.zeros(0, np.uint64)
-        if len(values) < len(up):
-            sums = np.concatenate([[np.uint64(0)], np.cumsum(values * up[: len(values)])])
-            return mix64((sums[self.ends] - sums[self.starts]) * down[self.starts])
-        # A text longer than the table of powers, piece by piece.
-        out, step, i = np.empty(len(self.starts), np.uint64), len(up) // 2, 0
-        while i < len(self.starts):
-            j = max(i + 1, int(np.searchsorted(self.ends, self.starts[i] + step, side="right")))
-            a, b = int(self.starts[i]), int(self.ends[j - 1])
-            if b - a < len(up):
-                sums = np.concatenate([[np.uint64(0)], np.cumsum(values[a:b] * up[: b - a])])
-                out[i:j] = (sums[self.ends[i:j] - a] - sums[self.starts[i:j] - a]) * down[self.starts[i:j] - a]
-            else:  # one word longer than the table: its powers are made for it
-                power = np.full(b - a, up[1], np.uint64)
-                power[0] = 1
-                out[i] = (values[a:b] * np.multiply.accumulate(power)).sum(dtype=np.uint64)
-            i = j
-        return mix64(out)
+        self.hashes = span_hashes(self.bytes, self.starts, self.ends)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of byte spans in ascending order: polynomials over scrambled bytes."""
+    up, down = _powers()
+    values = _tables()[1]
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    if len(data) < len(up):
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(values[data] * up[: len(data)])])
+        return mix64((sums[ends] - sums[starts]) * down[starts])
+    # A text longer than the table of powers, piece by piece.
+    out, step, i = np.empty(len(starts), np.uint64), len(up) // 2, 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + step, side="right")))
+        a, b = int(starts[i]), int(ends[j - 1])
+        if b - a < len(up):
+            sums = np.concatenate([[np.uint64(0)], np.cumsum(values[data[a:b]] * up[: b - a])])
+            out[i:j] = (sums[ends[i:j] - a] - sums[starts[i:j] - a]) * down[starts[i:j] - a]
+        else:  # one span longer than the table: its powers are made for it
+            power = np.full(b - a, up[1], np.uint64)
+            power[0] = 1
+            out[i] = (values[data[a:b]] * np.multiply.accumulate(power)).sum(dtype=np.uint64)
+        i = j
+    return mix64(out)
 
 
 def windows(hashes: np.ndarray, before: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
