@@ -17,6 +17,7 @@ from .packing import pack
 from .parity_join import ngram_components
 from .page_diff import extract_text
 from .quality_trees import COUNTS, quality_rules, train
+from .spherical_caps import near_vectors
 from .storage import shared_folder
 from .url_rules import LOWER, PATTERN_RULES, UPPER, host_rule, judge_urls
 from .warc import read_warc, write_warc
@@ -39,6 +40,10 @@ HOST_RULES = (host_rule("allow", "org/"), host_rule("block", "example.org/es/"),
               host_rule("allow", "com/fr/"), host_rule("block", "com/de/"))
 
 
+def op1_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), shared_folder(spark, "vectors"))
+
+
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     judged = judge_urls(pages, HOST_RULES + PATTERN_RULES)
@@ -85,6 +90,7 @@ def op9_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_spherical_caps": op1_spherical_caps,
     "op3_url_rules": op3_url_rules,
     "op4_warc": op4_warc,
     "op5_word_table": op5_word_table,
