@@ -17,6 +17,7 @@ from .packing import pack
 from .parity_join import ngram_components
 from .page_diff import extract_text
 from .quality_trees import COUNTS, quality_rules, train
+from .range_coder import read_ids, write_ids
 from .spherical_caps import near_vectors
 from .storage import shared_folder
 from .url_rules import LOWER, PATTERN_RULES, UPPER, host_rule, judge_urls
@@ -44,6 +45,13 @@ def op1_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), shared_folder(spark, "vectors"))
 
 
+def op2_range_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "ids")
+    if write_ids(table(spark, sf_dir, "documents"), BYTE_BPE, folder).isEmpty():
+        return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read_ids(spark, folder).select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     judged = judge_urls(pages, HOST_RULES + PATTERN_RULES)
@@ -91,6 +99,7 @@ def op9_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spherical_caps": op1_spherical_caps,
+    "op2_range_coder": op2_range_coder,
     "op3_url_rules": op3_url_rules,
     "op4_warc": op4_warc,
     "op5_word_table": op5_word_table,
