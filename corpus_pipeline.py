@@ -1,23 +1,62 @@
-"""The corpus pipeline: stages over ``documents``, each one operator of ``tidewater.llm``."""
+"""The corpus pipeline: stages over ``documents``, each one operator of ``tidewater.llm``.
+
+Quality rules drop documents, the n-gram Jaccard join keeps the smallest document of each group
+of near copies, substring dedup takes repeated passages out of the texts, and packing cuts what
+is left into training sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidewater.llm.chunk_dedup import remove_repeats
 from tidewater.llm.packing import pack
+from tidewater.llm.parity_join import ngram_components
+from tidewater.llm.quality_trees import quality_rules, train
 from tidewater.llm.queries import BYTE_BPE, table
+from tidewater.llm.storage import shared_folder
+
+BROADCAST_ROWS = 500_000
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules accept."""
+    judged = quality_rules(docs, train(docs, table(spark, sf_dir, "labels")), result_col="_quality")
+    return judged.where("_quality.kept").select(docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without those that reach a smaller one by links of similar shingles."""
+    found = ngram_components(docs, shared_folder(spark, "pipeline-shingles"))
+    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_copy")).distinct().checkpoint()
+    if copies.count() <= BROADCAST_ROWS:
+        copies = F.broadcast(copies)  # at most BROADCAST_ROWS integers
+    return docs.join(copies, docs["doc_id"] == copies["_copy"], "left_anti")
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that an earlier one holds; ``n_chars`` follows the text."""
+    cleaned = remove_repeats(docs, result_col="_chunks")
+    return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 1024 tokens."""
     return pack(docs, BYTE_BPE)
 
 
-STAGES = [("packing", packing)]
+STAGES = [("quality rules", quality), ("n-gram Jaccard join", near_copies), ("substring dedup", repeated_passages), ("packing", packing)]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; each one's documents are written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if number + 1 < len(STAGES):
+            folder = shared_folder(spark, f"pipeline-{number}")
+            docs.write.parquet(folder)
+            docs = spark.read.schema(docs.schema).parquet(folder)
     return docs
