@@ -14,7 +14,6 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -208,16 +207,33 @@ def neighbour_pairs(pages: DataFrame, work: str) -> DataFrame:
         "key", "host", F.least(F.floor(rank / 2), F.floor(F.col("pages") / 2) - 1).alias("pair"))
 
 
-def _shared(group: pd.DataFrame) -> pd.DataFrame:
-    """Of the two or three pages of a pair, the numbers of the lines that a neighbour shares."""
-    pages = group.sort_values(["path", "key"])
-    lines = [list(x) for x in pages["lines"]]
-    shared: list[set[int]] = [set() for _ in lines]
-    for i in range(len(lines) - 1):
-        for a, b in common_lines(lines[i], lines[i + 1]):
-            shared[i].add(a)
-            shared[i + 1].add(b)
-    return pd.DataFrame({"key": pages["key"].to_numpy(), "shared": [sorted(s) for s in shared]})
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the two or three pages of each pair, which come one after the other, the numbers of
+    the lines that a neighbour shares."""
+    held, out, last = [], [], None
+
+    def close():
+        shared: list[set[int]] = [set() for _ in held]
+        for i in range(len(held) - 1):
+            for a, b in common_lines(held[i][1], held[i + 1][1]):
+                shared[i].add(a)
+                shared[i + 1].add(b)
+        out.extend((key, sorted(s)) for (key, _), s in zip(held, shared))
+
+    def rows():
+        batch = pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.string()), pa.array([s for _, s in out], pa.list_(pa.int64()))], names=["key", "shared"])
+        out.clear()
+        return batch
+
+    for batch in batches:
+        for host, pair, key, lines in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            if (host, pair) != last:
+                close()
+                held, last = [], (host, pair)
+            held.append((key, lines))
+        yield rows()
+    close()
+    yield rows()
 
 
 def extract_text(pages: DataFrame, work: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -240,33 +256,36 @@ def extract_text(pages: DataFrame, work: str, id_col: str = "page_id", url_col:
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for lines, shared in zip(batch.column("lines").to_pylist(), batch.column("shared").to_pylist()):
+            for lines, kinds, shared in zip(*(batch.column(c).to_pylist() for c in ("lines", "kinds", "shared"))):
                 gone, number, kept = set(shared or ()), 0, []
-                for line in lines:
-                    if line["kind"] == CONTENT:
-                        kept.append(line["text"])
+                for line, kind in zip(lines, kinds):
+                    if kind == CONTENT:
+                        kept.append(line)
                         continue
-                    if number not in gone and line["kind"] == OPEN:
-                        kept.append(line["text"])
+                    if number not in gone and kind == OPEN:
+                        kept.append(line)
                     number += 1
                 texts.append(" ".join(kept))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     def lines_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("text", pa.string()), ("kind", pa.int32())]))
         for batch in batches:
+            parsed = [page_lines(h) for h in batch.column("html").to_pylist()]
             # Furniture lines keep their number only: their text is not needed any more.
-            parsed = [[{"text": x if k != FURNITURE else "", "kind": k} for x, k in page_lines(h)] for h in batch.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("page_id"), batch.column("url"), pa.array(parsed, kind)],
-                                             names=["key", "page_id", "url", "lines"])
+            texts = pa.array([["" if k == FURNITURE else x for x, k in page] for page in parsed], pa.list_(pa.string()))
+            kinds = pa.array([bytes(k for _, k in page) for page in parsed], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "page_id", "url")), texts, kinds],
+                                             names=["key", "page_id", "url", "lines", "kinds"])
 
     keyed = rows.select("key", host.alias("host"), path.alias("path")).distinct()
     pairs = neighbour_pairs(keyed, work)
     open_lines = rows.select("key", path.alias("path"), "html").mapInArrow(parse, "key string, path string, lines array<string>") \
         .where("size(lines) > 0").dropDuplicates(["key"])
-    shared = pairs.join(open_lines, "key").groupBy("host", "pair").applyInPandas(_shared, "key string, shared array<long>")
+    # A pair's rows are hashed to one partition and stand side by side in it.
+    shared = pairs.join(open_lines, "key").repartition("host", "pair").sortWithinPartitions("host", "pair", "path", "key") \
+        .select("host", "pair", "key", "lines").mapInArrow(_shared, "key string, shared array<long>")
     id_type = rows.schema["page_id"].dataType.simpleString()
     lined = rows.select("key", "page_id", "url", "html").mapInArrow(
-        lines_of, f"key string, page_id {id_type}, url string, lines array<struct<text: string, kind: int>>")
-    return lined.join(shared, "key", "left").select("page_id", "url", "lines", "shared") \
+        lines_of, f"key string, page_id {id_type}, url string, lines array<string>, kinds binary")
+    return lined.join(shared, "key", "left").select("page_id", "url", "lines", "kinds", "shared") \
         .mapInArrow(finish, f"page_id {id_type}, url string, text string")
