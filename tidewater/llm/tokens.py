@@ -24,7 +24,7 @@ SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F,
                0x3000]
 
-_CHARS_PER_PASS = 1 << 21
+_CHARS_PER_PASS = 1 << 20
 _CACHED_WORDS = 1_200_000
 _WORDS_A_CALL = 1000
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)

@@ -22,7 +22,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from .tokens import encoder, gather, mix64, passes
 
-CHUNK_CHARS = 1 << 24
+CHUNK_CHARS = 1 << 23
 
 
 def _pack(data: bytes) -> bytes:
