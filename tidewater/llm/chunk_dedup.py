@@ -26,8 +26,8 @@ from .tokens import mix64
 MIN_WORDS = 20
 WINDOW = 16  # bytes that decide on a boundary
 _LONG_WORD = 48
-_FLUSH_CHUNKS = 2_500_000
-_GROUP_BYTES = 24 << 20
+_FLUSH_CHUNKS = 1_000_000
+_GROUP_BYTES = 12 << 20
 _ENTRY_BYTES = 22
 _BYTES_A_CHUNK = 20
 _NO_ID = (1 << 63) - 1
@@ -90,10 +90,12 @@ def _entries(parts: int):
         order = np.lexsort((place, doc, digest))
         digest, doc, place = digest[order], doc[order], place[order]
         first = np.concatenate([[True], digest[1:] != digest[:-1]])
+        head = np.maximum.accumulate(np.where(first, np.arange(len(digest)), 0))
+        again = (doc != doc[head]) | (place != place[head])  # not so: the same row once more
         rows = []
-        for kind, keep in ((0, first), (1, ~first)):
+        for kind, keep in ((0, first), (1, again)):
             d, o, p = digest[keep], doc[keep], place[keep]
-            part = ((d if kind == 0 else mix64(o.astype(np.uint64))) % np.uint64(parts)).astype(np.int64)
+            part = (d % np.uint64(parts)).astype(np.int64) if kind == 0 else _bucket(o, p, parts)
             by = np.argsort(part, kind="stable")
             ends = np.searchsorted(part[by], np.arange(parts + 1))
             for k in range(parts):
@@ -125,30 +127,54 @@ def _entries(parts: int):
     return run
 
 
-def _repeats(group: pa.Table) -> pa.Table:
-    """(key, tag, numbers): the chunks of a range of digests that are not the first of theirs."""
-    docs, places, heads = [], [], []
-    for row in group.to_pylist():
-        doc, place = np.frombuffer(row["docs"], np.int64), np.frombuffer(row["places"], np.uint64)
-        if row["kind"]:
-            docs.append(doc)
-            places.append(place)
-        else:
-            digest = np.zeros((len(doc), 8), np.uint8)
-            digest[:, :6] = np.frombuffer(row["digests"], np.uint8).reshape(-1, 6)
-            heads.append((digest.view("<u8").ravel(), doc, place))
-    if heads:
-        digest, doc, place = (np.concatenate([h[i] for h in heads]) for i in range(3))
-        order = np.lexsort((place, doc, digest))
-        later = order[1:][digest[order][1:] == digest[order][:-1]]
-        # The same document may be there twice, as a repeated row.
-        docs.append(doc[later])
-        places.append(place[later])
-    doc, place = np.concatenate(docs), np.concatenate(places)
+def _bucket(doc: np.ndarray, place: np.ndarray, parts: int) -> np.ndarray:
+    """The range of documents, told apart by id and text tag, that holds each entry's."""
+    return (mix64(doc.astype(np.uint64) ^ mix64(place >> np.uint64(32))) % np.uint64(parts)).astype(np.int64)
+
+
+def _repeats(parts: int):
+    """(bucket, docs, places): the chunks of a range of digests that are not the first of
+    theirs, packed by ranges of documents."""
+
+    def run(group: pa.Table) -> pa.Table:
+        docs, places, heads = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], []
+        for row in group.to_pylist():
+            doc, place = np.frombuffer(row["docs"], np.int64), np.frombuffer(row["places"], np.uint64)
+            if row["kind"]:
+                docs.append(doc)
+                places.append(place)
+            else:
+                digest = np.zeros((len(doc), 8), np.uint8)
+                digest[:, :6] = np.frombuffer(row["digests"], np.uint8).reshape(-1, 6)
+                heads.append((digest.view("<u8").ravel(), doc, place))
+        if heads:
+            digest, doc, place = (np.concatenate([h[i] for h in heads]) for i in range(3))
+            order = np.lexsort((place, doc, digest))
+            again = digest[order][1:] == digest[order][:-1]
+            # A repeated row's chunk is no repeat of the same chunk of the same document.
+            first = order[np.maximum.accumulate(np.where(np.concatenate([[True], ~again]), np.arange(len(order)), 0))]
+            later = order[(doc[order] != doc[first]) | (place[order] != place[first])]
+            docs.append(doc[later])
+            places.append(place[later])
+        doc, place = np.concatenate(docs), np.concatenate(places)
+        bucket = _bucket(doc, place, parts)
+        by = np.argsort(bucket, kind="stable")
+        used, starts = np.unique(bucket[by], return_index=True)
+        ends = np.append(starts[1:], len(by))
+        return pa.table([pa.array(used, pa.int32()), pa.array([doc[by[a:b]].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                         pa.array([place[by[a:b]].tobytes() for a, b in zip(starts, ends)], pa.binary())], names=["bucket", "docs", "places"])
+
+    return run
+
+
+def _by_document(group: pa.Table) -> pa.Table:
+    """(key, tag, numbers): the repeated chunks of each document of a range."""
+    doc = np.concatenate([np.frombuffer(x, np.int64) for x in group.column("docs").to_pylist()])
+    place = np.concatenate([np.frombuffer(x, np.uint64) for x in group.column("places").to_pylist()])
     order = np.lexsort((place, doc))
     doc, place = doc[order], place[order]
     tag = (place >> np.uint64(32)).astype(np.int64)
-    edge = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]), [True]])) if len(doc) else np.zeros(1, int)
+    edge = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]), [True]]))
     numbers = (place & np.uint64(0xFFFFFFFF)).astype("<u4")
     return pa.table([pa.array(doc[edge[:-1]], pa.int64()), pa.array(tag[edge[:-1]], pa.int64()),
                      pa.array([numbers[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())], names=["key", "tag", "numbers"])
@@ -190,11 +216,11 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
     text = F.col(text_col).cast("string")
     key, tag = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)), F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF))
     total = docs.agg(F.sum(F.octet_length(text))).collect()[0][0] or 0
-    parts = max(8, -(-total * _ENTRY_BYTES // (_BYTES_A_CHUNK * _GROUP_BYTES)))
+    parts = int(max(8, -(-total * _ENTRY_BYTES // (_BYTES_A_CHUNK * _GROUP_BYTES))))
     entries = docs.select(key.alias("key"), tag.alias("tag"), text.alias("text")) \
-        .mapInArrow(_entries(int(parts)), "part int, kind int, digests binary, docs binary, places binary")
-    repeated = entries.groupBy("part").applyInArrow(_repeats, "key long, tag long, numbers binary") \
-        .groupBy("key", "tag").agg(F.collect_list("numbers").alias("_numbers")).select(F.col("key").alias("_key"), F.col("tag").alias("_tag"), "_numbers")
+        .mapInArrow(_entries(parts), "part int, kind int, digests binary, docs binary, places binary")
+    repeated = entries.groupBy("part").applyInArrow(_repeats(parts), "bucket int, docs binary, places binary") \
+        .groupBy("bucket").applyInArrow(_by_document, "key long, tag long, numbers binary").toDF("_key", "_tag", "_numbers")
     joined = docs.join(repeated, (key == F.col("_key")) & (tag == F.col("_tag")), "left").select(*docs.columns, "_numbers")
     at = docs.columns.index(text_col)
 
@@ -207,8 +233,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
                 for i, data in enumerate(part):
                     a, b = int(chunks.before[i]), int(chunks.before[i + 1])
                     flags = np.zeros(b - a, bool)
-                    for numbers in lists[first + i] or ():
-                        flags[np.frombuffer(numbers, "<u4")] = True
+                    flags[np.frombuffer(lists[first + i] or b"", "<u4")] = True
                     begin = int(chunks.starts[a]) if b > a else 0
                     spans = [(int(chunks.starts[a + s]) - begin, int(chunks.ends[a + e - 1]) - begin) for s, e in removed_runs(flags, chunks.words[a:b], min_words)]
                     facts.append({"n_chunks": b - a, "n_repeated": int(flags.sum()), "removed": [{"start": s, "end": e} for s, e in spans]})
