@@ -41,6 +41,7 @@ _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
+from tidewater import fs
 from tidewater.functions.partitions import (
     derive_partition_columns,
     partition_filter,
@@ -66,7 +67,7 @@ from tidewater.operators.quality import (
 )
 from tidewater.operators.staging import materialise
 from tidewater.plans.context import EngineContext
-from tidewater.plans.jobs import insert_table, prepare_and_save, refresh_table, run_action, update_table
+from tidewater.plans.jobs import insert_table, prepare_and_save, refresh_table, run_action, update_table, upsert_changes
 from tidewater.plans.specs import TableSpec
 from tidewater.session import scratch_path
 from tidewater.sinks.lake import lake_append, lake_replace, lake_replace_where
@@ -101,6 +102,8 @@ EVENTS_SPEC = TableSpec("events", ("event_id",), created_column="ts", change_col
 EVENTS_MOVING_SPEC = TableSpec("events", ("event_id",), created_column="ts",
                                change_column="last_updated_at", partition_column="last_updated_at")
 
+EVENTS_FLAT_SPEC = TableSpec("events", ("event_id",), change_column="last_updated_at")  # not partitioned
+
 # Partitioning of the driver's tables for a full refresh: day grain for the event stream,
 # month grain for the order facts (day grain would mean thousands of tiny files).
 TESTDATA_TABLES = {
@@ -186,11 +189,6 @@ def q_table_counts(spark, sf_dir):
     return table_counts(ParquetSource(spark, sf_dir), TESTDATA_TABLE_NAMES)
 
 
-def q_list_source_tables(spark, sf_dir):
-    names = ParquetSource(spark, sf_dir).list_tables()
-    return spark.createDataFrame([(n,) for n in names], "table_name string")
-
-
 # ---------------------------------------------------------------- change sets
 
 def q_change_window(spark, sf_dir):
@@ -259,7 +257,7 @@ def q_align_columns(spark, sf_dir):
     chg = _changes(spark, sf_dir)
     shuffled = chg.select("last_updated_at", F.lit("batch-1").alias("batch"), "value", "event_type",
                           "user_id", "ts", "event_id")  # extra column, props missing, new order
-    return align_columns(shuffled, events_loaded(spark, sf_dir).schema)
+    return align_columns(shuffled, events_loaded(spark, sf_dir).schema, fill_missing=True)
 
 
 # ---------------------------------------------------------------- lake writes
@@ -302,10 +300,9 @@ def q_lake_replace_where(spark, sf_dir):
 
 
 def q_lake_scan(spark, sf_dir):
-    ctx = _lake_ctx(spark, "scan", ParquetSource(spark, sf_dir), TESTDATA_TABLES)
-    refresh_table(ctx, "events")
-    lake = lake_scan(spark, ctx.table_path("events"))
-    return lake.where((F.col("year") == 2024) & (F.col("month") == 1) & F.col("day").between(10, 12))
+    path = scratch_path(spark, "lake", "scan")
+    lake_replace(derive_partition_columns(_t(spark, sf_dir, "events"), "ts"), path, DAY)
+    return lake_scan(spark, path)
 
 
 def q_lake_partition_scan(spark, sf_dir):
@@ -376,11 +373,121 @@ def q_update_rerun(spark, sf_dir):
     return lake_scan(spark, ctx.table_path("events"))
 
 
+def _content(spark, tables: dict) -> DataFrame:
+    """(table_name, column_name, n, distinct_values, low, high) of every column: values in the
+    column, different ones, and the least and greatest of text lengths, array lengths, seconds
+    or numbers."""
+    out = None
+    for name, df in tables.items():
+        sizes = []
+        for f in df.schema.fields:
+            kind, c = f.dataType.typeName(), F.col(f.name)
+            size = {"string": F.length(c), "array": F.size(c)}.get(kind)
+            if kind.startswith("timestamp") or kind == "date":
+                size = F.unix_seconds(c.cast("timestamp"))
+            sizes.append(F.struct(F.lit(f.name).alias("column_name"), F.count(c).alias("n"), F.count_distinct(c).alias("distinct_values"),
+                                  F.min((c if size is None else size).cast("double")).alias("low"),
+                                  F.max((c if size is None else size).cast("double")).alias("high")))
+        one = df.agg(F.array(*sizes).alias("c")).select(F.lit(name).alias("table_name"), F.explode("c").alias("c")).select("table_name", "c.*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _content_sql(names) -> str:
+    """The same in SQL; column names and types are those of the smallest test tables."""
+    import pyarrow.parquet as pq
+
+    parts = []
+    for t in names:
+        for f in pq.read_schema(f"{SMOKE_DIR}/{t}.parquet"):
+            kind = str(f.type)
+            size = f'"{f.name}"'
+            if "string" in kind:
+                size = f'length("{f.name}")'
+            elif kind.startswith(("list", "large_list")):
+                size = f'len("{f.name}")'
+            elif kind.startswith(("timestamp", "date")):
+                size = f'floor(epoch("{f.name}"))'
+            parts.append(f"""SELECT '{t}' AS table_name, '{f.name}' AS column_name, COUNT("{f.name}") AS n,
+                COUNT(DISTINCT "{f.name}") AS distinct_values, CAST(MIN({size}) AS DOUBLE) AS low, CAST(MAX({size}) AS DOUBLE) AS high FROM {t}""")
+    return " UNION ALL ".join(parts)
+
+
+def q_update_full(spark, sf_dir):
+    # Both mutable tables, found in the source, by one run; its rows are those of update_table
+    # and update_orders_month at day grain.
+    source = FrameSource({"events": lambda: events_loaded(spark, sf_dir), "orders": lambda: orders_loaded(spark, sf_dir)})
+    orders = TableSpec("orders", ("o_orderkey",), "o_orderdate", "last_updated_at", grain="month")
+    ctx = _lake_ctx(spark, "update-full", source, {"events": EVENTS_SPEC, "orders": orders})
+    run_action(ctx, "refresh", "full")
+    ctx.source = FrameSource({"events": lambda: events_changed(spark, sf_dir), "orders": lambda: orders_changed(spark, sf_dir)})
+    run_action(ctx, "update", "full", as_of=UPDATE_AS_OF, days=1)
+    run_action(ctx, "update", "full", as_of=dt.date(1998, 1, 15), days=15)
+    events, lake_orders = lake_scan(spark, ctx.table_path("events")), lake_scan(spark, ctx.table_path("orders"))
+    shape = lambda df, name, key, value: df.select(F.lit(name).alias("table_name"), F.col(key).alias("id"), F.col(value).alias("value"),
+                                                   "last_updated_at", "partition_date")
+    return shape(events, "events", "event_id", "value").unionByName(shape(lake_orders, "orders", "o_orderkey", "o_totalprice"))
+
+
+def q_update_unpartitioned(spark, sf_dir):
+    return _update(spark, sf_dir, EVENTS_FLAT_SPEC, "update-unpartitioned")
+
+
+def _update_with(spark, sf_dir, label, changes: DataFrame, spec: TableSpec | None = None, **options) -> DataFrame:
+    """The loaded lake after one upsert of ``changes``."""
+    ctx = _lake_ctx(spark, label, FrameSource({"events": lambda: events_loaded(spark, sf_dir)}), {"events": spec or EVENTS_SPEC})
+    refresh_table(ctx, "events")
+    upsert_changes(ctx, "events", changes, **options)
+    return lake_scan(spark, ctx.table_path("events"))
+
+
+def q_update_corrected_created(spark, sf_dir):
+    # The changed purchases also get another created stamp: each key's row moves, once.
+    moved = F.when(F.col("event_type") == "purchase", F.col("ts") + F.expr("INTERVAL 2 DAYS")).otherwise(F.col("ts"))
+    return _update_with(spark, sf_dir, "update-corrected", _changes(spark, sf_dir).withColumn("ts", moved))
+
+
+def q_update_null_partition(spark, sf_dir):
+    # The changed purchases lose their created stamp: they move to the NULL partition.
+    lost = F.when(F.col("event_type") != "purchase", F.col("ts"))
+    return _update_with(spark, sf_dir, "update-null", _changes(spark, sf_dir).withColumn("ts", lost))
+
+
+def q_update_latest_only(spark, sf_dir):
+    # Every change row arrives in two versions; the later one counts.
+    chg = _changes(spark, sf_dir)
+    older = chg.withColumn("last_updated_at", F.col("last_updated_at") - F.expr("INTERVAL 1 HOUR")).withColumn("value", F.lit(-1.0))
+    return _update_with(spark, sf_dir, "update-latest", chg.unionByName(older), latest_only=True)
+
+
+def q_update_stale_rows(spark, sf_dir):
+    # Half of the change rows are older than the lake's versions and must not win.
+    old = F.when(F.col("event_id") % 2 == 0, F.col("ts") - F.expr("INTERVAL 1 DAY")).otherwise(F.col("last_updated_at"))
+    return _update_with(spark, sf_dir, "update-stale", _changes(spark, sf_dir).withColumn("last_updated_at", old))
+
+
+def q_stream_late_file(spark, sf_dir):
+    # A change file whose time stamp is nine days behind the newest one seen is still read.
+    ctx = _lake_ctx(spark, "stream-late", FrameSource({"events": lambda: events_loaded(spark, sf_dir)}), {"events": EVENTS_SPEC})
+    refresh_table(ctx, "events")
+    ctx.source = FrameSource({"events": lambda: events_changed(spark, sf_dir)})
+    drop = scratch_path(spark, "drop", "events-late")
+    schema = events_changed(spark, sf_dir).schema
+    seen: set = set()
+    for as_of, days_behind in ((UPDATE_AS_OF, 0), (dt.date(2024, 2, 10), 9)):
+        export_changes(ctx, "events", drop, as_of, 1)
+        files = set(fs.data_files(spark, drop))
+        for f in files - seen:
+            fs.set_modification_time(spark, f, fs.modification_time(spark, f) - days_behind * 86_400_000)
+        seen = files
+        ingest_changes(ctx, "events", drop, schema, action="update")
+    return lake_scan(spark, ctx.table_path("events"))
+
+
 def q_refresh_full(spark, sf_dir):
     ctx = _lake_ctx(spark, "refresh-full", ParquetSource(spark, sf_dir), TESTDATA_TABLES)
     run_action(ctx, "refresh", "full")
-    lake = ParquetSource(spark, ctx.lake_root, suffix="")
-    return table_counts(lake, TESTDATA_TABLE_NAMES)
+    return _content(spark, {t: lake_scan(spark, ctx.table_path(t)).select(_t(spark, sf_dir, t).columns) for t in TESTDATA_TABLE_NAMES})
 
 
 def q_update_insert_only(spark, sf_dir):
@@ -513,6 +620,12 @@ def q_dq_foreign_key_orders(spark, sf_dir):
     return dq_foreign_key(orders, _t(spark, sf_dir, "customer"), ["o_custkey"], ["c_custkey"])
 
 
+def q_dq_foreign_key_parts(spark, sf_dir):
+    # Part numbers are no supplier numbers: those beyond the suppliers' are hits.
+    items = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return dq_foreign_key(items, _t(spark, sf_dir, "supplier"), ["l_partkey"], ["s_suppkey"])
+
+
 def q_dq_allowed_values(spark, sf_dir):
     ev = _t(spark, sf_dir, "events").select("event_id", "event_type")
     return dq_allowed_values(ev, "event_type", ALLOWED_EVENT_TYPES)
@@ -583,7 +696,6 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_path": q_partition_path,
     "preview": q_preview,
     "table_counts": q_table_counts,
-    "list_source_tables": q_list_source_tables,
     "change_window": q_change_window,
     "change_window_bounds": q_change_window_bounds,
     "has_changes": q_has_changes,
@@ -610,6 +722,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "update_moving_inventory": q_update_moving_inventory,
     "update_rerun": q_update_rerun,
     "refresh_full": q_refresh_full,
+    "update_full": q_update_full,
+    "update_unpartitioned": q_update_unpartitioned,
+    "update_corrected_created": q_update_corrected_created,
+    "update_null_partition": q_update_null_partition,
+    "update_latest_only": q_update_latest_only,
+    "update_stale_rows": q_update_stale_rows,
+    "stream_late_file": q_stream_late_file,
+    "dq_foreign_key_parts": q_dq_foreign_key_parts,
     "update_insert_only": q_update_insert_only,
     "update_no_change": q_update_no_change,
     "stream_update": q_stream_update,
@@ -703,8 +823,6 @@ _ORACLES: dict[str, str] = {
         CAST(month(ts) AS VARCHAR), '/day=', CAST(day(ts) AS VARCHAR)) AS full_path FROM chg""",
     "preview": "SELECT * FROM events ORDER BY event_id LIMIT 20",
     "table_counts": _COUNTS,
-    "list_source_tables": "SELECT * FROM (VALUES " + ", ".join(f"('{t}')" for t in TESTDATA_TABLE_NAMES)
-                          + ") AS t(table_name)",
     "change_window": f"SELECT * FROM events WHERE {_EV_WIN}",
     "change_window_bounds": """SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '1998-01-14 00:00:00'
         AND o_orderdate < TIMESTAMP '1998-01-16 00:00:00'""",
@@ -736,7 +854,7 @@ _ORACLES: dict[str, str] = {
         WHERE NOT (year(ts) = 2024 AND month(ts) = 1 AND day(ts) IN (3, 4))
         UNION ALL SELECT * EXCLUDE (value), value * 2 AS value, {_ymd('ts')} FROM events
         WHERE year(ts) = 2024 AND month(ts) = 1 AND day(ts) IN (3, 4) AND event_type = 'purchase'""",
-    "lake_scan": f"SELECT *, {_ymd('ts')} FROM events WHERE year(ts) = 2024 AND month(ts) = 1 AND day(ts) BETWEEN 10 AND 12",
+    "lake_scan": f"SELECT *, {_ymd('ts')} FROM events",
     "lake_partition_scan": f"SELECT *, {_ymd('ts')} FROM events WHERE year(ts) = 2024 AND month(ts) = 1 AND day(ts) IN (3, 4)",
     "partition_inventory": f"SELECT {_DAY.format(c='ts')}, COUNT(*) AS n FROM events GROUP BY ALL",
     "null_partition": """WITH e AS (SELECT CASE WHEN event_type <> 'error' THEN ts END AS created_at FROM events)
@@ -750,7 +868,38 @@ _ORACLES: dict[str, str] = {
     "update_moving_rows": CDC + f"SELECT *, {_ymd('last_updated_at')} FROM img",
     "update_moving_inventory": CDC + f"SELECT {_DAY.format(c='last_updated_at')}, COUNT(*) AS n FROM img GROUP BY ALL",
     "update_rerun": CDC + f"SELECT *, {_ymd('last_updated_at')} FROM img",
-    "refresh_full": _COUNTS,
+    "refresh_full": _content_sql(TESTDATA_TABLE_NAMES),
+    "update_full": f"""WITH {_SRC},
+{_CHG},
+{_BASE},
+{_IMG},
+osrc AS (
+  SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice, o_orderdate,
+         CASE WHEN o_orderstatus = 'P' THEN o_orderdate + INTERVAL 30 DAY ELSE o_orderdate END AS last_updated_at FROM orders),
+ochg AS (SELECT * FROM osrc WHERE last_updated_at > TIMESTAMP '1997-12-31 00:00:00' AND last_updated_at < TIMESTAMP '1998-01-30 00:00:00'),
+oimg AS (SELECT * FROM ochg UNION ALL SELECT o_orderkey, o_totalprice, o_orderdate, o_orderdate FROM orders
+         WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ochg))
+SELECT 'events' AS table_name, event_id AS id, value, last_updated_at, CAST(ts AS DATE) AS partition_date FROM img UNION ALL
+SELECT 'orders', o_orderkey, o_totalprice, last_updated_at, CAST(o_orderdate AS DATE) FROM oimg""",
+    "update_unpartitioned": CDC + "SELECT * FROM img",
+    "update_corrected_created": CDC + f"""SELECT *, {_ymd('ts')} FROM (
+        SELECT * REPLACE (CASE WHEN event_type = 'purchase' THEN ts + INTERVAL 2 DAY ELSE ts END AS ts) FROM chg
+        UNION ALL SELECT * FROM base WHERE event_id NOT IN (SELECT event_id FROM chg))""",
+    "update_null_partition": CDC + f"""SELECT *, {_ymd('ts')} FROM (
+        SELECT * REPLACE (CASE WHEN event_type <> 'purchase' THEN ts END AS ts) FROM chg
+        UNION ALL SELECT * FROM base WHERE event_id NOT IN (SELECT event_id FROM chg))""",
+    "update_latest_only": CDC + f"SELECT *, {_ymd('ts')} FROM img",
+    "update_stale_rows": f"""WITH {_SRC},
+{_CHG},
+{_BASE},
+eff AS (SELECT * REPLACE (CASE WHEN event_id % 2 = 0 THEN ts - INTERVAL 1 DAY ELSE last_updated_at END AS last_updated_at)
+  FROM chg WHERE NOT (event_id % 2 = 0 AND event_id IN (SELECT event_id FROM base)))
+        SELECT *, {_ymd('ts')} FROM (
+        SELECT * FROM eff UNION ALL SELECT * FROM base WHERE event_id NOT IN (SELECT event_id FROM eff))""",
+    "stream_late_file": CDC2 + f"""SELECT *, {_ymd('ts')} FROM chg2 UNION ALL
+        SELECT *, {_ymd('ts')} FROM img WHERE event_id NOT IN (SELECT event_id FROM chg2)""",
+    "dq_foreign_key_parts": """SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem l
+        WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = l.l_partkey)""",
     "update_insert_only": CDC2 + f"""SELECT *, {_ymd('ts')} FROM chg2 UNION ALL
         SELECT *, {_ymd('ts')} FROM base WHERE event_id NOT IN (SELECT event_id FROM chg2)""",
     "update_no_change": CDC + f"SELECT *, {_ymd('ts')} FROM base",

@@ -27,10 +27,10 @@ def _customers(spark, data):
 
 
 BASE = [
-    (1, "Julia", "j@x", T(2024, 1, 1, 8), T(2024, 1, 1, 8)),
-    (2, "Cynthia", "c@x", T(2024, 1, 1, 9), T(2024, 1, 1, 9)),
-    (3, "Matthew", "m@x", T(2024, 1, 2, 10), T(2024, 1, 2, 10)),
-    (4, "Nadia", "n@x", None, None),
+    (1, "Ada", "a@x", T(2024, 1, 1, 8), T(2024, 1, 1, 8)),
+    (2, "Bruno", "b@x", T(2024, 1, 1, 9), T(2024, 1, 1, 9)),
+    (3, "Carla", "c3@x", T(2024, 1, 2, 10), T(2024, 1, 2, 10)),
+    (4, "Dario", "d@x", None, None),
 ]
 
 
@@ -43,7 +43,7 @@ def test_refresh_replaces_everything(spark, lake_root):
     refresh_table(ctx, "customers")
     ctx.source = FrameSource({"customers": _customers(spark, BASE[:2])})
     refresh_table(ctx, "customers")
-    assert _lake_rows(spark, lake_root) == [(1, "Julia"), (2, "Cynthia")]
+    assert _lake_rows(spark, lake_root) == [(1, "Ada"), (2, "Bruno")]
     lake = lake_scan(spark, f"{lake_root}/customers")
     assert {"partition_date", "year", "month", "day"} <= set(lake.columns)
 
@@ -65,18 +65,18 @@ def test_update_replaces_changed_keys_only(spark, lake_root):
     ctx = _ctx(spark, lake_root, {"customers": _customers(spark, BASE)})
     refresh_table(ctx, "customers")
     changed = list(BASE)
-    changed[1] = (2, "Cyn", "c@x", T(2024, 1, 1, 9), T(2024, 3, 1, 12))      # in window
-    changed[2] = (3, "Matt", "m@x", T(2024, 1, 2, 10), T(2024, 2, 1, 12))    # outside window
+    changed[1] = (2, "Cyn", "b@x", T(2024, 1, 1, 9), T(2024, 3, 1, 12))      # in window
+    changed[2] = (3, "Matt", "c3@x", T(2024, 1, 2, 10), T(2024, 2, 1, 12))    # outside window
     changed.append((6, "New", "new@x", T(2024, 3, 1, 1), T(2024, 3, 1, 1)))   # new key
     ctx.source = FrameSource({"customers": _customers(spark, changed)})
     res = update_table(ctx, "customers", dt.date(2024, 3, 1), 1)
     assert res.status == "written" and res.change_rows == 2
-    assert _lake_rows(spark, lake_root) == [(1, "Julia"), (2, "Cyn"), (3, "Matthew"), (4, "Nadia"), (6, "New")]
+    assert _lake_rows(spark, lake_root) == [(1, "Ada"), (2, "Cyn"), (3, "Carla"), (4, "Dario"), (6, "New")]
     # stable partitions: only the changed key's partition and the new one were rewritten
     assert sorted(res.affected_partitions) == [(2024, 1, 1), (2024, 3, 1)]
     again = update_table(ctx, "customers", dt.date(2024, 3, 1), 1)
     assert again.status == "written"
-    assert _lake_rows(spark, lake_root) == [(1, "Julia"), (2, "Cyn"), (3, "Matthew"), (4, "Nadia"), (6, "New")]
+    assert _lake_rows(spark, lake_root) == [(1, "Ada"), (2, "Cyn"), (3, "Carla"), (4, "Dario"), (6, "New")]
 
 
 def test_update_no_changes_writes_nothing(spark, lake_root):
@@ -93,10 +93,10 @@ def test_update_moving_rows_empties_dated_and_null_partitions(spark, lake_root):
     assert (None, None, None) in [tuple(r) for r in
                                   lake_scan(spark, f"{lake_root}/customers").select("year", "month", "day").collect()]
     moved = [
-        (1, "Julia", "j@x", T(2024, 1, 1, 8), T(2024, 1, 1, 8)),
-        (2, "Cynthia", "c@x", T(2024, 1, 1, 9), T(2024, 1, 5, 9)),
-        (3, "Matthew", "m@x", T(2024, 1, 2, 10), T(2024, 1, 5, 10)),   # empties 2024-01-02
-        (4, "Nadia", "n@x", None, T(2024, 1, 5, 11)),                  # empties the NULL partition
+        (1, "Ada", "a@x", T(2024, 1, 1, 8), T(2024, 1, 1, 8)),
+        (2, "Bruno", "b@x", T(2024, 1, 1, 9), T(2024, 1, 5, 9)),
+        (3, "Carla", "c3@x", T(2024, 1, 2, 10), T(2024, 1, 5, 10)),   # empties 2024-01-02
+        (4, "Dario", "d@x", None, T(2024, 1, 5, 11)),                  # empties the NULL partition
     ]
     ctx.source = FrameSource({"customers": _customers(spark, moved)})
     res = update_table(ctx, "customers", dt.date(2024, 1, 5), 1)
@@ -123,7 +123,7 @@ def test_update_insert_only_and_empty_lake(spark, lake_root):
 def test_update_latest_only(spark, lake_root):
     ctx = _ctx(spark, lake_root, {"customers": _customers(spark, BASE)})
     refresh_table(ctx, "customers")
-    dup = [(1, "J1", "j@x", T(2024, 1, 1, 8), T(2024, 2, 1, 1)), (1, "J2", "j@x", T(2024, 1, 1, 8), T(2024, 2, 1, 2))]
+    dup = [(1, "J1", "a@x", T(2024, 1, 1, 8), T(2024, 2, 1, 1)), (1, "J2", "a@x", T(2024, 1, 1, 8), T(2024, 2, 1, 2))]
     ctx.source = FrameSource({"customers": _customers(spark, dup)})
     update_table(ctx, "customers", dt.date(2024, 2, 1), 1, latest_only=True)
     assert _lake_rows(spark, lake_root)[0] == (1, "J2")
@@ -134,9 +134,9 @@ def test_update_unpartitioned_table(spark, lake_root):
     spec = TableSpec("customers", ("customer_id",), None, "last_updated_at")
     ctx = _ctx(spark, lake_root, {"customers": _customers(spark, BASE)}, spec)
     refresh_table(ctx, "customers")
-    ctx.source = FrameSource({"customers": _customers(spark, [(2, "Cyn", "c@x", T(2024, 1, 1, 9), T(2024, 3, 1))])})
+    ctx.source = FrameSource({"customers": _customers(spark, [(2, "Cyn", "b@x", T(2024, 1, 1, 9), T(2024, 3, 1))])})
     update_table(ctx, "customers", dt.date(2024, 3, 1), 1)
-    assert _lake_rows(spark, lake_root) == [(1, "Julia"), (2, "Cyn"), (3, "Matthew"), (4, "Nadia")]
+    assert _lake_rows(spark, lake_root) == [(1, "Ada"), (2, "Cyn"), (3, "Carla"), (4, "Dario")]
 
 
 def test_write_gives_one_file_per_small_partition(spark, lake_root):
@@ -228,7 +228,7 @@ def test_refresh_is_full_replace_even_with_dynamic_session_default(spark, lake_r
         refresh_table(ctx, "customers")
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
-    assert _lake_rows(spark, lake_root) == [(3, "Matthew")]
+    assert _lake_rows(spark, lake_root) == [(3, "Carla")]
 
 
 def test_refresh_keeps_old_table_when_the_write_fails(spark, lake_root):
@@ -239,11 +239,11 @@ def test_refresh_keeps_old_table_when_the_write_fails(spark, lake_root):
     ctx.source = FrameSource({"customers": broken})
     with pytest.raises(Exception):
         refresh_table(ctx, "customers")
-    assert _lake_rows(spark, lake_root) == [(1, "Julia"), (2, "Cynthia"), (3, "Matthew"), (4, "Nadia")]
+    assert _lake_rows(spark, lake_root) == [(1, "Ada"), (2, "Bruno"), (3, "Carla"), (4, "Dario")]
     # a later successful refresh drops the partitions the new content does not have
     ctx.source = FrameSource({"customers": _customers(spark, BASE[2:3])})
     res = refresh_table(ctx, "customers")
-    assert _lake_rows(spark, lake_root) == [(3, "Matthew")]
+    assert _lake_rows(spark, lake_root) == [(3, "Carla")]
     assert len(res.dropped_partitions) == 2
     visible = sorted(n for n in os.listdir(f"{lake_root}/customers") if not n.startswith("."))
     assert visible == ["_SUCCESS", "year=2024"]  # no marker left, emptied folders gone
@@ -254,12 +254,12 @@ def test_refresh_with_changed_partitioning_replaces_the_layout(spark, lake_root)
     refresh_table(ctx, "customers")  # day grain
     ctx.tables = {"customers": TableSpec("customers", ("customer_id",), "created_at", grain="month")}
     refresh_table(ctx, "customers")
-    assert _lake_rows(spark, lake_root) == [(1, "Julia"), (2, "Cynthia"), (3, "Matthew"), (4, "Nadia")]
+    assert _lake_rows(spark, lake_root) == [(1, "Ada"), (2, "Bruno"), (3, "Carla"), (4, "Dario")]
     month_dir = f"{lake_root}/customers/year=2024/month=1"
     assert not any(n.startswith("day=") for n in os.listdir(month_dir))
     ctx.tables = {"customers": TableSpec("customers", ("customer_id",))}  # unpartitioned now
     refresh_table(ctx, "customers")
-    assert _lake_rows(spark, lake_root) == [(1, "Julia"), (2, "Cynthia"), (3, "Matthew"), (4, "Nadia")]
+    assert _lake_rows(spark, lake_root) == [(1, "Ada"), (2, "Bruno"), (3, "Carla"), (4, "Dario")]
     assert "year" not in lake_scan(spark, f"{lake_root}/customers").columns
 
 
@@ -277,8 +277,8 @@ def test_insert_and_update_refuse_a_differently_partitioned_lake(spark, lake_roo
 def test_replaying_an_older_window_does_not_bring_back_old_versions(spark, lake_root):
     ctx = _ctx(spark, lake_root, {"customers": _customers(spark, BASE)})
     refresh_table(ctx, "customers")
-    v_old = [(2, "Cyn-1", "c@x", T(2024, 1, 1, 9), T(2024, 3, 1, 12))]
-    v_new = [(2, "Cyn-2", "c@x", T(2024, 1, 1, 9), T(2024, 3, 5, 12))]
+    v_old = [(2, "Cyn-1", "b@x", T(2024, 1, 1, 9), T(2024, 3, 1, 12))]
+    v_new = [(2, "Cyn-2", "b@x", T(2024, 1, 1, 9), T(2024, 3, 5, 12))]
     ctx.source = FrameSource({"customers": _customers(spark, v_new)})
     update_table(ctx, "customers", dt.date(2024, 3, 5), 1)
     ctx.source = FrameSource({"customers": _customers(spark, v_old)})  # a late backfill of 03-01

@@ -49,7 +49,11 @@ def test_align_columns(spark, lake):
     out = align_columns(extra, lake.schema)
     assert out.schema == lake.schema
     missing = spark.createDataFrame([(5, 2024, 1, 1)], "id long, year int, month int, day int")
-    assert rows(align_columns(missing, lake.schema)) == [(5, None, 2024, 1, 1)]
+    assert rows(align_columns(missing, lake.schema, fill_missing=True)) == [(5, None, 2024, 1, 1)]
+    with pytest.raises(ValueError, match=r"\['v'\] of the lake are not"):
+        align_columns(missing, lake.schema)
+    with pytest.raises(ValueError, match="id: string to bigint|id: string to int"):
+        align_columns(spark.createDataFrame([("5", 2024, 1, 1, "x")], "id string, year int, month int, day int, v string"), lake.schema)
     assert align_columns(extra, ["v", "id"]).columns == ["v", "id"]
 
 

@@ -34,7 +34,7 @@ def test_stream_upsert_processes_each_file_once(spark, tmp_path):
     q = ingest_changes(ctx, "items", drop, v1.schema)
     assert rows(lake_scan(spark, f"{root}/items"), "id", "v") == [(1, "a1"), (2, "b2"), (3, "c")]
     assert q.lastProgress is not None
-    assert checkpoint_location(ctx, "items").startswith(root)
+    assert checkpoint_location(ctx, "items", "update", drop).startswith(root)
 
 
 def test_stream_insert_dedupes(spark, tmp_path):

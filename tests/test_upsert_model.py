@@ -42,23 +42,25 @@ def _in_window(t):
 
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(base=base_rows, changes=change_rows, moving=st.booleans(), change_hours=stamps,
-       grain=st.sampled_from(["day", "month"]))
+       grain=st.sampled_from(["day", "month"]), corrected=st.booleans())
 # every row of 2024-01-02 moves away; the NULL partition empties; pure insert; no change
 @example(base={1: (1, 30), 2: (2, 30), 3: (3, 100)}, changes={1: (11, None), 2: (12, None)}, moving=True,
-         change_hours=9 * 24, grain="day")
+         change_hours=9 * 24, grain="day", corrected=False)
 @example(base={1: (1, None), 2: (2, 5)}, changes={1: (11, None)}, moving=True, change_hours=9 * 24 + 3,
-         grain="month")
-@example(base={1: (1, 5)}, changes={7: (17, 9 * 24)}, moving=False, change_hours=None, grain="day")
-@example(base={1: (1, 5)}, changes={}, moving=True, change_hours=9 * 24, grain="day")
+         grain="month", corrected=False)
+@example(base={1: (1, 5)}, changes={7: (17, 9 * 24)}, moving=False, change_hours=None, grain="day", corrected=False)
+@example(base={1: (1, 5), 2: (2, 5)}, changes={1: (11, 200), 2: (12, None)}, moving=False, change_hours=9 * 24, grain="day",
+         corrected=True)
+@example(base={1: (1, 5)}, changes={}, moving=True, change_hours=9 * 24, grain="day", corrected=False)
 @example(base={1: (1, 9 * 24 + 20), 2: (2, 9 * 24 + 20)}, changes={1: (11, None)}, moving=True,
-         change_hours=9 * 24 + 2, grain="day")
-def test_update_matches_model(spark, tmp_path_factory, base, changes, moving, change_hours, grain):
+         change_hours=9 * 24 + 2, grain="day", corrected=False)
+def test_update_matches_model(spark, tmp_path_factory, base, changes, moving, change_hours, grain, corrected):
     root = str(tmp_path_factory.mktemp("lake"))
     base_data = [(k, v, _stamp(t), _stamp(t)) for k, (v, t) in base.items()]
     # source after the edits: changed keys get a new value and a change stamp (maybe in window)
     source = {k: (k, v, _stamp(t), _stamp(t)) for k, (v, t) in base.items()}
     for k, (v, t) in changes.items():
-        created = source[k][2] if k in source else _stamp(t)
+        created = source[k][2] if k in source and not corrected else _stamp(t)
         source[k] = (k, v, created, _stamp(change_hours if change_hours is not None else t))
     spec = TableSpec("t", ("k",), "created_at", "last_updated_at",
                      partition_column="last_updated_at" if moving else None, grain=grain)

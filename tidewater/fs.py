@@ -76,26 +76,37 @@ def touch(spark: SparkSession, path: str) -> int:
     return int(fs.getFileStatus(hpath).getModificationTime())
 
 
-def newest_file_per_dir(spark: SparkSession, root: str, depth: int) -> dict[str, int]:
-    """``{directory: newest mtime}`` for the directories ``depth`` levels below ``root`` that
-    hold visible data files (one recursive listing, paginated by the file system)."""
-    fs, hpath = _fs_and_path(spark, root)
-    out: dict[str, int] = {}
+def data_files(spark: SparkSession, *paths: str) -> list[str]:
+    """URIs of all data files below ``paths``, by Spark's own (parallel) listing; the files'
+    contents are not read and the names come to the driver in one transfer, as many as Spark's
+    file index holds for the same folders."""
+    present = [p for p in paths if has_data_files(spark, p)]
+    if not present:
+        return []
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(present).select("path")
+    return [r[0] for r in listed.collect()]
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small file; ``None`` when it does not exist."""
+    fs, hpath = _fs_and_path(spark, path)
     if not fs.exists(hpath):
-        return out
-    base = fs.makeQualified(hpath).toString().rstrip("/")
-    it = fs.listFiles(hpath, True)
-    while it.hasNext():
-        status = it.next()
-        uri = status.getPath().toString()
-        if not _visible_below(base, uri):
-            continue
-        segs = uri[len(base):].strip("/").split("/")
-        if len(segs) <= depth:
-            continue
-        d = base + "/" + "/".join(segs[:depth])
-        out[d] = max(out.get(d, 0), int(status.getModificationTime()))
-    return out
+        return None
+    stream = fs.open(hpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, content: str) -> None:
+    """Write a small file, replacing an older one."""
+    fs, hpath = _fs_and_path(spark, path)
+    out = fs.create(hpath, True)
+    try:
+        out.write(bytearray(content.encode("utf-8")))
+    finally:
+        out.close()
 
 
 def qualify(spark: SparkSession, path: str) -> str:
@@ -135,6 +146,11 @@ def create_exclusive(spark: SparkSession, path: str, content: str) -> bool:
     return True
 
 
+def set_modification_time(spark: SparkSession, path: str, ms: int) -> None:
+    fs, hpath = _fs_and_path(spark, path)
+    fs.setTimes(hpath, int(ms), -1)
+
+
 def modification_time(spark: SparkSession, path: str) -> int | None:
     fs, hpath = _fs_and_path(spark, path)
     if not fs.exists(hpath):

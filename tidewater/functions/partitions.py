@@ -35,8 +35,12 @@ def partition_columns(grain: str = "day") -> tuple[str, ...]:
 def derive_partition_columns(df: DataFrame, time_column: str, grain: str = "day") -> DataFrame:
     """Add ``partition_date = try_cast(time_column AS DATE)`` and its year/month/day ints.
 
-    An unparseable or NULL time gives NULL for all of them (the NULL partition).
+    An unparseable or NULL time gives NULL for all of them (the NULL partition). A column of
+    ``df`` that already has one of the names is an error: it would be overwritten.
     """
+    taken = [c for c in (PARTITION_DATE, *partition_columns(grain)) if c in df.columns]
+    if taken:
+        raise ValueError(f"columns {taken} of the table have names of partition columns; rename them in the source")
     pdate = F.col(time_column).try_cast("date")
     cols = {PARTITION_DATE: pdate}
     for name in partition_columns(grain):

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidewater.functions.windows import change_window_condition
 
-_ROW = "__tw_row"
+_ROW, _ALONE = "__tw_row", "__tw_alone"
 
 
 def change_window(df: DataFrame, time_column: str, as_of=None, days: int = 1) -> DataFrame:
@@ -28,7 +28,7 @@ def has_changes(df: DataFrame) -> bool:
 
 
 def has_changes_frame(df: DataFrame) -> DataFrame:
-    """One row ``has_changes`` boolean, lazily; scans until the first row is found."""
+    """One row ``has_changes`` boolean, lazily; each task reads its part until its first row."""
     return df.limit(1).agg((F.count(F.lit(1)) > 0).alias("has_changes"))
 
 
@@ -42,20 +42,35 @@ def _orderable(dt: T.DataType) -> bool:
     return True
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order_column: str) -> DataFrame:
-    """Keep one row per key: the one with the greatest ``order_column``.
+def any_null(keys: Sequence[str]):
+    """Condition: at least one key column is NULL."""
+    cond = F.lit(False)
+    for k in keys:
+        cond = cond | F.col(k).isNull()
+    return cond
 
-    Expressed as a hash aggregate of ``max(struct(order_column, other columns))`` so the
-    work is combined map-side before the shuffle: a key holding a third of all rows is
-    reduced to one row per task, never gathered into one task. Ties on ``order_column``
-    are broken by the remaining columns, which makes the result deterministic.
+
+def latest_per_key(df: DataFrame, keys: Sequence[str], order_column: str | None) -> DataFrame:
+    """Keep one row per key: the one with the greatest ``order_column`` (NULL is the least;
+    without an order column, any one). Rows with a NULL key column are all kept: they are no
+    versions of each other.
+
+    An aggregate of ``max(struct(order_column, other columns))``, combined map-side before the
+    shuffle: a key holding a third of all rows is reduced to one row per task, never gathered
+    into one task. Ties on ``order_column`` are broken by the other columns that have an order;
+    rows that still tie differ in columns without one (maps) at most, and any of them is kept.
     """
     keys = list(keys)
-    others = [c for c in df.columns if c not in keys and c != order_column]
-    ordered = [order_column] + others
-    if all(_orderable(df.schema[c].dataType) for c in ordered):
-        agg = F.max(F.struct(*ordered)).alias(_ROW)
+    others = [c for c in df.columns if c not in keys]
+    ordered = [c for c in others if _orderable(df.schema[c].dataType) and c != order_column]
+    if order_column:
+        ordered.insert(0, order_column)
+    marked = df.withColumn(_ALONE, F.when(any_null(keys), F.monotonically_increasing_id()))
+    row = F.struct(*others) if others else F.struct(F.lit(1).alias(_ROW))
+    if len(ordered) == len(others):
+        picked = F.max(F.struct(*ordered)) if ordered else F.first(row)
     else:
-        agg = F.max_by(F.struct(*ordered), F.col(order_column)).alias(_ROW)
-    picked = df.groupBy(*keys).agg(agg)
+        # a struct is never NULL, so rows whose stamps are all NULL keep their columns
+        picked = F.max_by(row, F.struct(*ordered)) if ordered else F.first(row)
+    picked = marked.groupBy(*keys, _ALONE).agg(picked.alias(_ROW))
     return picked.select(*[F.col(c) if c in keys else F.col(f"{_ROW}.{c}").alias(c) for c in df.columns])

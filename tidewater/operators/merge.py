@@ -4,12 +4,15 @@ than the lake's version (newest wins)."""
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+log = logging.getLogger("tidewater")
+
 
 def _keys_of(changes: DataFrame, keys: Sequence[str], broadcast_keys: bool) -> DataFrame:
     """The key side of a semi/anti join. Broadcast as is when the caller bounded its size;
@@ -40,11 +43,48 @@ def unchanged_rows(existing: DataFrame, changes: DataFrame, keys: Sequence[str],
     return existing.join(_keys_of(changes, keys, broadcast_keys), keys, "left_anti")
 
 
-def align_columns(df: DataFrame, target: T.StructType | Sequence[str]) -> DataFrame:
-    """Restrict/reorder ``df`` to the target columns; with a schema, add missing ones as
-    typed NULLs and cast to the target types (the lake's columns win)."""
+_WIDER = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
+
+
+def _fits(have: T.DataType, want: T.DataType) -> bool:
+    """Whether every value of ``have`` is kept by a cast to ``want``."""
+    if have.simpleString() == want.simpleString() or isinstance(have, T.NullType):
+        return True
+    kinds = (type(have), type(want))
+    if all(k in _WIDER for k in kinds):
+        return _WIDER.index(kinds[0]) <= _WIDER.index(kinds[1])
+    if isinstance(have, T.DecimalType) and isinstance(want, T.DecimalType):
+        return have.scale <= want.scale and have.precision - have.scale <= want.precision - want.scale
+    if kinds[0] in _WIDER and isinstance(want, T.DecimalType):
+        return want.precision - want.scale >= (3, 5, 10, 19)[_WIDER.index(kinds[0])]
+    exact_double = isinstance(have, T.FloatType) or kinds[0] in _WIDER[:3]
+    if isinstance(want, T.DoubleType) and exact_double:
+        return True
+    if isinstance(have, (T.StructType, T.ArrayType, T.MapType)):
+        return kinds[0] is kinds[1] and have.simpleString() == want.simpleString()
+    return kinds in ((T.VarcharType, T.StringType), (T.CharType, T.StringType), (T.TimestampNTZType, T.TimestampType),
+                     (T.TimestampType, T.TimestampNTZType), (T.DateType, T.TimestampType), (T.DateType, T.TimestampNTZType))
+
+
+def align_columns(df: DataFrame, target: T.StructType | Sequence[str], fill_missing: bool = False) -> DataFrame:
+    """Restrict/reorder ``df`` to the target columns; with a schema, cast to the target types.
+
+    A schema is a contract: a target column that ``df`` lacks is an error (``fill_missing``
+    asks for typed NULLs instead), and so is a type whose values the cast might lose. Columns
+    that the target does not have are left out with a warning.
+    """
     if isinstance(target, T.StructType):
         have = set(df.columns)
+        missing = [f.name for f in target.fields if f.name not in have]
+        if missing and not fill_missing:
+            raise ValueError(f"columns {missing} of the lake are not in the rows to write (columns: {df.columns})")
+        unfit = [f"{f.name}: {df.schema[f.name].dataType.simpleString()} to {f.dataType.simpleString()}"
+                 for f in target.fields if f.name in have and not _fits(df.schema[f.name].dataType, f.dataType)]
+        if unfit:
+            raise ValueError(f"column types do not fit the lake's: {unfit}")
+        extra = [c for c in df.columns if c not in target.fieldNames()]
+        if extra:
+            log.warning("columns %s are not in the lake and are left out; refresh the table to add them", extra)
         return df.select(*[
             (F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in target.fields])

@@ -15,14 +15,23 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewater import fs
 from tidewater.session import scratch_path
 
+ALIVE = "_tidewater_alive"  # hidden from readers
+ALIVE_EVERY_S = 60
+
 
 class Staged:
     """A staged copy: ``.df`` reads it back; ``release()`` deletes the folder."""
 
     def __init__(self, spark: SparkSession, path: str, df: DataFrame):
+        from tidewater.plans.locking import Heartbeat
+
         self.spark, self.path, self.df = spark, path, df
+        alive = f"{path}/{ALIVE}"
+        fs.write_text(spark, alive, path)
+        self._beat = Heartbeat(spark, alive, path, ALIVE_EVERY_S).__enter__()
 
     def release(self) -> None:
+        self._beat.__exit__()
         fs.delete(self.spark, self.path)
 
     def __enter__(self) -> "Staged":
@@ -42,8 +51,8 @@ def materialise(df: DataFrame, label: str = "stage") -> Staged:
 def cleanup_scratch(spark: SparkSession, older_than_s: int = 24 * 3600) -> list[str]:
     """Delete staged change sets left by jobs whose driver died (normally each job deletes
     its own in ``finally``). Only this library's ``tidewater-stage`` folders under the shared
-    root are considered, and only those older than ``older_than_s`` (a running job's stage
-    is younger). Returns the deleted paths."""
+    root are considered, and only those without a sign of life for ``older_than_s``: a running
+    job rewrites a file in its folder all the time. Returns the deleted paths."""
     from tidewater.session import shared_root
 
     root = f"{shared_root(spark)}/tidewater-stage"
@@ -55,7 +64,7 @@ def cleanup_scratch(spark: SparkSession, older_than_s: int = 24 * 3600) -> list[
         if not is_dir or name.startswith("."):
             continue
         path = f"{root}/{name}"
-        stamp = fs.modification_time(spark, path)
+        stamp = max((t for t in (fs.modification_time(spark, path), fs.modification_time(spark, f"{path}/{ALIVE}")) if t is not None), default=None)
         if stamp is not None and now_ms - stamp > older_than_s * 1000:
             fs.delete(spark, path)
             removed.append(path)

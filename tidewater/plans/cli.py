@@ -35,9 +35,14 @@ def parse_args(argv=None) -> argparse.Namespace:
                    help="environment variable holding the user name")
     p.add_argument("--jdbc-password-env", default="TIDEWATER_DB_PASSWORD",
                    help="environment variable holding the password")
-    p.add_argument("--tables-json", help="JSON file: list of TableSpec fields; default: the financial schema")
+    p.add_argument("--tables-json", help="JSON file: list of TableSpec fields; default: the financial schema. A table's "
+                   "\"jdbc\" object (column, lower_bound, upper_bound, num_partitions) splits its JDBC read; bounds left "
+                   "out are asked from the source")
+    p.add_argument("--jdbc-fetch-size", type=int, default=10_000)
     p.add_argument("--as-of", default=None, help="window centre date (default: today)")
     p.add_argument("--days", type=int, default=1)
+    p.add_argument("--since-last", action="store_true",
+                   help="widen the window back to the last successful run of the table and action")
     p.add_argument("--dedupe-on-key", action="store_true")
     p.add_argument("--latest-only", action="store_true")
     p.add_argument("--no-newest-wins", action="store_true",
@@ -48,8 +53,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--max-records-per-file", type=int, default=None)
     p.add_argument("--broadcast-limit-mb", type=int, default=64,
                    help="largest change-key set broadcast explicitly")
-    p.add_argument("--lock-ttl-s", type=int, default=6 * 3600,
-                   help="age after which a table lock left by a dead job may be taken over")
+    p.add_argument("--lock-ttl-s", type=float, default=1800,
+                   help="time without a heartbeat after which a table lock is a dead job's and may be taken over")
     p.add_argument("--no-locking", action="store_true", help="do not take table writer locks")
     p.add_argument("--cleanup-scratch-hours", type=float, default=None,
                    help="first delete staged change sets older than this (left by dead drivers)")
@@ -63,7 +68,17 @@ def load_tables(path: str | None) -> dict[str, TableSpec]:
     if not path:
         return dict(REFERENCE_TABLES)
     with open(path) as f:
-        return {d["name"]: TableSpec(**d) for d in json.load(f)}
+        return {d["name"]: TableSpec(**{k: v for k, v in d.items() if k != "jdbc"}) for d in json.load(f)}
+
+
+def load_partitioning(path: str | None) -> dict:
+    """``{table: JdbcPartitioning}`` of the tables whose entry has a ``jdbc`` object."""
+    from tidewater.sources.jdbc import JdbcPartitioning
+
+    if not path:
+        return {}
+    with open(path) as f:
+        return {d["name"]: JdbcPartitioning(**d["jdbc"]) for d in json.load(f) if d.get("jdbc")}
 
 
 def build_source(spark, a: argparse.Namespace):
@@ -82,7 +97,8 @@ def build_source(spark, a: argparse.Namespace):
         props["password"] = os.environ[a.jdbc_password_env]
     if a.jdbc_driver:
         props["driver"] = a.jdbc_driver
-    return JdbcSource(spark, a.jdbc_url, props, schema=a.jdbc_schema)
+    return JdbcSource(spark, a.jdbc_url, props, schema=a.jdbc_schema, partitioning=load_partitioning(a.tables_json),
+                      fetch_size=a.jdbc_fetch_size)
 
 
 def main(argv=None) -> int:
@@ -102,7 +118,7 @@ def main(argv=None) -> int:
     try:
         results, code = run_action(ctx, a.action, a.mode, a.table, a.as_of, a.days,
                                    a.dedupe_on_key, a.latest_only, a.max_concurrent_tables,
-                                   newest_wins=not a.no_newest_wins), 0
+                                   newest_wins=not a.no_newest_wins, since_last=a.since_last), 0
     except ActionFailed as failed:
         results, code = failed.results, 1
     for r in results:

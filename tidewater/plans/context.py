@@ -23,9 +23,10 @@ class EngineContext:
     # None = automatic: no shuffle for a full copy of an unpartitioned table (each input
     # split becomes one file), REBALANCE for everything else; or a value of sinks.lake.LAYOUTS.
     write_layout: str | None = None
-    # one writer per table (see plans.locking); ``lock_ttl_s`` ages out locks of dead drivers
+    # one writer per table (see plans.locking); a lock without a heartbeat for ``lock_ttl_s``
+    # is a dead driver's
     locking: bool = True
-    lock_ttl_s: int = 6 * 3600
+    lock_ttl_s: float = 1800
 
     def __post_init__(self):
         self.lake_root = self.lake_root.rstrip("/")

@@ -1,15 +1,16 @@
 """User-level jobs: refresh, insert, update (copy-on-write upsert) and run_action.
 
-Spark actions per job: refresh 1 write (plus a file listing to drop partitions the new
-content no longer has), insert 1 write, update: stage the change set once, ONE aggregate
-for row count + key size bound + partition set + oldest change stamp, one one-column
-aggregate for the newest-wins test (newest affected lake stamp), two more small aggregates
-only when rows may move between partitions, then the write. The source is queried once
-per job in every case.
+Spark actions per job: refresh 1 write (plus file listings to drop partitions the new
+content no longer has), insert 1 write (with key dedupe the rows are staged first), update:
+stage the change set once, ONE aggregate for row count + key size bound + partition set +
+oldest change stamp, one one-column aggregate for the newest-wins test (newest affected lake
+stamp), the lookup of the partitions that hold changed keys, then the write. The source is
+queried once per job in every case.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 import os
 from concurrent.futures import ThreadPoolExecutor
@@ -19,9 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidewater import fs
-from tidewater.functions.partitions import dates_to_partitions, derive_partition_columns
+from tidewater.functions.partitions import dates_to_partitions, derive_partition_columns, partition_dir
 from tidewater.functions.windows import as_date, window_partition_dates
-from tidewater.operators.changes import change_window, latest_per_key
+from tidewater.operators.changes import any_null, change_window, latest_per_key
 from tidewater.operators.inventory import collect_partitions
 from tidewater.operators.merge import (
     align_columns,
@@ -35,7 +36,7 @@ from tidewater.operators.sizing import change_profile, may_broadcast
 from tidewater.operators.staging import materialise
 from tidewater.plans.context import EngineContext
 from tidewater.plans.specs import TableSpec, action_parameters
-from tidewater.sinks.lake import lake_append, lake_replace, lake_replace_where, write_lake
+from tidewater.sinks.lake import drop_partitions, lake_append, lake_replace, lake_replace_where, write_lake
 from tidewater.sources.catalog import list_source_tables
 from tidewater.sources.lake import lake_partition_scan, lake_scan
 
@@ -78,9 +79,6 @@ def prepare_and_save(ctx: EngineContext, df: DataFrame, spec: TableSpec, write:
         raise ValueError(f"unknown write {write!r}")
 
 
-_REFRESH_MARKER = "_tidewater_refresh_started"
-
-
 def _layout(spark: SparkSession, path: str, cols) -> str:
     """"missing" (no data), "same" (files sit under exactly ``cols`` directory levels) or
     "different" — checked on one data file, so it costs one listing call."""
@@ -106,32 +104,94 @@ def _check_layout(spark: SparkSession, name: str, path: str, cols) -> bool:
 
 
 _STAGING_PREFIX = ".tidewater-refresh-"
+_SWAP = "_tidewater_swap"  # hidden from readers
+_MOVES_AT_ONCE = 16
+
+
+def _each(names, do) -> None:
+    """``do`` for every name, several at once; the first failure is raised after all ended."""
+    with ThreadPoolExecutor(max_workers=_MOVES_AT_ONCE) as pool:
+        for future in [pool.submit(do, n) for n in names]:
+            future.result()
+
+
+def _move(spark: SparkSession, src: str, dst: str) -> None:
+    # Hadoop's rename tells several failures by returning false
+    if not fs.rename(spark, src, dst):
+        raise OSError(f"could not move {src} to {dst}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    if not fs.delete(spark, path) and fs.exists(spark, path):
+        raise OSError(f"could not delete {path}")
+
+
+def _finish_swap(spark: SparkSession, path: str, plan: dict) -> None:
+    """Carries a written swap plan out from wherever it stopped: moves what is still staged,
+    and deletes the old files only when every new one is in place."""
+    staging = f"{path}/{plan['staging']}"
+    waiting = {c for c, _ in fs.list_entries(spark, staging)}
+    _each([n for n in plan["new"] if n in waiting], lambda n: _move(spark, f"{staging}/{n}", f"{path}/{n}"))
+    present = {c for c, _ in fs.list_entries(spark, path)}
+    lost = [n for n in plan["new"] if n not in present]
+    if lost:
+        raise OSError(f"{len(lost)} new files of {path} are missing, e.g. {lost[0]}; the old files were not touched")
+    _each([n for n in plan["old"] if n in present], lambda n: _delete(spark, f"{path}/{n}"))
+    _delete(spark, staging)
+    _delete(spark, f"{path}/{_SWAP}")
+
+
+def recover_swap(spark: SparkSession, path: str) -> bool:
+    """Finishes a swap that a failed job left half done, and removes staging folders of swaps
+    that never began. Every job calls it first, under the table's lock."""
+    entries = fs.list_entries(spark, path)
+    if any(name == _SWAP for name, _ in entries):
+        plan = fs.read_text(spark, f"{path}/{_SWAP}")
+        log.warning("finishing the interrupted swap of %s", path)
+        _finish_swap(spark, path, json.loads(plan))
+        return True
+    for child, is_dir in entries:
+        if child.startswith((_STAGING_PREFIX, f"{_SWAP}.")):
+            fs.delete(spark, f"{path}/{child}")
+    return False
 
 
 def _swap_in_unpartitioned(ctx: EngineContext, path: str, df: DataFrame, full_copy: bool) -> int:
     """Replace an existing unpartitioned table without an empty moment: write ``df`` into a
     hidden folder inside the table (readers skip hidden folders), move the new files in next
     to the old ones (Spark's file names carry the job id, so they never collide), then delete
-    the old files listed before the move. ``df`` may read the table itself: it is written in
-    full before anything old is touched. A failed write leaves the old table as it was; a
-    crash between move and delete leaves old + new files, which the next refresh replaces.
-    Leftover staging folders of failed runs are removed first. Returns the old file count."""
+    the old ones. ``df`` may read the table itself: it is written in full before anything old
+    is touched.
+
+    A plan with all new and old names is written before the first move. A failed write leaves
+    the old table as it was; a move that fails is undone with those before it; a job that died
+    in between is finished from the plan by the next job on the table (``recover_swap``). Until
+    then readers may see old and new rows together. Returns the old file count."""
     spark = ctx.spark
-    for child, is_dir in fs.list_entries(spark, path):
-        if is_dir and child.startswith(_STAGING_PREFIX):
-            fs.delete(spark, f"{path}/{child}")
     old = [c for c, is_dir in fs.list_entries(spark, path) if not is_dir and not c.startswith(("_", "."))]
-    staging = f"{path}/{_STAGING_PREFIX}{os.urandom(6).hex()}"
+    name = f"{_STAGING_PREFIX}{os.urandom(6).hex()}"
+    staging = f"{path}/{name}"
     write_lake(df, staging, [], "overwrite", **ctx.write_options(full_copy_unpartitioned=full_copy))
-    for child, is_dir in fs.list_entries(spark, staging):
-        if not is_dir and not child.startswith(("_", ".")):
-            fs.rename(spark, f"{staging}/{child}", f"{path}/{child}")
-    for child in old:
-        fs.delete(spark, f"{path}/{child}")
-    fs.delete(spark, staging)
+    new = [c for c, is_dir in fs.list_entries(spark, staging) if not is_dir and not c.startswith(("_", "."))]
+    plan = {"staging": name, "new": new, "old": old}
+    part = f"{path}/{_SWAP}.{os.urandom(4).hex()}"
+    fs.write_text(spark, part, json.dumps(plan))
+    _move(spark, part, f"{path}/{_SWAP}")
+    try:
+        _each(new, lambda n: _move(spark, f"{staging}/{n}", f"{path}/{n}"))
+    except Exception:
+        moved = [n for n in new if not fs.exists(spark, f"{staging}/{n}")]
+        _each(moved, lambda n: _move(spark, f"{path}/{n}", f"{staging}/{n}"))
+        _delete(spark, f"{path}/{_SWAP}")
+        raise
+    _finish_swap(spark, path, plan)
     return len(old)
 
 
+def _partition_of(uri: str, depth: int) -> str:
+    return "/".join(uri.rsplit("/", 1)[0].split("/")[-depth:])
+
+
 def _refresh_unpartitioned(ctx: EngineContext, name: str, path: str) -> JobResult:
     replaced = _swap_in_unpartitioned(ctx, path, ctx.source.table(name), full_copy=True)
     log.info("refresh %s: replaced %d files of %s", name, replaced, path)
@@ -144,9 +204,9 @@ def _refresh_table(ctx: EngineContext, name: str, keep_old_until_commit: bool =
     For a partitioned table that already exists the new content is written with dynamic
     partition overwrite: until the job commits, readers and a failed or killed job see the
     old table intact (a static overwrite would delete it before writing). Partitions the new
-    content does not have are then found by modification time — every file in them
-    predates a marker written at the start — and deleted. An existing unpartitioned table is
-    written to a hidden folder first and swapped in file by file (``_refresh_unpartitioned``).
+    content does not have are those that hold files listed before the write only (file names
+    carry the id of the job that wrote them), and are deleted. An existing unpartitioned table
+    is written to a hidden folder first and swapped in (``_swap_in_unpartitioned``).
     ``keep_old_until_commit=False``, a new table, and a table whose partition layout changed
     (e.g. day to month grain) use a plain static overwrite.
     """
@@ -160,23 +220,28 @@ def _refresh_table(ctx: EngineContext, name: str, keep_old_until_commit: bool =
         prepare_and_save(ctx, ctx.source.table(name), spec, "overwrite")
         log.info("refresh %s: replaced %s", name, path)
         return JobResult(name, "refresh", "written")
-    marker = f"{path}/{_REFRESH_MARKER}"
-    started = fs.touch(spark, marker)
+    before = set(fs.data_files(spark, path))
     df = derive_partition_columns(ctx.source.table(name), spec.partition_by, spec.grain)
     lake_replace_where(df, path, cols, **ctx.write_options())
-    stale = [d for d, newest in fs.newest_file_per_dir(spark, path, len(cols)).items() if newest < started]
-    root = fs.qualify(spark, path)
-    for d in stale:
-        fs.delete(spark, d)
-        parent = d.rsplit("/", 1)[0]
-        while parent.startswith(root + "/") and not fs.list_children(spark, parent):
-            fs.delete(spark, parent)
-            parent = parent.rsplit("/", 1)[0]
-    fs.delete(spark, marker)
+    after = fs.data_files(spark, path)
+    fresh = {_partition_of(f, len(cols)) for f in after if f not in before}
+    stale = sorted({_partition_of(f, len(cols)) for f in after} - fresh)
+    _each(stale, lambda d: _delete(spark, f"{path}/{d}"))
+    _drop_empty_parents(spark, path, stale)
     log.info("refresh %s: rewrote %s, dropped %d partitions no longer in the source", name, path, len(stale))
     return JobResult(name, "refresh", "written", dropped_partitions=stale)
 
 
+def _drop_empty_parents(spark: SparkSession, path: str, partitions) -> None:
+    """Deletes the folders above deleted partitions that hold nothing any more."""
+    parents = {p.rsplit("/", 1)[0] for p in partitions if "/" in p}
+    while parents:
+        empty = [p for p in sorted(parents) if not fs.list_children(spark, f"{path}/{p}")]
+        for p in empty:
+            fs.delete(spark, f"{path}/{p}")
+        parents = {p.rsplit("/", 1)[0] for p in empty if "/" in p}
+
+
 def lake_schema(spark: SparkSession, path: str, cols) -> T.StructType:
     """Schema of a lake table from one data file's footer plus int partition columns
     (no listing of the whole table)."""
@@ -199,7 +264,7 @@ def insert_table(ctx: EngineContext, name: str, as_of=None, days: int = 1,
     _require_columns(source, [spec.created_column] + list(spec.keys if dedupe_on_key else ()), name, "created/key")
     window = change_window(source, spec.created_column, as_of, days)
     parts = None
-    if spec.partition_by == spec.created_column:
+    if spec.partition_by == spec.created_column and spec.stable_partitions:
         parts = dates_to_partitions(window_partition_dates(as_of, days), spec.grain)
     return append_changes(ctx, name, window, dedupe_on_key, lookup_partitions=parts)
 
@@ -208,11 +273,15 @@ def _append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_ke
                    lookup_partitions: list | None = None) -> JobResult:
     """Append rows to the lake table in one pass (one Spark action).
 
-    With ``dedupe_on_key`` one row per key is kept and rows whose key is already in the
-    lake are left out, which makes overlapping or repeated windows idempotent.
+    With ``dedupe_on_key`` the rows are staged once, one row per key is kept (the newest by the
+    change column, or the created one) and rows whose key is already in the lake are left out,
+    which makes overlapping or repeated windows idempotent. Rows with a NULL key column are
+    appended as they are: they are never taken for copies of each other.
     ``lookup_partitions`` limits that lookup to the partitions the rows can live in; when
-    it is not given and keys never change partition, it is taken from the rows themselves
-    (one small aggregate); otherwise the whole lake's keys are read.
+    it is not given and the spec promises stable partitions, it is taken from the rows
+    themselves (one small aggregate); otherwise the whole lake's keys are read.
+    Rows appended to an existing table take its schema; a column missing from them or a type
+    that doesn't fit is an error before anything is written.
     """
     spec = ctx.spec(name)
     spark = ctx.spark
@@ -221,18 +290,27 @@ def _append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_ke
     if spec.partition_by:
         rows = derive_partition_columns(rows, spec.partition_by, spec.grain)
     exists = _check_layout(spark, name, path, cols)
+    if exists:
+        rows = align_columns(rows, lake_schema(spark, path, cols))
+    staged = None
     if dedupe_on_key and spec.keys:
-        rows = rows.dropDuplicates(list(spec.keys))
-    if dedupe_on_key and spec.keys and exists:
-        if lookup_partitions is None and cols and spec.partitions_are_stable:
-            lookup_partitions = collect_partitions(rows, cols)
-        if lookup_partitions is not None:
-            existing = lake_partition_scan(spark, path, lookup_partitions, cols)
-        else:
-            existing = lake_scan(spark, path)
-        if existing is not None:
-            rows = unchanged_rows(rows, existing.select(*spec.keys), spec.keys)
-    lake_append(rows, path, cols, **ctx.write_options())
+        stamp = next((c for c in (spec.change_column, spec.created_column) if c and c in rows.columns), None)
+        staged = materialise(latest_per_key(rows, spec.keys, stamp), label=f"{name}-rows")
+        rows = staged.df
+    try:
+        if staged and exists:
+            if lookup_partitions is None and cols and spec.stable_partitions:
+                lookup_partitions = collect_partitions(rows, cols)
+            if lookup_partitions is not None:
+                existing = lake_partition_scan(spark, path, lookup_partitions, cols)
+            else:
+                existing = lake_scan(spark, path)
+            if existing is not None:
+                rows = unchanged_rows(rows, existing.select(*spec.keys), spec.keys)
+        lake_append(rows, path, cols, **ctx.write_options())
+    finally:
+        if staged:
+            staged.release()
     log.info("insert %s: appended to %s (dedupe_on_key=%s)", name, path, dedupe_on_key)
     return JobResult(name, "insert", "written")
 
@@ -265,13 +343,17 @@ def _upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_on
     """Copy-on-write upsert of a change set into the lake table ``name``.
 
     1. stage the change set once in the shared folder (one source query);
-    2. affected partitions = where the changed keys live now ∪ where they go;
+    2. affected partitions = where the changed keys live now ∪ where they go. Keys are looked
+       up in the partitions of their change rows, and those not found there in the whole
+       lake's key columns, unless the spec promises stable partitions;
     3. image = affected rows without the changed keys ∪ the change rows;
     4. dynamic overwrite of exactly those partitions; partitions left empty are deleted.
     Afterwards every key has exactly one row (one per change row with ``latest_only``
     off and duplicate keys in the change set). Re-running with the same change set gives
-    the same lake, so a retried batch is harmless. ``stage=False`` is for change sets that
-    are already materialised (e.g. a streaming micro-batch read from files).
+    the same lake, so a retried batch is harmless. A change row with a NULL key column is an
+    error: no later run could tell that it is there already. So are a lake column that the
+    change set lacks and a type that doesn't fit. ``stage=False`` is for change sets that
+    are already materialised.
     With ``newest_wins`` (and a change column) a change row older than the lake's row for
     its key is ignored, so replaying an old window or an out-of-order batch after newer ones
     cannot bring back old versions.
@@ -302,6 +384,8 @@ def _upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_on
         if n == 0:
             log.info("update %s: no changes", name)
             return JobResult(name, "update", "no_changes", 0)
+        if any(changes.schema[k].nullable for k in keys) and not changes.where(any_null(keys)).isEmpty():
+            raise ValueError(f"table {name!r}: change rows with a NULL in key columns {keys}")
         bcast = may_broadcast(key_bytes, ctx.broadcast_limit)
         log.info("update %s: %d change rows, key bound %d bytes, broadcast keys: %s", name, n, key_bytes, bcast)
 
@@ -309,6 +393,8 @@ def _upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_on
             write_lake(changes, path, cols, "append", **kw)
             return JobResult(name, "update", "written", n, note="lake was empty")
 
+        target = lake_schema(spark, path, cols)
+        changes = align_columns(changes, target)
         if not cols:
             # Unpartitioned table: the image is the whole table; it is written in full before
             # the old files are swapped out.
@@ -318,31 +404,24 @@ def _upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_on
             _swap_in_unpartitioned(ctx, path, merge_image(lake, changes, keys, bcast), full_copy=False)
             return JobResult(name, "update", "written", n)
 
-        if spec.partitions_are_stable:
-            old_parts = new_parts
-        else:
-            old_parts = collect_partitions(
-                touched_partitions(lake_scan(spark, path), changes, keys, cols, bcast), cols)
+        old_parts = [] if spec.stable_partitions else _partitions_of_keys(spark, path, changes, keys, spec, new_parts, bcast)
         affected = _unique(old_parts + new_parts)
 
         existing = lake_partition_scan(spark, path, affected, cols)
         if existing is None:
-            aligned = align_columns(changes, lake_schema(spark, path, cols))
-            lake_replace_where(aligned, path, cols, **kw)
+            lake_replace_where(changes, path, cols, **kw)
             return JobResult(name, "update", "written", n, affected, note="insert only")
 
-        filtered = False
         if stamp and stamp in existing.columns and may_hold_stale_changes(changes, existing, stamp, oldest):
             changes = drop_stale_changes(changes, existing, keys, stamp, bcast)
-            filtered = True
-        drop = []
-        if not spec.partitions_are_stable:
-            kept = unchanged_rows(existing.select(*keys, *cols), changes, keys, bcast)
-            keep = set(collect_partitions(kept, cols))
-            keep |= set(collect_partitions(changes, cols)) if filtered else set(new_parts)
-            drop = [p for p in affected if p not in keep]
+        folders = {p: partition_dir(path, p, cols) for p in affected}
+        before = set(fs.data_files(spark, *folders.values()))
         image = merge_image(existing, changes, keys, bcast)
-        lake_replace_where(image, path, cols, drop=drop, **kw)
+        lake_replace_where(image, path, cols, **kw)
+        # Affected partitions that got no new file have no row in the image.
+        fresh = {_partition_of(f, len(cols)) for f in fs.data_files(spark, *folders.values()) if f not in before}
+        drop = [p for p, d in folders.items() if "/".join(d.split("/")[-len(cols):]) not in fresh and fs.exists(spark, d)]
+        drop_partitions(spark, path, drop, cols)
         log.info("update %s: rewrote %d partitions, dropped %d emptied", name, len(affected), len(drop))
         return JobResult(name, "update", "written", n, affected, drop)
     finally:
@@ -350,10 +429,28 @@ def _upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_on
             staged.release()
 
 
+def _partitions_of_keys(spark, path, changes, keys, spec, new_parts, broadcast_keys) -> list:
+    """Partitions of the lake that hold a key of the change set, looked up exactly. Rows are
+    mostly where their change rows say, unless they move with every change; keys found there
+    need no further search (a key has one row), the others are sought in the whole lake."""
+    cols = list(spec.partition_cols)
+    found: list = []
+    rest = changes.select(*keys)
+    if not spec.moves_with_change:
+        near = lake_partition_scan(spark, path, new_parts, cols)
+        if near is not None:
+            found = new_parts
+            rest = unchanged_rows(rest, near.select(*keys), keys)
+            if rest.isEmpty():
+                return found
+    return _unique(found + collect_partitions(touched_partitions(lake_scan(spark, path), rest, keys, cols, broadcast_keys), cols))
+
+
 def refresh_table(ctx: EngineContext, name: str, keep_old_until_commit: bool = True) -> JobResult:
     """Replace the lake table with the whole source table (see ``_refresh_table``); holds
     the table's writer lock while it runs."""
     with ctx.lock(name, "refresh"):
+        recover_swap(ctx.spark, ctx.table_path(name))
         return _refresh_table(ctx, name, keep_old_until_commit)
 
 
@@ -361,6 +458,7 @@ def append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_key
                    lookup_partitions: list | None = None) -> JobResult:
     """Append rows to the lake table (see ``_append_changes``) under the writer lock."""
     with ctx.lock(name, "insert"):
+        recover_swap(ctx.spark, ctx.table_path(name))
         return _append_changes(ctx, name, rows, dedupe_on_key, lookup_partitions)
 
 
@@ -368,21 +466,43 @@ def upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_onl
                    stage: bool = True, newest_wins: bool = True) -> JobResult:
     """Copy-on-write upsert of a change set (see ``_upsert_changes``) under the writer lock."""
     with ctx.lock(name, "update"):
+        recover_swap(ctx.spark, ctx.table_path(name))
         return _upsert_changes(ctx, name, changes, latest_only, stage, newest_wins)
 
 
 
+def bookmark_path(ctx: EngineContext, action: str, name: str) -> str:
+    return f"{ctx.lake_root}/_tidewater_bookmarks/{name.strip('/')}.{action}"
+
+
+def last_success(ctx: EngineContext, action: str, name: str):
+    """The ``as_of`` date of the last successful run of the action on the table, or ``None``."""
+    text = fs.read_text(ctx.spark, bookmark_path(ctx, action, name))
+    return as_date(text.strip()) if text else None
+
+
 def run_table(ctx: EngineContext, action: str, name: str, as_of=None, days: int = 1,
               dedupe_on_key: bool = False, latest_only: bool = False,
-              newest_wins: bool = True) -> JobResult:
+              newest_wins: bool = True, since_last: bool = False) -> JobResult:
+    """One action on one table; a success moves the table's bookmark for the action to
+    ``as_of`` (never back). ``since_last`` widens the window by the days since that bookmark,
+    so runs that were missed are made up for; an insert then dedupes on keys."""
+    as_of = as_date(as_of)
+    last = last_success(ctx, action, name)
+    if since_last and last is not None and last < as_of:
+        days += (as_of - last).days
     if action == "refresh":
-        return refresh_table(ctx, name)
-    if action == "insert":
-        return insert_table(ctx, name, as_of, days, dedupe_on_key)
-    if action == "update":
-        return update_table(ctx, name, as_of, days, latest_only, newest_wins)
-    action_parameters(action)  # raises for an unknown action
-    raise AssertionError(action)
+        result = refresh_table(ctx, name)
+    elif action == "insert":
+        result = insert_table(ctx, name, as_of, days, dedupe_on_key or since_last)
+    elif action == "update":
+        result = update_table(ctx, name, as_of, days, latest_only, newest_wins)
+    else:
+        action_parameters(action)  # raises for an unknown action
+        raise AssertionError(action)
+    if last is None or last < as_of:
+        fs.write_text(ctx.spark, bookmark_path(ctx, action, name), as_of.isoformat())
+    return result
 
 
 def _applicable(action: str, spec: TableSpec) -> str | None:
@@ -396,7 +516,7 @@ def _applicable(action: str, spec: TableSpec) -> str | None:
 def run_action(ctx: EngineContext, action: str, mode: str, table: str | None = None,
                as_of=None, days: int = 1, dedupe_on_key: bool = False,
                latest_only: bool = False, max_concurrent_tables: int = 4,
-               newest_wins: bool = True) -> list[JobResult]:
+               newest_wins: bool = True, since_last: bool = False) -> list[JobResult]:
     """``partial``: one named table (error if none). ``full``: every source table; tables
     the action cannot apply to are reported as skipped. Independent tables are submitted
     as concurrent Spark jobs (``max_concurrent_tables``); ``as_of`` is fixed once for all."""
@@ -410,7 +530,7 @@ def run_action(ctx: EngineContext, action: str, mode: str, table: str | None = N
         reason = _applicable(action, ctx.spec(table))
         if reason:
             raise ValueError(f"cannot {action} {table!r}: {reason}")
-        return [run_table(ctx, action, table, as_of, days, dedupe_on_key, latest_only, newest_wins)]
+        return [run_table(ctx, action, table, as_of, days, dedupe_on_key, latest_only, newest_wins, since_last)]
 
     names = list_source_tables(ctx.source)
 
@@ -420,7 +540,7 @@ def run_action(ctx: EngineContext, action: str, mode: str, table: str | None = N
             log.info("%s %s: skipped (%s)", action, name, reason)
             return JobResult(name, action, "skipped", note=reason)
         try:
-            return run_table(ctx, action, name, as_of, days, dedupe_on_key, latest_only, newest_wins)
+            return run_table(ctx, action, name, as_of, days, dedupe_on_key, latest_only, newest_wins, since_last)
         except Exception as e:  # noqa: BLE001 - reported per table, raised together below
             log.error("%s %s: failed: %s", action, name, e)
             return JobResult(name, action, "failed", note=f"{type(e).__name__}: {str(e)[:500]}")

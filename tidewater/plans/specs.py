@@ -14,9 +14,9 @@ class TableSpec:
     ``created_column`` drives ``insert`` windows and, by default, the lake partitioning;
     ``change_column`` (last-updated stamp) drives ``update`` windows. ``partition_column``
     overrides the partitioning column (set it to the change column to let rows move with
-    their last change). ``stable_partitions`` states that a key never changes partition;
-    by default it holds exactly when the table is not partitioned by its change column,
-    and it lets ``update`` skip the whole-lake key scan.
+    their last change). ``stable_partitions=True`` promises that a key never changes partition,
+    not even by a correction of its created stamp; only then does ``update`` skip looking the
+    changed keys up outside their own partitions.
     """
 
     name: str
@@ -25,7 +25,7 @@ class TableSpec:
     change_column: str | None = None
     partition_column: str | None = None
     grain: str = "day"
-    stable_partitions: bool | None = None
+    stable_partitions: bool = False
 
     def __post_init__(self):
         partition_columns(self.grain)  # validates
@@ -43,10 +43,9 @@ class TableSpec:
         return partition_columns(self.grain) if self.partition_by else ()
 
     @property
-    def partitions_are_stable(self) -> bool:
-        if self.stable_partitions is not None:
-            return self.stable_partitions
-        return self.partition_by != self.change_column
+    def moves_with_change(self) -> bool:
+        """Whether rows are expected to leave their partition with every change."""
+        return self.partition_by == self.change_column
 
 
 @dataclass(frozen=True)

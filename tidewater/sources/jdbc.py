@@ -101,11 +101,13 @@ class JdbcSource:
         dbtable = f"({sql}) AS {alias}"
         if predicates:
             props = {**self.properties, "fetchsize": str(self.fetch_size)}
+            if self.prefer_timestamp_ntz:
+                props["preferTimestampNTZ"] = "true"
             return self.spark.read.jdbc(self.url, dbtable, predicates=list(predicates), properties=props)
         return self._load(self._reader().option("dbtable", dbtable), alias)
 
     def list_tables(self) -> list[str]:
         """Base-table names from the standard ``information_schema`` (small, collected)."""
-        where = f"WHERE table_schema = '{self.schema}'" if self.schema else ""
+        where = "WHERE table_type = 'BASE TABLE'" + (f" AND table_schema = '{self.schema}'" if self.schema else "")
         frame = self.query(f"SELECT table_name FROM information_schema.tables {where}", alias="table_name_list")
         return sorted(r["table_name"] for r in frame.select("table_name").collect())

@@ -3,7 +3,7 @@
 A folder receives change files (Parquet) — exported from the source by ``export_changes``
 or dropped by any CDC tool. ``ingest_changes`` reads that folder as a file stream with
 ``trigger(availableNow=True)``: each run processes exactly the files that arrived since the
-previous run (the checkpoint remembers them) and then stops, like a scheduled batch job
+previous run, however old their time stamps (the checkpoint remembers names) and then stops, like a scheduled batch job
 that keeps its bookmark. Every micro-batch goes through ``foreachBatch`` into the same
 jobs as the batch path: ``upsert_changes`` (update) or ``append_changes`` with key dedupe
 (insert). Both are idempotent, so a micro-batch replayed after a failure leaves the same
@@ -14,19 +14,30 @@ overwrite newer ones.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidewater import fs
 from tidewater.functions.windows import as_date
 from tidewater.operators.changes import change_window
 from tidewater.plans.context import EngineContext
 from tidewater.plans.jobs import append_changes, upsert_changes
 
 
-def checkpoint_location(ctx: EngineContext, name: str) -> str:
-    """Default bookmark folder: next to the lake tables, hidden from partition discovery."""
-    return f"{ctx.lake_root}/_tidewater_checkpoints/{name}"
+# The file source forgets, and by default never reads, files older than this against the newest
+# it has seen; no file gets that old, so a late one is read whenever it comes. The price is a
+# checkpoint that remembers every file name.
+_NEVER_TOO_OLD = "36500d"
+
+
+def checkpoint_location(ctx: EngineContext, name: str, action: str, changes_dir: str) -> str:
+    """Default bookmark folder: next to the lake tables, hidden from partition discovery; one
+    for each table, action and drop folder."""
+    folder = hashlib.sha256(fs.qualify(ctx.spark, changes_dir).encode()).hexdigest()[:16]
+    return f"{ctx.lake_root}/_tidewater_checkpoints/{name}/{action}-{folder}"
 
 
 def export_changes(ctx: EngineContext, name: str, changes_dir: str, as_of=None, days: int = 1,
@@ -53,16 +64,16 @@ def ingest_changes(ctx: EngineContext, name: str, changes_dir: str, schema: T.St
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         if action == "update":
-            upsert_changes(ctx, name, batch, latest_only=latest_only, stage=False)
+            upsert_changes(ctx, name, batch, latest_only=latest_only)
         else:
             append_changes(ctx, name, batch, dedupe_on_key=True)
 
-    reader = ctx.spark.readStream.schema(schema)
+    reader = ctx.spark.readStream.schema(schema).option("maxFileAge", _NEVER_TOO_OLD)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     query = (reader.parquet(changes_dir).writeStream
              .queryName(f"tidewater-{action}-{name}")
-             .option("checkpointLocation", checkpoint or checkpoint_location(ctx, name))
+             .option("checkpointLocation", checkpoint or checkpoint_location(ctx, name, action, changes_dir))
              .foreachBatch(apply)
              .trigger(availableNow=True)
              .start())
