@@ -1,0 +1,73 @@
+import numpy as np
+
+from tidewater.llm.spherical_caps import bucket_links, decode_filters, near_vectors, unit
+from tidewater.llm.storage import shared_folder
+
+SCHEMA = "vec_id long, embedding array<float>, links int, rep string"
+
+
+def brute(rows):
+    good = [(i, np.array(v, float)) for i, v in rows if v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    n_links, parent = {}, {i: i for i, _ in good}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, x in good:
+        n_links[i] = 0
+        for j, y in good:
+            if i != j and len(x) == len(y) and x @ y / np.sqrt(x @ x) / np.sqrt(y @ y) >= 0.95:
+                n_links[i] += 1
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    return {i: (n_links.get(i, 0), find(i) if i in parent else i) for i, _ in rows}
+
+
+def test_links_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for _ in range(40):  # groups of near copies around the threshold, and chains of them
+        x = rng.normal(size=64)
+        for _ in range(rng.integers(1, 8)):
+            rows.append(x.astype(np.float32).tolist())
+            x = x + rng.normal(size=64) * rng.choice([0, 0.05, 0.2, 0.3])
+    hot = rng.normal(size=64)
+    rows += [hot.astype(np.float32).tolist()] * 30 + [(hot * 4 + rng.normal(size=64) * 0.3).astype(np.float32).tolist() for _ in range(700)]
+    rows += [None, [], [0.0] * 64, [None] + [1.0] * 63, [float("nan")] * 64, [float("inf")] + [1.0] * 63, [1e-38] * 64, [3e38] * 64, [1.0, 2.0], [2.0, 4.0]]
+    table = [(int(i), v) for i, v in zip(rng.permutation(len(rows)) * 3, rows)]
+    frame = spark.createDataFrame([(i, v, 1, "x") for i, v in table], SCHEMA).repartition(4)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(frame, shared_folder(spark, "test")).collect()}
+    want = brute(table)
+    assert got.keys() == want.keys()
+    assert {i: g for i, g in got.items() if g != want[i]} == {}
+
+
+def test_null_ids_repeats_and_empty_table(spark):
+    x = [1.0, 2.0, 3.0]
+    frame = spark.createDataFrame([(None, x, 1, "x"), (4, x, 1, "x"), (4, x, 1, "x"), (2, x, 1, "x")], SCHEMA)
+    got = sorted((str(r.vec_id), r.n_links, r.component_id, r.kept) for r in near_vectors(frame, shared_folder(spark, "test")).collect())
+    assert got == [("2", 2, 2, True), ("4", 2, 2, False), ("4", 2, 2, False), ("None", 0, None, False)]
+    assert near_vectors(spark.createDataFrame([], SCHEMA), shared_folder(spark, "test")).isEmpty()
+
+
+def test_near_pairs_share_filters():
+    rng = np.random.default_rng(8)
+    a = unit(rng.normal(size=(3000, 64)))
+    z = rng.normal(size=a.shape)
+    z = unit(z - (z * a).sum(1, keepdims=True) * a)
+    b = 0.95 * a + np.sqrt(1 - 0.95**2) * z
+    shared = [bool(np.intersect1d(x, y).size) for x, y in zip(decode_filters(a, 140), decode_filters(b, 140))]
+    assert np.mean(shared) >= 0.999
+    assert all(len(f) >= 26 and (np.diff(f) > 0).all() for f in decode_filters(a[:100], 140))
+
+
+def test_a_pair_counts_in_one_bucket_only():
+    v = unit(np.array([[1.0, 0.01], [1.0, 0.02], [1.0, 0.0]]))
+    filters = [np.array([3, 7]), np.array([3, 7]), np.array([7])]
+    rep, one, side = np.array([10, 11, 12]), np.array([1, 1, 5]), np.array([2, 2, 2])
+    _, links, _ = bucket_links(rep[:2], one[:2], v[:2], side[:2], filters[:2], 3, 0.95)
+    assert links.tolist() == [1, 1]
+    found, links, _ = bucket_links(rep, one, v, side, filters, 7, 0.95)
+    assert dict(zip(found.tolist(), links.tolist())) == {10: 5, 11: 5, 12: 2}

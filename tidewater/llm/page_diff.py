@@ -4,7 +4,8 @@ A page is cut into lines, one for each block of markup. Pages of a host stand in
 their URL paths and neighbours are paired; the lines of a pair are aligned by a longest common
 subsequence, and shared lines are deleted as furniture. Lines inside an article that no element
 marks as furniture are not up for deletion, so that copies of an article don't delete each
-other; lines that an element marks as furniture go even where a host has one page only.
+other. What no neighbour shares goes too if an element marks it as furniture, or if the page has
+an article and the line stands outside it.
 """
 
 from __future__ import annotations
@@ -124,6 +125,8 @@ def page_lines(html: str | None) -> list[tuple[str, int]]:
     except AssertionError:  # the parser's answer to some broken declarations; what came before stays
         pass
     parser.flush()
+    if any(kind == CONTENT for _, kind in parser.lines):
+        return [(line, FURNITURE if kind == OPEN else kind) for line, kind in parser.lines]
     return parser.lines
 
 
@@ -186,8 +189,8 @@ def _align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 
 
 def neighbour_pairs(pages: DataFrame, work: str) -> DataFrame:
-    """(key, host, pair): pages of a host in the order of path and key, two to a pair, the
-    last three to one where their number is odd. Keys must be distinct.
+    """(key, host, run): pages of a host in the order of path and key, four to a run, up to
+    seven to the last; neighbours in a run are paired. Keys must be distinct.
 
     The order is a range-partitioned sort; a page's rank in its host follows from its place in
     its partition and the sizes of the partitions before it, so no host is one task's work.
@@ -204,12 +207,12 @@ def neighbour_pairs(pages: DataFrame, work: str) -> DataFrame:
                           F.coalesce(F.sum("n").over(host.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     rank = F.col("place") - F.col("first") + F.col("before")
     return placed.join(before, ["host", "part"]).where("pages > 1").select(
-        "key", "host", F.least(F.floor(rank / 2), F.floor(F.col("pages") / 2) - 1).alias("pair"))
+        "key", "host", F.least(F.floor(rank / 4), F.greatest(F.floor(F.col("pages") / 4) - 1, F.lit(0))).alias("run"))
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the two or three pages of each pair, which come one after the other, the numbers of
-    the lines that a neighbour shares."""
+    """Of the pages of each run, which come one after the other, the numbers of the lines that
+    a neighbour shares."""
     held, out, last = [], [], None
 
     def close():
@@ -226,10 +229,10 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return batch
 
     for batch in batches:
-        for host, pair, key, lines in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            if (host, pair) != last:
+        for host, run, key, lines in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            if (host, run) != last:
                 close()
-                held, last = [], (host, pair)
+                held, last = [], (host, run)
             held.append((key, lines))
         yield rows()
     close()
@@ -237,8 +240,8 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def extract_text(pages: DataFrame, work: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """page_id, url, text: the lines of every page that neither a neighbour shares nor an
-    element marks as furniture, joined by one space. ``work`` is a fresh shared folder.
+    """page_id, url, text: the lines of every page that neither a neighbour shares nor its
+    markup shows to be furniture, joined by one space. ``work`` is a fresh shared folder.
 
     A null html is empty and gives an empty text; pages with a null url form a host of their
     own; repeated rows get the same text; an empty table gives no rows; other columns are left out.
@@ -281,9 +284,9 @@ def extract_text(pages: DataFrame, work: str, id_col: str = "page_id", url_col:
     pairs = neighbour_pairs(keyed, work)
     open_lines = rows.select("key", path.alias("path"), "html").mapInArrow(parse, "key string, path string, lines array<string>") \
         .where("size(lines) > 0").dropDuplicates(["key"])
-    # A pair's rows are hashed to one partition and stand side by side in it.
-    shared = pairs.join(open_lines, "key").repartition("host", "pair").sortWithinPartitions("host", "pair", "path", "key") \
-        .select("host", "pair", "key", "lines").mapInArrow(_shared, "key string, shared array<long>")
+    # A run's rows are hashed to one partition and stand side by side in it.
+    shared = pairs.join(open_lines, "key").repartition("host", "run").sortWithinPartitions("host", "run", "path", "key") \
+        .select("host", "run", "key", "lines").mapInArrow(_shared, "key string, shared array<long>")
     id_type = rows.schema["page_id"].dataType.simpleString()
     lined = rows.select("key", "page_id", "url", "html").mapInArrow(
         lines_of, f"key string, page_id {id_type}, url string, lines array<string>, kinds binary")
