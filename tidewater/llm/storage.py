@@ -12,7 +12,7 @@ from contextlib import contextmanager
 
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 
@@ -25,6 +25,14 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return "file://" + os.path.abspath(path.removeprefix("file:"))
 
 
+def saved(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to a fresh shared folder and read from there: cuts the lineage, and
+    tells later plans the table's real size."""
+    folder = shared_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 @contextmanager
 def finished_file(folder: str, name: str):
     """A binary stream for ``folder``/``name``, which appears there when it is complete."""
