@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
+from .storage import saved
 
 THRESHOLD = 0.95
 FILTERS_LEAST = 26
@@ -72,7 +73,7 @@ def decode_filters(vectors: np.ndarray, half_words: int) -> list[np.ndarray]:
     for x, y in zip(vectors @ a, vectors @ b):
         ox, oy = np.argsort(-x, kind="stable"), np.argsort(-y, kind="stable")
         sx, sy = x[ox], y[oy]
-        least = min(threshold, np.partition(sx[ti] + sy[tj], len(ti) - k)[len(ti) - k])
+        least = min(threshold, np.partition(sx[ti] + sy[tj], len(ti) - k)[len(ti) - k]) - 1e-12  # sums round
         counts = np.searchsorted(-sy, sx - least, side="right")  # of second halves for each first half
         rows = int((counts > 0).sum())
         counts = counts[:rows]
@@ -183,14 +184,15 @@ def near_vectors(table: DataFrame, work: str, threshold: float = THRESHOLD, id_c
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = F.coalesce(finite & F.exists("embedding", lambda x: x != 0), F.lit(False)) & F.col("vec_id").isNotNull()
     valid = rows.where(good)
-    classes = valid.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")).select("rep", "copies", "embedding").checkpoint()
+    classes = valid.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")).select("rep", "copies", "embedding")
+    classes = saved(classes, "vector-classes")
     count = classes.count()
     half_words = codewords_a_half(count)
     classes.mapInArrow(_decode_rows(half_words), _DECODED).write.parquet(work)
     decoded = spark.read.schema(_DECODED).parquet(work)
     members = decoded.select("rep", "copies", "embedding", "filters", F.explode("filters").alias("filter"))
-    sizes = decoded.select(F.explode("filters").alias("filter")).groupBy("filter").agg(F.count("*").alias("n")) \
-        .where(F.col("n") > CHUNK).select("filter", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")).checkpoint()
+    sizes = saved(decoded.select(F.explode("filters").alias("filter")).groupBy("filter").agg(F.count("*").alias("n")) \
+        .where(F.col("n") > CHUNK).select("filter", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "bucket-sizes")
     if sizes.count() <= BROADCAST_ROWS:
         sizes = F.broadcast(sizes)  # at most BROADCAST_ROWS pairs of integers
     # A large bucket is cut into chunks, and each pair of chunks is compared on its own.
@@ -201,8 +203,8 @@ def near_vectors(table: DataFrame, work: str, threshold: float = THRESHOLD, id_c
     members = members.select("filter", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), side.alias("side"),
                              "rep", "copies", "embedding", "filters")
     # A bucket's rows are hashed to one partition and stand side by side in it.
-    found = members.repartition("filter", "low", "high").sortWithinPartitions("filter", "low", "high") \
-        .mapInArrow(_bucket_rows(threshold), "rep long, links long, root long").checkpoint()
+    found = saved(members.repartition("filter", "low", "high").sortWithinPartitions("filter", "low", "high") \
+        .mapInArrow(_bucket_rows(threshold), "rep long, links long, root long"), "vector-links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     label = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     facts = classes.join(links, "rep", "left").join(label.withColumnRenamed("node", "rep"), "rep", "left").select(
