@@ -5,12 +5,10 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.partitions import (
     derive_partition_columns,
-    partition_condition,
     partition_dir,
     partition_filter,
     partition_key_strings,
     partition_path,
-    partition_predicate,
     partition_predicate_frame,
 )
 from tidewater.functions.windows import change_window_condition, window_bounds, window_partition_dates
@@ -54,11 +52,6 @@ def test_month_grain(spark):
 
 
 def test_partition_texts():
-    assert partition_condition((2024, 1, 5)) == "(year = '2024' AND month = '1' AND day = '5')"
-    assert partition_predicate([]) == "1 = 0"
-    assert partition_predicate([(2024, 1, 5), (2024, 1, 6)]) == (
-        "(year = '2024' AND month = '1' AND day = '5') OR (year = '2024' AND month = '1' AND day = '6')")
-    assert partition_condition((None, None, None)) == "(year IS NULL AND month IS NULL AND day IS NULL)"
     assert partition_dir("s3://b/lake/t/", (2024, 1, 5)) == "s3://b/lake/t/year=2024/month=1/day=5"
     assert partition_dir("/l", (None, None, None)).endswith("year=__HIVE_DEFAULT_PARTITION__/"
                                                             "month=__HIVE_DEFAULT_PARTITION__/"
@@ -73,9 +66,6 @@ def test_partition_frames(spark):
     paths = sorted((r.p for r in df.select(partition_path(base="/root").alias("p")).distinct().collect()),
                    key=str)
     assert paths == ["/root/year=2024/month=1/day=5", None]
-    from tidewater.functions.partitions import partition_predicate_of
-    assert partition_predicate_of(df.where("year IS NOT NULL")) == "(year = '2024' AND month = '1' AND day = '5')"
-    assert partition_predicate_of(df.where("year > 3000")) == "1 = 0"
     strs = partition_key_strings(df).schema
     assert [f.dataType.simpleString() for f in strs.fields] == ["string"] * 3
 

@@ -5,13 +5,10 @@ from tidewater.functions.partitions import (  # noqa: F401
     PARTITION_DATE,
     derive_partition_columns,
     partition_columns,
-    partition_condition,
     partition_dir,
     partition_filter,
     partition_key_strings,
     partition_path,
-    partition_predicate,
-    partition_predicate_of,
     partition_predicate_frame,
 )
 from tidewater.functions.windows import (  # noqa: F401

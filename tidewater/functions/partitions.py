@@ -67,24 +67,6 @@ def partition_dir(root: str, values: Sequence, cols: Sequence[str] = GRAINS["day
     return "/".join([root.rstrip("/")] + segs)
 
 
-def partition_condition(values: Sequence, cols: Sequence[str] = GRAINS["day"]) -> str:
-    """SQL text for one partition, values quoted as strings: ``(year = '2024' AND ...)``."""
-    terms = [f"{c} IS NULL" if v is None else f"{c} = '{v}'" for c, v in zip(cols, values)]
-    return "(" + " AND ".join(terms) + ")"
-
-
-def partition_predicate(partitions: Iterable[Sequence], cols: Sequence[str] = GRAINS["day"]) -> str:
-    """OR of ``partition_condition`` over a (small, collected) partition list; empty -> ``1 = 0``."""
-    conds = [partition_condition(p, cols) for p in partitions]
-    return " OR ".join(conds) if conds else "1 = 0"
-
-
-def partition_predicate_of(df: DataFrame, cols: Sequence[str] = GRAINS["day"]) -> str:
-    """``partition_predicate`` of the partitions present in ``df``: the distinct runs on the
-    executors and only the partition tuples (bounded by the table's partitions) are collected."""
-    return partition_predicate([tuple(r) for r in df.select(*cols).distinct().collect()], cols)
-
-
 def partition_predicate_frame(df: DataFrame, cols: Sequence[str] = GRAINS["day"]) -> DataFrame:
     """One ``cond`` row per distinct partition of ``df``, computed on the executors."""
     terms = []

@@ -47,7 +47,7 @@ def shared_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current.rstrip("/")
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):  # local-cluster has processes of its own
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     folder = tempfile.mkdtemp(prefix="tidewater-ckpt-")
     sc.setCheckpointDir(folder)
