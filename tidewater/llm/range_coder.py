@@ -56,7 +56,8 @@ class Model:
         if self.freq.sum() > 1 << 23:
             self.freq = (self.freq + 1) // 2
         self.below = np.concatenate([[0], np.cumsum(self.freq)])
-        self.total = _U(self.below[-1])
+        self.built, self.begin = self.freq.astype(_U), self.below.astype(_U)
+        self.total = self.begin[-1]
 
     def _weights(self) -> None:
         total = self.hits.sum(axis=1)
@@ -67,7 +68,7 @@ class Model:
 
     def freq_of(self, ids: np.ndarray) -> np.ndarray:
         """Shares in the order-0 table as it was last built."""
-        return (self.below[ids + 1] - self.below[ids]).astype(_U)
+        return self.built[ids]
 
     def predict(self, n: int) -> None:
         """Predictions for the first ``n`` lanes and the weights that go with them."""
@@ -91,7 +92,8 @@ class Model:
         if self.turn % 32 == 31:
             big = self.hits.sum(axis=1) > 1 << 20
             self.hits[big] = (self.hits[big] + 1) // 2
-        self._weights()
+        if self.turn < 16 or self.turn % 2:
+            self._weights()
         if len(literal):
             np.add.at(self.freq, literal, _GAIN)
         self.turn += 1
@@ -155,7 +157,7 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> bytes:
         rest = np.flatnonzero(which == 2)
         literal = now[rest]
         if len(rest):
-            narrow(rest, size[rest] // model.total, model.below[literal].astype(_U), model.freq_of(literal))
+            narrow(rest, size[rest] // model.total, model.begin[literal], model.freq_of(literal))
         model.update(now, which, literal)
     for shift in (32, 16, 0):
         words[np.arange(lanes), at] = (low >> _U(shift) & _WORD).astype(np.uint16)
@@ -207,7 +209,7 @@ def decode_ids(data: bytes, n: int, alphabet: int) -> np.ndarray:
             unit = size[rest] // model.total
             value = np.minimum(code[rest] // unit, model.total - _U(1)).astype(np.int64)
             literal = (np.searchsorted(model.below, value, side="right") - 1).astype(np.int32)
-            narrow(rest, unit, model.below[literal].astype(_U), model.freq_of(literal))
+            narrow(rest, unit, model.begin[literal], model.freq_of(literal))
             now[rest] = literal
         model.update(now, which, literal)
         out[begins[:live] + step] = now
