@@ -10,9 +10,9 @@ join is exact: documents that share such a word are compared by a dense sketch a
 their shingles.
 
 Equal sets are one class from the start. Of a group that shares a word, first the pairs with
-one centre are verified; where that leaves a group in several components, the pairs across
-components follow, so no link between components is lost and no group is expanded into all
-pairs.
+one centre are verified. Where that leaves a group in several components, pairs that would
+join these follow, nearest sketches first, and in the end every pair across components that
+is still left, so no link between components is lost and no group is expanded into all pairs.
 """
 
 from __future__ import annotations
@@ -27,13 +27,15 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .shingles import byte_passes, shingle_sets
+from .storage import saved
 from .tokens import mix64
 
 SKETCH_BITS = 1024
 BROADCAST_ROWS = 500_000
-_FLUSH_KEYS = 3_000_000
-_GROUP_BYTES = 24 << 20
+_FLUSH_KEYS = 1_000_000
+_GROUP_BYTES = 12 << 20
 _SMALL_GROUP = 512
+_ROUNDS = (1, 8, None)  # disjoint forests of pairs to try across components; None: all pairs
 _TOKEN_MASK = np.uint64((1 << 48) - 1)
 
 
@@ -202,78 +204,125 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], names=["a", "b"])
 
 
-def _near(sketch_a, sketch_b, n_a, n_b):
-    """The two necessary conditions: sizes, and the Hamming distance of the dense sketches."""
-    return (F.least(n_a, n_b) * 5 >= F.greatest(n_a, n_b) * 4) & (_hamming(sketch_a, sketch_b) * 9 <= n_a + n_b)
+def _near_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that meet the two necessary conditions: sizes, and the Hamming distance of the
+    dense sketches."""
+    for batch in batches:
+        n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(n_a), -1) for c in ("sketch_a", "sketch_b"))
+        far = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+        keep = pa.array((5 * np.minimum(n_a, n_b) >= 4 * np.maximum(n_a, n_b)) & (9 * far <= n_a + n_b))
+        yield batch.select(["a", "b"]).filter(keep)
+
+
+def _across(forests: int | None):
+    """Of groups that share a token the pairs of different components that may be similar: all
+    of them, or only those of so many disjoint spanning forests, nearest sketches first."""
+
+    def run(group: pa.Table) -> pa.Table:
+        token, own, n, comp = (group.column(c).to_numpy() for c in ("token", "own", "n", "comp"))
+        side = group.column("side").to_numpy()
+        bits = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(len(token), -1)
+        order = np.lexsort((own, token))
+        edges = np.flatnonzero(np.concatenate([[True], token[order][1:] != token[order][:-1], [True]]))
+        found = [np.zeros((0, 3), np.int64)]
+        for s, e in zip(edges[:-1], edges[1:]):
+            at = order[s:e]
+            left, right = at[side[at] != 1], at[side[at] != 0]
+            for i in left:
+                fit = right[(comp[right] != comp[i]) & (5 * np.minimum(n[right], n[i]) >= 4 * np.maximum(n[right], n[i])) & (own[right] != own[i])]
+                if len(fit):
+                    far = np.bitwise_count(bits[fit] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                    near = 9 * far <= n[fit] + n[i]
+                    fit, far = fit[near], far[near]
+                    found.append(np.stack([far * 10_000 // (n[fit] + n[i]), np.full(len(fit), i), fit], axis=1))
+        pairs = np.concatenate(found)
+        a, b = np.minimum(own[pairs[:, 1]], own[pairs[:, 2]]), np.maximum(own[pairs[:, 1]], own[pairs[:, 2]])
+        order = np.lexsort((b, a, pairs[:, 0]))
+        out = list(dict.fromkeys(zip(a[order].tolist(), b[order].tolist())))
+        if forests is not None:
+            out = _forests(out, dict(zip(own.tolist(), comp.tolist())), forests)
+        return pa.table([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return run
 
 
-def _hamming(x, y):
-    words = [F.bit_count(F.conv(F.hex(F.substring(x, i, 4)), 16, 10).cast("long").bitwiseXOR(
-        F.conv(F.hex(F.substring(y, i, 4)), 16, 10).cast("long"))) for i in range(1, SKETCH_BITS // 8 + 1, 4)]
-    return sum(words[1:], words[0])
+def _forests(pairs: list[tuple[int, int]], component: dict[int, int], number: int) -> list[tuple[int, int]]:
+    """The pairs that join two trees of one of ``number`` forests over the components, each
+    taken in order by the first forest that it fits."""
+    parents: list[dict[int, int]] = [{} for _ in range(number)]
 
+    def find(parent, x):
+        while (up := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(up, up)
+        return x
 
-def _across(group: pa.Table) -> pa.Table:
-    """Of groups that share a token the pairs of different components that may be similar."""
-    token, own, n, comp = (group.column(c).to_numpy() for c in ("token", "own", "n", "comp"))
-    side = group.column("side").to_numpy()
-    bits = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(len(token), -1)
-    order = np.lexsort((own, token))
-    edges = np.flatnonzero(np.concatenate([[True], token[order][1:] != token[order][:-1], [True]]))
     out = []
-    for s, e in zip(edges[:-1], edges[1:]):
-        at = order[s:e]
-        left, right = at[side[at] != 1], at[side[at] != 0]
-        for i in left:
-            fit = right[(comp[right] != comp[i]) & (5 * np.minimum(n[right], n[i]) >= 4 * np.maximum(n[right], n[i])) & (own[right] != own[i])]
-            if len(fit):
-                far = np.bitwise_count(bits[fit] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                fit = fit[9 * far <= n[fit] + n[i]]
-                out += [(min(own[i], x), max(own[i], x)) for x in own[fit]]
-    out = sorted(set(out))
-    return pa.table([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+    for a, b in pairs:
+        for parent in parents:
+            x, y = find(parent, component[a]), find(parent, component[b])
+            if x != y:
+                parent[x] = y
+                out.append((a, b))
+                break
+    return out
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """Of pairs of sets (digests a and b) those that are similar, by their documents' texts."""
-    pairs = pairs.checkpoint()
-    used = pairs.select(F.col("a").alias("h1")).union(pairs.select(F.col("b").alias("h1"))).distinct().join(classes, "h1").select("h1", "rep").checkpoint()
+    pairs = saved(pairs, "pairs")
+    used = saved(pairs.select(F.col("a").alias("h1")).union(pairs.select(F.col("b").alias("h1"))).distinct().join(classes, "h1").select("h1", "rep"), "used")
     if used.count() <= BROADCAST_ROWS:
         used = F.broadcast(used)  # at most BROADCAST_ROWS rows of two integers
     texts = docs.join(used, docs["doc_id"] == used["rep"]).select("h1", "text").dropDuplicates(["h1"])
     a, b = texts.select(F.col("h1").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("h1").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long").checkpoint()
+    return saved(pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long"), "links")
 
 
-def similarity_links(docs: DataFrame, work: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(sets, classes, links) of documents (doc_id, text; ids not null): each document's set
-    size and digest, the classes of equal sets with their smallest document, and verified
-    links between classes that connect exactly what all links connect."""
+def similarity_classes(docs: DataFrame, work: str) -> tuple[DataFrame, DataFrame]:
+    """(sets, classes) of documents (doc_id, text; ids not null): each document's set size and
+    digest, and the classes of equal sets with the digest that names their component."""
     spark = docs.sparkSession
     docs.mapInArrow(_set_rows, "doc_id long, n_shingles long, h1 long, h2 long, sketch binary").write.parquet(work)
     sets = spark.read.schema("doc_id long, n_shingles long, h1 long, h2 long, sketch binary").parquet(work)
-    classes = sets.where("n_shingles > 0").groupBy("h1", "h2", "n_shingles") \
-        .agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")).withColumnRenamed("n_shingles", "n").checkpoint()
+    classes = saved(sets.where("n_shingles > 0").groupBy("h1", "h2", "n_shingles")
+                    .agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")).withColumnRenamed("n_shingles", "n"), "classes")
     total = classes.agg(F.sum("n")).collect()[0][0] or 0
     parts = max(8, -(-int(total * 0.55 * 14) // _GROUP_BYTES))
     tokens = docs.select("text").mapInArrow(_token_rows(parts), "part int, kind int, tokens binary, owners binary, heads binary")
-    edges = tokens.groupBy("part").applyInArrow(_token_edges, "token long, a long, b long").checkpoint()
+    edges = saved(tokens.groupBy("part").applyInArrow(_token_edges, "token long, a long, b long"), "tokens")
 
     facts = classes.select(F.col("h1").alias("own"), "n", "sketch")
     side = lambda c: facts.select(F.col("own").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
-    stars = edges.select("a", "b").distinct().checkpoint()
-    near = stars.join(side("b"), "b").join(side("a"), "a").where(_near(F.col("sketch_a"), F.col("sketch_b"), F.col("n_a"), F.col("n_b"))).select("a", "b")
-    links = _verified(near, classes, docs)
-
-    # Tokens whose sets are not all in one component yet: compare across components.
-    label = connected_components(links).checkpoint()
+    stars = saved(edges.select("a", "b").distinct(), "stars")
+    near = stars.join(side("b"), "b").join(side("a"), "a").mapInArrow(_near_rows, "a long, b long")
+    label = saved(connected_components(_verified(near, classes, docs)), "components")
+    tested = stars
+    # Tokens whose sets are not all in one component yet: compare across components, first a few
+    # pairs that would join them, then all that are left.
+    for forests in _ROUNDS:
+        pairs = _open_pairs(edges, stars, label, facts, forests, parts)
+        if pairs is None:
+            break
+        pairs = saved(pairs.join(tested, ["a", "b"], "left_anti"), "open-pairs")
+        if pairs.isEmpty():
+            continue
+        tested = tested.unionByName(pairs)
+        label = _joined(label, _verified(pairs, classes, docs))
+    return sets, classes.join(label.select(F.col("node").alias("h1"), "component"), "h1", "left") \
+        .select("h1", "h2", "n", "rep", F.coalesce("component", "h1").alias("component"))
+
+
+def _open_pairs(edges: DataFrame, stars: DataFrame, label: DataFrame, facts: DataFrame, forests: int | None, parts: int) -> DataFrame | None:
+    """Pairs across components of the sets that share a token (see ``_across``), or none where
+    each token's sets are in one component."""
     comp = lambda c: label.select(F.col("node").alias(c), F.col("component").alias(f"comp_{c}"))
     apart = stars.join(comp("a"), "a", "left").join(comp("b"), "b", "left") \
         .where(F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).select("a", "b")
     open_tokens = edges.join(apart, ["a", "b"], "left_semi").select("token").distinct()
-    open_edges = edges.join(open_tokens, "token", "left_semi").checkpoint()
+    open_edges = saved(edges.join(open_tokens, "token", "left_semi"), "open-tokens")
     if open_edges.isEmpty():
-        return sets, classes, links
+        return None
     members = open_edges.select("token", F.col("a").alias("own")).union(open_edges.select("token", F.col("b").alias("own"))).distinct()
     chunks = F.ceil(F.col("m") / _SMALL_GROUP).cast("int")
     sizes = members.groupBy("token").agg(F.count("*").alias("m")).where(f"m > {_SMALL_GROUP}").select("token", chunks.alias("chunks"))
@@ -286,9 +335,20 @@ def similarity_links(docs: DataFrame, work: str) -> tuple[DataFrame, DataFrame,
         .withColumn("side", F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1).cast("int")) \
         .withColumn("low", F.least("mine", "other")).withColumn("high", F.greatest("mine", "other"))
     bucket = F.when(F.col("chunks") == 1, F.pmod(F.col("token"), F.lit(4 * parts))).otherwise(F.col("token"))
-    pairs = members.groupBy(bucket.alias("bucket"), "low", "high", F.col("chunks")).applyInArrow(_across, "a long, b long").distinct()
-    more = _verified(pairs.join(stars, [F.least(stars["a"], stars["b"]) == pairs["a"], F.greatest(stars["a"], stars["b"]) == pairs["b"]], "left_anti"), classes, docs)
-    return sets, classes, links.union(more)
+    return members.groupBy(bucket.alias("bucket"), "low", "high", F.col("chunks")).applyInArrow(_across(forests), "a long, b long").distinct()
+
+
+def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after further links: components of the components that these join."""
+    if links.isEmpty():
+        return label
+    comp = lambda c: label.select(F.col("node").alias(c), F.col("component").alias(f"comp_{c}"))
+    upper = saved(connected_components(links.join(comp("a"), "a", "left").join(comp("b"), "b", "left")
+                                       .select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b"))), "components")
+    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
+    single = ends.join(label, "node", "left_anti").withColumn("component", F.col("node"))
+    return saved(label.unionByName(single).join(upper.toDF("component", "upper"), "component", "left")
+                 .select("node", F.coalesce("upper", "component").alias("component")), "components")
 
 
 def ngram_components(docs: DataFrame, work: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -302,12 +362,9 @@ def ngram_components(docs: DataFrame, work: str, id_col: str = "doc_id", text_co
     are left out. ``docs`` is read more than once and should be files or a checkpoint.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sets, classes, links = similarity_links(rows.where("doc_id is not null"), work)
-    reps = classes.select("h1", "rep")
-    ends = links.join(reps.select(F.col("h1").alias("a"), F.col("rep").alias("x")), "a").join(reps.select(F.col("h1").alias("b"), F.col("rep").alias("y")), "b")
-    label = connected_components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    of_class = classes.join(label.withColumnRenamed("node", "rep"), "rep", "left") \
-        .select("h1", "h2", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+    sets, classes = similarity_classes(rows.where("doc_id is not null"), work)
+    least = classes.groupBy("component").agg(F.min("rep").alias("component_id"))
+    of_class = classes.join(least, "component").select("h1", "h2", F.col("n").alias("n_shingles"), "component_id")
     found = sets.drop("sketch").join(of_class, ["h1", "h2", "n_shingles"], "left") \
         .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     without = rows.where("doc_id is null").mapInArrow(_set_rows, "doc_id long, n_shingles long, h1 long, h2 long, sketch binary") \
