@@ -128,6 +128,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int =
                 done += len(part)
         if (out := flush()) is not None:
             yield out
+        encoder.cache_clear()  # its table of words would stay in the worker, beside what later stages need
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
         .mapInArrow(run, SCHEMA)

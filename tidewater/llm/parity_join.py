@@ -334,7 +334,7 @@ def _open_pairs(edges: DataFrame, stars: DataFrame, label: DataFrame, facts: Dat
     members = members.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))) \
         .withColumn("side", F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1).cast("int")) \
         .withColumn("low", F.least("mine", "other")).withColumn("high", F.greatest("mine", "other"))
-    bucket = F.when(F.col("chunks") == 1, F.pmod(F.col("token"), F.lit(4 * parts))).otherwise(F.col("token"))
+    bucket = F.when(F.col("chunks") == 1, F.pmod(F.col("token"), F.lit(16 * parts))).otherwise(F.col("token"))
     return members.groupBy(bucket.alias("bucket"), "low", "high", F.col("chunks")).applyInArrow(_across(forests), "a long, b long").distinct()
 
 
