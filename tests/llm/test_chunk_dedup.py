@@ -76,5 +76,44 @@ def test_shared_passages_go_and_the_rest_stays(spark):
     assert cleaned[7] == docs[1][1] and cleaned[8] == ""  # copies: the smallest id stays
 
 
+def test_only_verbatim_repeats_go(spark):
+    """A small vocabulary: nearly every chunk repeats somewhere, hardly any 20 words do."""
+    rng = random.Random(4)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(9)]
+    prose = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    passages = [prose(70) for _ in range(8)]
+    docs = {}
+    for i in range(400):
+        docs[i] = prose(60) + (passages[i % 8] if i % 5 == 0 else []) + prose(60)
+    frame = spark.createDataFrame([(i, " ".join(t), 1, "k", "t") for i, t in docs.items()], SCHEMA).repartition(3)
+    seen, repeats = set(), {}  # places of words in 20 words that stood before
+    for i in sorted(docs):
+        for at in range(len(docs[i]) - MIN_WORDS + 1):
+            window = tuple(docs[i][at : at + MIN_WORDS])
+            if window in seen:
+                repeats.setdefault(i, set()).update(range(at, at + MIN_WORDS))
+            seen.add(window)
+    gone = {}
+    for r in remove_repeats(frame).collect():
+        data = " ".join(docs[r.doc_id]).encode()
+        for x in r.chunks.removed:
+            first = data[: x.start].count(b" ")
+            gone.setdefault(r.doc_id, set()).update(range(first, first + len(data[x.start : x.end].split())))
+    assert all(places <= repeats.get(i, set()) for i, places in gone.items())
+    later = [i for i in docs if i % 5 == 0 and i >= 40]
+    assert set(gone) == set(later) and all(len(gone[i]) > 45 for i in later)
+
+
+def test_spans_cover_each_repeated_stretch():
+    rng = random.Random(7)
+    texts = [words(rng, rng.randint(0, 120)).encode() for _ in range(40)] + [b"", ("日本語" * 300).encode(), b"x" * 900]
+    chunks = Chunks(texts)
+    first, last, before = chunks.spans(MIN_WORDS)
+    for i in range(len(texts)):
+        a, b = int(chunks.before[i]), int(chunks.before[i + 1])
+        want = [(k, m) for k in range(a, b) for m in range(k, b) if (n := chunks.words[k : m + 1]).sum() >= MIN_WORDS and min(n[1:].sum(), n[:-1].sum()) < MIN_WORDS]
+        assert list(zip(first[before[i] : before[i + 1]], last[before[i] : before[i + 1]])) == want
+
+
 def test_empty_table(spark):
     assert remove_repeats(spark.createDataFrame([], SCHEMA)).isEmpty()
