@@ -116,3 +116,15 @@ def test_main_text(spark):
 def test_odd_markup():
     for html in ("<", "<a", "<!", "<!--", "<![if x]>y", "</", "</p", "&#xFFFFFFFF;", "<script>x", "<p " + "a=" * 5000, "<b>" * 5000 + "x", "\0<p>\0"):
         assert isinstance(page_lines(html), list)
+
+
+def lines(html):
+    return [line for line, _ in page_lines(html)]
+
+
+def test_pages_without_end_tags_of_the_head():
+    for html in ("<html><head><title>T</title><meta charset=utf-8><body><p>Text</html>", "<head><title>T</title><p>Text", "<title>T</title><p>Text</p>",
+                 "<html><head><title>T<body><p>Text", "<head><title>T<meta charset=utf-8><link rel=x></head><p>Text", "<head><style>p{}</style><div>Text</div>",
+                 "<head><script>var a='<body>'</script><body>Text", "<head><title>T</title>\n Text", "<head><noscript><link rel=x><body><p>Text",
+                 "<head><title>T</title></head><body><head><p>Text</p>", "<head><title>A <b>bold</b> title</title></head><p>Text"):
+        assert lines(html) == ["Text"], html

@@ -27,6 +27,7 @@ OPEN, CONTENT, FURNITURE = 0, 1, 2
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 WITHOUT_TEXT = {"head", "title", "script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "audio",
                 "video", "select", "datalist", "textarea", "button"}
+HEAD_ELEMENTS = {"base", "basefont", "bgsound", "link", "meta", "noscript", "script", "style", "template", "title"}
 FURNITURE_ELEMENTS = {"nav", "footer", "aside", "form", "dialog", "menu"}
 ARTICLE_ELEMENTS = {"article", "main"}
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "br", "caption", "dd", "details", "dialog", "div", "dl", "dt", "fieldset",
@@ -60,6 +61,7 @@ class _Lines(HTMLParser):
             self.text = []
 
     def handle_starttag(self, tag, attrs):
+        self._leave_head(tag)
         if tag in BLOCKS:
             self.flush()
             if tag != "br":
@@ -90,6 +92,19 @@ class _Lines(HTMLParser):
                 return True
         return False
 
+    def _leave_head(self, tag: str) -> None:
+        """Ends a title and a head without end tags: a title where a block or another element
+        of the head starts, a head where anything starts that can't stand in one."""
+        inner = self.stack[-1][0]
+        if inner == "title" and (tag in BLOCKS or tag in HEAD_ELEMENTS):
+            self.stack.pop()
+            inner = self.stack[-1][0]
+        if inner == "head" and tag not in HEAD_ELEMENTS or tag == "body":
+            for i in range(len(self.stack) - 1, 0, -1):
+                if self.stack[i][0] == "head":
+                    del self.stack[i:]
+                    return
+
     def _close_open(self, tags: set[str], barrier: set[str]) -> None:
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i][0] in tags:
@@ -112,6 +127,8 @@ class _Lines(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if self.stack[-1][0] == "head" and not data.isspace():
+            self.stack.pop()
         if not self.stack[-1][2]:
             self.text.append(data)
 
