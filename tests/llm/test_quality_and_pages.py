@@ -128,3 +128,13 @@ def test_pages_without_end_tags_of_the_head():
                  "<head><script>var a='<body>'</script><body>Text", "<head><title>T</title>\n Text", "<head><noscript><link rel=x><body><p>Text",
                  "<head><title>T</title></head><body><head><p>Text</p>", "<head><title>A <b>bold</b> title</title></head><p>Text"):
         assert lines(html) == ["Text"], html
+
+
+def test_text_goes_on_after_odd_declarations():
+    for odd in ("<![ x]>", "<![foo[y]]>", "<![endif]-->", "<![if x]>", "<![CDATA[y]]>", "<![>", "<!foo [ z>", "<![temp>", "<!>", "<!DOCTYPE [x>", "<![if y>"):
+        got = lines(f"<p>Before</p>{odd}<p>After ]></p><p>]]></p>")
+        assert got[0] == "Before" and got[-2:] == ["After ]>", "]]>"], odd
+    rng = random.Random(8)
+    pieces = ["<!", "<![", "[", "]", ">", "<", "</", "<p>", "</p", "--", "<!--", "&#", "&", ";", "x", " ", "if", "cdata", "'", '"', "=", "<?", "/", "<title>", "<script>", "<head>", "<body>", "\n"]
+    for _ in range(3000):
+        page_lines("".join(rng.choice(pieces) for _ in range(rng.randint(1, 30))))

@@ -126,6 +126,11 @@ class _Lines(HTMLParser):
                 del self.stack[i:]
                 return
 
+    def parse_html_declaration(self, i):
+        if self.rawdata.startswith("<![", i):
+            return self.parse_bogus_comment(i)  # as browsers do: up to the next ">"
+        return super().parse_html_declaration(i)
+
     def handle_data(self, data):
         if self.stack[-1][0] == "head" and not data.isspace():
             self.stack.pop()
@@ -136,11 +141,8 @@ class _Lines(HTMLParser):
 def page_lines(html: str | None) -> list[tuple[str, int]]:
     """The lines of a page in order, each with its kind."""
     parser = _Lines()
-    try:
-        parser.feed(html or "")
-        parser.close()
-    except AssertionError:  # the parser's answer to some broken declarations; what came before stays
-        pass
+    parser.feed(html or "")
+    parser.close()
     parser.flush()
     if any(kind == CONTENT for _, kind in parser.lines):
         return [(line, FURNITURE if kind == OPEN else kind) for line, kind in parser.lines]
