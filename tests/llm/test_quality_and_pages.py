@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from tidewater.llm.page_diff import common_lines, extract_text, page_lines
+from tidewater.llm.page_diff import FURNITURE, common_lines, extract_text, page_lines
 from tidewater.llm.quality_trees import COUNTS, FEATURES, fit, quality_rules, statistics, train
 from tidewater.llm.storage import shared_folder
 
@@ -138,3 +138,17 @@ def test_text_goes_on_after_odd_declarations():
     pieces = ["<!", "<![", "[", "]", ">", "<", "</", "<p>", "</p", "--", "<!--", "&#", "&", ";", "x", " ", "if", "cdata", "'", '"', "=", "<?", "/", "<title>", "<script>", "<head>", "<body>", "\n"]
     for _ in range(3000):
         page_lines("".join(rng.choice(pieces) for _ in range(rng.randint(1, 30))))
+
+
+def main_lines(html):
+    return [line for line, kind in page_lines(html) if kind & 3 != FURNITURE]
+
+
+def test_a_class_name_does_not_hide_an_article():
+    for html in ('<div class="layout has-sidebar"><article><p>Text</p></article></div>', '<article class="post comments-open"><p>Text</p></article>',
+                 '<div id="page" class="site no-sidebar"><main>Text</main></div>', '<div class="widget"><div id=content class="post share"><article>Text</article></div></div>',
+                 "<form id=aspnet><main><p>Text</p></main></form>", '<article class="related" id="comment" role="form"><p>Text</p></article>',
+                 '<div class="no-ad">Text</div>', '<div class="sidebar"><p>Text</p><div class="ad">Buy</div><article hidden>No</article></div><article>Text</article>'):
+        assert main_lines(html) == ["Text"], html
+    assert main_lines('<div class="big AD">Buy</div><section id=comments>Nice</section><div role=search>Find</div><form>Name</form><header>Site</header><p>Text</p>') == ["Text"]
+    assert main_lines('<article><p>Text <span class="ad">Buy</span><div class="share buttons">Tell</div><p>More</p></article>') == ["Text", "More"]

@@ -28,7 +28,7 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 WITHOUT_TEXT = {"head", "title", "script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "audio",
                 "video", "select", "datalist", "textarea", "button"}
 HEAD_ELEMENTS = {"base", "basefont", "bgsound", "link", "meta", "noscript", "script", "style", "template", "title"}
-FURNITURE_ELEMENTS = {"nav", "footer", "aside", "form", "dialog", "menu"}
+FURNITURE_ELEMENTS = {"nav", "footer", "aside", "dialog", "menu"}
 ARTICLE_ELEMENTS = {"article", "main"}
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "br", "caption", "dd", "details", "dialog", "div", "dl", "dt", "fieldset",
           "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "li", "main", "menu",
@@ -45,21 +45,28 @@ CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 
 
 class _Lines(HTMLParser):
-    """Collects (line, kind); unclosed elements end with the element around them."""
+    """Collects lines; unclosed elements end with the element around them.
+
+    A form, a header outside articles, a class, an id or a role only hints at furniture: such an
+    element gets a mark, which is void once an article or main starts inside it."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int]] = []
+        self.found: list[tuple[str, int, tuple[int, ...]]] = []  # line, kind, marks around it
         self.text: list[str] = []
-        self.stack: list[tuple[str, int, bool]] = [("", OPEN, False)]  # element, kind, without text
+        self.stack: list[tuple[str, int, bool, tuple[int, ...]]] = [("", OPEN, False, ())]  # element, kind, without text, marks
+        self.marks, self.void = 0, set()
 
     def flush(self) -> None:
         if self.text:
             line = " ".join("".join(self.text).split())
             if line:
-                self.lines.append((line, self.stack[-1][1]))
+                self.found.append((line, self.stack[-1][1], self.stack[-1][3]))
             self.text = []
 
+    def lines(self) -> list[tuple[str, int]]:
+        return [(line, kind if self.void.issuperset(marks) else FURNITURE) for line, kind, marks in self.found]
+
     def handle_starttag(self, tag, attrs):
         self._leave_head(tag)
         if tag in BLOCKS:
@@ -68,30 +75,44 @@ class _Lines(HTMLParser):
                 self._close_open({"p"} | CLOSED_BY.get(tag, set()), barrier=ARTICLE_ELEMENTS | {"div", "section", "ul", "ol", "table", "dl"})
         if tag in VOID:
             return
-        _, kind, silent = self.stack[-1]
-        new = kind
+        _, kind, silent, marks = self.stack[-1]
+        new, hints = kind, marks
         if tag in ARTICLE_ELEMENTS and kind == OPEN:
             new = CONTENT
-        if tag in FURNITURE_ELEMENTS or tag == "header" and kind == OPEN or self._marked(tag, attrs):
+        if tag in FURNITURE_ELEMENTS or self._hidden(tag, attrs):
             new = FURNITURE
-        if new != kind:
+        elif tag in ARTICLE_ELEMENTS and kind != FURNITURE:
+            self.void.update(marks)
+        elif tag == "form" or tag == "header" and kind == OPEN or self._hinted(tag, attrs):
+            self.marks += 1
+            hints = (*marks, self.marks)
+        if new != kind or hints != marks:
             self.flush()
-        self.stack.append((tag, new, silent or tag in WITHOUT_TEXT))
+        self.stack.append((tag, new, silent or tag in WITHOUT_TEXT, hints))
 
     @staticmethod
-    def _marked(tag, attrs) -> bool:
+    def _hidden(tag, attrs) -> bool:
         if tag in ("html", "body", "main"):
             return False
         for name, value in attrs:
             value = (value or "").lower()
-            if name in ("class", "id") and not FURNITURE_WORDS.isdisjoint(re.findall("[a-z0-9]+", value)):
-                return True
-            if name == "role" and value in FURNITURE_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
+            if name == "hidden" or name == "aria-hidden" and value == "true":
                 return True
             if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 return True
         return False
 
+    @staticmethod
+    def _hinted(tag, attrs) -> bool:
+        """A whole class name, id or role says that the element is furniture."""
+        if tag in ("html", "body"):
+            return False
+        for name, value in attrs:
+            value = (value or "").lower()
+            if name in ("class", "id") and not FURNITURE_WORDS.isdisjoint(value.split()) or name == "role" and value in FURNITURE_ROLES:
+                return True
+        return False
+
     def _leave_head(self, tag: str) -> None:
         """Ends a title and a head without end tags: a title where a block or another element
         of the head starts, a head where anything starts that can't stand in one."""
@@ -121,7 +142,7 @@ class _Lines(HTMLParser):
             self.flush()
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i][0] == tag:
-                if self.stack[i][1] != self.stack[i - 1][1]:
+                if self.stack[i][1::2] != self.stack[i - 1][1::2]:
                     self.flush()
                 del self.stack[i:]
                 return
@@ -144,9 +165,10 @@ def page_lines(html: str | None) -> list[tuple[str, int]]:
     parser.feed(html or "")
     parser.close()
     parser.flush()
-    if any(kind == CONTENT for _, kind in parser.lines):
-        return [(line, FURNITURE if kind == OPEN else kind) for line, kind in parser.lines]
-    return parser.lines
+    lines = parser.lines()
+    if any(kind == CONTENT for _, kind in lines):
+        return [(line, FURNITURE if kind == OPEN else kind) for line, kind in lines]
+    return lines
 
 
 def common_lines(a: list[str], b: list[str]) -> list[tuple[int, int]]:
