@@ -152,3 +152,18 @@ def test_a_class_name_does_not_hide_an_article():
         assert main_lines(html) == ["Text"], html
     assert main_lines('<div class="big AD">Buy</div><section id=comments>Nice</section><div role=search>Find</div><form>Name</form><header>Site</header><p>Text</p>') == ["Text"]
     assert main_lines('<article><p>Text <span class="ad">Buy</span><div class="share buttons">Tell</div><p>More</p></article>') == ["Text", "More"]
+
+
+def texts(spark, pages):
+    frame = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string").repartition(3)
+    return {r.page_id: r.text for r in extract_text(frame, shared_folder(spark, "test")).collect()}
+
+
+def test_copies_do_not_empty_each_other(spark):
+    page = "<nav>N{1}</nav><div>Site</div><p>Own text {0}</p><div>Rights</div>"
+    pages = [(f"http://two.org/a?ref={i}", page.format("a", i)) for i in range(2)]
+    pages += [(f"http://many.org/m/{i}", page.format("m", 0)) for i in range(9)]
+    pages += [(f"http://many.org/{'lz'[i]}", page.format(i, 0)) for i in range(2)]
+    got = texts(spark, pages)
+    assert [got[i] for i in range(2)] == ["Site Own text a Rights"] * 2  # nothing to tell furniture by
+    assert [got[i] for i in range(2, 11)] == ["Own text m"] * 9 and [got[11], got[12]] == ["Own text 0", "Own text 1"]

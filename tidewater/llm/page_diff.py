@@ -1,7 +1,7 @@
 """Main text of web pages by differencing pages of neighbouring URLs.
 
 A page is cut into lines, one for each block of markup. Pages of a host stand in the order of
-their URL paths and neighbours are paired; the lines of a pair are aligned by a longest common
+their URL paths, copies as one page, and neighbours are paired; the lines of a pair are aligned by a longest common
 subsequence, and shared lines are deleted as furniture. Lines inside an article that no element
 marks as furniture are not up for deletion, so that copies of an article don't delete each
 other. What no neighbour shares goes too if an element marks it as furniture, or if the page has
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 from html.parser import HTMLParser
 
 import numpy as np
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from .url_rules import url_parts
 
 OPEN, CONTENT, FURNITURE = 0, 1, 2
+_SALTS = 64  # a page's result is handed back to its copies in so many parts
 
 # Elements of HTML by what they hold.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -251,85 +253,99 @@ def neighbour_pairs(pages: DataFrame, work: str) -> DataFrame:
         "key", "host", F.least(F.floor(rank / 4), F.greatest(F.floor(F.col("pages") / 4) - 1, F.lit(0))).alias("run"))
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the pages of each run, which come one after the other, the numbers of the lines that
-    a neighbour shares."""
+def _repeated(run: list[tuple[list[int], bytes]]) -> list[list[int]]:
+    """Of each page (hashes and kinds of its lines) of a run the numbers of the lines that go."""
+    shared: list[set[int]] = [set() for _ in run]
+    for i in range(len(run) - 1):
+        for a, b in common_lines(run[i][0], run[i + 1][0]):
+            shared[i].add(a)
+            shared[i + 1].add(b)
+    return [sorted(n for n in s if kinds[n] == OPEN) for s, (_, kinds) in zip(shared, run)]
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines that go from the pages of each run, which come one after the other."""
     held, out, last = [], [], None
 
     def close():
-        shared: list[set[int]] = [set() for _ in held]
-        for i in range(len(held) - 1):
-            for a, b in common_lines(held[i][1], held[i + 1][1]):
-                shared[i].add(a)
-                shared[i + 1].add(b)
-        out.extend((key, sorted(s)) for (key, _), s in zip(held, shared))
+        out.extend((key, salts, gone) for (key, salts, _), gone in zip(held, _repeated([page for _, _, page in held])))
 
     def rows():
-        batch = pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.string()), pa.array([s for _, s in out], pa.list_(pa.int64()))], names=["key", "shared"])
+        kinds = (pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64()))
+        batch = pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], names=["key", "salts", "gone"])
         out.clear()
         return batch
 
     for batch in batches:
-        for host, run, key, lines in zip(*(batch.column(i).to_pylist() for i in range(4))):
+        for host, run, key, salts, hashes, kinds in zip(*(batch.column(i).to_pylist() for i in range(6))):
             if (host, run) != last:
                 close()
                 held, last = [], (host, run)
-            held.append((key, lines))
+            held.append((key, salts, (hashes, kinds)))
         yield rows()
     close()
     yield rows()
 
 
+def _signature(host: str, lines: list[tuple[str, int]]) -> tuple[str, list[int], bytes]:
+    """The key that pages of a host with equal lines have in common, hashes of the lines that
+    are not furniture by their markup, and their kinds."""
+    open_lines = [(line, kind) for line, kind in lines if kind != FURNITURE]
+    digests = [blake2b(line.encode("utf-8", "surrogatepass"), digest_size=8).digest() for line, _ in open_lines]
+    kinds = bytes(kind for _, kind in open_lines)
+    key = blake2b(b"".join([host.encode("utf-8", "surrogatepass"), b"\0", *digests, kinds]), digest_size=16).hexdigest()
+    return key, [int.from_bytes(d, "little", signed=True) for d in digests], kinds
+
+
 def extract_text(pages: DataFrame, work: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text: the lines of every page that neither a neighbour shares nor its
-    markup shows to be furniture, joined by one space. ``work`` is a fresh shared folder.
+    markup shows to be furniture, joined by one space. ``work`` is a fresh shared folder; another
+    named ``work``-lines is made beside it.
 
+    Pages of a host with equal lines are one page to the others and get one result.
     A null html is empty and gives an empty text; pages with a null url form a host of their
     own; repeated rows get the same text; an empty table gives no rows; other columns are left out.
     """
+    spark = pages.sparkSession
     host, path = url_parts(F.col("url"))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    rows = rows.withColumn("key", F.sha2(F.concat_ws("\u0001", F.col("page_id").cast("string"), "url", F.coalesce(F.length("html"), F.lit(0)).cast("string"),
-                                                     F.xxhash64("page_id", "url", "html").cast("string")), 224))
+    rows = rows.select("*", host.alias("host"), path.alias("path"), F.pmod(F.xxhash64("page_id", "url"), F.lit(_SALTS)).cast("int").alias("salt"))
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            signed = [_signature(at, page_lines(h)) for at, h in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist())]
+            kinds = (pa.string(), pa.list_(pa.int64()), pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("host", "path", "salt")), *(pa.array([x[i] for x in signed], k) for i, k in enumerate(kinds))],
+                                             names=["host", "path", "salt", "key", "hashes", "kinds"])
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def lines_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parsed = [[x for x, kind in page_lines(h) if kind != CONTENT] for h in batch.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("path"), pa.array(parsed, pa.list_(pa.string()))], names=["key", "path", "lines"])
+            parsed = [page_lines(h) for h in batch.column("html").to_pylist()]
+            keys = pa.array([_signature(at, page)[0] for at, page in zip(batch.column("host").to_pylist(), parsed)], pa.string())
+            texts = pa.array([[x for x, k in page if k != FURNITURE] for page in parsed], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([keys, *(batch.column(c) for c in ("salt", "page_id", "url")), texts],
+                                             names=["key", "salt", "page_id", "url", "lines"])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for lines, kinds, shared in zip(*(batch.column(c).to_pylist() for c in ("lines", "kinds", "shared"))):
-                gone, number, kept = set(shared or ()), 0, []
-                for line, kind in zip(lines, kinds):
-                    if kind == CONTENT:
-                        kept.append(line)
-                        continue
-                    if number not in gone and kind == OPEN:
-                        kept.append(line)
-                    number += 1
-                texts.append(" ".join(kept))
+            for lines, gone in zip(*(batch.column(c).to_pylist() for c in ("lines", "gone"))):
+                gone = set(gone or ())
+                texts.append(" ".join(line for n, line in enumerate(lines) if n not in gone))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
-    def lines_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parsed = [page_lines(h) for h in batch.column("html").to_pylist()]
-            # Furniture lines keep their number only: their text is not needed any more.
-            texts = pa.array([["" if k == FURNITURE else x for x, k in page] for page in parsed], pa.list_(pa.string()))
-            kinds = pa.array([bytes(k for _, k in page) for page in parsed], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "page_id", "url")), texts, kinds],
-                                             names=["key", "page_id", "url", "lines", "kinds"])
-
-    keyed = rows.select("key", host.alias("host"), path.alias("path")).distinct()
-    pairs = neighbour_pairs(keyed, work)
-    open_lines = rows.select("key", path.alias("path"), "html").mapInArrow(parse, "key string, path string, lines array<string>") \
-        .where("size(lines) > 0").dropDuplicates(["key"])
+    # One row for the pages of a host with equal lines: copies are no neighbours.
+    signed = rows.select("host", "path", "salt", "html").mapInArrow(sign, "host string, path string, salt int, key string, hashes array<long>, kinds binary")
+    signed.where("size(hashes) > 0").groupBy("key").agg(
+        F.min("host").alias("host"), F.min("path").alias("path"), F.any_value("hashes").alias("hashes"), F.any_value("kinds").alias("kinds"),
+        F.collect_set("salt").alias("salts")).write.parquet(f"{work}-lines")
+    distinct = spark.read.schema("key string, host string, path string, hashes array<long>, kinds binary, salts array<int>").parquet(f"{work}-lines")
+    pairs = neighbour_pairs(distinct.select("key", "host", "path"), work)
     # A run's rows are hashed to one partition and stand side by side in it.
-    shared = pairs.join(open_lines, "key").repartition("host", "run").sortWithinPartitions("host", "run", "path", "key") \
-        .select("host", "run", "key", "lines").mapInArrow(_shared, "key string, shared array<long>")
+    compared = pairs.join(distinct.drop("host"), "key").repartition("host", "run").sortWithinPartitions("host", "run", "path", "key") \
+        .select("host", "run", "key", "salts", "hashes", "kinds").mapInArrow(_compare, "key string, salts array<int>, gone array<long>")
     id_type = rows.schema["page_id"].dataType.simpleString()
-    lined = rows.select("key", "page_id", "url", "html").mapInArrow(
-        lines_of, f"key string, page_id {id_type}, url string, lines array<string>, kinds binary")
-    return lined.join(shared, "key", "left").select("page_id", "url", "lines", "kinds", "shared") \
+    lined = rows.select("host", "salt", "page_id", "url", "html").mapInArrow(
+        lines_of, f"key string, salt int, page_id {id_type}, url string, lines array<string>")
+    return lined.join(compared.select("key", F.explode("salts").alias("salt"), "gone"), ["key", "salt"], "left").select("page_id", "url", "lines", "gone") \
         .mapInArrow(finish, f"page_id {id_type}, url string, text string")
