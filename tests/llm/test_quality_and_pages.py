@@ -167,3 +167,20 @@ def test_copies_do_not_empty_each_other(spark):
     got = texts(spark, pages)
     assert [got[i] for i in range(2)] == ["Site Own text a Rights"] * 2  # nothing to tell furniture by
     assert [got[i] for i in range(2, 11)] == ["Own text m"] * 9 and [got[11], got[12]] == ["Own text 0", "Own text 1"]
+
+
+def test_differencing_decides_inside_and_outside_articles(spark):
+    inside = "<article><header><p>The Daily</header><p>Own {0} text<ul><li><a href=x>Most read</a></ul><p>More of {0}<p>Subscribe now</article>"
+    teasers = "<div>Site</div><article>Teaser one</article><article>Teaser two</article><div id=text><p>Main text {0} goes on here<p>and ends {0}</div>"
+    story = "<div>Shown {0}</div><article><p>One paragraph of some length<p>{1}<p>and another one, no shorter</article>"
+    pages = [(f"http://inside.org/{i}", inside.format(i)) for i in range(5)]
+    pages += [(f"http://teasers.org/{i}", teasers.format(i)) for i in range(5)]
+    pages += [(f"http://pair.org/{i}", inside.format(i)) for i in range(2)]
+    pages += [(f"http://versions.org/{i}", story.format(i, "old" if i else "new")) for i in range(3)]
+    pages += [("http://alone.org/", teasers.format(0)), ("http://one.org/", f"<div>Short</div><article>Teaser</article><p>{'Main text ' * 8}</p>")]
+    got = texts(spark, pages)
+    assert [got[i] for i in range(5)] == [f"Own {i} text More of {i}" for i in range(5)]
+    assert [got[5 + i] for i in range(5)] == [f"Main text {i} goes on here and ends {i}" for i in range(5)]
+    assert [got[10], got[11]] == ["Own 0 text More of 0", "Own 1 text More of 1"]
+    assert [got[12 + i] for i in range(3)] == [f"Shown {i} One paragraph of some length {'old' if i else 'new'} and another one, no shorter" for i in range(3)]
+    assert got[15] == "Site Teaser one Teaser two Main text 0 goes on here and ends 0" and got[16] == "Teaser " + ("Main text " * 8).strip()

@@ -1,11 +1,15 @@
 """Main text of web pages by differencing pages of neighbouring URLs.
 
 A page is cut into lines, one for each block of markup. Pages of a host stand in the order of
-their URL paths, copies as one page, and neighbours are paired; the lines of a pair are aligned by a longest common
-subsequence, and shared lines are deleted as furniture. Lines inside an article that no element
-marks as furniture are not up for deletion, so that copies of an article don't delete each
-other. What no neighbour shares goes too if an element marks it as furniture, or if the page has
-an article and the line stands outside it.
+their URL paths, copies as one page, and neighbours are compared; the lines of a pair are aligned
+by a longest common subsequence. Outside articles a line that a neighbour shares goes. Inside an
+article it goes if all pages of its run (four to seven, if the host has so many) share it, and it
+stands before or after all lines that are the article's own, or is nothing but links: shared
+lines between own ones, like a refrain, can't be told from text. Pages that share most of an
+article are versions of it and tell nothing about lines inside.
+
+Markup is a further hint: elements that only hold furniture go on every page, and on a page
+without neighbours short lines outside its one article.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ import re
 from collections.abc import Iterator
 from hashlib import blake2b
 from html.parser import HTMLParser
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +28,9 @@ from pyspark.sql import functions as F
 from .url_rules import url_parts
 
 OPEN, CONTENT, FURNITURE = 0, 1, 2
+KIND, LINK, FIRST = 3, 4, 8  # kinds' bits; of lines inside an article: nothing but links, first of the article
+PROSE = 60  # characters of a line that is not taken for furniture by its place alone
+VERSIONS = 3  # pages share so many times as much of their articles as one has of its own
 _SALTS = 64  # a page's result is handed back to its copies in so many parts
 
 # Elements of HTML by what they hold.
@@ -54,20 +62,27 @@ class _Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.found: list[tuple[str, int, tuple[int, ...]]] = []  # line, kind, marks around it
+        self.found: list[tuple[str, int, tuple[int, ...], bool, int]] = []  # line, kind, marks around it, only links, article
         self.text: list[str] = []
-        self.stack: list[tuple[str, int, bool, tuple[int, ...]]] = [("", OPEN, False, ())]  # element, kind, without text, marks
-        self.marks, self.void = 0, set()
+        self.stack: list[tuple[str, int, bool, tuple[int, ...], bool]] = [("", OPEN, False, (), False)]  # element, kind, without text, marks, in a link
+        self.marks, self.void, self.articles, self.plain = 0, set(), 0, False
 
     def flush(self) -> None:
         if self.text:
             line = " ".join("".join(self.text).split())
             if line:
-                self.found.append((line, self.stack[-1][1], self.stack[-1][3]))
-            self.text = []
+                self.found.append((line, self.stack[-1][1], self.stack[-1][3], not self.plain, self.articles))
+            self.text, self.plain = [], False
 
     def lines(self) -> list[tuple[str, int]]:
-        return [(line, kind if self.void.issuperset(marks) else FURNITURE) for line, kind, marks in self.found]
+        out, last = [], 0
+        for line, kind, marks, link, article in self.found:
+            if not self.void.issuperset(marks):
+                kind = FURNITURE
+            elif kind == CONTENT:
+                kind, last = kind | LINK * link | FIRST * (article != last), article
+            out.append((line, kind))
+        return out
 
     def handle_starttag(self, tag, attrs):
         self._leave_head(tag)
@@ -77,7 +92,7 @@ class _Lines(HTMLParser):
                 self._close_open({"p"} | CLOSED_BY.get(tag, set()), barrier=ARTICLE_ELEMENTS | {"div", "section", "ul", "ol", "table", "dl"})
         if tag in VOID:
             return
-        _, kind, silent, marks = self.stack[-1]
+        _, kind, silent, marks, link = self.stack[-1]
         new, hints = kind, marks
         if tag in ARTICLE_ELEMENTS and kind == OPEN:
             new = CONTENT
@@ -90,7 +105,9 @@ class _Lines(HTMLParser):
             hints = (*marks, self.marks)
         if new != kind or hints != marks:
             self.flush()
-        self.stack.append((tag, new, silent or tag in WITHOUT_TEXT, hints))
+        if new == CONTENT != kind:
+            self.articles += 1
+        self.stack.append((tag, new, silent or tag in WITHOUT_TEXT, hints, link or tag == "a"))
 
     @staticmethod
     def _hidden(tag, attrs) -> bool:
@@ -144,7 +161,7 @@ class _Lines(HTMLParser):
             self.flush()
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i][0] == tag:
-                if self.stack[i][1::2] != self.stack[i - 1][1::2]:
+                if self.stack[i][1] != self.stack[i - 1][1] or self.stack[i][3] != self.stack[i - 1][3]:
                     self.flush()
                 del self.stack[i:]
                 return
@@ -159,18 +176,16 @@ class _Lines(HTMLParser):
             self.stack.pop()
         if not self.stack[-1][2]:
             self.text.append(data)
+            self.plain |= not (self.stack[-1][4] or data.isspace())
 
 
 def page_lines(html: str | None) -> list[tuple[str, int]]:
-    """The lines of a page in order, each with its kind."""
+    """The lines of a page in order, each with its kind and, inside an article, ``LINK`` and ``FIRST``."""
     parser = _Lines()
     parser.feed(html or "")
     parser.close()
     parser.flush()
-    lines = parser.lines()
-    if any(kind == CONTENT for _, kind in lines):
-        return [(line, FURNITURE if kind == OPEN else kind) for line, kind in lines]
-    return lines
+    return parser.lines()
 
 
 def common_lines(a: list[str], b: list[str]) -> list[tuple[int, int]]:
@@ -253,14 +268,42 @@ def neighbour_pairs(pages: DataFrame, work: str) -> DataFrame:
         "key", "host", F.least(F.floor(rank / 4), F.greatest(F.floor(F.col("pages") / 4) - 1, F.lit(0))).alias("run"))
 
 
-def _repeated(run: list[tuple[list[int], bytes]]) -> list[list[int]]:
-    """Of each page (hashes and kinds of its lines) of a run the numbers of the lines that go."""
-    shared: list[set[int]] = [set() for _ in run]
-    for i in range(len(run) - 1):
-        for a, b in common_lines(run[i][0], run[i + 1][0]):
-            shared[i].add(a)
-            shared[i + 1].add(b)
-    return [sorted(n for n in s if kinds[n] == OPEN) for s, (_, kinds) in zip(shared, run)]
+def _repeated(run: list[tuple[list[int], list[int], bytes]]) -> list[list[int]]:
+    """Of each page (hashes, sizes and kinds of its lines) of a run the numbers of the lines that go."""
+    shared: dict[tuple[int, int], set[int]] = {}  # lines of the first page that the second has too
+    for i, j in combinations(range(len(run)), 2):
+        pairs = common_lines(run[i][0], run[j][0])
+        shared[i, j], shared[j, i] = {a for a, _ in pairs}, {b for _, b in pairs}
+
+    def versions(i: int, j: int) -> bool:
+        _, sizes, kinds = run[i]
+        both = sum(sizes[x] for x in shared[i, j] if kinds[x] & KIND == CONTENT)
+        return both >= VERSIONS * sum(size for x, size in enumerate(sizes) if x not in shared[i, j]) and both > 0
+
+    out = []
+    for i, (_, _, kinds) in enumerate(run):
+        gone = {x for j in (i - 1, i + 1) for x in shared.get((i, j), ()) if kinds[x] & KIND == OPEN}
+        others = [shared[i, j] for j in range(len(run)) if j != i and not versions(i, j) and not versions(j, i)]
+        inside = [x for x, kind in enumerate(kinds) if kind & KIND == CONTENT]
+        # Where there are three pages or more, one other page is too little to go by.
+        repeated = set.intersection(*others).intersection(inside) if others and len(others) >= min(2, len(run) - 1) else set()
+        gone.update(x for x in repeated if kinds[x] & LINK)
+        for lines in (inside, inside[::-1]):  # from an article's first line on, then from its last line back
+            edge = False
+            for place, x in enumerate(lines):
+                starts = kinds[x] & FIRST if lines is inside else place == 0 or kinds[lines[place - 1]] & FIRST
+                edge = (edge or bool(starts)) and x in repeated
+                if edge:
+                    gone.add(x)
+        out.append(sorted(gone))
+    return out
+
+
+def _alone(lines: list[str], kinds: bytes) -> set[int]:
+    """Lines that go from a page without neighbours: short ones outside its one article."""
+    if sum(kind & FIRST > 0 for kind in kinds) != 1:
+        return set()
+    return {x for x, (line, kind) in enumerate(zip(lines, kinds)) if kind & KIND == OPEN and len(line) < PROSE}
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,29 +320,28 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return batch
 
     for batch in batches:
-        for host, run, key, salts, hashes, kinds in zip(*(batch.column(i).to_pylist() for i in range(6))):
+        for host, run, key, salts, *page in zip(*(batch.column(i).to_pylist() for i in range(7))):
             if (host, run) != last:
                 close()
                 held, last = [], (host, run)
-            held.append((key, salts, (hashes, kinds)))
+            held.append((key, salts, page))
         yield rows()
     close()
     yield rows()
 
 
-def _signature(host: str, lines: list[tuple[str, int]]) -> tuple[str, list[int], bytes]:
-    """The key that pages of a host with equal lines have in common, hashes of the lines that
-    are not furniture by their markup, and their kinds."""
-    open_lines = [(line, kind) for line, kind in lines if kind != FURNITURE]
-    digests = [blake2b(line.encode("utf-8", "surrogatepass"), digest_size=8).digest() for line, _ in open_lines]
-    kinds = bytes(kind for _, kind in open_lines)
-    key = blake2b(b"".join([host.encode("utf-8", "surrogatepass"), b"\0", *digests, kinds]), digest_size=16).hexdigest()
-    return key, [int.from_bytes(d, "little", signed=True) for d in digests], kinds
+def _signature(host: str, lines: list[tuple[str, int]]) -> tuple[str, list[int], list[int], bytes]:
+    """The key that pages of a host with equal lines have in common; hashes, sizes and kinds of
+    the lines that are not furniture by their markup."""
+    lines = [(line, kind) for line, kind in lines if kind & KIND != FURNITURE]
+    digests = [blake2b(line.encode("utf-8", "surrogatepass"), digest_size=8).digest() for line, _ in lines]
+    key = blake2b(b"".join([host.encode("utf-8", "surrogatepass"), b"\0", *digests]), digest_size=16).hexdigest()
+    return key, [int.from_bytes(d, "little", signed=True) for d in digests], [len(line) for line, _ in lines], bytes(kind for _, kind in lines)
 
 
 def extract_text(pages: DataFrame, work: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """page_id, url, text: the lines of every page that neither a neighbour shares nor its
-    markup shows to be furniture, joined by one space. ``work`` is a fresh shared folder; another
+    """page_id, url, text: the lines of every page that neither its neighbours nor its markup
+    show to be furniture, joined by one space. ``work`` is a fresh shared folder; another
     named ``work``-lines is made beside it.
 
     Pages of a host with equal lines are one page to the others and get one result.
@@ -314,38 +356,40 @@ def extract_text(pages: DataFrame, work: str, id_col: str = "page_id", url_col:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             signed = [_signature(at, page_lines(h)) for at, h in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist())]
-            kinds = (pa.string(), pa.list_(pa.int64()), pa.binary())
+            kinds = (pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("host", "path", "salt")), *(pa.array([x[i] for x in signed], k) for i, k in enumerate(kinds))],
-                                             names=["host", "path", "salt", "key", "hashes", "kinds"])
+                                             names=["host", "path", "salt", "key", "hashes", "sizes", "kinds"])
 
     def lines_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parsed = [page_lines(h) for h in batch.column("html").to_pylist()]
             keys = pa.array([_signature(at, page)[0] for at, page in zip(batch.column("host").to_pylist(), parsed)], pa.string())
-            texts = pa.array([[x for x, k in page if k != FURNITURE] for page in parsed], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([keys, *(batch.column(c) for c in ("salt", "page_id", "url")), texts],
-                                             names=["key", "salt", "page_id", "url", "lines"])
+            open_lines = [[(x, k) for x, k in page if k & KIND != FURNITURE] for page in parsed]
+            texts = pa.array([[x for x, _ in page] for page in open_lines], pa.list_(pa.string()))
+            kinds = pa.array([bytes(k for _, k in page) for page in open_lines], pa.binary())
+            yield pa.RecordBatch.from_arrays([keys, *(batch.column(c) for c in ("salt", "page_id", "url")), texts, kinds],
+                                             names=["key", "salt", "page_id", "url", "lines", "kinds"])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for lines, gone in zip(*(batch.column(c).to_pylist() for c in ("lines", "gone"))):
-                gone = set(gone or ())
+            for lines, kinds, gone in zip(*(batch.column(c).to_pylist() for c in ("lines", "kinds", "gone"))):
+                gone = _alone(lines, kinds) if gone is None else set(gone)
                 texts.append(" ".join(line for n, line in enumerate(lines) if n not in gone))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     # One row for the pages of a host with equal lines: copies are no neighbours.
-    signed = rows.select("host", "path", "salt", "html").mapInArrow(sign, "host string, path string, salt int, key string, hashes array<long>, kinds binary")
+    signed = rows.select("host", "path", "salt", "html").mapInArrow(sign, "host string, path string, salt int, key string, hashes array<long>, sizes array<int>, kinds binary")
     signed.where("size(hashes) > 0").groupBy("key").agg(
-        F.min("host").alias("host"), F.min("path").alias("path"), F.any_value("hashes").alias("hashes"), F.any_value("kinds").alias("kinds"),
+        F.min("host").alias("host"), F.min("path").alias("path"), F.any_value("hashes").alias("hashes"), F.any_value("sizes").alias("sizes"), F.max("kinds").alias("kinds"),
         F.collect_set("salt").alias("salts")).write.parquet(f"{work}-lines")
-    distinct = spark.read.schema("key string, host string, path string, hashes array<long>, kinds binary, salts array<int>").parquet(f"{work}-lines")
+    distinct = spark.read.schema("key string, host string, path string, hashes array<long>, sizes array<int>, kinds binary, salts array<int>").parquet(f"{work}-lines")
     pairs = neighbour_pairs(distinct.select("key", "host", "path"), work)
     # A run's rows are hashed to one partition and stand side by side in it.
     compared = pairs.join(distinct.drop("host"), "key").repartition("host", "run").sortWithinPartitions("host", "run", "path", "key") \
-        .select("host", "run", "key", "salts", "hashes", "kinds").mapInArrow(_compare, "key string, salts array<int>, gone array<long>")
+        .select("host", "run", "key", "salts", "hashes", "sizes", "kinds").mapInArrow(_compare, "key string, salts array<int>, gone array<long>")
     id_type = rows.schema["page_id"].dataType.simpleString()
     lined = rows.select("host", "salt", "page_id", "url", "html").mapInArrow(
-        lines_of, f"key string, salt int, page_id {id_type}, url string, lines array<string>")
-    return lined.join(compared.select("key", F.explode("salts").alias("salt"), "gone"), ["key", "salt"], "left").select("page_id", "url", "lines", "gone") \
+        lines_of, f"key string, salt int, page_id {id_type}, url string, lines array<string>, kinds binary")
+    return lined.join(compared.select("key", F.explode("salts").alias("salt"), "gone"), ["key", "salt"], "left").select("page_id", "url", "lines", "kinds", "gone") \
         .mapInArrow(finish, f"page_id {id_type}, url string, text string")
