@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.llm.chunk_dedup import remove_repeats
 from tidewater.llm.packing import pack
@@ -27,12 +28,28 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without those that reach a smaller one by links of similar shingles."""
-    found = ngram_components(docs, shared_folder(spark, "pipeline-shingles"))
+    """Documents without those that reach a smaller one by links of similar shingles.
+
+    Different texts under one id are different documents, in the order of the texts; of rows with
+    one id and text the one with the least other columns stays. Rows with a null id all stay.
+    """
+    if not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        folder = shared_folder(spark, "pipeline-rows")
+        others = [c for c in docs.columns if c not in ("doc_id", "text")]
+        rows = docs.where("doc_id is not null").groupBy("doc_id", "text").agg(F.min(F.struct(*others)).alias("_rest")).select("doc_id", "text", "_rest.*")
+        rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text").withColumn("_row", F.monotonically_increasing_id()) \
+            .unionByName(docs.where("doc_id is null"), allowMissingColumns=True).write.parquet(folder)
+        rows = spark.read.schema(T.StructType([*docs.schema.fields, T.StructField("_row", T.LongType())])).parquet(folder)
+        return _without_copies(spark, rows, "_row").select(docs.columns)
+    return _without_copies(spark, docs, "doc_id")
+
+
+def _without_copies(spark: SparkSession, docs: DataFrame, id_col: str) -> DataFrame:
+    found = ngram_components(docs, shared_folder(spark, "pipeline-shingles"), id_col=id_col)
     copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_copy")).distinct().checkpoint()
     if copies.count() <= BROADCAST_ROWS:
         copies = F.broadcast(copies)  # at most BROADCAST_ROWS integers
-    return docs.join(copies, docs["doc_id"] == copies["_copy"], "left_anti")
+    return docs.join(copies, docs[id_col] == copies["_copy"], "left_anti")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

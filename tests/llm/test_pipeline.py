@@ -30,6 +30,21 @@ def test_stages_drop_what_they_should_and_keep_the_rest(spark, tmp_path):
     assert {p.doc_id for p in pieces} == clean | {102, 103}
 
 
+def test_near_copies_go_by_row(spark, tmp_path):
+    rng = random.Random(9)
+    text = lambda: " ".join("".join(rng.choice("abcdeghinorst") for _ in range(rng.randint(2, 8))) for _ in range(120))
+    first, second, clean, other = text(), text(), text(), text()
+    near = first.rsplit(" ", 1)[0] + " changed"
+    rows = [(1, first, "b"), (2, second, "b"), (2, second, "a"), (2, second, "b"), (3, clean, "b"), (3, near, "b"), (4, other, "b"), (None, first, "b"), (None, first, "b")]
+    frame = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    frame.write.parquet(f"{tmp_path}/docs")
+    out = corpus_pipeline.near_copies(spark, spark.read.parquet(f"{tmp_path}/docs"), "")
+    assert out.columns == frame.columns
+    want = [(1, first, "b"), (2, second, "a"), (3, clean, "b"), (4, other, "b"), (None, first, "b"), (None, first, "b")]
+    key = lambda r: (r[0] is None, r[0] or 0)
+    assert sorted(((r.doc_id, r.text, r.source) for r in out.collect()), key=key) == want
+
+
 def test_registered_queries():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
     assert numbers == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
