@@ -5,8 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -20,13 +18,3 @@ def spark():
 @pytest.fixture
 def lake_root(tmp_path):
     return str(tmp_path / "lake")
-
-
-def _key(t):
-    # NULLs sort first, then values of the same column type
-    return tuple((v is not None, v if v is not None else 0) for v in t)
-
-
-def rows(df, *cols):
-    cols = cols or tuple(df.columns)
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=_key)

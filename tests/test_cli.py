@@ -5,7 +5,7 @@ import pytest
 from tidewater.plans.cli import load_tables, main, parse_args
 from tidewater.sources.lake import lake_scan
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 
 def test_parse_args_none_table():

@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as E
 from tools.oracle_check import TABLES, rows_of
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 FAST = ["derive_partition_columns", "change_window", "change_window_bounds", "has_changes", "latest_per_key",
         "touched_partitions", "unchanged_rows", "merge_image", "align_columns", "update_table",

@@ -16,7 +16,7 @@ from tidewater.functions.stamps import change_stamp, column_defaults
 from tidewater.sinks.lake import lake_replace
 from tidewater.sources.lake import lake_scan
 
-from conftest import rows
+from helpers import rows
 
 # Partition-date cases: string times in, (year, month, day) out.
 CASES = [

@@ -10,7 +10,7 @@ from tidewater.plans.specs import ACTIONS, REFERENCE_TABLES, TableSpec, action_p
 from tidewater.sources.files import FrameSource
 from tidewater.sources.lake import lake_scan
 
-from conftest import rows
+from helpers import rows
 
 T = dt.datetime
 CUST = "customer_id long, first_name string, email string, created_at timestamp_ntz, last_updated_at timestamp_ntz"

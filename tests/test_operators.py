@@ -18,7 +18,7 @@ from tidewater.operators.quality import (
 from tidewater.operators.sizing import count_and_key_bytes, may_broadcast
 from tidewater.operators.staging import materialise
 
-from conftest import rows
+from helpers import rows
 
 LAKE = [(1, "a", 2024, 1, 1), (2, "b", 2024, 1, 1), (3, "c", 2024, 1, 2), (None, "n", 2024, 1, 3)]
 LAKE_SCHEMA = "id long, v string, year int, month int, day int"

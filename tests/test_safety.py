@@ -21,7 +21,7 @@ from tidewater.sources.files import FrameSource
 from tidewater.sources.lake import lake_scan
 from tidewater.streaming.bookmark import ingest_changes
 
-from conftest import rows
+from helpers import rows
 
 T = dt.datetime
 SCHEMA = "k long, v string, created timestamp_ntz, changed timestamp_ntz"

@@ -9,7 +9,7 @@ from tidewater.sources.lake import lake_exists, lake_partition_scan
 from tidewater.sinks.lake import drop_partitions, lake_append
 from tidewater.functions.partitions import derive_partition_columns
 
-from conftest import SF_SMALL, rows
+from helpers import SF_SMALL, rows
 
 NAMES = ["benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels",
          "lineitem", "nation", "orders", "pages", "part", "region", "supplier"]

@@ -7,7 +7,7 @@ from tidewater.sources.files import FrameSource
 from tidewater.sources.lake import lake_scan
 from tidewater.streaming.bookmark import checkpoint_location, export_changes, ingest_changes
 
-from conftest import rows
+from helpers import rows
 
 T = dt.datetime
 SCHEMA = "id long, v string, created_at timestamp_ntz, last_updated_at timestamp_ntz"

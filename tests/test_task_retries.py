@@ -7,7 +7,7 @@ import duckdb
 
 import __spark_entry__ as E
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 HERE = os.path.dirname(os.path.abspath(__file__))
 
