@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chunk_dedup import remove_repeats
+from .merkle_manifest import build_manifest, fold, leaf_digest, proof_text, prove
 from .packing import pack
 from .parity_join import ngram_components
 from .page_diff import extract_text
@@ -97,6 +98,21 @@ def op9_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.transform("chunks.removed", lambda x: x["end"]).alias("removed_to"))
 
 
+# The columns of a leaf.
+LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # Tampering takes the line ends out of every other document's text.
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.regexp_replace("text", "\n", "")).otherwise(F.col("text"))
+    held = leaf_digest([tampered if c == "text" else F.col(c) for c in LEAF_COLUMNS])
+    manifest = build_manifest(docs, LEAF_COLUMNS, "doc_id", "source", {"held": held})
+    proven = prove(manifest).select(F.col("id").alias("doc_id"), "leaf", "subroot", F.lit(manifest.root).alias("root"),
+                                    F.sha2(proof_text(F.col("path")), 256).alias("proof_sha256"), fold(F.col("path"), F.col("held")).alias("folded_root"))
+    return proven.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spherical_caps": op1_spherical_caps,
     "op2_range_coder": op2_range_coder,
@@ -108,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_parity_join": op8_parity_join,
     "op9_chunk_dedup": op9_chunk_dedup,
     "op10_packing": op10_packing,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 def _op3_sql() -> str:
@@ -124,6 +141,45 @@ SELECT page_id, host, path, b.rule AS rule,
        COALESCE(b.verdict, CASE WHEN {blocked} THEN 'block' ELSE 'allow' END) AS verdict FROM best"""
 
 
+# The unsigned CRC-32 of a text's bytes: the rule of its polynomial, eight bits a byte.
+_CRC32 = """xor(4294967295::BIGINT, list_reduce(list_transform(range(1, length({0}) + 1), lambda i: ascii(substr({0}, i, 1))::BIGINT), lambda c, b:
+    list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END)), 4294967295::BIGINT))"""
+
+
+def _op13_sql() -> str:
+    def leaf(text: str) -> str:
+        values = {c: f"CAST({c} AS VARCHAR)" for c in LEAF_COLUMNS} | {"text": text}
+        return "sha256(" + " || ".join(f"COALESCE(strlen({v}) || ':' || {v}, '-')" for v in values.values()) + ")"
+
+    def tree(name: str, base: str) -> str:
+        runs = "list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i + 1 : i + 3], '')))"
+        return f"{name} AS (SELECT source, 0 AS level, nodes FROM {base} UNION ALL SELECT source, level + 1, {runs} FROM {name} WHERE len(nodes) > 1)"
+
+    def path(levels: str, place: str) -> str:
+        run = f"({place} // CAST(pow(3, l.level) AS BIGINT))"
+        side = lambda a, b: f"array_to_string(l.nodes[{a} : {b}], '')"
+        return f"""list(struct_pack(l := {side(f"{run} // 3 * 3 + 1", run)}, r := {side(f"{run} + 2", f"{run} // 3 * 3 + 3")})
+            ORDER BY l.level) FILTER (len(l.nodes) > 1)"""
+
+    crc = _CRC32.format("CAST(doc_id AS VARCHAR)")
+    return f"""WITH RECURSIVE leaves AS (SELECT doc_id, source, {leaf("text")} AS leaf,
+  {leaf(f"CASE WHEN {crc} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")} AS held FROM documents),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM leaves),
+bottoms AS (SELECT source, list(leaf ORDER BY idx) AS nodes FROM ranked GROUP BY source),
+{tree("levels", "bottoms")},
+subroots AS (SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS sid FROM levels WHERE len(nodes) = 1),
+tops AS (SELECT NULL AS source, list(subroot ORDER BY sid) AS nodes FROM subroots),
+{tree("top_levels", "tops")},
+root AS (SELECT nodes[1] AS root FROM top_levels WHERE len(nodes) = 1),
+lower_paths AS (SELECT d.source, d.idx, {path("l", "d.idx")} AS path FROM ranked d JOIN levels l ON d.source IS NOT DISTINCT FROM l.source GROUP BY d.source, d.idx),
+upper_paths AS (SELECT s.source, s.subroot, {path("l", "s.sid")} AS path FROM subroots s CROSS JOIN top_levels l GROUP BY s.source, s.subroot),
+proofs AS (SELECT r.doc_id, r.leaf, r.held, u.subroot, root, list_concat(COALESCE(p.path, []), COALESCE(u.path, [])) AS path
+  FROM ranked r JOIN lower_paths p ON r.source IS NOT DISTINCT FROM p.source AND r.idx = p.idx JOIN upper_paths u ON r.source IS NOT DISTINCT FROM u.source CROSS JOIN root),
+folded AS (SELECT *, list_reduce(list_prepend(struct_pack(l := held, r := ''), path), lambda n, s: struct_pack(l := sha256(s.l || n.l || s.r), r := '')).l AS folded_root FROM proofs)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s.l || s.r), '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM folded"""
+
+
 ORACLES: dict[str, str] = {
     "op3_url_rules": _op3_sql(),
+    "op13_merkle_manifest": _op13_sql(),
 }
