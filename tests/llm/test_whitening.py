@@ -1,0 +1,98 @@
+import numpy as np
+import pytest
+
+from tidewater.llm.queries import op11_whitening
+from tidewater.llm.spectrum import Factors, count_above, leading_eigenpairs
+from tidewater.llm.whitening import fit_whitening, identity_error, whiten
+
+SCHEMA = "vec_id long, embedding array<float>, whitened string, v int, at string"
+
+
+def symmetric(rng, values):
+    q = np.linalg.qr(rng.standard_normal((len(values), len(values))))[0]
+    return (q * np.array(values)) @ q.T
+
+
+def test_factors_solve_and_count():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 3, 7, 40):
+        a = rng.standard_normal((n, n))
+        a = a + a.T
+        b = rng.standard_normal((n, 2))
+        assert np.allclose(a @ Factors(a).solve(b, 1e-300), b, atol=1e-8)
+        values = np.linalg.eigvalsh(a)
+        for shift in rng.standard_normal(20) * 3:
+            assert count_above(a, shift) == (values > shift).sum()
+    assert count_above(np.array([[0.0, 1], [1, 0]]), 0.0) == 1
+    assert count_above(np.zeros((4, 4)), 0.0) == 0
+
+
+@pytest.mark.parametrize("values", [
+    [9, 5, 4, 1, 0.5], [3], [2, 2, 2, 1, 1], [1e12, 1, 1e-6, 1e-9], list(range(70, 0, -1)), [5, 5 - 1e-9, 5 - 2e-9, 1], [1, 0, 0, 0],
+    [1 + 1e-13, 1, 1 - 1e-13, 0.3]])
+def test_leading_pairs(values):
+    a = symmetric(np.random.default_rng(2), values)
+    a = (a + a.T) / 2
+    want = np.linalg.eigvalsh(a)[::-1]
+    for count in (1, 3, len(values)):
+        got, vectors = leading_eigenpairs(a, count)
+        k = min(count, len(values))
+        assert len(got) == k and np.allclose(got, want[:k], rtol=0, atol=1e-12 * max(1, abs(want[0])))
+        assert np.allclose(vectors.T @ vectors, np.eye(k), atol=1e-12)
+        assert np.abs(a @ vectors - vectors * got).max() <= 1e-12 * max(1, abs(want[0]))
+
+
+def brute(rows, k=32):
+    kept = [(i, np.array(v, np.float32).astype(np.float64)) for i, v, *_ in rows if v is not None and None not in v and np.isfinite(np.array(v, float)).all()]
+    x = np.array([[int(np.floor(64 * c)) + 1000000 for c in v] for _, v in kept])
+    n, s = len(x), x.sum(axis=0)
+    y = x - s / n
+    cov = y.T @ y / n
+    e, q = np.linalg.eigh(cov)
+    e, q = e[::-1][:k], q[:, ::-1][:, :k]
+    deviation = [sum((n * int(a) - int(b)) ** 2 for a, b in zip(row, s)) for row in x]
+    return kept, n, deviation, y @ q / np.sqrt(np.maximum(e, 1e-300)), e / np.trace(cov)
+
+
+def vectors(rng, n, d):
+    return rng.standard_normal((n, d)) @ np.diag(np.linspace(3, 0.2, d)) + rng.standard_normal(d) * 5
+
+
+def test_equals_brute_force(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(c) for c in v], "clash", 1, "x") for i, v in enumerate(vectors(rng, 300, 40))]
+    rows += [rows[0], (None, rows[1][1], None, 1, None), (500, None, "c", 1, "x"), (501, [None] + rows[2][1][1:], "c", 1, "x"),
+             (502, [float("nan")] + rows[2][1][1:], "c", 1, "x"), (503, [float("inf")] + rows[2][1][1:], "c", 1, "x")]
+    spark.createDataFrame(rows, SCHEMA).repartition(5).write.parquet(f"{tmp_path}/embeddings.parquet")
+    kept, n, deviation, whitened, explained = brute(rows)
+    got = op11_whitening(spark, str(tmp_path)).toPandas()
+    assert len(got) == len(kept) * 32 and set(got["n"]) == {n} and got["identity_error"].nunique() == 1 and got["identity_error"][0] < 1e-9
+    key = lambda v: -1 if v is None or v != v else int(v)
+    for component in range(1, 33):
+        mine = got[got["component"] == component]
+        assert np.allclose(mine["explained"], explained[component - 1], rtol=1e-9)
+        a = sorted(zip(map(key, mine["vec_id"]), mine["deviation"], mine["whitened"]))
+        b = sorted(zip([key(i) for i, _ in kept], deviation, whitened[:, component - 1]))
+        assert [r[:2] for r in a] == [r[:2] for r in b]
+        x, y = np.array([r[2] for r in a]), np.array([r[2] for r in b])
+        assert min(np.abs(x - y).max(), np.abs(x + y).max()) < 1e-7
+
+
+def test_few_rows_and_dimensions(spark):
+    def fitted(vectors):
+        frame = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+        return frame, fit_whitening(frame)
+
+    assert fitted([None, [None]])[1] is None
+    assert len(fitted([[1.0, 2.0]])[1].values) == 0 and len(fitted([[1.0, 2.0]] * 5)[1].values) == 0
+    frame, model = fitted([[0.0, 1.0, 5.0], [1.0, 0.0, 5.0], [3.0, 4.0, 5.0]])
+    assert len(model.values) == 2 and identity_error(frame, model) < 1e-12 and abs(sum(model.explained) - 1) < 1e-12
+    with pytest.raises(Exception, match="different lengths"):
+        fitted([[1.0], [1.0, 2.0]])
+
+
+def test_exact_beyond_a_long(spark):
+    frame = spark.createDataFrame([(i, [float(i % 3) * 1e6, 1.0]) for i in range(3000)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: int(r["whitening"]["deviation"]) for r in whiten(frame, fit_whitening(frame)).collect()}
+    x = [64_000_000 * (i % 3) + 1_000_000 for i in range(3000)]
+    assert got == {i: (3000 * v - sum(x)) ** 2 for i, v in enumerate(x)}

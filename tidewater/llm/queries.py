@@ -23,6 +23,7 @@ from .spherical_caps import near_vectors
 from .storage import shared_folder
 from .url_rules import LOWER, PATTERN_RULES, UPPER, host_rule, judge_urls
 from .warc import read_warc, write_warc
+from .whitening import fit_whitening, identity_error, whiten
 from .word_table import decode, encode
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -98,6 +99,21 @@ def op9_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.transform("chunks.removed", lambda x: x["end"]).alias("removed_to"))
 
 
+WHITENED = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
+
+
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = fit_whitening(rows)
+    if model is None or not len(model.values):
+        return spark.createDataFrame([], WHITENED)
+    shares = F.array(*[F.lit(v) for v in model.explained])
+    by_row = whiten(rows.select("vec_id", "embedding"), model).select(
+        "vec_id", F.col("whitening.deviation").try_cast("long").alias("deviation"), F.posexplode("whitening.whitened").alias("at", "whitened"))
+    return by_row.select("vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+                         shares[F.col("at")].alias("explained"), F.lit(identity_error(rows, model)).alias("identity_error"))
+
+
 # The columns of a leaf.
 LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -124,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_parity_join": op8_parity_join,
     "op9_chunk_dedup": op9_chunk_dedup,
     "op10_packing": op10_packing,
+    "op11_whitening": op11_whitening,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
