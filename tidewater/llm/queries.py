@@ -21,6 +21,7 @@ from .quality_trees import COUNTS, quality_rules, train
 from .range_coder import read_ids, write_ids
 from .spherical_caps import near_vectors
 from .storage import shared_folder
+from .suffix_merge import remove_long_repeats
 from .url_rules import LOWER, PATTERN_RULES, UPPER, host_rule, judge_urls
 from .warc import read_warc, write_warc
 from .whitening import fit_whitening, identity_error, whiten
@@ -114,6 +115,13 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
                          shares[F.col("at")].alias("explained"), F.lit(identity_error(rows, model)).alias("identity_error"))
 
 
+def op12_suffix_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_long_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("repeats.removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return cleaned.select("doc_id", "repeats.n_bytes", removed.alias("n_removed"), F.size("repeats.removed").cast("long").alias("n_spans"),
+                          F.sha2("repeats.kept", 256).alias("kept_sha256"))
+
+
 # The columns of a leaf.
 LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -141,6 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chunk_dedup": op9_chunk_dedup,
     "op10_packing": op10_packing,
     "op11_whitening": op11_whitening,
+    "op12_suffix_merge": op12_suffix_merge,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
