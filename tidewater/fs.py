@@ -6,6 +6,10 @@ and touch a bounded number of partition directories, never row data.
 
 from __future__ import annotations
 
+import os
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 
 
@@ -76,15 +80,30 @@ def touch(spark: SparkSession, path: str) -> int:
     return int(fs.getFileStatus(hpath).getModificationTime())
 
 
+_ONE_BY_ONE = 32
+
+
+def existing(spark: SparkSession, paths) -> list[str]:
+    """Those of ``paths`` that exist: asked for one by one when they are few, else found in one
+    listing of each parent folder."""
+    paths = list(paths)
+    if len(paths) <= _ONE_BY_ONE:
+        return [p for p in paths if exists(spark, p)]
+    parents = {p.rstrip("/").rsplit("/", 1)[0] for p in paths}
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        children = dict(zip(parents, pool.map(lambda p: set(list_children(spark, p)), parents)))
+    return [p for p in paths if p.rstrip("/").rsplit("/", 1)[1] in children[p.rstrip("/").rsplit("/", 1)[0]]]
+
+
 def data_files(spark: SparkSession, *paths: str) -> list[str]:
-    """URIs of all data files below ``paths``, by Spark's own (parallel) listing; the files'
-    contents are not read and the names come to the driver in one transfer, as many as Spark's
-    file index holds for the same folders."""
-    present = [p for p in paths if has_data_files(spark, p)]
+    """URIs of all data files below ``paths``, from Spark's file index (the listing that a read
+    of the folders makes; hidden files are skipped, and no file is opened)."""
+    present = existing(spark, paths)
     if not present:
         return []
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(present).select("path")
-    return [r[0] for r in listed.collect()]
+    listed = spark.read.schema("listed int").option("recursiveFileLookup", "true").parquet(*present)
+    # The index writes local URIs with an empty authority and quotes them; paths elsewhere here do neither.
+    return [unquote("file:/" + f[len("file:///"):] if f.startswith("file:///") else f) for f in listed.inputFiles()]
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
@@ -156,3 +175,24 @@ def modification_time(spark: SparkSession, path: str) -> int | None:
     if not fs.exists(hpath):
         return None
     return int(fs.getFileStatus(hpath).getModificationTime())
+
+
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path`` (one call to the file system)."""
+    fs, hpath = _fs_and_path(spark, path)
+    return int(fs.getContentSummary(hpath).getLength()) if fs.exists(hpath) else 0
+
+
+def make_dirs(spark: SparkSession, path: str) -> None:
+    fs, hpath = _fs_and_path(spark, path)
+    fs.mkdirs(hpath)
+
+
+def write_text_at_once(spark: SparkSession, path: str, content: str) -> None:
+    """Write a small file that is either there as a whole or not; one that is there already is replaced."""
+    part = f"{path}.part-{os.urandom(4).hex()}"
+    write_text(spark, part, content)
+    if exists(spark, path):
+        delete(spark, path)
+    if not rename(spark, part, path):
+        raise OSError(f"could not move {part} to {path}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -27,6 +28,10 @@ class EngineContext:
     # is a dead driver's
     locking: bool = True
     lock_ttl_s: float = 1800
+    # lakes smaller than this (bytes outside the partitions that an update rewrites anyway) are
+    # searched for changed keys directly; larger ones through the files' key filters
+    key_filter_min_bytes: int = 256 * 1024 * 1024
+    _held: dict = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
         self.lake_root = self.lake_root.rstrip("/")
@@ -38,14 +43,26 @@ class EngineContext:
         layout = self.write_layout or ("as_is" if full_copy_unpartitioned else "rebalance")
         return {"max_records_per_file": self.max_records_per_file, "layout": layout}
 
+    @contextmanager
     def lock(self, name: str, job: str):
-        from contextlib import nullcontext
-
+        """The table's writer lock; while it is held ``check_lock`` tells whether it still is."""
         from tidewater.plans.locking import table_lock
 
         if not self.locking:
-            return nullcontext()
-        return table_lock(self.spark, self.lake_root, name, job, self.lock_ttl_s)
+            yield None
+            return
+        with table_lock(self.spark, self.lake_root, name, job, self.lock_ttl_s) as beat:
+            self._held[name] = beat
+            try:
+                yield beat
+            finally:
+                self._held.pop(name, None)
+
+    def check_lock(self, name: str) -> None:
+        """Called right before anything of the table is overwritten, moved or deleted: a job whose
+        lock was taken over stops there."""
+        if name in self._held:
+            self._held[name].check()
 
     def spec(self, name: str) -> TableSpec:
         return self.tables.get(name) or TableSpec(name)

@@ -13,16 +13,20 @@ from __future__ import annotations
 import json
 import logging
 import os
+import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater import fs
 from tidewater.functions.partitions import dates_to_partitions, derive_partition_columns, partition_dir
+from tidewater.functions.ranges import range_filter, time_ranges
 from tidewater.functions.windows import as_date, window_partition_dates
 from tidewater.operators.changes import any_null, change_window, latest_per_key
+from tidewater.operators.filefacts import combined, file_digests, files_below, files_that_may_hold, key_filters, partition_digests
 from tidewater.operators.inventory import collect_partitions
 from tidewater.operators.merge import (
     align_columns,
@@ -35,7 +39,9 @@ from tidewater.operators.merge import (
 from tidewater.operators.sizing import change_profile, may_broadcast
 from tidewater.operators.staging import materialise
 from tidewater.plans.context import EngineContext
+from tidewater.plans.locking import TableLocked
 from tidewater.plans.specs import TableSpec, action_parameters
+from tidewater.sinks.batches import append_once, batch_files, recover_batches
 from tidewater.sinks.lake import drop_partitions, lake_append, lake_replace, lake_replace_where, write_lake
 from tidewater.sources.catalog import list_source_tables
 from tidewater.sources.lake import lake_partition_scan, lake_scan
@@ -70,6 +76,7 @@ def prepare_and_save(ctx: EngineContext, df: DataFrame, spec: TableSpec, write:
     cols = spec.partition_cols
     if spec.partition_by:
         df = derive_partition_columns(df, spec.partition_by, spec.grain)
+    ctx.check_lock(spec.name)
     kw = ctx.write_options(full_copy_unpartitioned=(write == "overwrite" and not cols))
     if write == "overwrite":
         lake_replace(df, path, cols, **kw)
@@ -156,7 +163,7 @@ def recover_swap(spark: SparkSession, path: str) -> bool:
     return False
 
 
-def _swap_in_unpartitioned(ctx: EngineContext, path: str, df: DataFrame, full_copy: bool) -> int:
+def _swap_in_unpartitioned(ctx: EngineContext, name: str, path: str, df: DataFrame, full_copy: bool) -> int:
     """Replace an existing unpartitioned table without an empty moment: write ``df`` into a
     hidden folder inside the table (readers skip hidden folders), move the new files in next
     to the old ones (Spark's file names carry the job id, so they never collide), then delete
@@ -169,11 +176,12 @@ def _swap_in_unpartitioned(ctx: EngineContext, path: str, df: DataFrame, full_co
     then readers may see old and new rows together. Returns the old file count."""
     spark = ctx.spark
     old = [c for c, is_dir in fs.list_entries(spark, path) if not is_dir and not c.startswith(("_", "."))]
-    name = f"{_STAGING_PREFIX}{os.urandom(6).hex()}"
-    staging = f"{path}/{name}"
+    folder = f"{_STAGING_PREFIX}{os.urandom(6).hex()}"
+    staging = f"{path}/{folder}"
     write_lake(df, staging, [], "overwrite", **ctx.write_options(full_copy_unpartitioned=full_copy))
     new = [c for c, is_dir in fs.list_entries(spark, staging) if not is_dir and not c.startswith(("_", "."))]
-    plan = {"staging": name, "new": new, "old": old}
+    ctx.check_lock(name)
+    plan = {"staging": folder, "new": new, "old": old}
     part = f"{path}/{_SWAP}.{os.urandom(4).hex()}"
     fs.write_text(spark, part, json.dumps(plan))
     _move(spark, part, f"{path}/{_SWAP}")
@@ -193,7 +201,7 @@ def _partition_of(uri: str, depth: int) -> str:
 
 
 def _refresh_unpartitioned(ctx: EngineContext, name: str, path: str) -> JobResult:
-    replaced = _swap_in_unpartitioned(ctx, path, ctx.source.table(name), full_copy=True)
+    replaced = _swap_in_unpartitioned(ctx, name, path, ctx.source.table(name), full_copy=True)
     log.info("refresh %s: replaced %d files of %s", name, replaced, path)
     return JobResult(name, "refresh", "written")
 
@@ -222,16 +230,66 @@ def _refresh_table(ctx: EngineContext, name: str, keep_old_until_commit: bool =
         return JobResult(name, "refresh", "written")
     before = set(fs.data_files(spark, path))
     df = derive_partition_columns(ctx.source.table(name), spec.partition_by, spec.grain)
+    ctx.check_lock(name)
     lake_replace_where(df, path, cols, **ctx.write_options())
     after = fs.data_files(spark, path)
     fresh = {_partition_of(f, len(cols)) for f in after if f not in before}
     stale = sorted({_partition_of(f, len(cols)) for f in after} - fresh)
+    ctx.check_lock(name)
     _each(stale, lambda d: _delete(spark, f"{path}/{d}"))
     _drop_empty_parents(spark, path, stale)
     log.info("refresh %s: rewrote %s, dropped %d partitions no longer in the source", name, path, len(stale))
     return JobResult(name, "refresh", "written", dropped_partitions=stale)
 
 
+def _refresh_changed_partitions(ctx: EngineContext, name: str) -> JobResult:
+    """Makes the lake table equal to the source by rewriting only the partitions whose content
+    differs.
+
+    One pass over the source gives each partition's digest; the lake's come from its files' stored
+    digests (files without one are read). Partitions whose digests differ are read from the source
+    again, by ranges of their days where the partitioning column is a date or timestamp, and
+    overwritten; those the source has no longer are deleted. A table that does not exist yet, is
+    not partitioned, or has other columns, types or partitioning than the source is refreshed as a
+    whole. Should the source move between the two reads, the table holds what the second one
+    saw, and the next run sees the difference.
+    """
+    spec, spark, path = ctx.spec(name), ctx.spark, ctx.table_path(name)
+    cols = list(spec.partition_cols)
+    if not cols or not _same_layout(spark, path, cols):
+        return _refresh_table(ctx, name)
+    df = derive_partition_columns(ctx.source.table(name), spec.partition_by, spec.grain)
+    schema = lake_schema(spark, path, cols)
+    kinds = lambda s: {f.name: f.dataType.simpleString() for f in s.fields}
+    if kinds(schema) != kinds(df.schema):
+        log.info("refresh %s: the source's columns are not the lake's; refreshing the whole table", name)
+        return _refresh_table(ctx, name)
+    columns = [c for c in df.columns if c not in cols]
+    files = files_below(spark, path)
+    by_file = file_digests(spark, ctx.lake_root, name, path, files, schema, columns)
+    folder = F.regexp_replace("file", "/[^/]*$", "")
+    lake = {r["folder"]: tuple(r)[1:] for r in by_file.groupBy(folder.alias("folder")).agg(*combined()).collect() if r["n"]}
+    held = {partition_dir("", tuple(r)[:len(cols)], cols).strip("/"): (tuple(r)[:len(cols)], tuple(r)[len(cols):])
+            for r in partition_digests(df, cols, columns).collect()}
+    differ = [key for d, (key, digest) in held.items() if lake.get(d) != digest]
+    gone = sorted({f.rsplit("/", 1)[0] for f in files} - set(held))
+    if differ:
+        rows = df.where(time_ranges(df, spec.partition_by, differ, spec.grain)).where(range_filter(differ, cols))
+        ctx.check_lock(name)
+        lake_replace_where(rows, path, cols, **ctx.write_options())
+        old = set(files)
+        fresh = {f.rsplit("/", 1)[0] for f in files_below(spark, path) if f not in old}
+        gone += sorted({partition_dir("", key, cols).strip("/") for key in differ} - fresh)
+    present = {f.rsplit("/", 1)[0] for f in files}
+    gone = [d for d in gone if d in present]
+    if gone:
+        ctx.check_lock(name)
+        _each(gone, lambda d: _delete(spark, f"{path}/{d}"))
+        _drop_empty_parents(spark, path, gone)
+    log.info("refresh %s: rewrote %d of %d partitions, dropped %d", name, len(differ), len(held), len(gone))
+    return JobResult(name, "refresh", "written" if differ or gone else "no_changes", None, differ, gone)
+
+
 def _drop_empty_parents(spark: SparkSession, path: str, partitions) -> None:
     """Deletes the folders above deleted partitions that hold nothing any more."""
     parents = {p.rsplit("/", 1)[0] for p in partitions if "/" in p}
@@ -254,8 +312,11 @@ def lake_schema(spark: SparkSession, path: str, cols) -> T.StructType:
 
 
 def insert_table(ctx: EngineContext, name: str, as_of=None, days: int = 1,
-                 dedupe_on_key: bool = False) -> JobResult:
-    """Append the rows created inside the window (see ``append_changes``)."""
+                 dedupe_on_key: bool = False, once: bool = False) -> JobResult:
+    """Append the rows created inside the window (see ``append_changes``). With ``once``, the default
+    of ``run_action`` and the command line, the window is a batch: run again, it adds nothing. (Rows
+    that come into a window after its run are for the next window, for ``dedupe_on_key``, or for
+    ``insert_new_rows``.)"""
     spec = ctx.spec(name)
     if not spec.created_column:
         raise ValueError(f"table {name!r} has no created column; insert needs one")
@@ -266,13 +327,18 @@ def insert_table(ctx: EngineContext, name: str, as_of=None, days: int = 1,
     parts = None
     if spec.partition_by == spec.created_column and spec.stable_partitions:
         parts = dates_to_partitions(window_partition_dates(as_of, days), spec.grain)
-    return append_changes(ctx, name, window, dedupe_on_key, lookup_partitions=parts)
+    # a deduped insert may be repeated as it is, and then finds rows that came later
+    batch = f"insert-{as_of.isoformat()}-{days}" if once and not dedupe_on_key else None
+    return append_changes(ctx, name, window, dedupe_on_key, lookup_partitions=parts, batch=batch)
 
 
 def _append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_key: bool = False,
-                   lookup_partitions: list | None = None) -> JobResult:
+                   lookup_partitions: list | None = None, batch: str | None = None) -> JobResult:
     """Append rows to the lake table in one pass (one Spark action).
 
+    With ``batch`` the rows are added once under that id, whatever stops or repeats the job (see
+    ``sinks.batches``); if they are there already nothing is read or written.
+
     With ``dedupe_on_key`` the rows are staged once, one row per key is kept (the newest by the
     change column, or the created one) and rows whose key is already in the lake are left out,
     which makes overlapping or repeated windows idempotent. Rows with a NULL key column are
@@ -287,6 +353,9 @@ def _append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_ke
     spark = ctx.spark
     path = ctx.table_path(name)
     cols = spec.partition_cols
+    if batch is not None and batch_files(spark, ctx.lake_root, name, batch) is not None:
+        log.info("insert %s: batch %s is in the table already", name, batch)
+        return JobResult(name, "insert", "no_changes", note=f"batch {batch} was added before")
     if spec.partition_by:
         rows = derive_partition_columns(rows, spec.partition_by, spec.grain)
     exists = _check_layout(spark, name, path, cols)
@@ -307,7 +376,11 @@ def _append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_ke
                 existing = lake_scan(spark, path)
             if existing is not None:
                 rows = unchanged_rows(rows, existing.select(*spec.keys), spec.keys)
-        lake_append(rows, path, cols, **ctx.write_options())
+        if batch is not None:
+            append_once(rows, path, cols, ctx.lake_root, name, batch, lambda: ctx.check_lock(name), **ctx.write_options())
+        else:
+            ctx.check_lock(name)
+            lake_append(rows, path, cols, **ctx.write_options())
     finally:
         if staged:
             staged.release()
@@ -343,9 +416,8 @@ def _upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_on
     """Copy-on-write upsert of a change set into the lake table ``name``.
 
     1. stage the change set once in the shared folder (one source query);
-    2. affected partitions = where the changed keys live now ∪ where they go. Keys are looked
-       up in the partitions of their change rows, and those not found there in the whole
-       lake's key columns, unless the spec promises stable partitions;
+    2. affected partitions = where the changed keys live now ∪ where they go. All keys are looked
+       up in all other partitions, unless the spec promises stable partitions;
     3. image = affected rows without the changed keys ∪ the change rows;
     4. dynamic overwrite of exactly those partitions; partitions left empty are deleted.
     Afterwards every key has exactly one row (one per change row with ``latest_only``
@@ -390,6 +462,7 @@ def _upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_on
         log.info("update %s: %d change rows, key bound %d bytes, broadcast keys: %s", name, n, key_bytes, bcast)
 
         if not _check_layout(spark, name, path, cols):
+            ctx.check_lock(name)
             write_lake(changes, path, cols, "append", **kw)
             return JobResult(name, "update", "written", n, note="lake was empty")
 
@@ -401,14 +474,15 @@ def _upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_on
             lake = lake_scan(spark, path)
             if stamp and stamp in lake.columns and may_hold_stale_changes(changes, lake, stamp, oldest):
                 changes = drop_stale_changes(changes, lake, keys, stamp, bcast)
-            _swap_in_unpartitioned(ctx, path, merge_image(lake, changes, keys, bcast), full_copy=False)
+            _swap_in_unpartitioned(ctx, name, path, merge_image(lake, changes, keys, bcast), full_copy=False)
             return JobResult(name, "update", "written", n)
 
-        old_parts = [] if spec.stable_partitions else _partitions_of_keys(spark, path, changes, keys, spec, new_parts, bcast)
+        old_parts = [] if spec.stable_partitions else _partitions_of_keys(ctx, path, changes, spec, new_parts, bcast)
         affected = _unique(old_parts + new_parts)
 
         existing = lake_partition_scan(spark, path, affected, cols)
         if existing is None:
+            ctx.check_lock(name)
             lake_replace_where(changes, path, cols, **kw)
             return JobResult(name, "update", "written", n, affected, note="insert only")
 
@@ -417,10 +491,13 @@ def _upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_on
         folders = {p: partition_dir(path, p, cols) for p in affected}
         before = set(fs.data_files(spark, *folders.values()))
         image = merge_image(existing, changes, keys, bcast)
+        ctx.check_lock(name)
         lake_replace_where(image, path, cols, **kw)
         # Affected partitions that got no new file have no row in the image.
         fresh = {_partition_of(f, len(cols)) for f in fs.data_files(spark, *folders.values()) if f not in before}
         drop = [p for p, d in folders.items() if "/".join(d.split("/")[-len(cols):]) not in fresh and fs.exists(spark, d)]
+        if drop:
+            ctx.check_lock(name)
         drop_partitions(spark, path, drop, cols)
         log.info("update %s: rewrote %d partitions, dropped %d emptied", name, len(affected), len(drop))
         return JobResult(name, "update", "written", n, affected, drop)
@@ -429,44 +506,60 @@ def _upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_on
             staged.release()
 
 
-def _partitions_of_keys(spark, path, changes, keys, spec, new_parts, broadcast_keys) -> list:
-    """Partitions of the lake that hold a key of the change set, looked up exactly. Rows are
-    mostly where their change rows say, unless they move with every change; keys found there
-    need no further search (a key has one row), the others are sought in the whole lake."""
-    cols = list(spec.partition_cols)
-    found: list = []
-    rest = changes.select(*keys)
-    if not spec.moves_with_change:
-        near = lake_partition_scan(spark, path, new_parts, cols)
-        if near is not None:
-            found = new_parts
-            rest = unchanged_rows(rest, near.select(*keys), keys)
-            if rest.isEmpty():
-                return found
-    return _unique(found + collect_partitions(touched_partitions(lake_scan(spark, path), rest, keys, cols, broadcast_keys), cols))
-
-
-def refresh_table(ctx: EngineContext, name: str, keep_old_until_commit: bool = True) -> JobResult:
-    """Replace the lake table with the whole source table (see ``_refresh_table``); holds
+def _partitions_of_keys(ctx: EngineContext, path, changes, spec, new_parts, bcast: bool) -> list:
+    """Partitions of the lake, besides ``new_parts``, that hold a key of the change set, looked up
+    exactly: a key may stand in any partition, and in several (an insert without dedupe can put it
+    there).
+
+    In a lake of some size the files' key filters say first which files can hold a key; only
+    the key columns of those are read. Keys new to the lake then open no data file, but for the
+    filters' rare false hits."""
+    spark, cols, keys = ctx.spark, list(spec.partition_cols), list(spec.keys)
+    rewritten = {partition_dir("", p, cols).strip("/") for p in new_parts}
+    files = [f for f in files_below(spark, path) if f.rsplit("/", 1)[0] not in rewritten]
+    if not files:
+        return []
+    if bcast and ctx.key_filter_min_bytes <= 0 or bcast and fs.total_bytes(spark, path) >= ctx.key_filter_min_bytes:
+        filters = key_filters(spark, ctx.lake_root, spec.name, path, files, lake_schema(spark, path, cols), keys)
+        hit = files_that_may_hold(filters, changes, keys)
+        log.info("update %s: %d of %d files may hold a changed key", spec.name, len(hit), len(files))
+        if not hit:
+            return []
+        lake = spark.read.option("basePath", path.rstrip("/")).schema(lake_schema(spark, path, cols)).parquet(*[f"{path}/{f}" for f in hit])
+    else:
+        lake = lake_scan(spark, path, lake_schema(spark, path, cols)).where(~range_filter(new_parts, cols))
+    return collect_partitions(touched_partitions(lake, changes, keys, cols, bcast), cols)
+
+
+def _recover(ctx: EngineContext, name: str) -> None:
+    """What a job that died on the table left to do."""
+    path = ctx.table_path(name)
+    recover_swap(ctx.spark, path)
+    recover_batches(ctx.spark, ctx.lake_root, name, path, lambda: ctx.check_lock(name))
+
+
+def refresh_table(ctx: EngineContext, name: str, keep_old_until_commit: bool = True, changed_only: bool = False) -> JobResult:
+    """Replace the lake table with the whole source table (see ``_refresh_table``), or with
+    ``changed_only`` only the partitions that differ (see ``_refresh_changed_partitions``); holds
     the table's writer lock while it runs."""
     with ctx.lock(name, "refresh"):
-        recover_swap(ctx.spark, ctx.table_path(name))
-        return _refresh_table(ctx, name, keep_old_until_commit)
+        _recover(ctx, name)
+        return _refresh_changed_partitions(ctx, name) if changed_only else _refresh_table(ctx, name, keep_old_until_commit)
 
 
 def append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_key: bool = False,
-                   lookup_partitions: list | None = None) -> JobResult:
+                   lookup_partitions: list | None = None, batch: str | None = None) -> JobResult:
     """Append rows to the lake table (see ``_append_changes``) under the writer lock."""
     with ctx.lock(name, "insert"):
-        recover_swap(ctx.spark, ctx.table_path(name))
-        return _append_changes(ctx, name, rows, dedupe_on_key, lookup_partitions)
+        _recover(ctx, name)
+        return _append_changes(ctx, name, rows, dedupe_on_key, lookup_partitions, batch)
 
 
 def upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_only: bool = False,
                    stage: bool = True, newest_wins: bool = True) -> JobResult:
     """Copy-on-write upsert of a change set (see ``_upsert_changes``) under the writer lock."""
     with ctx.lock(name, "update"):
-        recover_swap(ctx.spark, ctx.table_path(name))
+        _recover(ctx, name)
         return _upsert_changes(ctx, name, changes, latest_only, stage, newest_wins)
 
 
@@ -483,7 +576,8 @@ def last_success(ctx: EngineContext, action: str, name: str):
 
 def run_table(ctx: EngineContext, action: str, name: str, as_of=None, days: int = 1,
               dedupe_on_key: bool = False, latest_only: bool = False,
-              newest_wins: bool = True, since_last: bool = False) -> JobResult:
+              newest_wins: bool = True, since_last: bool = False, changed_only: bool = False,
+              once: bool = True) -> JobResult:
     """One action on one table; a success moves the table's bookmark for the action to
     ``as_of`` (never back). ``since_last`` widens the window by the days since that bookmark,
     so runs that were missed are made up for; an insert then dedupes on keys."""
@@ -492,19 +586,33 @@ def run_table(ctx: EngineContext, action: str, name: str, as_of=None, days: int
     if since_last and last is not None and last < as_of:
         days += (as_of - last).days
     if action == "refresh":
-        result = refresh_table(ctx, name)
+        result = refresh_table(ctx, name, changed_only=changed_only)
     elif action == "insert":
-        result = insert_table(ctx, name, as_of, days, dedupe_on_key or since_last)
+        result = insert_table(ctx, name, as_of, days, dedupe_on_key or since_last, once)
     elif action == "update":
         result = update_table(ctx, name, as_of, days, latest_only, newest_wins)
     else:
         action_parameters(action)  # raises for an unknown action
         raise AssertionError(action)
-    if last is None or last < as_of:
-        fs.write_text(ctx.spark, bookmark_path(ctx, action, name), as_of.isoformat())
+    _move_bookmark(ctx, action, name, as_of)
     return result
 
 
+def _move_bookmark(ctx: EngineContext, action: str, name: str, as_of) -> None:
+    """Read and written under a lock of its own, so no run can move it back."""
+    for wait in (0.1, 0.5, 1, 2, 5, 10, None):
+        try:
+            with ctx.lock(f"{name}.{action}.bookmark", action):
+                last = last_success(ctx, action, name)
+                if last is None or last < as_of:
+                    fs.write_text_at_once(ctx.spark, bookmark_path(ctx, action, name), as_of.isoformat())
+            return
+        except TableLocked:
+            if wait is None:
+                raise
+            time.sleep(wait)
+
+
 def _applicable(action: str, spec: TableSpec) -> str | None:
     if action == "insert" and not spec.created_column:
         return "no created column"
@@ -516,7 +624,8 @@ def _applicable(action: str, spec: TableSpec) -> str | None:
 def run_action(ctx: EngineContext, action: str, mode: str, table: str | None = None,
                as_of=None, days: int = 1, dedupe_on_key: bool = False,
                latest_only: bool = False, max_concurrent_tables: int = 4,
-               newest_wins: bool = True, since_last: bool = False) -> list[JobResult]:
+               newest_wins: bool = True, since_last: bool = False, changed_only: bool = False,
+               once: bool = True) -> list[JobResult]:
     """``partial``: one named table (error if none). ``full``: every source table; tables
     the action cannot apply to are reported as skipped. Independent tables are submitted
     as concurrent Spark jobs (``max_concurrent_tables``); ``as_of`` is fixed once for all."""
@@ -530,7 +639,7 @@ def run_action(ctx: EngineContext, action: str, mode: str, table: str | None = N
         reason = _applicable(action, ctx.spec(table))
         if reason:
             raise ValueError(f"cannot {action} {table!r}: {reason}")
-        return [run_table(ctx, action, table, as_of, days, dedupe_on_key, latest_only, newest_wins, since_last)]
+        return [run_table(ctx, action, table, as_of, days, dedupe_on_key, latest_only, newest_wins, since_last, changed_only, once)]
 
     names = list_source_tables(ctx.source)
 
@@ -540,7 +649,7 @@ def run_action(ctx: EngineContext, action: str, mode: str, table: str | None = N
             log.info("%s %s: skipped (%s)", action, name, reason)
             return JobResult(name, action, "skipped", note=reason)
         try:
-            return run_table(ctx, action, name, as_of, days, dedupe_on_key, latest_only, newest_wins, since_last)
+            return run_table(ctx, action, name, as_of, days, dedupe_on_key, latest_only, newest_wins, since_last, changed_only, once)
         except Exception as e:  # noqa: BLE001 - reported per table, raised together below
             log.error("%s %s: failed: %s", action, name, e)
             return JobResult(name, action, "failed", note=f"{type(e).__name__}: {str(e)[:500]}")

@@ -12,14 +12,6 @@ from tidewater import fs
 from tidewater.functions.partitions import GRAINS, partition_dir
 
 
-# Up to this many partitions are checked one by one; more are matched against one listing.
-_EXISTS_ONE_BY_ONE = 32
-
-
-def _tail(path: str, depth: int) -> str:
-    return "/".join(path.rstrip("/").split("/")[-depth:])
-
-
 def lake_exists(spark: SparkSession, path: str) -> bool:
     return fs.has_data_files(spark, path)
 
@@ -45,12 +37,7 @@ def lake_partition_scan(spark: SparkSession, root: str, partitions: Iterable[Seq
     of the lake. Partitions that do not exist yet are skipped; ``None`` when none exist.
     """
     paths = [partition_dir(root, p, cols) for p in partitions]
-    if len(paths) > _EXISTS_ONE_BY_ONE:
-        listed = fs.glob_dirs(spark, "/".join([root.rstrip("/")] + [f"{c}=*" for c in cols]))
-        names = {_tail(p, len(cols)) for p in listed}
-        present = [p for p in paths if _tail(p, len(cols)) in names]
-    else:
-        present = [p for p in paths if fs.exists(spark, p)]
+    present = fs.existing(spark, paths)
     if not present:
         return None
     df = spark.read.option("basePath", root.rstrip("/")).parquet(*present)
