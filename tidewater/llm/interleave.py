@@ -50,23 +50,23 @@ def _ranks(high: np.ndarray, low: np.ndarray) -> np.ndarray:
     order = stable_order(low)
     order = order[stable_order(high[order])]
     new = np.concatenate([[0], (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])])
-    out = np.empty(len(order), np.int64)
-    out[order] = np.cumsum(new)
-    return out + 1
+    out = np.empty(len(order), np.int32)
+    out[order] = np.cumsum(new, dtype=np.int32)
+    return out + np.int32(1)
 
 
 def shard_transform(symbols: np.ndarray, last: np.ndarray, step: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(places in sorted order, symbol before each) of a shard. ``symbols`` holds the symbol that
     starts at each place of its strings, 0 where none fits; ``last`` the last place of each
     place's string. The order is by ``depth`` symbols, which is all that the merge looks at."""
-    n, rank, reach = len(symbols), symbols.astype(np.int64), 1
-    place = np.arange(n)
+    n, rank, reach = len(symbols), symbols, 1
+    place = np.arange(n, dtype=np.int32)
     while reach < depth:
         next_ = place + reach * step
         low = np.where(next_ <= last, rank[np.minimum(next_, n - 1)], 0)
         rank, reach = _ranks(rank, low), 2 * reach
-    order = stable_order(rank)
-    before = order - step
+    order = stable_order(rank).astype(np.int32)
+    before = order - np.int32(step)
     inside = (before >= 0) & (last[np.maximum(before, 0)] == last[order])
     return order, np.where(inside, symbols[np.maximum(before, 0)], 0)
 
@@ -75,18 +75,18 @@ def merge_transforms(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarr
     """(shard of each row, symbols that it shares with the row above, up to ``depth``) of the
     merged transform. Symbol 0 ends a string: rows that follow it are the empty suffixes."""
     sizes = [len(t) for t in transforms]
-    shard = np.repeat(np.arange(len(sizes)), sizes)
+    shard = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     symbols, total = np.concatenate(transforms), sum(sizes)
-    shared, block = np.full(total, depth, np.int64), np.zeros(total, np.int64)
+    shared, block = np.full(total, depth, np.int16), np.zeros(total, np.int32)
     shared[:1] = 0
     for round_ in range(1, depth + 1):
-        row = np.empty(total, np.int64)
+        row = np.empty(total, np.int32)
         row[stable_order(shard)] = symbols  # each shard's rows keep their order
         order = stable_order(row)
         shard, symbol, above = shard[order], row[order], block[order]
         edge = np.concatenate([[False], ((symbol[1:] != symbol[:-1]) | (above[1:] != above[:-1])) & (symbol[1:] != 0)])
         shared[edge & (shared == depth)] = round_ - 1
-        block = np.cumsum(edge)
+        block = np.cumsum(edge, dtype=np.int32)
     return shard, shared
 
 
@@ -100,17 +100,22 @@ def repeated_windows(strings: list[bytes], length: int, depth: int) -> list[np.n
     if not windows.sum():
         return out
     hashes = gram_hashes(np.frombuffer(b"".join(strings), np.uint8), step)
-    _, ids, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-    often = counts[ids] > 1
+    order = np.argsort(hashes)
+    new = np.concatenate([[True], hashes[order[1:]] != hashes[order[:-1]]])
+    del hashes
+    ids, often = np.empty(len(order), np.int32), np.empty(len(order), bool)
+    ids[order] = np.cumsum(new, dtype=np.int32)  # from 1
+    often[order] = ~new | ~np.append(new[1:], True)
+    del order, new
     # A window with a gram that stands nowhere else stands nowhere else; the others, with what they
     # span, are the strings to merge.
     alive = np.ones(max(0, len(often) - (depth - 1) * step), bool)
     for k in range(depth):
         alive &= often[k * step : k * step + len(alive)]
-    place = np.arange(len(alive))
-    owner = np.searchsorted(begins, place, side="right") - 1
-    alive &= place + length <= begins[owner + 1]
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], (alive * (owner + 1))])) != 0)
+    owner = np.repeat(np.arange(len(strings), dtype=np.int32), sizes)[: len(alive)]
+    alive &= np.arange(length, length + len(alive)) <= begins[owner + 1]
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], alive * (owner + 1)])) != 0)
+    del owner
     starts, ends = [], []
     bounds = np.append(edges, len(alive))
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
@@ -125,11 +130,11 @@ def repeated_windows(strings: list[bytes], length: int, depth: int) -> list[np.n
         while end < len(starts) and (end == first or rows + ends[end] - starts[end] < _SHARD_ROWS):
             rows += ends[end] - starts[end] + 1
             end += 1
-        at = np.concatenate([np.arange(a, b + 1) for a, b in zip(starts[first:end], ends[first:end])])
+        at = np.concatenate([np.arange(a, b + 1, dtype=np.int32) for a, b in zip(starts[first:end], ends[first:end])])
         sizes_ = np.array([b - a + 1 for a, b in zip(starts[first:end], ends[first:end])], np.int64)
-        last = np.repeat(np.cumsum(sizes_) - 1, sizes_)
-        fits = last - np.arange(len(at)) >= step
-        symbols = np.where(fits, ids[np.minimum(at, len(ids) - 1)] + 1, 0)
+        last = np.repeat((np.cumsum(sizes_) - 1).astype(np.int32), sizes_)
+        fits = last - np.arange(len(at), dtype=np.int32) >= step
+        symbols = np.where(fits, ids[np.minimum(at, len(ids) - 1)], np.int32(0))
         order, transform = shard_transform(symbols, last, step, depth)
         shards.append((at, last, order, transform))
         first = end

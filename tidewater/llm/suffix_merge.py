@@ -39,8 +39,9 @@ LENGTH = 400
 DEPTH = 8  # symbols a window has in the transforms
 _PASS_BYTES = 1 << 18
 _FLUSH_RUNS = 100_000
-_BUCKET_BYTES = 1 << 20
-_CROWDED = 4_000  # different runs of a key, two buckets' bytes or so
+_BUCKET_BYTES = 1 << 19
+_CROWDED = 1_500  # different runs of a key, a bucket's bytes or two
+_SLICE_ROWS = 500  # texts held as Python objects at once
 # A run's place: its first window's byte, a bit if it is settled, one if its bytes stood before, its windows.
 _SHIFT, _SETTLED, _AGAIN, _COUNT = 14, 1 << 13, 1 << 12, (1 << 12) - 1
 RUN = "key long, digest long, one long, two long, place long"
@@ -88,6 +89,12 @@ def runs_of(texts: list[bytes], length: int, gram: int):
     return text[first], at[first], count, hashes[anchor[first]], np.frombuffer(digests, np.uint64)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, _SLICE_ROWS):
+            yield batch.slice(i, _SLICE_ROWS)
+
+
 def _run_rows(length: int, gram: int):
     def flush(held: list) -> pa.RecordBatch:
         key, digest, one, two, start, count = (np.concatenate([h[i] for h in held]) for i in range(6))
@@ -117,7 +124,7 @@ def _run_rows(length: int, gram: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for batch in batches:
+        for batch in _slices(batches):
             ones, twos = (batch.column(c).to_numpy() for c in ("one", "two"))
             for first, part in byte_passes(batch.column("text").to_pylist(), _PASS_BYTES):
                 text, start, count, key, digest = runs_of(part, length, gram)
@@ -157,7 +164,7 @@ def _cut(length: int):
     """The bytes of the runs in ``list`` (place, kind and key of each)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows, size = [], 0
             for one, two, text, runs in zip(*(batch.column(c).to_pylist() for c in ("one", "two", "text", "list"))):
                 data = text.encode("utf-8", "surrogatepass")
@@ -166,7 +173,7 @@ def _cut(length: int):
                     piece = data[start : start + (r["place"] & _COUNT) + length - 1]
                     rows.append((r["key"], one, two, start, r["kind"] == 1, piece))
                     size += len(piece)
-                if size >= 8 << 20:
+                if size >= 2 << 20:
                     yield _strings(rows)
                     rows, size = [], 0
             if rows:
@@ -262,7 +269,7 @@ def remove_long_repeats(docs: DataFrame, length: int = LENGTH, depth: int = DEPT
     joined = joined.select("row", F.col(f"row.`{text_col}`").cast("string").alias("text"), F.col("_places").alias("places"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             facts = []
             for text, found in zip(batch.column("text").to_pylist(), batch.column("places").to_pylist()):
                 data = (text or "").encode("utf-8", "surrogatepass")
