@@ -49,6 +49,7 @@ from tidewater.functions.partitions import (
     partition_path,
     partition_predicate_frame,
 )
+from tidewater.functions.ranges import date_ranges
 from tidewater.functions.stamps import change_stamp, column_defaults
 from tidewater.operators.changes import change_window, has_changes_frame, latest_per_key
 from tidewater.operators.inventory import collect_partitions, distinct_partitions, partition_inventory, preview
@@ -67,7 +68,8 @@ from tidewater.operators.quality import (
 )
 from tidewater.operators.staging import materialise
 from tidewater.plans.context import EngineContext
-from tidewater.plans.jobs import insert_table, prepare_and_save, refresh_table, run_action, update_table, upsert_changes
+from tidewater.plans.jobs import append_changes, insert_table, prepare_and_save, refresh_table, run_action, update_table, upsert_changes
+from tidewater.plans.marks import insert_new_rows
 from tidewater.plans.specs import TableSpec
 from tidewater.session import scratch_path
 from tidewater.sinks.lake import lake_append, lake_replace, lake_replace_where
@@ -393,12 +395,14 @@ def _content(spark, tables: dict) -> DataFrame:
     return out
 
 
-def _content_sql(names) -> str:
-    """The same in SQL; column names and types are those of the smallest test tables."""
+def _content_sql(names, where: dict[str, str] | None = None) -> str:
+    """The same in SQL; column names and types are those of the smallest test tables. ``where``
+    gives conditions on tables."""
     import pyarrow.parquet as pq
 
     parts = []
     for t in names:
+        rows = f"{t} WHERE {where[t]}" if where else t
         for f in pq.read_schema(f"{SMOKE_DIR}/{t}.parquet"):
             kind = str(f.type)
             size = f'"{f.name}"'
@@ -409,7 +413,7 @@ def _content_sql(names) -> str:
             elif kind.startswith(("timestamp", "date")):
                 size = f'floor(epoch("{f.name}"))'
             parts.append(f"""SELECT '{t}' AS table_name, '{f.name}' AS column_name, COUNT("{f.name}") AS n,
-                COUNT(DISTINCT "{f.name}") AS distinct_values, CAST(MIN({size}) AS DOUBLE) AS low, CAST(MAX({size}) AS DOUBLE) AS high FROM {t}""")
+                COUNT(DISTINCT "{f.name}") AS distinct_values, CAST(MIN({size}) AS DOUBLE) AS low, CAST(MAX({size}) AS DOUBLE) AS high FROM {rows}""")
     return " UNION ALL ".join(parts)
 
 
@@ -501,6 +505,69 @@ def q_update_insert_only(spark, sf_dir):
     return lake_scan(spark, ctx.table_path("events"))
 
 
+def _backfilled(spark, sf_dir) -> DataFrame:
+    """The source after a backfill of one day; every other day is as it was."""
+    stamp = F.when(F.col("ts").cast("date") == F.lit(BACKFILL_DAY), _ntz(BACKFILL_STAMP)).otherwise(F.col("ts"))
+    return _t(spark, sf_dir, "events").withColumn("last_updated_at", stamp)
+
+
+def _refresh_changed(spark, sf_dir, label):
+    ctx = _lake_ctx(spark, label, FrameSource({"events": lambda: events_loaded(spark, sf_dir)}), {"events": EVENTS_SPEC})
+    refresh_table(ctx, "events")
+    ctx.source = FrameSource({"events": lambda: _backfilled(spark, sf_dir)})
+    return ctx, refresh_table(ctx, "events", changed_only=True)
+
+
+def q_refresh_changed_partitions(spark, sf_dir):
+    ctx, _ = _refresh_changed(spark, sf_dir, "refresh-changed")
+    return lake_scan(spark, ctx.table_path("events"))
+
+
+def q_refresh_changed_days(spark, sf_dir):
+    # Which days of the lake the refresh rewrote: the backfilled one and the new ones.
+    ctx, result = _refresh_changed(spark, sf_dir, "refresh-changed-days")
+    inventory = partition_inventory(lake_scan(spark, ctx.table_path("events")), DAY)
+    return inventory.withColumn("rewritten", partition_filter(result.affected_partitions, DAY))
+
+
+def q_update_key_in_two_days(spark, sf_dir):
+    # Purchases of three days were inserted once more under later days; those that then change have
+    # one row afterwards, found through the files' key filters.
+    ctx = _lake_ctx(spark, "update-two-days", FrameSource({"events": lambda: events_loaded(spark, sf_dir)}), {"events": EVENTS_SPEC})
+    ctx.key_filter_min_bytes = 0
+    refresh_table(ctx, "events")
+    base = events_loaded(spark, sf_dir)
+    again = base.where((F.col("event_type") == "purchase") & (F.col("ts") >= _ntz(dt.datetime(2024, 1, 13))) & (F.col("ts") < _ntz(dt.datetime(2024, 1, 16))))
+    append_changes(ctx, "events", again.withColumn("ts", F.col("ts") + F.expr("INTERVAL 3 DAYS")))
+    upsert_changes(ctx, "events", _changes(spark, sf_dir))
+    return lake_scan(spark, ctx.table_path("events"))
+
+
+def q_insert_rerun(spark, sf_dir):
+    # Every window is run twice and adds its rows once; the windows overlap by a day.
+    ctx = _lake_ctx(spark, "insert-rerun", ParquetSource(spark, sf_dir), TESTDATA_TABLES)
+    for day in (15, 15, 16, 15, 16):
+        run_action(ctx, "insert", "partial", "events", as_of=dt.date(2024, 1, day))
+    return lake_scan(spark, ctx.table_path("events"))
+
+
+def q_insert_from_mark(spark, sf_dir):
+    # Three irregular runs, each twice; clicks of the first run's last day reach the source late.
+    ev = _t(spark, sf_dir, "events")
+    cut, late = F.col("ts") < _ntz(dt.datetime(2024, 1, 12)), (F.col("event_type") == "click") & (F.col("ts") >= _ntz(dt.datetime(2024, 1, 11)))
+    ctx = _lake_ctx(spark, "insert-mark", FrameSource({}), TESTDATA_TABLES)
+    for source in (ev.where(cut & ~late), ev.where(F.col("ts") < _ntz(dt.datetime(2024, 1, 13, 7))), ev):
+        ctx.source = FrameSource({"events": source})
+        insert_new_rows(ctx, "events")
+        insert_new_rows(ctx, "events")
+    return lake_scan(spark, ctx.table_path("events"))
+
+
+def q_partition_ranges(spark, sf_dir):
+    pending = _t(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
+    return date_ranges(derive_partition_columns(pending, "o_orderdate"))
+
+
 def q_update_no_change(spark, sf_dir):
     ctx = _lake_ctx(spark, "update-no-change", FrameSource({"events": lambda: events_loaded(spark, sf_dir)}),
                     {"events": EVENTS_SPEC})
@@ -540,7 +607,7 @@ def q_insert_full(spark, sf_dir):
     run_action(ctx, "insert", "full", as_of=dt.date(1998, 1, 15), days=1)
     lake = ParquetSource(spark, ctx.lake_root, suffix="")
     present = [n for n in lake.list_tables() if lake_exists(spark, ctx.table_path(n))]
-    return table_counts(lake, present)
+    return _content(spark, {t: lake.table(t).select(_t(spark, sf_dir, t).columns) for t in present})
 
 
 def q_scan_one_or_many(spark, sf_dir):
@@ -616,8 +683,10 @@ def q_dq_foreign_key(spark, sf_dir):
 
 
 def q_dq_foreign_key_orders(spark, sf_dir):
+    # Customers of one segment have left: their orders refer to nobody.
     orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return dq_foreign_key(orders, _t(spark, sf_dir, "customer"), ["o_custkey"], ["c_custkey"])
+    customers = _t(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "BUILDING")
+    return dq_foreign_key(orders, customers, ["o_custkey"], ["c_custkey"])
 
 
 def q_dq_foreign_key_parts(spark, sf_dir):
@@ -731,6 +800,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_late_file": q_stream_late_file,
     "dq_foreign_key_parts": q_dq_foreign_key_parts,
     "update_insert_only": q_update_insert_only,
+    "refresh_changed_partitions": q_refresh_changed_partitions,
+    "refresh_changed_days": q_refresh_changed_days,
+    "update_key_in_two_days": q_update_key_in_two_days,
+    "insert_rerun": q_insert_rerun,
+    "insert_from_mark": q_insert_from_mark,
+    "partition_ranges": q_partition_ranges,
     "update_no_change": q_update_no_change,
     "stream_update": q_stream_update,
     "stream_insert": q_stream_insert,
@@ -902,15 +977,27 @@ eff AS (SELECT * REPLACE (CASE WHEN event_id % 2 = 0 THEN ts - INTERVAL 1 DAY EL
         WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = l.l_partkey)""",
     "update_insert_only": CDC2 + f"""SELECT *, {_ymd('ts')} FROM chg2 UNION ALL
         SELECT *, {_ymd('ts')} FROM base WHERE event_id NOT IN (SELECT event_id FROM chg2)""",
+    "refresh_changed_partitions": f"""SELECT *, {_ymd('ts')} FROM (SELECT *, CASE WHEN CAST(ts AS DATE) = DATE '2024-01-10'
+        THEN TIMESTAMP '2024-01-25 06:00:00' ELSE ts END AS last_updated_at FROM events)""",
+    "refresh_changed_days": f"""SELECT {_DAY.format(c='ts')}, COUNT(*) AS n,
+        CAST(ts AS DATE) = DATE '2024-01-10' OR CAST(ts AS DATE) >= DATE '2024-01-25' AS rewritten FROM events GROUP BY ALL""",
+    "update_key_in_two_days": CDC + f"""SELECT *, {_ymd('ts')} FROM (SELECT * FROM chg UNION ALL SELECT * FROM (
+        SELECT * FROM base UNION ALL SELECT * REPLACE (ts + INTERVAL 3 DAY AS ts) FROM base WHERE event_type = 'purchase'
+        AND ts >= TIMESTAMP '2024-01-13 00:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00')
+        WHERE event_id NOT IN (SELECT event_id FROM chg))""",
+    "insert_rerun": f"""SELECT *, {_ymd('ts')} FROM events WHERE {_EV_WIN}
+        UNION ALL SELECT *, {_ymd('ts')} FROM events WHERE {_EV_WIN2}""",
+    "insert_from_mark": f"SELECT *, {_ymd('ts')} FROM events",
+    "partition_ranges": """WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus = 'P'),
+        r AS (SELECT d, d - CAST(row_number() OVER (ORDER BY d) AS INT) AS island FROM d)
+        SELECT MIN(d) AS first_day, MAX(d) AS last_day, COUNT(*) AS days FROM r GROUP BY island""",
     "update_no_change": CDC + f"SELECT *, {_ymd('ts')} FROM base",
     "stream_update": CDC2 + f"""SELECT *, {_ymd('ts')} FROM chg2 UNION ALL
         SELECT *, {_ymd('ts')} FROM img WHERE event_id NOT IN (SELECT event_id FROM chg2)""",
     "stream_insert": f"""SELECT *, {_ymd('ts')} FROM events
         WHERE ts > TIMESTAMP '2024-01-14 00:00:00' AND ts < TIMESTAMP '2024-01-17 00:00:00'""",
-    "insert_full": """SELECT 'lineitem' AS table_name, COUNT(*) AS n FROM lineitem
-        WHERE l_shipdate > TIMESTAMP '1998-01-14 00:00:00' AND l_shipdate < TIMESTAMP '1998-01-16 00:00:00'
-        UNION ALL SELECT 'orders', COUNT(*) FROM orders
-        WHERE o_orderdate > TIMESTAMP '1998-01-14 00:00:00' AND o_orderdate < TIMESTAMP '1998-01-16 00:00:00'""",
+    "insert_full": _content_sql(("lineitem", "orders"), {
+        t: f"{c} > TIMESTAMP '1998-01-14 00:00:00' AND {c} < TIMESTAMP '1998-01-16 00:00:00'" for t, c in (("lineitem", "l_shipdate"), ("orders", "o_orderdate"))}),
     "scan_one_or_many": _COUNTS,
     "partition_prune": CDC + f"""SELECT *, {_ymd('ts')} FROM events
         WHERE CAST(ts AS DATE) IN (SELECT DISTINCT CAST(ts AS DATE) FROM chg)""",
@@ -924,7 +1011,7 @@ eff AS (SELECT * REPLACE (CASE WHEN event_id % 2 = 0 THEN ts - INTERVAL 1 DAY EL
     "dq_foreign_key": """SELECT doc_id, lang, source FROM documents d
         WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
     "dq_foreign_key_orders": """SELECT o_orderkey, o_custkey FROM orders o
-        WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)""",
+        WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND c.c_mktsegment <> 'BUILDING')""",
     "dq_allowed_values": """SELECT event_id, event_type FROM events
         WHERE event_type NOT IN ('view', 'click', 'purchase', 'signup')""",
     "dq_max_length": "SELECT doc_id, source FROM documents WHERE length(source) > 4",
