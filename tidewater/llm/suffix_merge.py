@@ -40,7 +40,7 @@ DEPTH = 8  # symbols a window has in the transforms
 _PASS_BYTES = 1 << 18
 _FLUSH_RUNS = 100_000
 _BUCKET_BYTES = 1 << 19
-_CROWDED = 1_500  # different runs of a key, a bucket's bytes or two
+_CROWDED = 4_000  # different runs of a key: 2 or 3 MB of strings at most in one merge
 _SLICE_ROWS = 500  # texts held as Python objects at once
 # A run's place: its first window's byte, a bit if it is settled, one if its bytes stood before, its windows.
 _SHIFT, _SETTLED, _AGAIN, _COUNT = 14, 1 << 13, 1 << 12, (1 << 12) - 1
