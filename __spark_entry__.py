@@ -67,7 +67,9 @@ from tidewater.operators.quality import (
     dq_unique,
 )
 from tidewater.operators.staging import materialise
+from tidewater.plans.compaction import compact_table
 from tidewater.plans.context import EngineContext
+from tidewater.plans.evolution import read_table
 from tidewater.plans.jobs import append_changes, insert_table, prepare_and_save, refresh_table, run_action, update_table, upsert_changes
 from tidewater.plans.marks import insert_new_rows
 from tidewater.plans.specs import TableSpec
@@ -563,6 +565,34 @@ def q_insert_from_mark(spark, sf_dir):
     return lake_scan(spark, ctx.table_path("events"))
 
 
+def q_compact_table(spark, sf_dir):
+    # Five appends leave five files a day; compacted, each day is one file with the same rows.
+    ctx = _lake_ctx(spark, "compact", ParquetSource(spark, sf_dir), TESTDATA_TABLES)
+    ev = _t(spark, sf_dir, "events")
+    for kind in (*ALLOWED_EVENT_TYPES, "error"):
+        append_changes(ctx, "events", ev.where(F.col("event_type") == kind))
+    compact_table(ctx, "events")
+    lake = lake_scan(spark, ctx.table_path("events")).withColumn("file", F.col("_metadata.file_path"))
+    return lake.groupBy(*DAY).agg(F.count(F.lit(1)).alias("n"), F.sum("value").cast("decimal(18,2)").alias("total"), F.count_distinct("file").alias("files"))
+
+
+def q_write_clustered(spark, sf_dir):
+    spec = TableSpec("orders", ("o_orderkey",), "o_orderdate", grain="year", cluster_by=("o_custkey", "o_totalprice", "o_orderpriority"))
+    ctx = _lake_ctx(spark, "clustered", ParquetSource(spark, sf_dir), {"orders": spec})
+    refresh_table(ctx, "orders")
+    return lake_scan(spark, ctx.table_path("orders"))
+
+
+def q_evolve_columns(spark, sf_dir):
+    # Early events have no props and a narrow user id; later ones bring both.
+    ctx = _lake_ctx(spark, "evolve", FrameSource({}), {"events": TableSpec("events", ("event_id",), created_column="ts", evolve=True)})
+    ev = _t(spark, sf_dir, "events")
+    early = F.col("ts") < _ntz(LOAD_CUTOFF)
+    append_changes(ctx, "events", ev.where(early).drop("props").withColumn("user_id", F.col("user_id").cast("int")))
+    append_changes(ctx, "events", ev.where(~early).withColumn("user_id", F.col("user_id").cast("long")))
+    return read_table(ctx, "events")
+
+
 def q_partition_ranges(spark, sf_dir):
     pending = _t(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
     return date_ranges(derive_partition_columns(pending, "o_orderdate"))
@@ -806,6 +836,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "insert_rerun": q_insert_rerun,
     "insert_from_mark": q_insert_from_mark,
     "partition_ranges": q_partition_ranges,
+    "compact_table": q_compact_table,
+    "write_clustered": q_write_clustered,
+    "evolve_columns": q_evolve_columns,
     "update_no_change": q_update_no_change,
     "stream_update": q_stream_update,
     "stream_insert": q_stream_insert,
@@ -991,6 +1024,11 @@ eff AS (SELECT * REPLACE (CASE WHEN event_id % 2 = 0 THEN ts - INTERVAL 1 DAY EL
     "partition_ranges": """WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus = 'P'),
         r AS (SELECT d, d - CAST(row_number() OVER (ORDER BY d) AS INT) AS island FROM d)
         SELECT MIN(d) AS first_day, MAX(d) AS last_day, COUNT(*) AS days FROM r GROUP BY island""",
+    "compact_table": f"""SELECT {_DAY.format(c='ts')}, COUNT(*) AS n, CAST(SUM(value) AS DECIMAL(18,2)) AS total,
+        CAST(1 AS BIGINT) AS files FROM events GROUP BY ALL""",
+    "write_clustered": """SELECT *, CAST(o_orderdate AS DATE) AS partition_date, CAST(year(o_orderdate) AS INT) AS year FROM orders""",
+    "evolve_columns": f"""SELECT event_id, ts, CAST(user_id AS BIGINT) AS user_id, event_type, value,
+        CASE WHEN ts >= TIMESTAMP '2024-01-25 00:00:00' THEN props END AS props, {_ymd('ts')} FROM events""",
     "update_no_change": CDC + f"SELECT *, {_ymd('ts')} FROM base",
     "stream_update": CDC2 + f"""SELECT *, {_ymd('ts')} FROM chg2 UNION ALL
         SELECT *, {_ymd('ts')} FROM img WHERE event_id NOT IN (SELECT event_id FROM chg2)""",

@@ -183,6 +183,13 @@ def total_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(hpath).getLength()) if fs.exists(hpath) else 0
 
 
+def files_with_sizes(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+    """``(name, bytes)`` of the visible files directly in ``folder``."""
+    fs, hpath = _fs_and_path(spark, folder)
+    found = [(st.getPath().getName(), int(st.getLen())) for st in fs.listStatus(hpath) if not st.isDirectory()]
+    return [(n, size) for n, size in found if not n.startswith(("_", "."))]
+
+
 def make_dirs(spark: SparkSession, path: str) -> None:
     fs, hpath = _fs_and_path(spark, path)
     fs.mkdirs(hpath)

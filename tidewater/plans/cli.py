@@ -43,6 +43,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--days", type=int, default=1)
     p.add_argument("--since-last", action="store_true",
                    help="widen the window back to the last successful run of the table and action")
+    p.add_argument("--changed-only", action="store_true", help="refresh: rewrite only the partitions that differ from the source")
+    p.add_argument("--again", action="store_true", help="insert: append the window's rows even if a run did so before")
     p.add_argument("--dedupe-on-key", action="store_true")
     p.add_argument("--latest-only", action="store_true")
     p.add_argument("--no-newest-wins", action="store_true",
@@ -118,7 +120,8 @@ def main(argv=None) -> int:
     try:
         results, code = run_action(ctx, a.action, a.mode, a.table, a.as_of, a.days,
                                    a.dedupe_on_key, a.latest_only, a.max_concurrent_tables,
-                                   newest_wins=not a.no_newest_wins, since_last=a.since_last), 0
+                                   newest_wins=not a.no_newest_wins, since_last=a.since_last,
+                                   changed_only=a.changed_only, once=not a.again), 0
     except ActionFailed as failed:
         results, code = failed.results, 1
     for r in results:

@@ -39,9 +39,10 @@ class EngineContext:
     def table_path(self, name: str) -> str:
         return f"{self.lake_root}/{name.strip('/')}"
 
-    def write_options(self, full_copy_unpartitioned: bool = False) -> dict:
+    def write_options(self, name: str | None = None, full_copy_unpartitioned: bool = False) -> dict:
         layout = self.write_layout or ("as_is" if full_copy_unpartitioned else "rebalance")
-        return {"max_records_per_file": self.max_records_per_file, "layout": layout}
+        cluster_by = self.spec(name).cluster_by if name else ()
+        return {"max_records_per_file": self.max_records_per_file, "layout": layout, "cluster_by": cluster_by}
 
     @contextmanager
     def lock(self, name: str, job: str):

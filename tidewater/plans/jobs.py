@@ -14,8 +14,9 @@ import json
 import logging
 import os
 import time
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
+from graphlib import CycleError, TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,7 @@ from tidewater.operators.merge import (
 from tidewater.operators.sizing import change_profile, may_broadcast
 from tidewater.operators.staging import materialise
 from tidewater.plans.context import EngineContext
+from tidewater.plans.evolution import evolved, log_schema, logged_schema
 from tidewater.plans.locking import TableLocked
 from tidewater.plans.specs import TableSpec, action_parameters
 from tidewater.sinks.batches import append_once, batch_files, recover_batches
@@ -77,7 +79,7 @@ def prepare_and_save(ctx: EngineContext, df: DataFrame, spec: TableSpec, write:
     if spec.partition_by:
         df = derive_partition_columns(df, spec.partition_by, spec.grain)
     ctx.check_lock(spec.name)
-    kw = ctx.write_options(full_copy_unpartitioned=(write == "overwrite" and not cols))
+    kw = ctx.write_options(spec.name, full_copy_unpartitioned=(write == "overwrite" and not cols))
     if write == "overwrite":
         lake_replace(df, path, cols, **kw)
     elif write == "append":
@@ -133,13 +135,23 @@ def _delete(spark: SparkSession, path: str) -> None:
         raise OSError(f"could not delete {path}")
 
 
+def _in_folders(spark: SparkSession, path: str, names) -> set[str]:
+    """The files, relative to ``path``, in the folders of ``names``."""
+    root = fs.qualify(spark, path)
+    folders = {f"{path}/{n.rsplit('/', 1)[0]}" if "/" in n else path for n in names}
+    return {f[len(root) + 1:] for f in fs.data_files(spark, *sorted(folders))}
+
+
 def _finish_swap(spark: SparkSession, path: str, plan: dict) -> None:
     """Carries a written swap plan out from wherever it stopped: moves what is still staged,
     and deletes the old files only when every new one is in place."""
     staging = f"{path}/{plan['staging']}"
-    waiting = {c for c, _ in fs.list_entries(spark, staging)}
+    waiting = _in_folders(spark, staging, plan["new"])
+    if waiting:
+        for folder in {n.rsplit("/", 1)[0] for n in plan["new"] if "/" in n}:
+            fs.make_dirs(spark, f"{path}/{folder}")
     _each([n for n in plan["new"] if n in waiting], lambda n: _move(spark, f"{staging}/{n}", f"{path}/{n}"))
-    present = {c for c, _ in fs.list_entries(spark, path)}
+    present = _in_folders(spark, path, [*plan["new"], *plan["old"]])
     lost = [n for n in plan["new"] if n not in present]
     if lost:
         raise OSError(f"{len(lost)} new files of {path} are missing, e.g. {lost[0]}; the old files were not touched")
@@ -148,6 +160,17 @@ def _finish_swap(spark: SparkSession, path: str, plan: dict) -> None:
     _delete(spark, f"{path}/{_SWAP}")
 
 
+def finish_swap(spark: SparkSession, path: str, plan: dict) -> None:
+    _finish_swap(spark, path, plan)
+
+
+def write_swap_plan(spark: SparkSession, path: str, plan: str) -> None:
+    """From here on the swap is finished by whoever comes next."""
+    part = f"{path}/{_SWAP}.{os.urandom(4).hex()}"
+    fs.write_text(spark, part, plan)
+    _move(spark, part, f"{path}/{_SWAP}")
+
+
 def recover_swap(spark: SparkSession, path: str) -> bool:
     """Finishes a swap that a failed job left half done, and removes staging folders of swaps
     that never began. Every job calls it first, under the table's lock."""
@@ -178,13 +201,11 @@ def _swap_in_unpartitioned(ctx: EngineContext, name: str, path: str, df: DataFra
     old = [c for c, is_dir in fs.list_entries(spark, path) if not is_dir and not c.startswith(("_", "."))]
     folder = f"{_STAGING_PREFIX}{os.urandom(6).hex()}"
     staging = f"{path}/{folder}"
-    write_lake(df, staging, [], "overwrite", **ctx.write_options(full_copy_unpartitioned=full_copy))
+    write_lake(df, staging, [], "overwrite", **ctx.write_options(name, full_copy_unpartitioned=full_copy))
     new = [c for c, is_dir in fs.list_entries(spark, staging) if not is_dir and not c.startswith(("_", "."))]
     ctx.check_lock(name)
     plan = {"staging": folder, "new": new, "old": old}
-    part = f"{path}/{_SWAP}.{os.urandom(4).hex()}"
-    fs.write_text(spark, part, json.dumps(plan))
-    _move(spark, part, f"{path}/{_SWAP}")
+    write_swap_plan(spark, path, json.dumps(plan))
     try:
         _each(new, lambda n: _move(spark, f"{staging}/{n}", f"{path}/{n}"))
     except Exception:
@@ -231,7 +252,7 @@ def _refresh_table(ctx: EngineContext, name: str, keep_old_until_commit: bool =
     before = set(fs.data_files(spark, path))
     df = derive_partition_columns(ctx.source.table(name), spec.partition_by, spec.grain)
     ctx.check_lock(name)
-    lake_replace_where(df, path, cols, **ctx.write_options())
+    lake_replace_where(df, path, cols, **ctx.write_options(name))
     after = fs.data_files(spark, path)
     fresh = {_partition_of(f, len(cols)) for f in after if f not in before}
     stale = sorted({_partition_of(f, len(cols)) for f in after} - fresh)
@@ -276,7 +297,7 @@ def _refresh_changed_partitions(ctx: EngineContext, name: str) -> JobResult:
     if differ:
         rows = df.where(time_ranges(df, spec.partition_by, differ, spec.grain)).where(range_filter(differ, cols))
         ctx.check_lock(name)
-        lake_replace_where(rows, path, cols, **ctx.write_options())
+        lake_replace_where(rows, path, cols, **ctx.write_options(name))
         old = set(files)
         fresh = {f.rsplit("/", 1)[0] for f in files_below(spark, path) if f not in old}
         gone += sorted({partition_dir("", key, cols).strip("/") for key in differ} - fresh)
@@ -360,7 +381,7 @@ def _append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_ke
         rows = derive_partition_columns(rows, spec.partition_by, spec.grain)
     exists = _check_layout(spark, name, path, cols)
     if exists:
-        rows = align_columns(rows, lake_schema(spark, path, cols))
+        rows = align_columns(rows, _target_schema(ctx, spec, rows.schema))
     staged = None
     if dedupe_on_key and spec.keys:
         stamp = next((c for c in (spec.change_column, spec.created_column) if c and c in rows.columns), None)
@@ -377,10 +398,10 @@ def _append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_ke
             if existing is not None:
                 rows = unchanged_rows(rows, existing.select(*spec.keys), spec.keys)
         if batch is not None:
-            append_once(rows, path, cols, ctx.lake_root, name, batch, lambda: ctx.check_lock(name), **ctx.write_options())
+            append_once(rows, path, cols, ctx.lake_root, name, batch, lambda: ctx.check_lock(name), **ctx.write_options(name))
         else:
             ctx.check_lock(name)
-            lake_append(rows, path, cols, **ctx.write_options())
+            lake_append(rows, path, cols, **ctx.write_options(name))
     finally:
         if staged:
             staged.release()
@@ -388,6 +409,21 @@ def _append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_ke
     return JobResult(name, "insert", "written")
 
 
+def _target_schema(ctx: EngineContext, spec: TableSpec, rows: T.StructType) -> T.StructType:
+    """The schema that rows are written with: the lake's, or for a table that evolves one that
+    holds both, which is logged first."""
+    path, cols = ctx.table_path(spec.name), spec.partition_cols
+    held = lake_schema(ctx.spark, path, cols)
+    if not spec.evolve:
+        return held
+    held = logged_schema(ctx, spec.name) or held
+    target = evolved(held, rows, cols)
+    if target != held:
+        ctx.check_lock(spec.name)
+        log_schema(ctx, spec.name, target)
+    return target
+
+
 def _require_columns(df: DataFrame, columns, table: str, role: str) -> None:
     missing = [c for c in columns if c and c not in df.columns]
     if missing:
@@ -437,7 +473,7 @@ def _upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_on
     keys = list(spec.keys)
     path = ctx.table_path(name)
     cols = list(spec.partition_cols)
-    kw = ctx.write_options()
+    kw = ctx.write_options(name)
 
     raw = changes
     if latest_only:
@@ -466,21 +502,21 @@ def _upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_on
             write_lake(changes, path, cols, "append", **kw)
             return JobResult(name, "update", "written", n, note="lake was empty")
 
-        target = lake_schema(spark, path, cols)
+        target = _target_schema(ctx, spec, changes.schema)
         changes = align_columns(changes, target)
         if not cols:
             # Unpartitioned table: the image is the whole table; it is written in full before
             # the old files are swapped out.
-            lake = lake_scan(spark, path)
+            lake = lake_scan(spark, path, target)
             if stamp and stamp in lake.columns and may_hold_stale_changes(changes, lake, stamp, oldest):
                 changes = drop_stale_changes(changes, lake, keys, stamp, bcast)
             _swap_in_unpartitioned(ctx, name, path, merge_image(lake, changes, keys, bcast), full_copy=False)
             return JobResult(name, "update", "written", n)
 
-        old_parts = [] if spec.stable_partitions else _partitions_of_keys(ctx, path, changes, spec, new_parts, bcast)
+        old_parts = [] if spec.stable_partitions else _partitions_of_keys(ctx, path, changes, spec, new_parts, bcast, target)
         affected = _unique(old_parts + new_parts)
 
-        existing = lake_partition_scan(spark, path, affected, cols)
+        existing = lake_partition_scan(spark, path, affected, cols, target)
         if existing is None:
             ctx.check_lock(name)
             lake_replace_where(changes, path, cols, **kw)
@@ -506,7 +542,7 @@ def _upsert_changes(ctx: EngineContext, name: str, changes: DataFrame, latest_on
             staged.release()
 
 
-def _partitions_of_keys(ctx: EngineContext, path, changes, spec, new_parts, bcast: bool) -> list:
+def _partitions_of_keys(ctx: EngineContext, path, changes, spec, new_parts, bcast: bool, schema: T.StructType) -> list:
     """Partitions of the lake, besides ``new_parts``, that hold a key of the change set, looked up
     exactly: a key may stand in any partition, and in several (an insert without dedupe can put it
     there).
@@ -520,14 +556,14 @@ def _partitions_of_keys(ctx: EngineContext, path, changes, spec, new_parts, bcas
     if not files:
         return []
     if bcast and ctx.key_filter_min_bytes <= 0 or bcast and fs.total_bytes(spark, path) >= ctx.key_filter_min_bytes:
-        filters = key_filters(spark, ctx.lake_root, spec.name, path, files, lake_schema(spark, path, cols), keys)
+        filters = key_filters(spark, ctx.lake_root, spec.name, path, files, schema, keys)
         hit = files_that_may_hold(filters, changes, keys)
         log.info("update %s: %d of %d files may hold a changed key", spec.name, len(hit), len(files))
         if not hit:
             return []
-        lake = spark.read.option("basePath", path.rstrip("/")).schema(lake_schema(spark, path, cols)).parquet(*[f"{path}/{f}" for f in hit])
+        lake = spark.read.option("basePath", path.rstrip("/")).schema(schema).parquet(*[f"{path}/{f}" for f in hit])
     else:
-        lake = lake_scan(spark, path, lake_schema(spark, path, cols)).where(~range_filter(new_parts, cols))
+        lake = lake_scan(spark, path, schema).where(~range_filter(new_parts, cols))
     return collect_partitions(touched_partitions(lake, changes, keys, cols, bcast), cols)
 
 
@@ -538,13 +574,22 @@ def _recover(ctx: EngineContext, name: str) -> None:
     recover_batches(ctx.spark, ctx.lake_root, name, path, lambda: ctx.check_lock(name))
 
 
+def _log_refreshed(ctx: EngineContext, name: str) -> None:
+    """After a refresh the log's newest schema is the new files'."""
+    spec, path = ctx.spec(name), ctx.table_path(name)
+    if spec.evolve and fs.has_data_files(ctx.spark, path):
+        log_schema(ctx, name, lake_schema(ctx.spark, path, spec.partition_cols))
+
+
 def refresh_table(ctx: EngineContext, name: str, keep_old_until_commit: bool = True, changed_only: bool = False) -> JobResult:
     """Replace the lake table with the whole source table (see ``_refresh_table``), or with
     ``changed_only`` only the partitions that differ (see ``_refresh_changed_partitions``); holds
     the table's writer lock while it runs."""
     with ctx.lock(name, "refresh"):
         _recover(ctx, name)
-        return _refresh_changed_partitions(ctx, name) if changed_only else _refresh_table(ctx, name, keep_old_until_commit)
+        result = _refresh_changed_partitions(ctx, name) if changed_only else _refresh_table(ctx, name, keep_old_until_commit)
+        _log_refreshed(ctx, name)
+        return result
 
 
 def append_changes(ctx: EngineContext, name: str, rows: DataFrame, dedupe_on_key: bool = False,
@@ -621,14 +666,42 @@ def _applicable(action: str, spec: TableSpec) -> str | None:
     return None
 
 
+def _in_reference_order(ctx: EngineContext, action: str, names: list[str], one, at_once: int) -> list[JobResult]:
+    """``one`` for every table, at most ``at_once`` at a time, the tables it references first. What
+    references a table that failed, or was left out for that, is left out; a circle is an error."""
+    graph = {n: [p for p in ctx.spec(n).references if p in names and p != n] for n in names}
+    order, results = TopologicalSorter(graph), {}
+    try:
+        order.prepare()
+    except CycleError as e:
+        raise ValueError(f"tables reference each other in a circle: {' -> '.join(e.args[1])}") from None
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        running: dict = {}
+        while order.is_active():
+            for n in order.get_ready():
+                lost = [p for p in graph[n] if results[p].status == "failed" or results[p].note.startswith("left out")]
+                if lost:
+                    results[n] = JobResult(n, action, "skipped", note=f"left out: {', '.join(lost)} failed")
+                    order.done(n)
+                else:
+                    running[pool.submit(one, n)] = n
+            if running:
+                for future in wait(running, return_when=FIRST_COMPLETED).done:
+                    n = running.pop(future)
+                    results[n] = future.result()
+                    order.done(n)
+    return [results[n] for n in names]
+
+
 def run_action(ctx: EngineContext, action: str, mode: str, table: str | None = None,
                as_of=None, days: int = 1, dedupe_on_key: bool = False,
                latest_only: bool = False, max_concurrent_tables: int = 4,
                newest_wins: bool = True, since_last: bool = False, changed_only: bool = False,
                once: bool = True) -> list[JobResult]:
     """``partial``: one named table (error if none). ``full``: every source table; tables
-    the action cannot apply to are reported as skipped. Independent tables are submitted
-    as concurrent Spark jobs (``max_concurrent_tables``); ``as_of`` is fixed once for all."""
+    the action cannot apply to are reported as skipped. Tables come after those that they reference
+    (``TableSpec.references``) and are left out when one of these failed; independent ones are
+    submitted as concurrent Spark jobs (``max_concurrent_tables``). ``as_of`` is fixed once for all."""
     spec = action_parameters(action)
     if mode not in spec.modes:
         raise ValueError(f"mode {mode!r} is not one of {spec.modes} for {action!r}")
@@ -654,11 +727,7 @@ def run_action(ctx: EngineContext, action: str, mode: str, table: str | None = N
             log.error("%s %s: failed: %s", action, name, e)
             return JobResult(name, action, "failed", note=f"{type(e).__name__}: {str(e)[:500]}")
 
-    if max_concurrent_tables <= 1 or len(names) <= 1:
-        results = [one(n) for n in names]
-    else:
-        with ThreadPoolExecutor(max_workers=max_concurrent_tables) as pool:
-            results = list(pool.map(one, names))
+    results = _in_reference_order(ctx, action, names, one, max(1, max_concurrent_tables))
     failed = [r.table for r in results if r.status == "failed"]
     if failed:
         raise ActionFailed(f"{action} failed for {failed}", results)

@@ -16,7 +16,10 @@ class TableSpec:
     overrides the partitioning column (set it to the change column to let rows move with
     their last change). ``stable_partitions=True`` promises that a key never changes partition,
     not even by a correction of its created stamp; only then does ``update`` skip looking the
-    changed keys up outside their own partitions.
+    changed keys up outside their own partitions. ``references`` names the tables that this one's
+    foreign keys point to: a full run loads them first. ``evolve`` lets new columns and wider types
+    into the lake (see ``plans.evolution``); ``cluster_by`` sorts the rows of a partition along a
+    curve over those columns.
     """
 
     name: str
@@ -26,6 +29,9 @@ class TableSpec:
     partition_column: str | None = None
     grain: str = "day"
     stable_partitions: bool = False
+    references: tuple[str, ...] = ()
+    evolve: bool = False
+    cluster_by: tuple[str, ...] = ()
 
     def __post_init__(self):
         partition_columns(self.grain)  # validates
@@ -33,6 +39,9 @@ class TableSpec:
             object.__setattr__(self, "keys", (self.keys,))
         else:
             object.__setattr__(self, "keys", tuple(self.keys))
+        for name in ("references", "cluster_by"):
+            value = getattr(self, name)
+            object.__setattr__(self, name, (value,) if isinstance(value, str) else tuple(value))
 
     @property
     def partition_by(self) -> str | None:
@@ -76,6 +85,6 @@ def action_parameters(action: str) -> ActionSpec:
 # The three tables of the financial source schema and their CDC columns.
 REFERENCE_TABLES: dict[str, TableSpec] = {
     "customers": TableSpec("customers", ("customer_id",), "created_at", "last_updated_at"),
-    "accounts": TableSpec("accounts", ("account_id",), "created_at", "last_updated_at"),
-    "transactions": TableSpec("transactions", ("transaction_id",), "created_at", None),
+    "accounts": TableSpec("accounts", ("account_id",), "created_at", "last_updated_at", references=("customers",)),
+    "transactions": TableSpec("transactions", ("transaction_id",), "created_at", None, references=("accounts",)),
 }

@@ -12,8 +12,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater import fs
+from tidewater.functions.curve import z_order
 from tidewater.functions.partitions import partition_dir
 
 
@@ -22,9 +24,16 @@ from tidewater.functions.partitions import partition_dir
 # clustered by the partitioning time (e.g. a source stored in time order), where it saves
 # the shuffle; on unclustered input it multiplies files by the number of tasks.
 LAYOUTS = ("rebalance", "as_is")
+_PLACE = "__tw_place"
 
 
-def _prepare(df: DataFrame, partition_cols: Sequence[str], layout: str = "rebalance"):
+def _prepare(df: DataFrame, partition_cols: Sequence[str], layout: str = "rebalance", cluster_by: Sequence[str] = ()):
+    if cluster_by:
+        # Ranges of (partition, place on the curve): a partition's rows spread over as many tasks as
+        # its share asks for, and each file's row groups are narrow in the clustering columns.
+        place = z_order(df, cluster_by) if len(cluster_by) > 1 else F.col(f"`{cluster_by[0]}`")
+        order = [*partition_cols, _PLACE]
+        return df.withColumn(_PLACE, place).repartitionByRange(*order).sortWithinPartitions(*order).drop(_PLACE).write
     if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}; use one of {LAYOUTS}")
     if layout == "as_is":
@@ -35,8 +44,9 @@ def _prepare(df: DataFrame, partition_cols: Sequence[str], layout: str = "rebala
 
 def write_lake(df: DataFrame, path: str, partition_cols: Sequence[str], mode: str,
                dynamic: bool = False, max_records_per_file: int | None = None,
-               layout: str = "rebalance") -> None:
-    w = _prepare(df, partition_cols, layout).mode(mode)
+               layout: str = "rebalance", cluster_by: Sequence[str] = ()) -> None:
+    """``cluster_by`` sorts each partition's rows along a curve over those columns instead of any layout."""
+    w = _prepare(df, partition_cols, layout, cluster_by).mode(mode)
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     if mode == "overwrite":

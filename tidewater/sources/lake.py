@@ -30,7 +30,7 @@ def _int_partitions(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def lake_partition_scan(spark: SparkSession, root: str, partitions: Iterable[Sequence],
-                        cols: Sequence[str] = GRAINS["day"]) -> DataFrame | None:
+                        cols: Sequence[str] = GRAINS["day"], schema: T.StructType | None = None) -> DataFrame | None:
     """Only the listed partition directories, with the partition columns kept (basePath).
 
     Only those directories are listed, so the cost does not grow with the size of the rest
@@ -40,5 +40,6 @@ def lake_partition_scan(spark: SparkSession, root: str, partitions: Iterable[Seq
     present = fs.existing(spark, paths)
     if not present:
         return None
-    df = spark.read.option("basePath", root.rstrip("/")).parquet(*present)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.option("basePath", root.rstrip("/")).parquet(*present)
     return _int_partitions(df, cols)
