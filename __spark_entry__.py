@@ -67,6 +67,7 @@ from tidewater.operators.quality import (
     dq_unique,
 )
 from tidewater.operators.staging import materialise
+from tidewater.plans.checks import dq_unique_changed
 from tidewater.plans.compaction import compact_table
 from tidewater.plans.context import EngineContext
 from tidewater.plans.evolution import read_table
@@ -593,6 +594,17 @@ def q_evolve_columns(spark, sf_dir):
     return read_table(ctx, "events")
 
 
+def q_dq_unique_changed(spark, sf_dir):
+    # One day's events came again under another day; the check
+    # reads that day and the files that may hold its keys.
+    ctx = _lake_ctx(spark, "unique-changed", ParquetSource(spark, sf_dir), TESTDATA_TABLES)
+    refresh_table(ctx, "events")
+    ev = _t(spark, sf_dir, "events")
+    moved = ev.where(F.col("ts").cast("date") == F.lit(dt.date(2024, 1, 10))).withColumn("ts", F.col("ts") + F.expr("INTERVAL 20 DAYS"))
+    append_changes(ctx, "events", moved)
+    return dq_unique_changed(ctx, "events", ["event_id"], [(2024, 1, 30)])
+
+
 def q_partition_ranges(spark, sf_dir):
     pending = _t(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
     return date_ranges(derive_partition_columns(pending, "o_orderdate"))
@@ -836,6 +848,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "insert_rerun": q_insert_rerun,
     "insert_from_mark": q_insert_from_mark,
     "partition_ranges": q_partition_ranges,
+    "dq_unique_changed": q_dq_unique_changed,
     "compact_table": q_compact_table,
     "write_clustered": q_write_clustered,
     "evolve_columns": q_evolve_columns,
@@ -1024,6 +1037,8 @@ eff AS (SELECT * REPLACE (CASE WHEN event_id % 2 = 0 THEN ts - INTERVAL 1 DAY EL
     "partition_ranges": """WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus = 'P'),
         r AS (SELECT d, d - CAST(row_number() OVER (ORDER BY d) AS INT) AS island FROM d)
         SELECT MIN(d) AS first_day, MAX(d) AS last_day, COUNT(*) AS days FROM r GROUP BY island""",
+    "dq_unique_changed": """SELECT event_id, COUNT(*) AS n FROM (SELECT event_id FROM events UNION ALL
+        SELECT event_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-10') GROUP BY event_id HAVING COUNT(*) > 1""",
     "compact_table": f"""SELECT {_DAY.format(c='ts')}, COUNT(*) AS n, CAST(SUM(value) AS DECIMAL(18,2)) AS total,
         CAST(1 AS BIGINT) AS files FROM events GROUP BY ALL""",
     "write_clustered": """SELECT *, CAST(o_orderdate AS DATE) AS partition_date, CAST(year(o_orderdate) AS INT) AS year FROM orders""",

@@ -225,3 +225,45 @@ def test_listing_agrees_with_the_file_system(spark, tmp_path):
     assert found and all(f.startswith(root) and fs.exists(spark, f) for f in found)
     assert sorted(found) == sorted(fs.data_files(spark, *[f"{tmp_path}/t/p={i}" for i in range(3)]))
     assert fs.existing(spark, [f"{tmp_path}/t/p={i}" for i in range(60)]) == [f"{tmp_path}/t/p={i}" for i in range(3)]
+
+
+# ---------------------------------------------------------------- checks of what changed, ranges of equal weight
+
+def test_unique_check_of_changes_equals_the_full_one(spark, lake_root):
+    from tidewater.operators.quality import dq_unique
+    from tidewater.plans.checks import dq_unique_changed
+    from tidewater.plans.jobs import append_changes
+
+    rng = random.Random(6)
+    ctx, path = ctx_of(spark, lake_root, data(12)), f"{lake_root}/t"
+    refresh_table(ctx, "t")
+    previous = dq_unique(lake_scan(spark, path), ["k"])
+    for i in range(4):
+        day = D0 + dt.timedelta(days=rng.randint(0, 14))
+        if i % 2 == 0:  # copies of keys of other days, and new ones
+            added = [(rng.randint(0, 60), "x", day, day) for _ in range(4)] + [(None, "null", day, day)] * 2 + [(90_000, "twice", day, day)] * 2
+            append_changes(ctx, "t", spark.createDataFrame(added, SCHEMA))
+            parts = [(day.year, day.month, day.day)]
+        else:  # an update takes repeats away
+            repeats = [r["k"] for r in previous.collect()][:3]
+            changes = [(k, "one", day, D0 + dt.timedelta(days=50 + i)) for k in repeats]
+            parts = upsert_changes(ctx, "t", spark.createDataFrame(changes, SCHEMA)).affected_partitions
+        got = dq_unique_changed(ctx, "t", ["k"], parts, previous)
+        assert rows(got, "k", "n") == rows(dq_unique(lake_scan(spark, path), ["k"]), "k", "n")
+        previous = spark.createDataFrame(got.collect(), "k long, n long")
+
+
+def test_ranges_of_equal_weight(spark):
+    from tidewater.sources.jdbc import range_predicates, split_points
+
+    skewed = spark.range(20_000).select((F.pow(F.lit(1.0008), F.col("id"))).cast("long").alias("k"), F.col("id").alias("i"))
+    for df, column in ((skewed, "k"), (skewed.selectExpr("date_add(DATE'2020-01-01', CAST(k % 5000 AS INT)) AS d", "i"), "d")):
+        points = split_points(df, column, 8)
+        counts = [df.where(p).count() for p in range_predicates(column, points)]
+        assert sum(counts) == 20_000 and max(counts) <= 2 * min(counts)
+    held = spark.createDataFrame([(None,), (5,), (5,), (5,), (7,)], "k int")
+    points = split_points(held, "k", 4)
+    assert sum(held.where(p).count() for p in range_predicates("k", points)) == 5
+    assert split_points(held.limit(0), "k", 4) == [] and range_predicates("k", []) == ["1 = 1"]
+    with pytest.raises(ValueError):
+        range_predicates("k", ["a'b"])

@@ -8,11 +8,13 @@ parallel range queries instead of a single task.
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 log = logging.getLogger("tidewater")
 
@@ -26,6 +28,9 @@ class JdbcPartitioning:
     lower_bound: int | str | None = None
     upper_bound: int | str | None = None
     num_partitions: int = 64
+    # Equal-width ranges of a skewed column give a few tasks most rows. A frame that has the column
+    # with about the same distribution (the lake's copy of the table) gives ranges of equal weight.
+    like: DataFrame | None = None
 
     @property
     def resolved(self) -> bool:
@@ -38,6 +43,33 @@ class JdbcPartitioning:
                 "upperBound": str(self.upper_bound), "numPartitions": str(self.num_partitions)}
 
 
+def split_points(df: DataFrame, column: str, parts: int, accuracy: int = 100) -> list:
+    """Values that cut the column into ``parts`` ranges of about equal weight, ascending and distinct
+    (a value that fills several ranges is one point). From a quantile sketch: one aggregate, whose
+    result does not grow with ``df``; its rank error is a 1 / (parts * accuracy) of the rows."""
+    if parts < 2:
+        return []
+    row = df.agg(F.percentile_approx(F.col(column), [i / parts for i in range(1, parts)], parts * accuracy).alias("p")).first()
+    return sorted(set(row["p"] or []))
+
+
+def _literal(value) -> str:
+    if isinstance(value, (dt.datetime, dt.date)):
+        return f"{'TIMESTAMP' if isinstance(value, dt.datetime) else 'DATE'} '{value}'"
+    if isinstance(value, (bool, str)):
+        raise ValueError("ranges need a numeric, date or timestamp column")
+    return str(value)
+
+
+def range_predicates(column: str, points: Sequence) -> list[str]:
+    """SQL predicates of the ranges between the points: every row is in exactly one, NULLs in the first."""
+    if not points:
+        return ["1 = 1"]
+    at = [_literal(p) for p in points]
+    middle = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(at, at[1:])]
+    return [f"{column} < {at[0]} OR {column} IS NULL", *middle, f"{column} >= {at[-1]}"]
+
+
 @dataclass
 class JdbcSource:
     spark: SparkSession
@@ -63,8 +95,6 @@ class JdbcSource:
     def bounds(self, name: str, column: str) -> tuple:
         """``(min, max)`` of a column, computed by the source: the aggregate is pushed into
         the remote query, so only one row travels."""
-        from pyspark.sql import functions as F
-
         row = (self._reader().option("dbtable", self.qualified(name)).option("pushDownAggregate", "true")
                .load().agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first())
         return row["lo"], row["hi"]
@@ -92,6 +122,11 @@ class JdbcSource:
 
     def table(self, name: str) -> DataFrame:
         """Whole table (jdbc_scan); later filters are pushed into the remote query."""
+        part = self.partitioning.get(name)
+        if part is not None and part.like is not None:
+            points = split_points(part.like, part.column, part.num_partitions)
+            props = {**self.properties, "fetchsize": str(self.fetch_size), **({"preferTimestampNTZ": "true"} if self.prefer_timestamp_ntz else {})}
+            return self.spark.read.jdbc(self.url, self.qualified(name), predicates=range_predicates(part.column, points), properties=props)
         return self._load(self._reader().options(**self.read_options(name)), self.qualified(name))
 
     def query(self, sql: str, alias: str = "sql_table",
