@@ -1,7 +1,10 @@
 import base64
 import hashlib
 
+import time
+
 import numpy as np
+import pytest
 
 from tidewater.llm.storage import shared_folder
 from tidewater.llm.warc import candidates, leave_blocks, reachable, read_warc, record, write_warc
@@ -57,3 +60,32 @@ def test_least_bytes_and_empty_table(spark):
 def test_pointer_jumping_inside_blocks():
     offset, successor = np.array([0, 10, 20, 35, 50]), np.array([10, 20, 35, 51, 60])
     assert leave_blocks(offset, successor, 30).tolist() == [35, 35, 35, 51, 60]
+
+
+def test_hostile_payloads_take_seconds(spark):
+    """Ten megabytes of what could be record starts, with and without blank lines and lengths."""
+    lengths = "".join(f"\r\n\r\nWARC/1.0\r\nContent-Length: {i}\r\n" for i in range(200_000))
+    pages = [(1, "u", "WARC/1.0\r\n" * 1_000_000, None), (2, "u", "\r\n\r\nWARC/1.0\r\n" * 700_000, None), (3, "u", lengths, None), (4, "u", "plain", None)]
+    folder, began = shared_folder(spark, "test"), time.time()
+    write_warc(spark.createDataFrame(pages, SCHEMA).coalesce(1), folder)
+    got = read_warc(spark, folder, folder + "-work").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert sorted(map(tuple, got.collect()), key=str) == brute(pages)
+    assert time.time() - began < 90
+
+
+@pytest.mark.parametrize("damage,message", [("payload", "damaged record"), ("cut", "holds no record"), ("gone", "missing"), ("start", "holds no record"), ("record", "manifest")])
+def test_damage_is_seen(spark, tmp_path, damage, message):
+    folder = f"file://{tmp_path}/warc"
+    pages = [(i, "u", f"<p>page {i}</p>" * 20, None) for i in range(30)]
+    write_warc(spark.createDataFrame(pages, SCHEMA).coalesce(2), folder)
+    files = sorted((tmp_path / "warc").glob("*.warc"))
+    data = files[0].read_bytes()
+    second = data.index(b"WARC/1.0", 10)
+    changed = {"payload": data.replace(b"page 3<", b"page X<", 1), "cut": data[:-50], "start": b"x" + data, "record": data[second:]}
+    files[0].unlink()
+    if damage != "gone":
+        files[0].write_bytes(changed[damage])
+    for hidden in (tmp_path / "warc").glob(".*.crc"):
+        hidden.unlink()
+    with pytest.raises(ValueError, match=message):
+        read_warc(spark, folder, folder + "-work")

@@ -21,7 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .storage import finished_file
+from ..fs import exists
+from .storage import finished_file, saved
 
 MAGIC = b"WARC/1.0\r\n"
 FILE_BYTES = 32 << 20
@@ -113,7 +114,10 @@ def write_warc(pages: DataFrame, folder: str, least_bytes: int = 0, date: str =
 
 
 CANDIDATE = ("file string, block long, offset long, successor long, leaves_at long, size long, record_type string, page_id long, "
-             "payload_bytes long, payload_digest string, refers_to long")
+             "payload_bytes long, payload_digest string, refers_to long, sound boolean")
+# A record starts a file or follows the blank line that ends another one. So the heads of candidates
+# don't overlap, and a scan reads no stretch between two blank lines more than twice.
+_START = re.compile(rb"(?:\A|(?<=\r\n\r\n))" + re.escape(MAGIC))
 
 
 def candidates(archives: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -130,7 +134,7 @@ def candidates(archives: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
 
 def _scan(path: str, data: memoryview, block_bytes: int) -> Iterator[pa.RecordBatch]:
     rows = []
-    for m in re.finditer(re.escape(MAGIC), data):
+    for m in _START.finditer(data):
         end = _find(data, b"\r\n\r\n", m.start())
         if end < 0:
             continue
@@ -146,18 +150,33 @@ def _scan(path: str, data: memoryview, block_bytes: int) -> Iterator[pa.RecordBa
         own, other = _URN.match(fields.get(b"WARC-Record-ID", b"")), _URN.match(fields.get(b"WARC-Refers-To", b""))
         rows.append((m.start(), successor, fields.get(b"WARC-Type", b"").decode("utf-8", "replace"), int(own[1]) if own else None,
                      int(length[1]) if length else None, fields.get(b"WARC-Payload-Digest", b"").decode("utf-8", "replace").removeprefix("sha1:"),
-                     int(other[1]) if other else None))
+                     int(other[1]) if other else None, head + 4 if length else None))
     if not rows:
         return
     offset, successor = (np.array([r[i] for r in rows], np.int64) for i in (0, 1))
+    sound = _sound(data, rows)
     leaves = leave_blocks(offset, successor, block_bytes)
     n = len(rows)
     yield pa.RecordBatch.from_arrays(
         [pa.array([path] * n), pa.array(offset // block_bytes), pa.array(offset), pa.array(successor), pa.array(leaves), pa.array([len(data)] * n),
-         *(pa.array([r[i] for r in rows], t) for i, t in zip(range(2, 7), (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64())))],
+         *(pa.array([r[i] for r in rows], t) for i, t in zip(range(2, 7), (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64()))),
+         pa.array(sound, pa.bool_())],
         names=[c.split()[0] for c in CANDIDATE.split(", ")])
 
 
+def _sound(data: memoryview, rows: list[tuple]) -> list[bool | None]:
+    """For responses on the file's own chain, whose payloads don't overlap: whether length and digest
+    are the payload's. None for other candidates, which are not worth reading."""
+    where, out, at = {r[0]: i for i, r in enumerate(rows)}, [None] * len(rows), 0
+    while at in where:
+        i = where[at]
+        _, at, kind, _, length, digest, _, start = rows[i]
+        if kind == "response":
+            payload = data[start : at - 4] if start is not None and start <= at - 4 else None
+            out[i] = payload is not None and len(payload) == length and payload_digest(payload) == digest
+    return out
+
+
 def _find(data: memoryview, what: bytes, start: int) -> int:
     """Where ``what`` is first found from ``start`` on, looked for in growing pieces; or -1."""
     step = 4096
@@ -222,9 +241,36 @@ def _walk(block: pd.DataFrame) -> pd.DataFrame:
 def read_warc(spark: SparkSession, folder: str, work: str) -> DataFrame:
     """The response and revisit records of the archives (``*.warc``) in ``folder``: file,
     offset, record_type, page_id, payload_bytes, payload_digest, refers_to. ``work`` is a fresh
-    shared folder for the candidates. Raises if there is no archive."""
+    shared folder for the candidates.
+
+    Raises if there is no archive; if an archive's chain does not end at its end (a record is cut off or
+    its length was changed); if a response's payload has another length or digest than its head says;
+    and, where ``write_warc`` left its manifest, if an archive is missing or holds other numbers of
+    records or bytes.
+    """
     archives = spark.read.format("binaryFile").load(f"{folder}/*.warc")
     candidates(archives).write.parquet(work)
-    kept = reachable(spark.read.schema(CANDIDATE).parquet(work))
+    kept = saved(reachable(spark.read.schema(CANDIDATE).parquet(work)), "warc-records")
+    _check(spark, archives, kept, folder)
     return kept.where("record_type in ('response', 'revisit')") \
         .select("file", "offset", "record_type", "page_id", "payload_bytes", "payload_digest", "refers_to")
+
+
+def _check(spark: SparkSession, archives: DataFrame, kept: DataFrame, folder: str) -> None:
+    name = F.substring_index("file", "/", -1)
+    ends = kept.groupBy("file").agg(F.max("successor").alias("end"), F.count(F.lit(1)).alias("records"),
+                                    F.min(F.struct(F.coalesce("sound", F.lit(True)).alias("sound"), "offset")).alias("first"))
+    found = archives.select(F.col("path").alias("file"), F.col("length").alias("size")).join(ends, "file", "left").withColumn("name", name)
+    manifest = f"{folder}/_manifest"
+    if exists(spark, manifest):
+        written = spark.read.schema("name string, records long, bytes long").parquet(manifest).toDF("name", "n", "bytes")
+        found = found.join(written, "name", "full")
+    else:
+        found = found.withColumns({"n": F.coalesce("records", F.lit(0)).cast("long"), "bytes": F.col("size")})
+    wrong = F.when(F.col("size").isNull(), "is missing").when(F.col("n").isNull(), "is not in the manifest") \
+        .when(F.coalesce("end", F.lit(0)) != F.col("size"), F.concat(F.lit("holds no record at byte "), F.coalesce("end", F.lit(0)))) \
+        .when(~F.col("first.sound"), F.concat(F.lit("has a damaged record at byte "), F.col("first.offset"))) \
+        .when((F.coalesce("records", F.lit(0)) != F.col("n")) | (F.col("bytes") != F.col("size")), "is not what the manifest says")
+    damaged = found.select("name", wrong.alias("wrong")).where("wrong is not null").orderBy("name").limit(5).collect()
+    if damaged:
+        raise ValueError("damaged archives: " + "; ".join(f"{r['name']} {r['wrong']}" for r in damaged))
