@@ -184,3 +184,15 @@ def test_differencing_decides_inside_and_outside_articles(spark):
     assert [got[10], got[11]] == ["Own 0 text More of 0", "Own 1 text More of 1"]
     assert [got[12 + i] for i in range(3)] == [f"Shown {i} One paragraph of some length {'old' if i else 'new'} and another one, no shorter" for i in range(3)]
     assert got[15] == "Site Teaser one Teaser two Main text 0 goes on here and ends 0" and got[16] == "Teaser " + ("Main text " * 8).strip()
+
+
+def test_closed_svg_and_forms_around_pages(spark):
+    for html in ("<main><svg/><p>Text</p></main>", "<div><svg viewBox='0 0 1 1'/><math/>Text</div>", "<p><svg><path d=x /><g><circle/></g></svg>Text</p>",
+                 "<form id=aspnetForm><div>Text</div></form>", "<form><nav>N</nav><p>Text</p></form><footer>F</footer>"):
+        assert main_lines(html) == ["Text"], html
+    assert main_lines("<form class=newsletter>Sign up</form>") == [] and main_lines("<form>Name</form><p>Text</p>") == ["Text"]
+    server = "<form id=aspnetForm><div>Menu</div><p>Own {0} text</p><div>Imprint</div></form>"
+    pages = [(f"http://server.org/{i}", server.format(i)) for i in range(5)]
+    pages += [("http://alone.org/", "<div>Welcome</div><h1>Storm hits</h1><article><p>Story</p></article><p>End.</p><div>Rights</div>")]
+    got = texts(spark, pages)
+    assert [got[i] for i in range(5)] == [f"Own {i} text" for i in range(5)] and got[5] == "Storm hits Story End."

@@ -9,7 +9,8 @@ lines between own ones, like a refrain, can't be told from text. Pages that shar
 article are versions of it and tell nothing about lines inside.
 
 Markup is a further hint: elements that only hold furniture go on every page, and on a page
-without neighbours short lines outside its one article.
+without neighbours the lines outside its one article that stand in no heading, paragraph or other
+element for text.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from .url_rules import url_parts
 
 OPEN, CONTENT, FURNITURE = 0, 1, 2
 KIND, LINK, FIRST = 3, 4, 8  # kinds' bits; of lines inside an article: nothing but links, first of the article
-PROSE = 60  # characters of a line that is not taken for furniture by its place alone
+PROSE = 16  # of lines outside articles: in an element that holds text as such
 VERSIONS = 3  # pages share so many times as much of their articles as one has of its own
 _SALTS = 64  # a page's result is handed back to its copies in so many parts
 
@@ -40,6 +41,8 @@ WITHOUT_TEXT = {"head", "title", "script", "style", "noscript", "template", "svg
 HEAD_ELEMENTS = {"base", "basefont", "bgsound", "link", "meta", "noscript", "script", "style", "template", "title"}
 FURNITURE_ELEMENTS = {"nav", "footer", "aside", "dialog", "menu"}
 ARTICLE_ELEMENTS = {"article", "main"}
+FOREIGN = {"svg", "math"}  # the elements that a slash at their end closes, and all inside them
+PROSE_ELEMENTS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "dd", "figcaption"}
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "br", "caption", "dd", "details", "dialog", "div", "dl", "dt", "fieldset",
           "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "li", "main", "menu",
           "nav", "ol", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
@@ -66,15 +69,21 @@ class _Lines(HTMLParser):
         self.text: list[str] = []
         self.stack: list[tuple[str, int, bool, tuple[int, ...], bool]] = [("", OPEN, False, (), False)]  # element, kind, without text, marks, in a link
         self.marks, self.void, self.articles, self.plain = 0, set(), 0, False
+        self.forms: set[int] = set()  # marks of forms
 
     def flush(self) -> None:
         if self.text:
             line = " ".join("".join(self.text).split())
             if line:
-                self.found.append((line, self.stack[-1][1], self.stack[-1][3], not self.plain, self.articles))
+                kind = self.stack[-1][1]
+                if kind == OPEN and any(e[0] in PROSE_ELEMENTS for e in self.stack):
+                    kind |= PROSE
+                self.found.append((line, kind, self.stack[-1][3], not self.plain, self.articles))
             self.text, self.plain = [], False
 
     def lines(self) -> list[tuple[str, int]]:
+        if all(kind == FURNITURE or not self.void.issuperset(marks) for _, kind, marks, _, _ in self.found):
+            self.void |= self.forms  # a form around all of a page's text is no part of the page
         out, last = [], 0
         for line, kind, marks, link, article in self.found:
             if not self.void.issuperset(marks):
@@ -103,6 +112,8 @@ class _Lines(HTMLParser):
         elif tag == "form" or tag == "header" and kind == OPEN or self._hinted(tag, attrs):
             self.marks += 1
             hints = (*marks, self.marks)
+            if tag == "form" and not self._hinted(tag, attrs):
+                self.forms.add(self.marks)
         if new != kind or hints != marks:
             self.flush()
         if new == CONTENT != kind:
@@ -155,6 +166,8 @@ class _Lines(HTMLParser):
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
+        if tag in FOREIGN or tag not in VOID and any(e[0] in FOREIGN for e in self.stack):
+            self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
         if tag in BLOCKS:
@@ -299,11 +312,12 @@ def _repeated(run: list[tuple[list[int], list[int], bytes]]) -> list[list[int]]:
     return out
 
 
-def _alone(lines: list[str], kinds: bytes) -> set[int]:
-    """Lines that go from a page without neighbours: short ones outside its one article."""
+def _alone(kinds: bytes) -> set[int]:
+    """Lines that go from a page without neighbours: those outside its one article that stand in no
+    element for text."""
     if sum(kind & FIRST > 0 for kind in kinds) != 1:
         return set()
-    return {x for x, (line, kind) in enumerate(zip(lines, kinds)) if kind & KIND == OPEN and len(line) < PROSE}
+    return {x for x, kind in enumerate(kinds) if kind & KIND == OPEN and not kind & PROSE}
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -374,7 +388,7 @@ def extract_text(pages: DataFrame, work: str, id_col: str = "page_id", url_col:
         for batch in batches:
             texts = []
             for lines, kinds, gone in zip(*(batch.column(c).to_pylist() for c in ("lines", "kinds", "gone"))):
-                gone = _alone(lines, kinds) if gone is None else set(gone)
+                gone = _alone(kinds) if gone is None else set(gone)
                 texts.append(" ".join(line for n, line in enumerate(lines) if n not in gone))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
