@@ -1,6 +1,7 @@
 import numpy as np
+import pytest
 
-from tidewater.llm.spherical_caps import bucket_links, decode_filters, near_vectors, unit
+from tidewater.llm.spherical_caps import bucket_links, code_for, decode_filters, missed, near_vectors, unit
 from tidewater.llm.storage import shared_folder
 
 SCHEMA = "vec_id long, embedding array<float>, links int, rep string"
@@ -71,3 +72,24 @@ def test_a_pair_counts_in_one_bucket_only():
     assert links.tolist() == [1, 1]
     found, links, _ = bucket_links(rep, one, v, side, filters, 7, 0.95)
     assert dict(zip(found.tolist(), links.tolist())) == {10: 5, 11: 5, 12: 2}
+
+
+@pytest.mark.parametrize("dims,vectors", [(2, 10**6), (3, 10**8), (8, 10**3), (8, 10**6), (64, 10**3), (64, 10**6), (64, 10**8), (768, 10**3)])
+def test_recall_at_the_threshold_at_any_size_and_dimension(dims, vectors):
+    """Other pairs than the ones that chose the code."""
+    from tidewater.llm import spherical_caps
+
+    half, least = code_for(dims, vectors)
+    a, b = spherical_caps.pairs_at(0.95, dims, 400, seed=77)
+    met = [np.isin(x, y).any() for x, y in zip(decode_filters(a, half, least), decode_filters(b, half, least))]
+    assert np.mean(met) >= 0.99
+    assert missed(0.95, dims, half, least, 50) <= 0.02
+
+
+def test_few_dimensions_equal_brute_force(spark):
+    rng = np.random.default_rng(5)
+    for dims in (1, 2, 3, 8):
+        table = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(rng.normal(size=(150, dims)))]
+        frame = spark.createDataFrame([(i, v, 1, "x") for i, v in table], SCHEMA)
+        got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(frame, shared_folder(spark, "test")).collect()}
+        assert got == brute(table), dims

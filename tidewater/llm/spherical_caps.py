@@ -6,10 +6,13 @@ codeword of a first half of the (rotated) coordinates with one of the second hal
 sum of two short lists of scores decodes a vector to all its filters. Vectors are joined on
 filters and pairs are verified by cosine in double precision.
 
-A vector takes every filter above the threshold, at least ``FILTERS_LEAST`` of the best. At a
-cosine of exactly 0.95 about 5 in 100 000 pairs of random directions in 64 dimensions share
-none; nearer pairs are missed far less often. The number of filters grows with the number of
-vectors, so that a filter holds about ``VECTORS_A_FILTER`` vectors at any size.
+A vector takes every filter above the threshold, and at least so many of the best. The number of
+filters grows with the number of vectors, so that a filter holds about ``VECTORS_A_FILTER`` vectors.
+How many a vector takes follows from a miss rate that is measured before the join: random pairs at
+the threshold cosine, in the table's own dimension and with its own code, are decoded, and a vector
+takes more filters, then the code gets fewer and larger ones, until at most ``MISSES`` of these pairs
+share none. So recall holds at any size and dimension; in few dimensions or for very many vectors
+buckets are what grows. Pairs above the threshold are missed less often.
 """
 
 from __future__ import annotations
@@ -24,14 +27,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .storage import saved
+from .storage import saved, tidy
 
 THRESHOLD = 0.95
 FILTERS_LEAST = 26
+FILTERS_MOST = 90
+MISSES = 0.001
+_TRIALS = 2_000
 VECTORS_A_FILTER = 64
 CHUNK = 512
 BROADCAST_ROWS = 200_000
-_DECODED = "rep long, copies long, embedding array<double>, filters array<int>"
+_DECODED = "rep long, copies long, embedding array<{}>, filters array<int>"
 
 
 def codewords_a_half(vectors: int) -> int:
@@ -59,14 +65,45 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
-def decode_filters(vectors: np.ndarray, half_words: int) -> list[np.ndarray]:
+def pairs_at(cosine: float, dims: int, n: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Random unit vectors, and one at that cosine from each."""
+    rng = np.random.default_rng([seed, dims])
+    a, z = unit(rng.normal(size=(n, dims))), rng.normal(size=(n, dims))
+    z -= (z * a).sum(axis=1, keepdims=True) * a
+    z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-300)
+    return a, unit(cosine * a + (1 - cosine**2) ** 0.5 * z)
+
+
+def missed(cosine: float, dims: int, half_words: int, least: int, trials: int) -> float:
+    """Share of random pairs at that cosine without a filter in common."""
+    a, b = pairs_at(cosine, dims, trials)
+    return float(np.mean([not np.isin(x, y, assume_unique=True).any() for x, y in zip(decode_filters(a, half_words, least), decode_filters(b, half_words, least))]))
+
+
+@lru_cache(maxsize=32)
+def code_for(dims: int, vectors: int, cosine: float = THRESHOLD) -> tuple[int, int]:
+    """(codewords of a half, filters that a vector takes at least) for so many vectors."""
+    # Halves of one to three coordinates have room for few directions; more would only be equal ones.
+    half, least = min(codewords_a_half(vectors), {0: 1, 1: 2, 2: 16, 3: 48}.get(dims // 2, 1 << 30)), FILTERS_LEAST
+    while half > 1:
+        trials = _TRIALS if half <= 4_000 else _TRIALS // 4
+        if missed(cosine, dims, half, least, trials) <= MISSES:
+            break
+        if least < FILTERS_MOST:
+            least = min(FILTERS_MOST, least * 3 // 2)
+        else:
+            half = half * 2 // 3
+    return half, least
+
+
+def decode_filters(vectors: np.ndarray, half_words: int, least_filters: int = FILTERS_LEAST) -> list[np.ndarray]:
     """The ascending filter numbers of each unit vector."""
     dims = vectors.shape[1]
     a, b = _code(dims, half_words)
-    share = min(0.5, FILTERS_LEAST / half_words**2)
+    share = min(0.5, least_filters / half_words**2)
     threshold = NormalDist().inv_cdf(1 - share) / dims**0.5
     # The k-th best sum is one of those whose places in the two sorted lists multiply to at most k.
-    k = min(FILTERS_LEAST, half_words**2)
+    k = min(least_filters, half_words**2)
     top = [(i, j) for i in range(min(k, half_words)) for j in range(min(k // (i + 1), half_words))]
     ti, tj = np.array([t[0] for t in top]), np.array([t[1] for t in top])
     out = []
@@ -82,18 +119,18 @@ def decode_filters(vectors: np.ndarray, half_words: int) -> list[np.ndarray]:
     return out
 
 
-def _decode_rows(half_words: int):
+def _decode_rows(codes: dict[int, tuple[int, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("embedding")
             lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
-            values, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths)
+            values, ends = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64), np.cumsum(lengths)
             filters: list = [None] * len(lengths)
             for dims in np.unique(lengths):
                 at = np.flatnonzero(lengths == dims)
                 for part in np.array_split(at, -(-len(at) // 2048)):
                     rows = values[(ends[part] - dims)[:, None] + np.arange(dims)]
-                    for i, found in zip(part.tolist(), decode_filters(unit(rows), half_words)):
+                    for i, found in zip(part.tolist(), decode_filters(unit(rows), *codes[int(dims)])):
                         filters[i] = found
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(filters, pa.list_(pa.int32()))], names=[*batch.schema.names, "filters"])
 
@@ -146,7 +183,7 @@ def _bucket_rows(threshold: float):
                 for dims in {len(h[2]) for h in held}:
                     rows = [h for h in held if len(h[2]) == dims]
                     rep, copies, vectors, side, filters = zip(*rows)
-                    out.append(bucket_links(np.array(rep), np.array(copies), unit(np.stack(vectors)), np.array(side), list(filters), last[0], threshold))
+                    out.append(bucket_links(np.array(rep), np.array(copies), unit(np.stack(vectors).astype(np.float64)), np.array(side), list(filters), last[0], threshold))
 
         def rows():
             parts = [np.concatenate([np.zeros(0, np.int64), *(o[i] for o in out)]).astype(np.int64) for i in range(3)]
@@ -176,20 +213,22 @@ def near_vectors(table: DataFrame, work: str, threshold: float = THRESHOLD, id_c
     Vectors that are null, empty, zero or hold null or non-finite components, and rows with a
     null id, link with nothing. Equal vectors are one class from the start, whose rows link with
     each other; vectors of different length don't link; an empty table gives no rows; other
-    columns are left out. ``work`` is a fresh shared folder. The bound on misses holds for
-    thresholds of 0.95 or more.
+    columns are left out. ``work`` is a fresh shared folder.
     """
     spark = table.sparkSession
-    rows = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"))
+    # Vectors of single precision travel as they are; cosines are of doubles.
+    kind = "float" if table.schema[vector_col].dataType.simpleString() == "array<float>" else "double"
+    rows = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(f"array<{kind}>").alias("embedding"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = F.coalesce(finite & F.exists("embedding", lambda x: x != 0), F.lit(False)) & F.col("vec_id").isNotNull()
     valid = rows.where(good)
     classes = valid.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")).select("rep", "copies", "embedding")
     classes = saved(classes, "vector-classes")
-    count = classes.count()
-    half_words = codewords_a_half(count)
-    classes.mapInArrow(_decode_rows(half_words), _DECODED).write.parquet(work)
-    decoded = spark.read.schema(_DECODED).parquet(work)
+    # A code for each length of vectors; lengths are few, and a row each comes to the driver.
+    sizes = classes.groupBy(F.size("embedding").alias("dims")).count().collect()
+    codes = {r["dims"]: code_for(r["dims"], r["count"], max(threshold, 0.0)) for r in sizes}
+    classes.mapInArrow(tidy(_decode_rows(codes), 2000), _DECODED.format(kind)).write.parquet(work)
+    decoded = spark.read.schema(_DECODED.format(kind)).parquet(work)
     members = decoded.select("rep", "copies", "embedding", "filters", F.explode("filters").alias("filter"))
     sizes = saved(decoded.select(F.explode("filters").alias("filter")).groupBy("filter").agg(F.count("*").alias("n")) \
         .where(F.col("n") > CHUNK).select("filter", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "bucket-sizes")

@@ -7,9 +7,13 @@ resolves the file system (local or mounted folders, HDFS, object stores).
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
-from contextlib import contextmanager
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -44,3 +48,30 @@ def finished_file(folder: str, name: str):
     with system.open_output_stream(part) as out:
         yield out
     system.move(part, f"{root}/{name}")
+
+
+def release_memory() -> None:
+    """Gives memory that a finished task has freed back to the system. Python workers live on for
+    later tasks, and idle ones would keep it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], rows: int = 500):
+    """``run`` over slices of at most ``rows`` rows, so that only so many texts are Python objects at
+    once; what its task has freed is given back at the end."""
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, rows):
+                yield batch.slice(i, rows)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(sliced(batches))
+        finally:
+            release_memory()
+
+    return whole
