@@ -45,7 +45,30 @@ def test_near_copies_go_by_row(spark, tmp_path):
     assert sorted(((r.doc_id, r.text, r.source) for r in out.collect()), key=key) == want
 
 
+def test_stages_with_odd_columns_and_empty_tables(spark, tmp_path):
+    """Null values, clashing names, a map column, no n_chars, no rows: every stage has a result."""
+    rng = random.Random(3)
+    text = lambda: " ".join("".join(rng.choice("abcdeghinorst") for _ in range(rng.randint(2, 8))) for _ in range(60))
+    texts = [text() for _ in range(6)]
+    schema = "doc_id long, text string, key string, tag int, row string, _row int, _copy string, _rest int, _quality int, _chunks int, count int, m map<string,int>"
+    rows = [(i, t, "k", 1, "r", 2, "c", 3, 4, 5, 6, {"a": i}) for i, t in enumerate(texts)]
+    rows += [(0, texts[0], "k", 1, "r", 2, "c", 3, 4, 5, 6, {"a": 9}), (None, texts[1], *[None] * 10), (7, None, *[None] * 10), (8, "", *[None] * 10), (None, None, *[None] * 10)]
+    spark.createDataFrame([(i, 1, 0) for i in range(3)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, held in (("some", rows), ("none", []), ("nulls", [(None,) * 12] * 3)):
+        spark.createDataFrame(held, schema).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        for _, stage in corpus_pipeline.STAGES[:3]:
+            assert stage(spark, docs, str(tmp_path)).columns == docs.columns
+        near = corpus_pipeline.near_copies(spark, docs, str(tmp_path)).collect()
+        passages = corpus_pipeline.repeated_passages(spark, docs, str(tmp_path)).collect()
+        packed = corpus_pipeline.packing(spark, docs, str(tmp_path)).collect()
+        assert len(passages) == len(held) and (len(packed) >= len(held))
+        if name == "some":
+            assert sorted((r.doc_id is None, r.doc_id or 0) for r in near) == [(False, i) for i in (0, 1, 2, 3, 4, 5, 7, 8)] + [(True, 0), (True, 0)]
+            assert [r.m for r in near if r.doc_id == 0] == [{"a": 0}]
+
+
 def test_registered_queries():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "n-gram Jaccard join", "substring dedup", "packing"]

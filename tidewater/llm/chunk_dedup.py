@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shingles import Words, byte_passes, span_hashes
+from .storage import tidy
 from .tokens import mix64
 
 MIN_WORDS = 20
@@ -237,15 +238,18 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
     total = docs.agg(F.sum(F.octet_length(text))).collect()[0][0] or 0
     parts = int(max(8, -(-total * _ENTRY_BYTES // (_BYTES_A_SPAN * _GROUP_BYTES))))
     entries = docs.select(key.alias("key"), tag.alias("tag"), text.alias("text")) \
-        .mapInArrow(_entries(parts, min_words), "part int, kind int, digests binary, docs binary, places binary")
-    repeated = entries.groupBy("part").applyInArrow(_repeats(parts), "bucket int, docs binary, places binary") \
-        .groupBy("bucket").applyInArrow(_by_document, "key long, tag long, numbers binary").toDF("_key", "_tag", "_numbers")
-    joined = docs.join(repeated, (key == F.col("_key")) & (tag == F.col("_tag")), "left").select(*docs.columns, "_numbers")
-    at = docs.columns.index(text_col)
+        .mapInArrow(tidy(_entries(parts, min_words)), "part int, kind int, digests binary, docs binary, places binary")
+    repeated = entries.repartition(parts, "part").groupBy("part").applyInArrow(_repeats(parts), "bucket int, docs binary, places binary") \
+        .groupBy("bucket").applyInArrow(_by_document, "key long, tag long, numbers binary")
+    # The documents travel as one struct, so no column of theirs meets one of these.
+    whole = docs.select(key.alias("key"), tag.alias("tag"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    joined = whole.join(repeated, ["key", "tag"], "left").select("row", "numbers")
+    at, names = docs.columns.index(text_col), [*docs.columns, result_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, lists = batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
+            own = batch.column(0).flatten()
+            texts, lists = own[at].to_pylist(), batch.column(1).to_pylist()
             out, facts = [], []
             for first, part in byte_passes(texts):
                 chunks = Chunks(part)
@@ -263,8 +267,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
                         out.append(b"".join(data[s:e] for s, e in zip(kept[0::2], kept[1::2])).decode("utf-8", "replace"))
                     else:
                         out.append(texts[first + i])
-            columns = list(batch.columns[:-1])
-            columns[at] = pa.array(out, columns[at].type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(facts, _RESULT_ARROW)], names=[*batch.schema.names[:-1], result_col])
+            own[at] = pa.array(out, own[at].type)
+            yield pa.RecordBatch.from_arrays([*own, pa.array(facts, _RESULT_ARROW)], names=names)
 
-    return joined.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(result_col, RESULT)]))
+    return joined.mapInArrow(tidy(run), T.StructType([*docs.schema.fields, T.StructField(result_col, RESULT)]))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .shingles import byte_passes, shingle_sets
-from .storage import saved
+from .storage import saved, tidy
 from .tokens import mix64
 
 SKETCH_BITS = 1024
@@ -215,31 +215,45 @@ def _near_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(keep)
 
 
+_PAIRS_AT_ONCE = 200_000
+
+
+def _pairs_of_groups(edges: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of places (first, second) inside groups of neighbouring places, given where these
+    start and the last ends, some ``_PAIRS_AT_ONCE`` at a time."""
+    later = np.repeat(edges[1:], np.diff(edges)) - np.arange(edges[-1]) - 1  # places after each in its group
+    ends = np.cumsum(later)
+    first = 0
+    while first < len(later):
+        upto = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + _PAIRS_AT_ONCE, side="right")))
+        n = later[first:upto]
+        left = np.repeat(np.arange(first, upto), n)
+        yield left, left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n)
+        first = upto
+
+
 def _across(forests: int | None):
     """Of groups that share a token the pairs of different components that may be similar: all
     of them, or only those of so many disjoint spanning forests, nearest sketches first."""
 
     def run(group: pa.Table) -> pa.Table:
-        token, own, n, comp = (group.column(c).to_numpy() for c in ("token", "own", "n", "comp"))
-        side = group.column("side").to_numpy()
+        token, own, n, comp, side = (group.column(c).to_numpy() for c in ("token", "own", "n", "comp", "side"))
         bits = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(len(token), -1)
         order = np.lexsort((own, token))
         edges = np.flatnonzero(np.concatenate([[True], token[order][1:] != token[order][:-1], [True]]))
         found = [np.zeros((0, 3), np.int64)]
-        for s, e in zip(edges[:-1], edges[1:]):
-            at = order[s:e]
-            left, right = at[side[at] != 1], at[side[at] != 0]
-            for i in left:
-                fit = right[(comp[right] != comp[i]) & (5 * np.minimum(n[right], n[i]) >= 4 * np.maximum(n[right], n[i])) & (own[right] != own[i])]
-                if len(fit):
-                    far = np.bitwise_count(bits[fit] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                    near = 9 * far <= n[fit] + n[i]
-                    fit, far = fit[near], far[near]
-                    found.append(np.stack([far * 10_000 // (n[fit] + n[i]), np.full(len(fit), i), fit], axis=1))
-        pairs = np.concatenate(found)
-        a, b = np.minimum(own[pairs[:, 1]], own[pairs[:, 2]]), np.maximum(own[pairs[:, 1]], own[pairs[:, 2]])
-        order = np.lexsort((b, a, pairs[:, 0]))
-        out = list(dict.fromkeys(zip(a[order].tolist(), b[order].tolist())))
+        for left, right in _pairs_of_groups(edges):
+            i, j = order[left], order[right]
+            # sides 0 and 1 are two chunks of a group, whose pairs are those between them
+            fit = (comp[i] != comp[j]) & (own[i] != own[j]) & ((side[i] != side[j]) | (side[i] == 2)) & (5 * np.minimum(n[i], n[j]) >= 4 * np.maximum(n[i], n[j]))
+            i, j = i[fit], j[fit]
+            far = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
+            both = n[i] + n[j]
+            near = 9 * far <= both
+            a, b = own[i[near]], own[j[near]]
+            found.append(np.stack([far[near] * 10_000 // both[near], np.minimum(a, b), np.maximum(a, b)], axis=1))
+        pairs = np.unique(np.concatenate(found), axis=0)  # nearest first
+        out = list(dict.fromkeys(zip(pairs[:, 1].tolist(), pairs[:, 2].tolist())))
         if forests is not None:
             out = _forests(out, dict(zip(own.tolist(), comp.tolist())), forests)
         return pa.table([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
@@ -276,20 +290,20 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
         used = F.broadcast(used)  # at most BROADCAST_ROWS rows of two integers
     texts = docs.join(used, docs["doc_id"] == used["rep"]).select("h1", "text").dropDuplicates(["h1"])
     a, b = texts.select(F.col("h1").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("h1").alias("b"), F.col("text").alias("text_b"))
-    return saved(pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long"), "links")
+    return saved(pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").mapInArrow(tidy(_verify), "a long, b long"), "links")
 
 
 def similarity_classes(docs: DataFrame, work: str) -> tuple[DataFrame, DataFrame]:
     """(sets, classes) of documents (doc_id, text; ids not null): each document's set size and
     digest, and the classes of equal sets with the digest that names their component."""
     spark = docs.sparkSession
-    docs.mapInArrow(_set_rows, "doc_id long, n_shingles long, h1 long, h2 long, sketch binary").write.parquet(work)
+    docs.mapInArrow(tidy(_set_rows), "doc_id long, n_shingles long, h1 long, h2 long, sketch binary").write.parquet(work)
     sets = spark.read.schema("doc_id long, n_shingles long, h1 long, h2 long, sketch binary").parquet(work)
     classes = saved(sets.where("n_shingles > 0").groupBy("h1", "h2", "n_shingles")
                     .agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")).withColumnRenamed("n_shingles", "n"), "classes")
     total = classes.agg(F.sum("n")).collect()[0][0] or 0
     parts = max(8, -(-int(total * 0.55 * 14) // _GROUP_BYTES))
-    tokens = docs.select("text").mapInArrow(_token_rows(parts), "part int, kind int, tokens binary, owners binary, heads binary")
+    tokens = docs.select("text").mapInArrow(tidy(_token_rows(parts)), "part int, kind int, tokens binary, owners binary, heads binary")
     edges = saved(tokens.groupBy("part").applyInArrow(_token_edges, "token long, a long, b long"), "tokens")
 
     facts = classes.select(F.col("h1").alias("own"), "n", "sketch")
@@ -367,6 +381,6 @@ def ngram_components(docs: DataFrame, work: str, id_col: str = "doc_id", text_co
     of_class = classes.join(least, "component").select("h1", "h2", F.col("n").alias("n_shingles"), "component_id")
     found = sets.drop("sketch").join(of_class, ["h1", "h2", "n_shingles"], "left") \
         .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    without = rows.where("doc_id is null").mapInArrow(_set_rows, "doc_id long, n_shingles long, h1 long, h2 long, sketch binary") \
+    without = rows.where("doc_id is null").mapInArrow(tidy(_set_rows), "doc_id long, n_shingles long, h1 long, h2 long, sketch binary") \
         .select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
     return found.unionByName(without)

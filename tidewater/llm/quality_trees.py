@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shingles import BLANKS, Words, byte_passes, windows
+from .storage import tidy
 
 SYMBOLS = b"#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -155,14 +156,14 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id
           text_col: str = "text", label_col: str = "quality") -> Trees:
     """Trees fitted on at most ``sample_rows`` labelled documents, those first by a hash of
     their id. Labels other than 0 and 1 and null ids are left out; of several labels of one
-    document the lowest counts, of several texts of one id any one."""
+    document the lowest counts, of several texts of one id the one with the least statistics."""
     chosen = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
               .where("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.min("y").alias("y"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # The sample's size is bounded by sample_rows, so it may be broadcast.
-    rows = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(_sample_features, "doc_id long, y int, x array<double>") \
-        .groupBy("doc_id").agg(F.first("y").alias("y"), F.first("x").alias("x")).orderBy("doc_id").collect()
+    rows = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(tidy(_sample_features), "doc_id long, y int, x array<double>") \
+        .groupBy("doc_id").agg(F.min("y").alias("y"), F.min("x").alias("x")).orderBy("doc_id").collect()
     x = np.array([r.x for r in rows]).reshape(len(rows), len(FEATURES))
     return fit(x, np.array([r.y for r in rows], float), list(FEATURES.values()))
 
@@ -201,4 +202,4 @@ def quality_rules(docs: DataFrame, model: Trees, keep_at: float = 0.5, text_col:
             result = pa.StructArray.from_arrays([pa.array(v, k) for v, k in zip(parts, kinds)], names=RESULT.names)
             yield pa.RecordBatch.from_arrays([*batch.columns, result], names=[*batch.schema.names, result_col])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)

@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StringType, StructField, StructType
 
+from .storage import tidy
 from .tokens import encoder, gather, mix64, passes
 
-CHUNK_CHARS = 1 << 23
+CHUNK_CHARS = 1 << 22
 
 
 def _pack(data: bytes) -> bytes:
@@ -112,7 +113,7 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     # Each input partition adds a bounded number of chunks, so a bucket's size stays bounded.
-    buckets = buckets or 2 * max(4, rows.rdd.getNumPartitions())
+    buckets = buckets or 4 * max(4, rows.rdd.getNumPartitions())
 
     def word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches, tokenizer_path):
@@ -172,9 +173,9 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
         return pa.concat_tables(out)
 
     id_arrow = to_arrow_type(rows.schema["doc_id"].dataType)
-    ids = rows.mapInArrow(word_rows, "chunk long, bucket int, words binary").groupBy("bucket") \
+    ids = rows.mapInArrow(tidy(word_rows), "chunk long, bucket int, words binary").groupBy("bucket") \
         .applyInArrow(encode_bucket, "chunk long, bucket int, counts binary, ids binary")
-    codes = rows.mapInArrow(code_rows, f"chunk long, n_words long, keys array<{id_type}>, counts binary, codes binary")
+    codes = rows.mapInArrow(tidy(code_rows), f"chunk long, n_words long, keys array<{id_type}>, counts binary, codes binary")
     return codes.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(join_chunk, f"doc_id {id_type}, ids array<int>")
 
 
@@ -220,4 +221,4 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", text_c
 
     if text_col in encoded.columns:
         raise ValueError(f"the input has a column named {text_col}")
-    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField(text_col, StringType())]))
+    return encoded.mapInArrow(tidy(run), StructType([*encoded.schema.fields, StructField(text_col, StringType())]))
