@@ -21,45 +21,63 @@ from tidewater.llm.storage import shared_folder
 BROADCAST_ROWS = 500_000
 
 
+def _free(name: str, docs: DataFrame) -> str:
+    """``name``, or with underscores before it, that no column has."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules accept."""
-    judged = quality_rules(docs, train(docs, table(spark, sf_dir, "labels")), result_col="_quality")
-    return judged.where("_quality.kept").select(docs.columns)
+    """Documents that the quality rules accept. A null or empty text fails; repeated rows and null
+    ids are judged by their text like others; an empty table stays empty."""
+    verdict = _free("_quality", docs)
+    judged = quality_rules(docs, train(docs, table(spark, sf_dir, "labels")), result_col=verdict)
+    return judged.where(F.col(verdict)["kept"]).select(docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without those that reach a smaller one by links of similar shingles.
 
     Different texts under one id are different documents, in the order of the texts; of rows with
-    one id and text the one with the least other columns stays. Rows with a null id all stay.
+    one id and text the one with the least other columns (as JSON) stays. Rows with a null id all
+    stay; null and empty texts are near nothing and stay, but copies under one id are one row; an
+    empty table stays empty.
     """
-    if not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+    if not docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
         folder = shared_folder(spark, "pipeline-rows")
-        others = [c for c in docs.columns if c not in ("doc_id", "text")]
-        rows = docs.where("doc_id is not null").groupBy("doc_id", "text").agg(F.min(F.struct(*others)).alias("_rest")).select("doc_id", "text", "_rest.*")
-        rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text").withColumn("_row", F.monotonically_increasing_id()) \
-            .unionByName(docs.where("doc_id is null"), allowMissingColumns=True).write.parquet(folder)
-        rows = spark.read.schema(T.StructType([*docs.schema.fields, T.StructField("_row", T.LongType())])).parquet(folder)
-        return _without_copies(spark, rows, "_row").select(docs.columns)
+        row = _free("_row", docs)
+        whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        rows = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("i"), F.col("text").alias("t")).agg(F.min_by(whole, F.to_json(whole)).alias("r")) \
+            .select("i", "t", "r").repartitionByRange("i", "t").sortWithinPartitions("i", "t").select("r.*", F.monotonically_increasing_id().alias(row))
+        rows.unionByName(docs.where("doc_id is null"), allowMissingColumns=True).write.parquet(folder)
+        rows = spark.read.schema(T.StructType([*docs.schema.fields, T.StructField(row, T.LongType())])).parquet(folder)
+        return _without_copies(spark, rows, row).select(docs.columns)
     return _without_copies(spark, docs, "doc_id")
 
 
 def _without_copies(spark: SparkSession, docs: DataFrame, id_col: str) -> DataFrame:
     found = ngram_components(docs, shared_folder(spark, "pipeline-shingles"), id_col=id_col)
-    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_copy")).distinct().checkpoint()
+    copy = _free("_copy", docs)
+    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias(copy)).distinct().checkpoint()
     if copies.count() <= BROADCAST_ROWS:
         copies = F.broadcast(copies)  # at most BROADCAST_ROWS integers
-    return docs.join(copies, docs[id_col] == copies["_copy"], "left_anti")
+    return docs.join(copies, docs[id_col] == copies[copy], "left_anti")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages that an earlier one holds; ``n_chars`` follows the text."""
-    cleaned = remove_repeats(docs, result_col="_chunks")
-    return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    """Documents without passages that an earlier one holds; ``n_chars``, where there is such a
+    column, follows the text. Null texts stay null; rows with a null id come after all others; an
+    empty table stays empty."""
+    cleaned = remove_repeats(docs, result_col=_free("_chunks", docs))
+    if "n_chars" in docs.columns:
+        cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cleaned.select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 1024 tokens."""
+    """Pieces of documents in sequences of 1024 tokens. A null text packs as an empty one; repeated
+    rows and null ids are packed each; an empty table gives no pieces."""
     return pack(docs, BYTE_BPE)
 
 
@@ -68,7 +86,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages; each one's documents are written to the shared folder and read again."""
+    """All stages; each one's documents are written to the shared folder and read again. With an
+    empty ``documents`` table, or none that a stage keeps, there are no pieces."""
     docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
