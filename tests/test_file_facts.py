@@ -135,6 +135,16 @@ def test_new_keys_open_no_file_and_old_ones_are_found(spark, lake_root):
     assert files_that_may_hold(filters, keys([]), ["k"]) == []
 
 
+def test_many_files_are_read_as_the_table(spark, lake_root, monkeypatch):
+    ctx = ctx_of(spark, lake_root, data(8))
+    refresh_table(ctx, "t")
+    path = f"{lake_root}/t"
+    files, schema = files_below(spark, path), lake_schema(spark, path, DAY)
+    want = rows(file_digests(spark, f"{lake_root}/a", "t", path, files[1:], schema, ["k", "v"]))
+    monkeypatch.setattr(filefacts, "_PATHS_NAMED", 2)
+    assert rows(file_digests(spark, f"{lake_root}/b", "t", path, files[1:], schema, ["k", "v"])) == want and len(want) == len(files) - 1
+
+
 def test_false_hits_are_rare(spark, tmp_path):
     root = str(tmp_path)
     spark.range(50_000).selectExpr("id AS k", "id % 4 AS year").repartition("year").write.partitionBy("year").parquet(f"{root}/t")

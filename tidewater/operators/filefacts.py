@@ -28,6 +28,7 @@ FACTS_FOLDER = "_tidewater_facts"
 _BITS_A_KEY = 32
 _PICKS = 6  # bits that a key sets in each of its two words
 _COMPACT_FILES = 64
+_PATHS_NAMED = 5_000
 
 
 # ---------------------------------------------------------------- row digests
@@ -121,10 +122,14 @@ def files_below(spark: SparkSession, path: str) -> list[str]:
 
 
 def _with_file(spark: SparkSession, path: str, files: Sequence[str], schema: T.StructType) -> DataFrame:
-    """The rows of those files with ``_file``, their name relative to the table."""
-    df = spark.read.schema(schema).option("basePath", path.rstrip("/")).parquet(*[f"{path}/{f}" for f in files])
+    """The rows of those files with ``_file``, their name relative to the table. Very many files are
+    read as the table, without the others' rows: each path that is named is looked up by itself."""
+    few = len(files) <= _PATHS_NAMED
+    df = spark.read.schema(schema).option("basePath", path.rstrip("/")).parquet(*[f"{path}/{f}" for f in files] if few else [path])
     name = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
-    return df.withColumn("_file", F.substring(name, len(fs.qualify(spark, path)) + 2, 1 << 20))
+    df = df.withColumn("_file", F.substring(name, len(fs.qualify(spark, path)) + 2, 1 << 20))
+    # the listing that the driver holds anyway
+    return df if few else df.join(F.broadcast(spark.createDataFrame([(f,) for f in files], "_file string")), "_file", "left_semi")
 
 
 def file_digests(spark: SparkSession, lake_root: str, table: str, path: str, files: Sequence[str], schema: T.StructType,
