@@ -26,7 +26,10 @@ stamped 30 days after they were placed; a 15-day window around 1998-01-15 is app
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import io
+import json
 import os
 import shutil
 import sys
@@ -67,6 +70,7 @@ from tidewater.operators.quality import (
     dq_unique,
 )
 from tidewater.operators.staging import materialise
+from tidewater.plans import cli
 from tidewater.plans.checks import dq_unique_changed
 from tidewater.plans.compaction import compact_table
 from tidewater.plans.context import EngineContext
@@ -605,6 +609,22 @@ def q_dq_unique_changed(spark, sf_dir):
     return dq_unique_changed(ctx, "events", ["event_id"], [(2024, 1, 30)])
 
 
+def q_job_entry(spark, sf_dir):
+    # The command line over files: a refresh of orders, and an insert of events run twice.
+    lake = scratch_path(spark, "lake", "job-entry")
+    with tempfile.NamedTemporaryFile("w", suffix=".json") as tables:
+        json.dump([{"name": "events", "keys": ["event_id"], "created_column": "ts"},
+                   {"name": "orders", "keys": ["o_orderkey"], "created_column": "o_orderdate", "grain": "month"}], tables)
+        tables.flush()
+        common = ["--mode", "partial", "--source", "parquet", "--source-path", sf_dir, "--lake-root", lake, "--tables-json", tables.name]
+        for job in (["--action", "refresh", "--table", "orders"], *[["--action", "insert", "--table", "events", "--as-of", "2024-01-15", "--days", "3"]] * 2):
+            with contextlib.redirect_stdout(io.StringIO()):
+                if cli.main([*job, *common]):
+                    raise RuntimeError(f"job failed: {job}")
+    shape = lambda name, key: lake_scan(spark, f"{lake}/{name}").select(F.lit(name).alias("table_name"), F.col(key).alias("id"), "partition_date")
+    return shape("events", "event_id").unionByName(shape("orders", "o_orderkey"))
+
+
 def q_partition_ranges(spark, sf_dir):
     pending = _t(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
     return date_ranges(derive_partition_columns(pending, "o_orderdate"))
@@ -848,6 +868,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "insert_rerun": q_insert_rerun,
     "insert_from_mark": q_insert_from_mark,
     "partition_ranges": q_partition_ranges,
+    "job_entry": q_job_entry,
     "dq_unique_changed": q_dq_unique_changed,
     "compact_table": q_compact_table,
     "write_clustered": q_write_clustered,
@@ -1039,6 +1060,9 @@ eff AS (SELECT * REPLACE (CASE WHEN event_id % 2 = 0 THEN ts - INTERVAL 1 DAY EL
         SELECT MIN(d) AS first_day, MAX(d) AS last_day, COUNT(*) AS days FROM r GROUP BY island""",
     "dq_unique_changed": """SELECT event_id, COUNT(*) AS n FROM (SELECT event_id FROM events UNION ALL
         SELECT event_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-10') GROUP BY event_id HAVING COUNT(*) > 1""",
+    "job_entry": """SELECT 'events' AS table_name, event_id AS id, CAST(ts AS DATE) AS partition_date FROM events
+        WHERE ts > TIMESTAMP '2024-01-12 00:00:00' AND ts < TIMESTAMP '2024-01-18 00:00:00'
+        UNION ALL SELECT 'orders', o_orderkey, CAST(o_orderdate AS DATE) FROM orders""",
     "compact_table": f"""SELECT {_DAY.format(c='ts')}, COUNT(*) AS n, CAST(SUM(value) AS DECIMAL(18,2)) AS total,
         CAST(1 AS BIGINT) AS files FROM events GROUP BY ALL""",
     "write_clustered": """SELECT *, CAST(o_orderdate AS DATE) AS partition_date, CAST(year(o_orderdate) AS INT) AS year FROM orders""",

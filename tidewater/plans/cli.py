@@ -107,7 +107,8 @@ def main(argv=None) -> int:
     from pyspark.sql import SparkSession
 
     a = parse_args(argv)
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
+    logging.basicConfig(format="%(asctime)s %(name)s %(levelname)s %(message)s")
+    logging.getLogger("tidewater").setLevel(logging.INFO)  # not the gateway's every call
     spark = SparkSession.builder.appName(a.job_name).getOrCreate()
     if a.cleanup_scratch_hours is not None:
         from tidewater.operators.staging import cleanup_scratch
