@@ -49,18 +49,20 @@ def row_hash(schema: T.StructType) -> Column:
     return F.xxhash64(*values, F.array(*[F.col(f"`{f.name}`").isNull() for f in fields]))
 
 
-DIGEST = ("n", "low", "high", "mixed")
+DIGEST = ("n", "low", "middle", "high", "mixed")
 
 
 def digest_of(h: Column) -> list[Column]:
-    """Aggregates of a row hash: count, sums of its halves (no overflow below 2**31 rows), xor."""
-    return [F.count(F.lit(1)).alias("n"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"),
-            F.sum(F.shiftrightunsigned(h, 32)).alias("high"), F.bit_xor(h).alias("mixed")]
+    """Aggregates of a row hash: count, sums of its three parts of 21 or 22 bits (which hold 2**41
+    rows), xor."""
+    return [F.count(F.lit(1)).alias("n"), F.sum(h.bitwiseAND(F.lit((1 << 22) - 1))).alias("low"),
+            F.sum(F.shiftrightunsigned(h, 22).bitwiseAND(F.lit((1 << 21) - 1))).alias("middle"),
+            F.sum(F.shiftrightunsigned(h, 43)).alias("high"), F.bit_xor(h).alias("mixed")]
 
 
 def combined() -> list[Column]:
     """The same of rows of digests."""
-    return [F.sum("n").alias("n"), F.sum("low").alias("low"), F.sum("high").alias("high"), F.bit_xor("mixed").alias("mixed")]
+    return [*[F.sum(c).alias(c) for c in ("n", "low", "middle", "high")], F.bit_xor("mixed").alias("mixed")]
 
 
 def partition_digests(df: DataFrame, partition_cols: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -134,7 +136,7 @@ def _with_file(spark: SparkSession, path: str, files: Sequence[str], schema: T.S
 
 def file_digests(spark: SparkSession, lake_root: str, table: str, path: str, files: Sequence[str], schema: T.StructType,
                  columns: Sequence[str]) -> DataFrame:
-    """(file, n, low, high, mixed) of each of the table's ``files`` over ``columns``. Files without
+    """(file and its digest) of each of the table's ``files`` over ``columns``. Files without
     a stored digest of these columns are read, and theirs stored."""
     tag = ", ".join(f"{c}: {schema[c].dataType.simpleString()}" for c in sorted(columns))
     store = facts(spark, lake_root, table, "digests")
