@@ -19,9 +19,9 @@ from .parity_join import ngram_components
 from .page_diff import extract_text
 from .quality_trees import COUNTS, quality_rules, train
 from .range_coder import read_ids, write_ids
-from .spherical_caps import near_vectors
+from .spherical_caps import THRESHOLD, near_vectors
 from .storage import shared_folder
-from .suffix_merge import remove_long_repeats
+from .suffix_merge import LENGTH, remove_long_repeats
 from .url_rules import LOWER, PATTERN_RULES, UPPER, host_rule, judge_urls
 from .warc import read_warc, write_warc
 from .whitening import fit_whitening, identity_error, whiten
@@ -205,7 +205,69 @@ folded AS (SELECT *, list_reduce(list_prepend(struct_pack(l := held, r := ''), p
 SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s.l || s.r), '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM folded"""
 
 
+# What separates words, and the digits of base32.
+_WORD = r"[^\x20\x09-\x0D]+"
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
+def _reached(ids: str, links: str) -> str:
+    """A table ``reached`` (id, component_id): the smallest id that links lead to, itself included."""
+    return f"""walk AS (SELECT id, id AS other FROM {ids} UNION SELECT w.id, l.b FROM walk w JOIN {links} l ON w.other = l.a),
+reached AS (SELECT id, min(other) AS component_id FROM walk GROUP BY id)"""
+
+
+def _op1_sql() -> str:
+    sound = "list_bool_and(list_transform(embedding, lambda x: COALESCE(isfinite(x), false))) AND list_bool_or(list_transform(embedding, lambda x: COALESCE(x <> 0, false)))"
+    return f"""WITH RECURSIVE given AS MATERIALIZED (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE {sound}),
+links AS MATERIALIZED (SELECT x.id AS a, y.id AS b FROM given x JOIN given y ON x.id <> y.id WHERE list_cosine_similarity(x.v, y.v) >= {THRESHOLD}),
+{_reached("given", "links")}
+SELECT vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, COALESCE(r.component_id, vec_id) AS component_id,
+       COALESCE(r.component_id, vec_id) = vec_id AS kept FROM embeddings e LEFT JOIN reached r ON r.id = e.vec_id"""
+
+
+def _op4_sql() -> str:
+    # A digest's 40 hexadecimal digits, five of them to four of base32.
+    digit = lambda shift: f"substr('{_BASE32}', CAST(n >> {shift} & 31 AS INTEGER) + 1, 1)"
+    digits = " || ".join(digit(shift) for shift in (15, 10, 5, 0))
+    base32 = f"array_to_string(list_transform(list_transform(range(8), lambda i: CAST('0x' || substr(digest, CAST(i * 5 + 1 AS INTEGER), 5) AS BIGINT)), lambda n: {digits}), '')"
+    return f"""WITH held AS (SELECT page_id, COALESCE(html, '') AS payload FROM pages),
+firsts AS (SELECT *, sha1(payload) AS digest, min(page_id) OVER (PARTITION BY payload) AS first FROM held)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, {base32} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM firsts"""
+
+
+def _op8_sql() -> str:
+    return f"""WITH RECURSIVE split AS (SELECT doc_id AS id, regexp_extract_all(translate(COALESCE(text, ''), '{UPPER}', '{LOWER}'), '{_WORD}') AS w FROM documents),
+sets AS MATERIALIZED (SELECT id, list_distinct(list_transform(range(1, greatest(len(w) - 3, CAST(len(w) > 0 AS INTEGER) + 1)),
+  lambda i: array_to_string(w[i : i + 4], ' '))) AS s FROM split),
+members AS (SELECT id, len(s) AS n, unnest(s) AS shingle FROM sets),
+common AS (SELECT x.id AS a, y.id AS b, count(*) AS shared, any_value(x.n + y.n) AS total FROM members x JOIN members y ON x.shingle = y.shingle AND x.id <> y.id GROUP BY x.id, y.id),
+links AS MATERIALIZED (SELECT a, b FROM common WHERE 100 * shared >= 80 * (total - shared)),
+{_reached("sets", "links")}
+SELECT id AS doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM sets JOIN reached USING (id)"""
+
+
+def _op12_sql() -> str:
+    # Texts as hexadecimal digits, two a byte; windows by their 128-bit digests.
+    return f"""WITH texts AS MATERIALIZED (SELECT doc_id, strlen(COALESCE(text, '')) AS n, hex(encode(COALESCE(text, ''))) AS digits FROM documents),
+starts AS (SELECT doc_id, digits, unnest(range(n - {LENGTH - 1})) AS i FROM texts WHERE n >= {LENGTH}),
+windows AS MATERIALIZED (SELECT doc_id, i, md5_number(substr(digits, CAST(2 * i + 1 AS BIGINT), {2 * LENGTH})) AS digest FROM starts),
+repeats AS (SELECT doc_id, i FROM windows WHERE digest IN (SELECT digest FROM windows GROUP BY digest HAVING count(*) > 1)),
+steps AS (SELECT *, COALESCE(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > {LENGTH}, true) AS fresh FROM repeats),
+runs AS (SELECT *, count(*) FILTER (fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM steps),
+spans AS (SELECT doc_id, min(i) AS first, max(i) + {LENGTH} AS past FROM runs GROUP BY doc_id, run),
+edges AS (SELECT doc_id, first, past, true AS span FROM spans UNION ALL SELECT doc_id, n, n, false FROM texts),
+gaps AS (SELECT *, COALESCE(lag(past) OVER (PARTITION BY doc_id ORDER BY first, span DESC), 0) AS since FROM edges)
+SELECT doc_id, any_value(n) AS n_bytes, CAST(COALESCE(sum(past - first), 0) AS BIGINT) AS n_removed, count(*) FILTER (span) AS n_spans,
+       sha256(unhex(string_agg(substr(digits, CAST(2 * since + 1 AS BIGINT), CAST(2 * (first - since) AS BIGINT)), '' ORDER BY first, span DESC))) AS kept_sha256
+FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id"""
+
+
 ORACLES: dict[str, str] = {
+    "op1_spherical_caps": _op1_sql(),
     "op3_url_rules": _op3_sql(),
+    "op4_warc": _op4_sql(),
+    "op8_parity_join": _op8_sql(),
+    "op12_suffix_merge": _op12_sql(),
     "op13_merkle_manifest": _op13_sql(),
 }
