@@ -71,7 +71,7 @@ from tidewater.operators.quality import (
 )
 from tidewater.operators.staging import materialise
 from tidewater.plans import cli
-from tidewater.plans.checks import dq_unique_changed
+from tidewater.plans.checks import dq_foreign_key_changed, dq_unique_changed
 from tidewater.plans.compaction import compact_table
 from tidewater.plans.context import EngineContext
 from tidewater.plans.evolution import read_table
@@ -609,6 +609,20 @@ def q_dq_unique_changed(spark, sf_dir):
     return dq_unique_changed(ctx, "events", ["event_id"], [(2024, 1, 30)])
 
 
+def q_dq_foreign_key_changed(spark, sf_dir):
+    # The customers of a nation left, and a month's orders came again for customers that don't exist; the
+    # check reads that month, the keys that left, and the files that may hold either.
+    ctx = _lake_ctx(spark, "references-changed", ParquetSource(spark, sf_dir), {**TESTDATA_TABLES, "customer": TableSpec("customer", ("c_custkey",))})
+    refresh_table(ctx, "orders")
+    refresh_table(ctx, "customer")
+    customers = _t(spark, sf_dir, "customer")
+    ctx.source = FrameSource({"customer": customers.where(F.col("c_nationkey") != 7)})
+    refresh_table(ctx, "customer")
+    month = _t(spark, sf_dir, "orders").where((F.year("o_orderdate") == 1996) & (F.month("o_orderdate") == 2))
+    append_changes(ctx, "orders", month.withColumns({"o_orderkey": -F.col("o_orderkey"), "o_custkey": -F.col("o_custkey")}))
+    return dq_foreign_key_changed(ctx, "orders", "customer", ["o_custkey"], ["c_custkey"], [(1996, 2)], removed=customers.where(F.col("c_nationkey") == 7))
+
+
 def q_job_entry(spark, sf_dir):
     # The command line over files: a refresh of orders, and an insert of events run twice.
     lake = scratch_path(spark, "lake", "job-entry")
@@ -870,6 +884,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_ranges": q_partition_ranges,
     "job_entry": q_job_entry,
     "dq_unique_changed": q_dq_unique_changed,
+    "dq_foreign_key_changed": q_dq_foreign_key_changed,
     "compact_table": q_compact_table,
     "write_clustered": q_write_clustered,
     "evolve_columns": q_evolve_columns,
@@ -1060,6 +1075,9 @@ eff AS (SELECT * REPLACE (CASE WHEN event_id % 2 = 0 THEN ts - INTERVAL 1 DAY EL
         SELECT MIN(d) AS first_day, MAX(d) AS last_day, COUNT(*) AS days FROM r GROUP BY island""",
     "dq_unique_changed": """SELECT event_id, COUNT(*) AS n FROM (SELECT event_id FROM events UNION ALL
         SELECT event_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-10') GROUP BY event_id HAVING COUNT(*) > 1""",
+    "dq_foreign_key_changed": """SELECT o_custkey, COUNT(*) AS n_refs FROM (SELECT o_custkey FROM orders UNION ALL
+        SELECT -o_custkey FROM orders WHERE year(o_orderdate) = 1996 AND month(o_orderdate) = 2)
+        WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey <> 7) GROUP BY o_custkey""",
     "job_entry": """SELECT 'events' AS table_name, event_id AS id, CAST(ts AS DATE) AS partition_date FROM events
         WHERE ts > TIMESTAMP '2024-01-12 00:00:00' AND ts < TIMESTAMP '2024-01-18 00:00:00'
         UNION ALL SELECT 'orders', o_orderkey, CAST(o_orderdate AS DATE) FROM orders""",

@@ -263,6 +263,48 @@ def test_unique_check_of_changes_equals_the_full_one(spark, lake_root):
         previous = spark.createDataFrame(got.collect(), "k long, n long")
 
 
+@pytest.mark.parametrize("limit", [1 << 26, 100])
+def test_reference_check_of_changes_equals_the_full_one(spark, lake_root, limit):
+    from tidewater.operators.quality import dq_missing_references
+    from tidewater.plans.checks import dq_foreign_key_changed
+    from tidewater.plans.jobs import append_changes
+
+    rng = random.Random(7)
+    children = "k long, ref long, created_at timestamp_ntz"
+    parents = list(range(0, 40))
+    specs = {"c": TableSpec("c", ("k",), created_column="created_at"), "p": TableSpec("p", ("id",)), "u": TableSpec("u", ("k",))}
+    held = [(i, i % 50 if i % 9 else None, D0 + dt.timedelta(days=i % 10)) for i in range(200)]
+    frame = lambda ids: spark.createDataFrame([(i, "x") for i in [*ids, None]], "id int, v string")
+    ctx = EngineContext(spark, FrameSource({"c": spark.createDataFrame(held, children), "u": spark.createDataFrame(held, children), "p": frame(parents)}),
+                        lake_root, specs, broadcast_limit=limit)
+    for name in specs:
+        refresh_table(ctx, name)
+
+    def full(child="c"):
+        return dq_missing_references(lake_scan(spark, f"{lake_root}/{child}"), lake_scan(spark, f"{lake_root}/p"), ["ref"], ["id"])
+
+    assert rows(dq_foreign_key_changed(ctx, "u", "p", ["ref"], ["id"]), "ref", "n_refs") == rows(full("u"), "ref", "n_refs")
+    previous = full()
+    assert {r["ref"] for r in previous.collect()} == set(range(40, 50))
+    for step in range(4):
+        removed, parts = None, []
+        if step != 1:  # new references: known ones, unknown ones, none, and one that the parent's type can't hold
+            day = D0 + dt.timedelta(days=rng.randint(0, 12))
+            added = [(1000 * (step + 1) + i, r, day) for i, r in enumerate([3, 45, 77 + step, None, 1 << 40, *rng.sample(range(60), 3)])]
+            append_changes(ctx, "c", spark.createDataFrame(added, children))
+            parts = [(day.year, day.month, day.day)]
+        if step:  # parents come and go
+            gone = rng.sample(parents, 4)
+            parents = [p for p in parents if p not in gone] + [40 + step, 500 + step]
+            removed = frame([*gone, *rng.sample(parents, 2)])
+            ctx.source = FrameSource({"p": frame(parents)})
+            refresh_table(ctx, "p")
+        got = dq_foreign_key_changed(ctx, "c", "p", ["ref"], ["id"], parts, removed, previous)
+        assert rows(got, "ref", "n_refs") == rows(full(), "ref", "n_refs")
+        previous = spark.createDataFrame(got.collect(), "ref long, n_refs long")
+    assert dq_foreign_key_changed(ctx, "c", "p", ["ref"], ["id"]).isEmpty()  # nothing changed, nothing was missing
+
+
 def test_ranges_of_equal_weight(spark):
     from tidewater.sources.jdbc import range_predicates, split_points
 
