@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from tidewater.llm.page_diff import FURNITURE, common_lines, extract_text, page_lines
+from tidewater.llm.page_diff import FURNITURE, _repeated, common_lines, extract_text, page_lines
 from tidewater.llm.quality_trees import COUNTS, FEATURES, fit, quality_rules, statistics, train
 from tidewater.llm.storage import shared_folder
 
@@ -196,3 +196,79 @@ def test_closed_svg_and_forms_around_pages(spark):
     pages += [("http://alone.org/", "<div>Welcome</div><h1>Storm hits</h1><article><p>Story</p></article><p>End.</p><div>Rights</div>")]
     got = texts(spark, pages)
     assert [got[i] for i in range(5)] == [f"Own {i} text" for i in range(5)] and got[5] == "Storm hits Story End."
+
+
+def test_compound_names_are_furniture_beside_text():
+    for html in ('<p>Text</p><div class="comment-list"><p>Nice!</p></div><div class="site-footer">Us</div>', '<div id=main_nav>Home</div><p>Text</p><ul class="post-comments"><li>A<li>B</ul>',
+                 '<div class="ad-page"><p>Text</p></div>', '<div class="ad-free"><p>Text</p></div>', '<div class="comment-page"><div class="sidebar-left">S</div><article>Text</article></div>'):
+        assert [x for x in main_lines(html) if x != "S"] == ["Text"], html
+
+
+def test_near_copies_without_article_keep_their_paragraphs(spark):
+    page = "<div>Menu</div>" + "".join(f"<p>Paragraph {i} of a long report, the same in all editions</p>" for i in range(9)) + "<p>Edition {0}</p><div>Imprint</div>"
+    short = "<div>Menu</div><p>Subscribe</p><p>Own text {0} which is much longer than what the pages have in common</p>"
+    pages = [(f"http://editions.org/{i}", page.format(i)) for i in range(5)] + [(f"http://short.org/{i}", short.format(i)) for i in range(3)]
+    got = texts(spark, pages)
+    report = " ".join(f"Paragraph {i} of a long report, the same in all editions" for i in range(9))
+    assert [got[i] for i in range(5)] == [f"{report} Edition {i}" for i in range(5)]
+    assert [got[5 + i] for i in range(3)] == [f"Own text {i} which is much longer than what the pages have in common" for i in range(3)]
+
+
+def test_lines_are_counted_by_what_removes_them(spark):
+    page = "<nav>Home</nav><div>Site</div><p>Own text {0}</p><div class=comments>Nice {0}</div><footer>Us</footer>"
+    pages = [(i, f"http://h.org/{i}", page.format(i)) for i in range(4)] + [(4, "http://h.org/0?x", page.format(0).replace("Home", "Start")), (5, "http://one.org/", page.format(5)), (6, None, None)]
+    out = extract_text(spark.createDataFrame(pages, "page_id long, url string, html string"), shared_folder(spark, "test")).collect()
+    got = {r.page_id: (r.text, r.n_lines, r.n_shared, r.n_marked) for r in out}
+    assert all(got[i] == (f"Own text {i}", 5, 3, 1) for i in range(1, 4)) and got[6] == ("", 0, 0, 0)
+    assert got[5] == ("Site Own text 5", 5, 0, 3)
+    # Copies with other furniture: only what their one representative shares is shared.
+    assert got[0][0] == got[4][0] == "Own text 0" and {got[0][2:], got[4][2:]} <= {(3, 1), (2, 2)}
+
+
+def test_rules_of_a_run_equal_brute_force():
+    rng = random.Random(9)
+
+    def weight(page, keep):
+        return sum(size for line, size, kind in page if keep(line, kind))
+
+    def brute_run(run):
+        out = []
+        for i, page in enumerate(run):
+            held = [{line for line, _, _ in other} for other in run]
+
+            def alike(a, b, which):
+                both = weight(run[a], lambda line, kind: line in held[b] and which(kind))
+                return both > 0 and both >= 3 * weight(run[a], lambda line, kind: line not in held[b] and kind & 3 != FURNITURE)
+
+            gone, told = set(), set()
+            for j in {i - 1, i + 1} & set(range(len(run))):
+                same = alike(i, j, lambda k: k == 16) or alike(j, i, lambda k: k == 16)
+                gone |= {line for line, _, kind in page if line in held[j] and (kind == 0 or kind == 16 and not same)}
+                told |= {line for line, _, kind in page if line in held[j] and kind == FURNITURE}
+            rest = [j for j in range(len(run)) if j != i and not alike(i, j, lambda k: k & 3 == 1) and not alike(j, i, lambda k: k & 3 == 1)]
+            inside = [(line, kind) for line, _, kind in page if kind & 3 == 1]
+            common = {line for line, _ in inside if rest and len(rest) >= min(2, len(run) - 1) and all(line in held[j] for j in rest)}
+            stretches = []  # the lines of each article
+            for line, kind in inside:
+                if kind & 8 or not stretches:
+                    stretches.append((bool(kind & 8), []))
+                stretches[-1][1].append(line)
+                if kind & 4 and line in common:
+                    gone.add(line)
+            for begun, lines in stretches:
+                for side in ([lines] if begun else []) + [lines[::-1]]:
+                    for line in side:
+                        if line not in common:
+                            break
+                        gone.add(line)
+            own = [line for line, _, kind in page if kind & 3 != FURNITURE]
+            out.append((sorted(own.index(x) for x in gone), sorted(told)))
+        return out
+
+    for _ in range(4000):
+        # Lines stand in one order and once in a page, so a longest common subsequence is what two pages share.
+        kinds = {line: rng.choice((0, 0, 16, 16, 1, 1, 1, 1 | 4, 1 | 8, FURNITURE)) for line in range(14)}
+        run = [[(line, rng.choice((line % 5 + 1,)), kinds[line]) for line in range(14) if rng.random() < rng.choice((0.4, 0.7, 0.95))] for _ in range(rng.randint(2, 7))]
+        run = [page or [(0, 1, kinds[0])] for page in run]
+        given = [([line for line, _, _ in page], [size for _, size, _ in page], bytes(kind for _, _, kind in page)) for page in run]
+        assert _repeated(given) == brute_run(run)

@@ -1,16 +1,17 @@
 """Main text of web pages by differencing pages of neighbouring URLs.
 
 A page is cut into lines, one for each block of markup. Pages of a host stand in the order of
-their URL paths, copies as one page, and neighbours are compared; the lines of a pair are aligned
-by a longest common subsequence. Outside articles a line that a neighbour shares goes. Inside an
-article it goes if all pages of its run (four to seven, if the host has so many) share it, and it
-stands before or after all lines that are the article's own, or is nothing but links: shared
-lines between own ones, like a refrain, can't be told from text. Pages that share most of an
-article are versions of it and tell nothing about lines inside.
-
-Markup is a further hint: elements that only hold furniture go on every page, and on a page
-without neighbours the lines outside its one article that stand in no heading, paragraph or other
-element for text.
+their URL paths, copies as one page, and neighbours are compared; all lines of a pair, whatever their
+markup, are aligned by a longest common subsequence. Outside articles a line that a neighbour shares
+goes. Inside an article it goes if all pages of its run (four to seven, if the host has so many)
+share it, and it stands before or after all lines that are the article's own, or is nothing but
+links: shared lines between own ones, like a refrain, can't be told from text. Pages that share most
+of an article are versions of it and tell nothing about lines inside; pages that share most of their
+paragraphs outside articles tell nothing about these.
+
+Markup is a further hint, for what no neighbour shares: elements that only hold furniture go on every
+page (reader comments differ from page to page), and on a page without neighbours the lines outside
+its one article that stand in no heading, paragraph or other element for text.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,6 +53,7 @@ FURNITURE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertisi
                    "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "popup", "promo", "related", "replies",
                    "reply", "respond", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar",
                    "widget"}
+NOT_FURNITURE = {"closed", "enabled", "free", "has", "is", "no", "not", "off", "on", "open", "with", "without"}  # beside such a word a name tells nothing
 FURNITURE_ROLES = {"alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar", "navigation",
                    "search"}
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -61,7 +64,8 @@ class _Lines(HTMLParser):
     """Collects lines; unclosed elements end with the element around them.
 
     A form, a header outside articles, a class, an id or a role only hints at furniture: such an
-    element gets a mark, which is void once an article or main starts inside it."""
+    element gets a mark, which is void once an article or main starts inside it. Forms' marks and those of
+    compound names (``comment-list``) are void too on a page that would lose all its text by them."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -69,7 +73,7 @@ class _Lines(HTMLParser):
         self.text: list[str] = []
         self.stack: list[tuple[str, int, bool, tuple[int, ...], bool]] = [("", OPEN, False, (), False)]  # element, kind, without text, marks, in a link
         self.marks, self.void, self.articles, self.plain = 0, set(), 0, False
-        self.forms: set[int] = set()  # marks of forms
+        self.unsure: set[int] = set()  # marks of forms and compound names
 
     def flush(self) -> None:
         if self.text:
@@ -83,7 +87,7 @@ class _Lines(HTMLParser):
 
     def lines(self) -> list[tuple[str, int]]:
         if all(kind == FURNITURE or not self.void.issuperset(marks) for _, kind, marks, _, _ in self.found):
-            self.void |= self.forms  # a form around all of a page's text is no part of the page
+            self.void |= self.unsure  # a form around all of a page's text is no part of the page
         out, last = [], 0
         for line, kind, marks, link, article in self.found:
             if not self.void.issuperset(marks):
@@ -109,11 +113,11 @@ class _Lines(HTMLParser):
             new = FURNITURE
         elif tag in ARTICLE_ELEMENTS and kind != FURNITURE:
             self.void.update(marks)
-        elif tag == "form" or tag == "header" and kind == OPEN or self._hinted(tag, attrs):
+        elif (hint := self._hinted(tag, attrs)) or tag == "form" or tag == "header" and kind == OPEN:
             self.marks += 1
             hints = (*marks, self.marks)
-            if tag == "form" and not self._hinted(tag, attrs):
-                self.forms.add(self.marks)
+            if hint == "compound" or tag == "form" and not hint:
+                self.unsure.add(self.marks)
         if new != kind or hints != marks:
             self.flush()
         if new == CONTENT != kind:
@@ -133,15 +137,24 @@ class _Lines(HTMLParser):
         return False
 
     @staticmethod
-    def _hinted(tag, attrs) -> bool:
-        """A whole class name, id or role says that the element is furniture."""
+    def _hinted(tag, attrs) -> str:
+        """Whether a class name, id or role says that the element is furniture: as a "whole", or only its
+        first or last word does, as in ``comment-list`` and ``site-footer``: "compound"."""
         if tag in ("html", "body"):
-            return False
+            return ""
+        hint = ""
         for name, value in attrs:
             value = (value or "").lower()
-            if name in ("class", "id") and not FURNITURE_WORDS.isdisjoint(value.split()) or name == "role" and value in FURNITURE_ROLES:
-                return True
-        return False
+            if name == "role" and value in FURNITURE_ROLES:
+                return "whole"
+            if name in ("class", "id"):
+                for word in value.split():
+                    if word in FURNITURE_WORDS:
+                        return "whole"
+                    parts = re.split("[-_]+", word)
+                    if (parts[0] in FURNITURE_WORDS or parts[-1] in FURNITURE_WORDS) and NOT_FURNITURE.isdisjoint(parts):
+                        hint = "compound"
+        return hint
 
     def _leave_head(self, tag: str) -> None:
         """Ends a title and a head without end tags: a title where a block or another element
@@ -281,22 +294,29 @@ def neighbour_pairs(pages: DataFrame, work: str) -> DataFrame:
         "key", "host", F.least(F.floor(rank / 4), F.greatest(F.floor(F.col("pages") / 4) - 1, F.lit(0))).alias("run"))
 
 
-def _repeated(run: list[tuple[list[int], list[int], bytes]]) -> list[list[int]]:
-    """Of each page (hashes, sizes and kinds of its lines) of a run the numbers of the lines that go."""
+def _repeated(run: list[tuple[list[int], list[int], bytes]]) -> list[tuple[list[int], list[int]]]:
+    """Of each page (hashes, sizes and kinds of its lines) of a run the numbers of the lines that go, not
+    counting furniture, and the hashes of furniture that a neighbour shares."""
     shared: dict[tuple[int, int], set[int]] = {}  # lines of the first page that the second has too
     for i, j in combinations(range(len(run)), 2):
         pairs = common_lines(run[i][0], run[j][0])
         shared[i, j], shared[j, i] = {a for a, _ in pairs}, {b for _, b in pairs}
 
-    def versions(i: int, j: int) -> bool:
+    def alike(i: int, j: int, mask: int, kind: int) -> bool:
+        """Whether page i shares so much of its lines of that kind that j is a version of it."""
         _, sizes, kinds = run[i]
-        both = sum(sizes[x] for x in shared[i, j] if kinds[x] & KIND == CONTENT)
-        return both >= VERSIONS * sum(size for x, size in enumerate(sizes) if x not in shared[i, j]) and both > 0
+        both = sum(sizes[x] for x in shared[i, j] if kinds[x] & mask == kind)
+        return both >= VERSIONS * sum(size for x, size in enumerate(sizes) if x not in shared[i, j] and kinds[x] & KIND != FURNITURE) and both > 0
 
     out = []
-    for i, (_, _, kinds) in enumerate(run):
-        gone = {x for j in (i - 1, i + 1) for x in shared.get((i, j), ()) if kinds[x] & KIND == OPEN}
-        others = [shared[i, j] for j in range(len(run)) if j != i and not versions(i, j) and not versions(j, i)]
+    for i, (hashes, _, kinds) in enumerate(run):
+        gone, told = set(), []
+        for j in (i - 1, i + 1):
+            if (i, j) in shared:
+                paragraphs = alike(i, j, KIND | PROSE, OPEN | PROSE) or alike(j, i, KIND | PROSE, OPEN | PROSE)
+                gone.update(x for x in shared[i, j] if kinds[x] & KIND == OPEN and not (paragraphs and kinds[x] & PROSE))
+                told += [hashes[x] for x in shared[i, j] if kinds[x] & KIND == FURNITURE]
+        others = [shared[i, j] for j in range(len(run)) if j != i and not alike(i, j, KIND, CONTENT) and not alike(j, i, KIND, CONTENT)]
         inside = [x for x, kind in enumerate(kinds) if kind & KIND == CONTENT]
         # Where there are three pages or more, one other page is too little to go by.
         repeated = set.intersection(*others).intersection(inside) if others and len(others) >= min(2, len(run) - 1) else set()
@@ -308,7 +328,8 @@ def _repeated(run: list[tuple[list[int], list[int], bytes]]) -> list[list[int]]:
                 edge = (edge or bool(starts)) and x in repeated
                 if edge:
                     gone.add(x)
-        out.append(sorted(gone))
+        own = np.cumsum([kind & KIND != FURNITURE for kind in kinds]) - 1
+        out.append(([int(own[x]) for x in sorted(gone)], sorted(set(told))))
     return out
 
 
@@ -325,11 +346,11 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, out, last = [], [], None
 
     def close():
-        out.extend((key, salts, gone) for (key, salts, _), gone in zip(held, _repeated([page for _, _, page in held])))
+        out.extend((key, salts, *found) for (key, salts, _), found in zip(held, _repeated([page for _, _, page in held])))
 
     def rows():
-        kinds = (pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64()))
-        batch = pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], names=["key", "salts", "gone"])
+        kinds = (pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()))
+        batch = pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], names=["key", "salts", "gone", "told"])
         out.clear()
         return batch
 
@@ -345,18 +366,19 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _signature(host: str, lines: list[tuple[str, int]]) -> tuple[str, list[int], list[int], bytes]:
-    """The key that pages of a host with equal lines have in common; hashes, sizes and kinds of
-    the lines that are not furniture by their markup."""
-    lines = [(line, kind) for line, kind in lines if kind & KIND != FURNITURE]
+    """The key that pages of a host have in common whose lines are equal but for marked furniture;
+    hashes, sizes and kinds of all lines."""
     digests = [blake2b(line.encode("utf-8", "surrogatepass"), digest_size=8).digest() for line, _ in lines]
-    key = blake2b(b"".join([host.encode("utf-8", "surrogatepass"), b"\0", *digests]), digest_size=16).hexdigest()
+    own = (d for d, (_, kind) in zip(digests, lines) if kind & KIND != FURNITURE)
+    key = blake2b(b"".join([host.encode("utf-8", "surrogatepass"), b"\0", *own]), digest_size=16).hexdigest()
     return key, [int.from_bytes(d, "little", signed=True) for d in digests], [len(line) for line, _ in lines], bytes(kind for _, kind in lines)
 
 
 def extract_text(pages: DataFrame, work: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text: the lines of every page that neither its neighbours nor its markup
-    show to be furniture, joined by one space. ``work`` is a fresh shared folder; another
-    named ``work``-lines is made beside it.
+    show to be furniture, joined by one space; then n_lines, and how many of them went because
+    a neighbour shares them (n_shared) and by markup alone (n_marked). ``work`` is a fresh shared
+    folder; another named ``work``-lines is made beside it.
 
     Pages of a host with equal lines are one page to the others and get one result.
     A null html is empty and gives an empty text; pages with a null url form a host of their
@@ -371,39 +393,53 @@ def extract_text(pages: DataFrame, work: str, id_col: str = "page_id", url_col:
         for batch in batches:
             signed = [_signature(at, page_lines(h)) for at, h in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist())]
             kinds = (pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("host", "path", "salt")), *(pa.array([x[i] for x in signed], k) for i, k in enumerate(kinds))],
-                                             names=["host", "path", "salt", "key", "hashes", "sizes", "kinds"])
+            own = pa.array([any(kind & KIND != FURNITURE for kind in x[3]) for x in signed], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("host", "path", "salt")), *(pa.array([x[i] for x in signed], k) for i, k in enumerate(kinds)), own],
+                                             names=["host", "path", "salt", "key", "hashes", "sizes", "kinds", "own"])
 
     def lines_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            parsed = [page_lines(h) for h in batch.column("html").to_pylist()]
-            keys = pa.array([_signature(at, page)[0] for at, page in zip(batch.column("host").to_pylist(), parsed)], pa.string())
-            open_lines = [[(x, k) for x, k in page if k & KIND != FURNITURE] for page in parsed]
-            texts = pa.array([[x for x, _ in page] for page in open_lines], pa.list_(pa.string()))
-            kinds = pa.array([bytes(k for _, k in page) for page in open_lines], pa.binary())
-            yield pa.RecordBatch.from_arrays([keys, *(batch.column(c) for c in ("salt", "page_id", "url")), texts, kinds],
-                                             names=["key", "salt", "page_id", "url", "lines", "kinds"])
+            keys, texts, open_kinds, marked = [], [], [], []
+            for at, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+                page = page_lines(html)
+                key, hashes, _, _ = _signature(at, page)
+                keys.append(key)
+                texts.append(packer.compress("\n".join(x for x, k in page if k & KIND != FURNITURE).encode()))  # a line holds no line end
+                open_kinds.append(bytes(k for _, k in page if k & KIND != FURNITURE))
+                marked.append([h for h, (_, k) in zip(hashes, page) if k & KIND == FURNITURE])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *(batch.column(c) for c in ("salt", "page_id", "url")),
+                                              pa.array(texts, pa.binary()), pa.array(open_kinds, pa.binary()), pa.array(marked, pa.list_(pa.int64()))],
+                                             names=["key", "salt", "page_id", "url", "lines", "kinds", "marked"])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
-            texts = []
-            for lines, kinds, gone in zip(*(batch.column(c).to_pylist() for c in ("lines", "kinds", "gone"))):
-                gone = _alone(kinds) if gone is None else set(gone)
+            texts, counts = [], []
+            for packed, kinds, marked, gone, told in zip(*(batch.column(c).to_pylist() for c in ("lines", "kinds", "marked", "gone", "told"))):
+                alone = gone is None
+                gone, told = _alone(kinds) if alone else set(gone), set(told or ())
+                lines = unpacker.decompress(packed).decode().split("\n") if kinds else []
                 texts.append(" ".join(line for n, line in enumerate(lines) if n not in gone))
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+                both = sum(h in told for h in marked)
+                counts.append((len(lines) + len(marked), both + len(gone) * (not alone), len(marked) - both + len(gone) * alone))
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), *(pa.array([c[i] for c in counts], pa.int64()) for i in range(3))],
+                                             names=["page_id", "url", "text", "n_lines", "n_shared", "n_marked"])
 
     # One row for the pages of a host with equal lines: copies are no neighbours.
-    signed = rows.select("host", "path", "salt", "html").mapInArrow(sign, "host string, path string, salt int, key string, hashes array<long>, sizes array<int>, kinds binary")
-    signed.where("size(hashes) > 0").groupBy("key").agg(
-        F.min("host").alias("host"), F.min("path").alias("path"), F.any_value("hashes").alias("hashes"), F.any_value("sizes").alias("sizes"), F.max("kinds").alias("kinds"),
-        F.collect_set("salt").alias("salts")).write.parquet(f"{work}-lines")
-    distinct = spark.read.schema("key string, host string, path string, hashes array<long>, sizes array<int>, kinds binary, salts array<int>").parquet(f"{work}-lines")
+    found = "hashes array<long>, sizes array<int>, kinds binary"
+    signed = rows.select("host", "path", "salt", "html").mapInArrow(sign, f"host string, path string, salt int, key string, {found}, own boolean")
+    signed.where("own").groupBy("key").agg(
+        F.min("host").alias("host"), F.min("path").alias("path"), F.max(F.struct("kinds", "sizes", "hashes")).alias("found"),
+        F.collect_set("salt").alias("salts")).select("key", "host", "path", "found.hashes", "found.sizes", "found.kinds", "salts").write.parquet(f"{work}-lines")
+    distinct = spark.read.schema(f"key string, host string, path string, {found}, salts array<int>").parquet(f"{work}-lines")
     pairs = neighbour_pairs(distinct.select("key", "host", "path"), work)
     # A run's rows are hashed to one partition and stand side by side in it.
     compared = pairs.join(distinct.drop("host"), "key").repartition("host", "run").sortWithinPartitions("host", "run", "path", "key") \
-        .select("host", "run", "key", "salts", "hashes", "sizes", "kinds").mapInArrow(_compare, "key string, salts array<int>, gone array<long>")
+        .select("host", "run", "key", "salts", "hashes", "sizes", "kinds").mapInArrow(_compare, "key string, salts array<int>, gone array<long>, told array<long>")
     id_type = rows.schema["page_id"].dataType.simpleString()
     lined = rows.select("host", "salt", "page_id", "url", "html").mapInArrow(
-        lines_of, f"key string, salt int, page_id {id_type}, url string, lines array<string>, kinds binary")
-    return lined.join(compared.select("key", F.explode("salts").alias("salt"), "gone"), ["key", "salt"], "left").select("page_id", "url", "lines", "kinds", "gone") \
-        .mapInArrow(finish, f"page_id {id_type}, url string, text string")
+        lines_of, f"key string, salt int, page_id {id_type}, url string, lines binary, kinds binary, marked array<long>")
+    return lined.join(compared.select("key", F.explode("salts").alias("salt"), "gone", "told"), ["key", "salt"], "left") \
+        .select("page_id", "url", "lines", "kinds", "marked", "gone", "told") \
+        .mapInArrow(finish, f"page_id {id_type}, url string, text string, n_lines long, n_shared long, n_marked long")

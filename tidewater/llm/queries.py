@@ -85,7 +85,7 @@ def op6_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = extract_text(table(spark, sf_dir, "pages"), shared_folder(spark, "pages"))
-    return texts.withColumn("n_chars", F.length("text").cast("long"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_lines", "n_shared", "n_marked")
 
 
 def op8_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
