@@ -32,6 +32,19 @@ def test_many_lanes_and_compression():
     assert (decode_ids(code, len(ids), 50257) == ids).all() and len(code) < len(ids) * 0.8
 
 
+def test_a_whole_block_of_words():
+    rng = np.random.default_rng(4)
+    words = rng.integers(0, 50257, (5000, 4)).astype(np.uint32)
+    ids = words[rng.zipf(1.2, 600_000) % 5000].ravel()
+    ids = ids[: 8192 * 256 + 5000]
+    code = encode_ids(ids, 50257)
+    shares = np.bincount(ids) / len(ids)
+    entropy = -(shares[shares > 0] * np.log2(shares[shares > 0])).sum()
+    assert (decode_ids(code, len(ids), 50257) == ids).all() and len(code) * 8 < len(ids) * entropy * 0.6
+    with pytest.raises(ValueError):
+        encode_ids(np.array([1 << 28], np.uint32), (1 << 28) + 1)
+
+
 def test_blocks_are_checked_and_read_alone():
     ids = np.arange(1000, dtype=np.uint32) % 37
     one, two = write_block(ids, [5, None], [400, 600], True), write_block(ids[:10], [7], [10], False)

@@ -5,8 +5,8 @@ one range coder a lane and one model for the block. The model predicts an id fro
 ids (order 2), one from the last id (order 1), and a distribution over all ids (order 0). Their
 shares of the next id's probability are mixed by weights that adapt to how often predictions
 of such confidence were right; the mixed distribution drives the coder. Every block starts with
-a fresh model and carries checksums of its bytes and of its ids, so it can be read alone. All
-arithmetic is in integers: a file reads the same on any machine.
+a fresh model and carries checksums of its bytes and of its ids, so it can be read alone. A
+file reads the same on any machine: arithmetic is in integers, or in doubles that are exact.
 """
 
 from __future__ import annotations
@@ -26,10 +26,10 @@ from .storage import finished_file
 from .tokens import encoder, passes
 
 MAGIC = b"TIDEIDS1"
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 22
 FILE_BYTES = 32 << 20
 _LANE = 256
-_MOST_LANES = 4096
+_MOST_LANES = 8192
 _SLOTS = 18  # bits of an order-2 slot number
 _TURNS = 8  # steps between two builds of the order-0 table
 _GAIN = 32
@@ -38,16 +38,20 @@ _LOW, _WORD, _FULL = _U(0xFFFFFFFF), _U(0xFFFF), _U((1 << 48) - 1)
 
 
 class Model:
-    """Predictions and their weights; encoder and decoder feed it the same ids in step."""
+    """Predictions and their weights; encoder and decoder feed it the same ids in step.
+
+    A prediction is an id and its confidence, packed: id * 16 + confidence.
+    """
 
     def __init__(self, lanes: int, alphabet: int):
-        self.ids2, self.sure2 = np.full(1 << _SLOTS, -1, np.int32), np.zeros(1 << _SLOTS, np.uint8)
-        self.ids1, self.sure1 = np.full(alphabet, -1, np.int32), np.zeros(alphabet, np.uint8)
-        self.last1, self.last2 = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+        if alphabet > 1 << 27:
+            raise ValueError("ids must be below 2**27")
+        self.table2, self.table1 = np.full(1 << _SLOTS, -16, np.int32), np.full(alphabet, -16, np.int32)
+        self.last1, self.last2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.freq = np.ones(alphabet, np.int64)
         self.hits = np.tile(np.array([2, 1, 2], np.int64), (512, 1))
         # Confidence after a miss (first 16) and after a hit.
-        self.next_sure = np.array([max(c // 2, 1) for c in range(16)] + [min(c + 1, 15) for c in range(16)], np.uint8)
+        self.next_sure = np.array([max(c // 2, 1) for c in range(16)] + [min(c + 1, 15) for c in range(16)], np.int32)
         self.turn = 0
         self._order0()
         self._weights()
@@ -57,6 +61,7 @@ class Model:
             self.freq = (self.freq + 1) // 2
         self.below = np.concatenate([[0], np.cumsum(self.freq)])
         self.built, self.begin = self.freq.astype(_U), self.below.astype(_U)
+        self.edges = self.below[1:].astype(np.int32)
         self.total = self.begin[-1]
 
     def _weights(self) -> None:
@@ -68,25 +73,22 @@ class Model:
 
     def freq_of(self, ids: np.ndarray) -> np.ndarray:
         """Shares in the order-0 table as it was last built."""
-        return self.built[ids]
+        return self.built.take(ids)
 
     def predict(self, n: int) -> None:
         """Predictions for the first ``n`` lanes and the weights that go with them."""
         self.n = n
-        p1, p2 = self.last1[:n], self.last2[:n]
-        self.slot = ((p1.astype(np.uint32) * np.uint32(0x9E3779B1)) ^ (p2.astype(np.uint32) * np.uint32(0x85EBCA6B) + np.uint32(1))) \
-            * np.uint32(0x2C1B3C6D) >> np.uint32(32 - _SLOTS)
-        self.guess2, self.c2 = self.ids2[self.slot], self.sure2[self.slot]
-        self.guess1, self.c1 = self.ids1[p1], self.sure1[p1]
-        kind = (self.c2.astype(np.int64) << 5) | (self.c1.astype(np.int64) << 1) | (self.guess1 == self.guess2)
-        self.row = 3 * kind
+        self.context = self.last1[:n]
+        self.slot = ((self.context * 0x9E3779B1 + self.last2[:n] * 0x85EBCA6B + 1) * 0x2C1B3C6D & 0xFFFFFFFF) >> 32 - _SLOTS
+        two, one = self.table2.take(self.slot), self.table1.take(self.context)
+        self.guess2, self.c2, self.guess1, self.c1 = two >> 4, two & 15, one >> 4, one & 15
+        self.row = 3 * (self.c2 << 5 | self.c1 << 1 | (self.guess1 == self.guess2))
 
     def update(self, ids: np.ndarray, which: np.ndarray, literal: np.ndarray) -> None:
         n = self.n
-        for table, sure, at, guess, c in ((self.ids2, self.sure2, self.slot, self.guess2, self.c2), (self.ids1, self.sure1, self.last1[:n], self.guess1, self.c1)):
+        for table, at, guess, c in ((self.table2, self.slot, self.guess2, self.c2), (self.table1, self.context, self.guess1, self.c1)):
             hit = guess == ids
-            table[at] = np.where(hit | (c > 1), guess, ids)
-            sure[at] = self.next_sure[c + (hit.astype(np.uint8) << 4)]
+            table[at] = np.where(hit | (c > 1), guess, ids) << 4 | self.next_sure.take(c + (hit.astype(np.int32) << 4))
         hits = self.hits.reshape(-1)
         hits += 4 * np.bincount(self.row + which, minlength=len(hits))
         if self.turn % 32 == 31:
@@ -122,7 +124,9 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> bytes:
     ids = ids.astype(np.int32)
     model = Model(lanes, alphabet)
     low, size = np.zeros(lanes, _U), np.full(lanes, 1 << 48, _U)
-    words, at = np.zeros((lanes, 3 * steps + 4), np.uint16), np.zeros(lanes, np.int64)
+    width = 3 * steps + 4
+    words, first = np.zeros(lanes * width, np.uint16), np.arange(lanes) * width
+    at = first.copy()
 
     def narrow(lane, unit, start, share):
         """Goes to the part of the interval; whole words of it go out."""
@@ -132,18 +136,18 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> bytes:
             lo[over] &= _FULL
             k = over if isinstance(lane, slice) else lane[over]
             j = at[k] - 1
-            while len(k):
-                words[k, j] += np.uint16(1)
-                wrapped = words[k, j] == 0
-                k, j = k[wrapped], j[wrapped] - 1
+            while len(j):
+                words[j] += np.uint16(1)
+                j = j[words[j] == 0] - 1
         while True:
             short = np.flatnonzero(sz <= _LOW)
             if not len(short):
                 break
-            k = short if isinstance(lane, slice) else lane[short]
-            words[k, at[k]] = (lo[short] >> _U(32)).astype(np.uint16)
-            at[k] += 1
-            lo[short] = (lo[short] & _LOW) << _U(16)
+            k, now = short if isinstance(lane, slice) else lane[short], lo[short]
+            j = at[k]
+            words[j] = now >> _U(32)
+            at[k] = j + 1
+            lo[short] = (now & _LOW) << _U(16)
             sz[short] <<= _U(16)
         low[lane], size[lane] = lo, sz
 
@@ -153,16 +157,17 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> bytes:
         model.predict(live)
         which = np.where(now == model.guess2, 0, np.where(now == model.guess1, 1, 2))
         code = model.row + which
-        narrow(slice(0, live), size[:live] >> _U(16), model.start[code], model.share[code])
+        narrow(slice(0, live), size[:live] >> _U(16), model.start.take(code), model.share.take(code))
         rest = np.flatnonzero(which == 2)
         literal = now[rest]
         if len(rest):
-            narrow(rest, size[rest] // model.total, model.begin[literal], model.freq_of(literal))
+            narrow(rest, size[rest] // model.total, model.begin.take(literal), model.freq_of(literal))
         model.update(now, which, literal)
     for shift in (32, 16, 0):
-        words[np.arange(lanes), at] = (low >> _U(shift) & _WORD).astype(np.uint16)
+        words[at] = low >> _U(shift) & _WORD
         at += 1
-    out = words[np.arange(words.shape[1])[None, :] < at[:, None]]
+    at -= first
+    out = words.reshape(lanes, width)[np.arange(width)[None, :] < at[:, None]]
     return at.astype("<u4").tobytes() + out.astype("<u2").tobytes()
 
 
@@ -171,11 +176,11 @@ def decode_ids(data: bytes, n: int, alphabet: int) -> np.ndarray:
     sizes = _lane_sizes(n, lanes)
     begins = np.cumsum(sizes) - sizes
     counts = np.frombuffer(data, "<u4", lanes).astype(np.int64)
-    words = np.concatenate([np.frombuffer(data, "<u2", offset=4 * lanes).astype(_U), np.zeros(4, _U)])
+    words = np.concatenate([np.frombuffer(data, "<u2", offset=4 * lanes), np.zeros(4, np.uint16)])
     at = np.cumsum(counts) - counts
     if int(counts.sum()) + 4 != len(words):
         raise ValueError("a block's lanes don't add up")
-    code = words[at] << _U(32) | words[at + 1] << _U(16) | words[at + 2]
+    code = words[at].astype(_U) << _U(32) | words[at + 1].astype(_U) << _U(16) | words[at + 2]
     at += 3
     size = np.full(lanes, 1 << 48, _U)
     model = Model(lanes, alphabet)
@@ -188,8 +193,9 @@ def decode_ids(data: bytes, n: int, alphabet: int) -> np.ndarray:
             if not len(short):
                 break
             k = short if isinstance(lane, slice) else lane[short]
-            co[short] = co[short] << _U(16) | words[np.minimum(at[k], len(words) - 1)]
-            at[k] += 1
+            j = at[k]
+            co[short] = co[short] << _U(16) | words.take(j, mode="clip")
+            at[k] = j + 1
             sz[short] <<= _U(16)
         code[lane], size[lane] = co, sz
 
@@ -198,18 +204,19 @@ def decode_ids(data: bytes, n: int, alphabet: int) -> np.ndarray:
         model.predict(live)
         lane = slice(0, live)
         unit = size[lane] >> _U(16)
-        value = code[lane] // unit
-        which = (value >= model.start[model.row + 1]).astype(np.int64) + (value >= model.start[model.row + 2])
+        coded = code[lane]
+        which = (coded >= unit * model.start.take(model.row + 1)).astype(np.int64) + (coded >= unit * model.start.take(model.row + 2))
         choice = model.row + which
-        narrow(lane, unit, model.start[choice], model.share[choice])
+        narrow(lane, unit, model.start.take(choice), model.share.take(choice))
         now = np.where(which == 0, model.guess2, model.guess1)
         rest = np.flatnonzero(which == 2)
         literal = now[:0]
         if len(rest):
             unit = size[rest] // model.total
-            value = np.minimum(code[rest] // unit, model.total - _U(1)).astype(np.int64)
-            literal = (np.searchsorted(model.below, value, side="right") - 1).astype(np.int32)
-            narrow(rest, unit, model.begin[literal], model.freq_of(literal))
+            # Both are below 2**48, so the double nearest to their quotient has its whole part.
+            value = np.minimum((code[rest].view(np.int64) / unit.view(np.int64)).astype(np.int32), np.int32(model.total - _U(1)))
+            literal = np.searchsorted(model.edges, value, side="right").astype(np.int32)
+            narrow(rest, unit, model.begin.take(literal), model.freq_of(literal))
             now[rest] = literal
         model.update(now, which, literal)
         out[begins[:live] + step] = now
@@ -350,8 +357,12 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
                         names=["name", "doc_id", "place", "ids"])
 
     manifest = spark.read.schema("name string, ids long, documents long").parquet(f"{folder}/_manifest")
-    # One row per file; the rows of one window are as many as there are files.
-    before = manifest.select("name", F.coalesce(F.sum("ids").over(Window.orderBy("name").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    # Files of a task are in one window, then a row per task.
+    named = manifest.withColumn("part", F.substring_index("name", "-", 2))
+    inside, among = Window.partitionBy("part").orderBy("name"), Window.orderBy("part")
+    until = lambda w: F.coalesce(F.sum("ids").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = named.groupBy("part").agg(F.sum("ids").alias("ids")).select("part", until(among).alias("earlier"))
+    before = named.select("part", "name", until(inside).alias("within")).join(parts, "part").select("name", (F.col("within") + F.col("earlier")).alias("before"))
     files = spark.read.format("binaryFile").load(f"{folder}/*.tid").select("path", "content")
     found = files.mapInArrow(run, "name string, doc_id long, place long, ids binary")
     return found.join(before, "name").select("doc_id", (F.col("place") + F.col("before")).alias("start"), "ids")
