@@ -118,7 +118,8 @@ class BpeEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.row: dict[int, int] = {}
+        # Hashes of the words met, in order, and their rows: most of them, and those met of late.
+        self.known = [(np.zeros(0, np.uint64), np.zeros(0, np.int64)) for _ in range(2)]
         self.flat = np.zeros(0, np.uint32)
         self.at = np.zeros(1, np.int64)
 
@@ -151,14 +152,20 @@ class BpeEncoder:
 
     def _rows(self, joined: str, edges: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """The table row of each word; words not met before are encoded and added."""
-        if len(self.row) > _CACHED_WORDS:
+        if len(self.at) > _CACHED_WORDS:
             self._forget()
         codes, distinct = pd.factorize(hashes)
         place = np.empty(len(distinct), np.int64)
         place[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-        keys = distinct.tolist()
-        get = self.row.get
-        rows = np.fromiter((get(k, -1) for k in keys), np.int64, len(keys))
+        order = np.argsort(distinct)
+        sought, found = distinct[order], np.full(len(distinct), -1, np.int64)
+        for keys, held in self.known:
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, sought), len(keys) - 1)
+                hit = keys[at] == sought
+                found[hit] = held[at[hit]]
+        rows = np.empty(len(distinct), np.int64)
+        rows[order] = found
         new = np.flatnonzero(rows < 0)
         if len(new):
             s, e = edges[place[new]].tolist(), edges[place[new] + 1].tolist()
@@ -170,8 +177,10 @@ class BpeEncoder:
                     ids, counts = self.encode_words(part)
                     self.flat = np.concatenate([self.flat, ids])
                     self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(counts)])
-            rows[new] = np.arange(len(self.row), len(self.row) + len(new))
-            self.row.update(zip((keys[i] for i in new.tolist()), rows[new].tolist()))
+            rows[new] = np.arange(len(self.at) - 1 - len(new), len(self.at) - 1)
+            self.known[1] = _merged(self.known[1], (distinct[new], rows[new]))
+            if 8 * len(self.known[1][0]) > len(self.known[0][0]):
+                self.known = [_merged(*self.known), (np.zeros(0, np.uint64), np.zeros(0, np.int64))]
         return rows[codes]
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -221,10 +230,22 @@ def gather(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.nda
     return values[shift + np.arange(total)]
 
 
+def _merged(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    keys, rows = np.concatenate([one[0], two[0]]), np.concatenate([one[1], two[1]])
+    order = np.argsort(keys, kind="stable")
+    return keys[order], rows[order]
+
+
+@lru_cache(maxsize=1)
+def _scrambled() -> np.ndarray:
+    """Every code point scrambled."""
+    return mix64(np.arange(1, 0x110001, dtype=np.uint64))
+
+
 def _hashes(codes: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each word: a polynomial over scrambled code points, then scrambled."""
     up, down = _powers()
-    values = mix64(codes.astype(np.uint64) + np.uint64(1))
+    values = _scrambled().take(codes)
     if len(codes) < len(up):
         sums = np.concatenate([[np.uint64(0)], np.cumsum(values * up[: len(codes)])])
         return mix64((sums[edges[1:]] - sums[edges[:-1]]) * down[edges[:-1]])
