@@ -70,3 +70,17 @@ def test_upsert_without_broadcast_matches_oracle(spark, duck, spec_name):
     name = "update_table" if spec_name == "EVENTS_SPEC" else "update_moving_rows"
     cur = duck.execute(E.oracle_sql()[name])
     assert got == rows_of([c[0] for c in cur.description], cur.fetchall())
+
+
+def test_foreign_key_orders_looks_at_all_customers(spark, tmp_path):
+    """An order refers to nobody only if no customer at all has its number, whatever the segment."""
+    spark.createDataFrame([(1, "BUILDING"), (2, "MACHINERY"), (3, None)], "c_custkey long, c_mktsegment string") \
+        .write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(10, 1), (11, 2), (12, 3), (13, 4), (14, 4)], "o_orderkey long, o_custkey long") \
+        .write.parquet(f"{tmp_path}/orders.parquet")
+    got = E.queries()["dq_foreign_key_orders"](spark, str(tmp_path)).select("o_orderkey", "o_custkey")
+    con = duckdb.connect()
+    for t in ("customer", "orders"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    want = con.execute(E.oracle_sql()["dq_foreign_key_orders"]).fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want) == [(13, 4), (14, 4)]
