@@ -1,7 +1,9 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
+from tidewater.llm import chunk_dedup
 from tidewater.llm.chunk_dedup import MIN_WORDS, Chunks, gear_hash, remove_repeats, removed_runs
 
 SCHEMA = "doc_id long, text string, numbers int, key string, tag string"
@@ -117,3 +119,14 @@ def test_spans_cover_each_repeated_stretch():
 
 def test_empty_table(spark):
     assert remove_repeats(spark.createDataFrame([], SCHEMA)).isEmpty()
+
+
+def test_tasks_pass_spans_on_before_they_are_many():
+    """However many spans a task finds, it holds and sends some 2**18 of them at once, all in the end."""
+    rng = np.random.default_rng(5)
+    vocabulary = np.array([f"w{i}x" for i in range(30_000)])
+    texts = [" ".join(vocabulary[rng.integers(0, len(vocabulary), 4000)]) for _ in range(360)]
+    batch = pa.record_batch({"key": pa.array(range(360), pa.int64()), "tag": pa.array([7] * 360, pa.int64()), "text": texts})
+    sent = [sum(len(d) // 8 for d in b.column("docs").to_pylist()) for b in chunk_dedup._entries(8, MIN_WORDS)(iter([batch]))]
+    assert sum(sent) == sum(len(Chunks([t.encode()]).spans(MIN_WORDS)[0]) for t in texts) > 500_000
+    assert max(sent) < 400_000

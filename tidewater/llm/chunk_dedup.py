@@ -32,7 +32,8 @@ from .tokens import mix64
 MIN_WORDS = 20
 WINDOW = 16  # bytes that decide on a boundary
 _LONG_WORD = 48
-_FLUSH_SPANS = 1_000_000
+_FLUSH_SPANS = 1 << 18
+_PASS_BYTES = 1 << 19  # of text whose hashes a task holds at once
 _GROUP_BYTES = 12 << 20
 _ENTRY_BYTES = 24
 _BYTES_A_SPAN = 18
@@ -132,7 +133,7 @@ def _entries(parts: int, min_words: int):
         held, size = [], 0
         for batch in batches:
             keys, tags = batch.column("key").to_numpy(zero_copy_only=False), batch.column("tag").to_numpy(zero_copy_only=False)
-            for first, part in byte_passes(batch.column("text").to_pylist()):
+            for first, part in byte_passes(batch.column("text").to_pylist(), _PASS_BYTES):
                 chunks = Chunks(part)
                 begin, end, before = chunks.spans(min_words)
                 n = np.diff(before)
@@ -251,7 +252,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
             own = batch.column(0).flatten()
             texts, lists = own[at].to_pylist(), batch.column(1).to_pylist()
             out, facts = [], []
-            for first, part in byte_passes(texts):
+            for first, part in byte_passes(texts, _PASS_BYTES):
                 chunks = Chunks(part)
                 span_begin, span_end, before = chunks.spans(min_words)
                 for i, data in enumerate(part):

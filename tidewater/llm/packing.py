@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import tidy
 from .tokens import encoder, passes
 
 SCHEMA = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
@@ -131,7 +132,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int =
         encoder.cache_clear()  # its table of words would stay in the worker, beside what later stages need
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, SCHEMA)
+        .mapInArrow(tidy(run), SCHEMA)
 
 
 def _packed(held: list[tuple], window: int, base: int, used: int) -> tuple[pa.RecordBatch, int]:
