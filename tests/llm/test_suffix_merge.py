@@ -77,6 +77,16 @@ def test_crowded_keys_and_many_buckets(spark, monkeypatch, tmp_path):
     assert run(spark, tmp_path, rows) == expected(rows, 400)
 
 
+def test_texts_are_cut_once_for_all_keys(spark, monkeypatch, tmp_path):
+    """With usual and crowded keys, the texts are joined with their runs and cut once, not for each kind."""
+    monkeypatch.setattr(suffix_merge, "_CROWDED", 3)
+    calls, cut = [], suffix_merge._cut
+    monkeypatch.setattr(suffix_merge, "_cut", lambda length: calls.append(length) or cut(length))
+    rows = corpus(random.Random(2))
+    assert run(spark, tmp_path, rows) == expected(rows, 400)
+    assert calls == [400]
+
+
 @pytest.mark.parametrize("length,depth", [(16, 8), (8, 4), (24, 2), (12, 12)])
 def test_other_lengths(spark, length, depth):
     rng = random.Random(length)
