@@ -8,8 +8,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from tidewater.llm import range_coder
 from tidewater.llm.range_coder import decode_ids, encode_ids, read_blocks, read_ids, write_block, write_ids
 from tidewater.llm.storage import shared_folder
+from tidewater.llm.tokens import BpeEncoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -78,3 +80,31 @@ def test_files_in_document_order(spark):
 
 def test_empty_table(spark):
     assert write_ids(spark.createDataFrame([], "doc_id long, text string"), PATH, shared_folder(spark, "test")).isEmpty()
+
+
+def test_words_go_to_the_model_alone(monkeypatch):
+    """New words are split already, so the library's whole chain doesn't see them again; ids stay the library's."""
+    enc, whole = BpeEncoder(PATH), Tokenizer.from_file(PATH)
+    words = [w for c in range(0x20, 0x3000) if (w := chr(c)).isprintable() and c != 0x20] + [" the", "don", "'t", "   ", "\t", "\x00\x7f", "\U0001f600é"]
+    want = [whole.encode(w, add_special_tokens=False).ids for w in words]
+    monkeypatch.setattr(enc, "tokenizer", None)
+    ids, counts = enc.encode_words(words)
+    assert counts.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+    text = "Ein Text, dann\n\n  noch  einer: don't <|endoftext|> été \U0001f600\x00"
+    assert BpeEncoder(PATH).encode([text])[0].tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("n,lanes", [(1, 1), (12, 4), (13, 4), (7, 7), (15, 4)])
+def test_lanes_by_step_and_back(n, lanes):
+    ids = np.arange(n, dtype=np.int32)
+    grid = range_coder._by_step(ids, lanes, -(-n // lanes))
+    cuts = np.split(ids, np.cumsum([n // lanes + (k < n % lanes) for k in range(lanes)])[:-1])
+    assert all(grid[: len(c), k].tolist() == c.tolist() for k, c in enumerate(cuts))
+    assert range_coder._by_lane(grid, n).tolist() == ids.tolist()
+
+
+def test_symbols_of_values():
+    rng = np.random.default_rng(3)
+    edges = np.cumsum(rng.integers(1, 9, 500)).astype(np.int32)
+    values = rng.integers(0, edges[-1], 3000).astype(np.int32)
+    assert range_coder._symbols(edges, values).tolist() == np.searchsorted(edges, values, side="right").tolist()

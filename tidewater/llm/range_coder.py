@@ -111,17 +111,37 @@ def _shape(n: int) -> tuple[int, int]:
     return lanes, -(-n // lanes)
 
 
-def _lane_sizes(n: int, lanes: int) -> np.ndarray:
-    return n // lanes + (np.arange(lanes) < n % lanes)
+def _by_step(ids: np.ndarray, lanes: int, steps: int) -> np.ndarray:
+    """Row ``i`` has the ``i``-th id of each lane; what the shorter lanes lack is left open."""
+    longer = len(ids) % lanes or lanes
+    cut = longer * steps
+    grid = np.empty((steps, lanes), np.int32)
+    grid[:, :longer] = ids[:cut].reshape(longer, steps).T
+    grid[: steps - 1, longer:] = ids[cut:].reshape(lanes - longer, steps - 1).T
+    return grid
+
+
+def _by_lane(grid: np.ndarray, n: int) -> np.ndarray:
+    """The ids that :func:`_by_step` laid out, one lane after the other."""
+    steps, lanes = grid.shape
+    longer = n % lanes or lanes
+    return np.concatenate([grid[:, :longer].T.ravel(), grid[: steps - 1, longer:].T.ravel()])
+
+
+def _symbols(edges: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The number of ``edges`` at or below each value; sought in order, as neighbours then lie
+    close together. There are at most ``_MOST_LANES`` values, from 0 to below 2**31."""
+    packed = np.sort(values.astype(np.int64) << 32 | np.arange(len(values)))
+    out = np.empty(len(values), np.int32)
+    out[packed & 0xFFFFFFFF] = np.searchsorted(edges, (packed >> 32).astype(edges.dtype), side="right")
+    return out
 
 
 def encode_ids(ids: np.ndarray, alphabet: int) -> bytes:
     """The lanes' code words: their number of 16-bit words each, then the words."""
     n = len(ids)
     lanes, steps = _shape(n)
-    sizes = _lane_sizes(n, lanes)
-    begins = np.cumsum(sizes) - sizes
-    ids = ids.astype(np.int32)
+    grid = _by_step(ids, lanes, steps)
     model = Model(lanes, alphabet)
     low, size = np.zeros(lanes, _U), np.full(lanes, 1 << 48, _U)
     width = 3 * steps + 4
@@ -152,8 +172,8 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> bytes:
         low[lane], size[lane] = lo, sz
 
     for step in range(steps):
-        live = lanes if step < sizes[-1] else int(n % lanes)
-        now = ids[begins[:live] + step]
+        live = lanes if step < n // lanes else n % lanes
+        now = grid[step, :live]
         model.predict(live)
         which = np.where(now == model.guess2, 0, np.where(now == model.guess1, 1, 2))
         code = model.row + which
@@ -173,8 +193,6 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> bytes:
 
 def decode_ids(data: bytes, n: int, alphabet: int) -> np.ndarray:
     lanes, steps = _shape(n)
-    sizes = _lane_sizes(n, lanes)
-    begins = np.cumsum(sizes) - sizes
     counts = np.frombuffer(data, "<u4", lanes).astype(np.int64)
     words = np.concatenate([np.frombuffer(data, "<u2", offset=4 * lanes), np.zeros(4, np.uint16)])
     at = np.cumsum(counts) - counts
@@ -184,7 +202,7 @@ def decode_ids(data: bytes, n: int, alphabet: int) -> np.ndarray:
     at += 3
     size = np.full(lanes, 1 << 48, _U)
     model = Model(lanes, alphabet)
-    out = np.empty(n, np.int32)
+    grid = np.empty((steps, lanes), np.int32)
 
     def narrow(lane, unit, start, share):
         co, sz = code[lane] - unit * start, unit * share
@@ -200,7 +218,7 @@ def decode_ids(data: bytes, n: int, alphabet: int) -> np.ndarray:
         code[lane], size[lane] = co, sz
 
     for step in range(steps):
-        live = lanes if step < sizes[-1] else int(n % lanes)
+        live = lanes if step < n // lanes else n % lanes
         model.predict(live)
         lane = slice(0, live)
         unit = size[lane] >> _U(16)
@@ -215,12 +233,12 @@ def decode_ids(data: bytes, n: int, alphabet: int) -> np.ndarray:
             unit = size[rest] // model.total
             # Both are below 2**48, so the double nearest to their quotient has its whole part.
             value = np.minimum((code[rest].view(np.int64) / unit.view(np.int64)).astype(np.int32), np.int32(model.total - _U(1)))
-            literal = np.searchsorted(model.edges, value, side="right").astype(np.int32)
+            literal = _symbols(model.edges, value)
             narrow(rest, unit, model.begin.take(literal), model.freq_of(literal))
             now[rest] = literal
         model.update(now, which, literal)
-        out[begins[:live] + step] = now
-    return out.astype(np.uint32)
+        grid[step, :live] = now
+    return _by_lane(grid, n).astype(np.uint32)
 
 
 _HEAD = struct.Struct("<8sIIIII")
